@@ -1,0 +1,33 @@
+"""Record layouts as DDL strings."""
+
+# A transaction and an activity as they arrive.
+TRANSACTION = (
+    "id BIGINT, description STRING, amount DOUBLE, currency STRING, status STRING, timestamp STRING"
+)
+ACTIVITY = "id BIGINT, activity STRING, description STRING, timestamp STRING"
+
+# An activity of the bulk contract, and a bulk request holding many of them.
+BULK_ACTIVITY = "id INT, userId STRING, action STRING, timestamp STRING"
+BULK_REQUEST = (
+    "activities ARRAY<STRUCT<id: INT, userId: STRING, action: STRING, timestamp: STRING>>"
+)
+
+# Canonical records.
+CANONICAL_TRANSACTION = (
+    "transactionId STRING, userId STRING, amount DECIMAL(18,2), currency STRING, "
+    "status STRING, timestamp TIMESTAMP"
+)
+CANONICAL_ACTIVITY = (
+    "activityId STRING, userId STRING, activityType STRING, metadata STRING, timestamp TIMESTAMP"
+)
+
+RAW_EVENT = "raw STRING, ingest_time TIMESTAMP"
+DELTA = "metric_name STRING, delta DOUBLE, event_time TIMESTAMP"
+TOTAL = (
+    "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP, window_end TIMESTAMP"
+)
+LATE_EVENT = (
+    "metric_name STRING, delta_value DOUBLE, event_time TIMESTAMP, ingested_at TIMESTAMP"
+)
+REQUEST = "metric_name STRING, start STRING, end STRING"
+SNAPSHOT = "metric_name STRING, start STRING, end STRING, value STRING, cached_at TIMESTAMP"
