@@ -5,27 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one part in this many of all rows. At most
+from eventtally.session import stored
+
+# A lookup table is sent to every executor only when its measured size is below this.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# A key is hot when it holds more than one part in this many of all rows. Fewer than
 # this many keys can be hot, so the table of hot keys has a fixed bound.
 SHARES = 512
 
 
+def is_small(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Measure a stored table: eight bytes per value plus the bytes of its texts."""
+    texts = [
+        F.coalesce(F.octet_length(name), F.lit(0))
+        for name, kind in table.dtypes
+        if kind == "string"
+    ]
+    width = sum(texts, F.lit(8 * len(table.columns)))
+    size = table.agg(F.sum(width.cast("long"))).first()[0]
+    return size is None or size <= limit
+
+
 def hot_keys(rows: DataFrame, keys: list[str], shares: int = SHARES) -> DataFrame:
     """Keys with more than 1/shares of all rows and the number of parts to cut them into.
 
     The counts are combined before the shuffle, so a hot key costs no more than others.
-    Fewer than `shares` keys can pass the test, and their parts add up to at most
-    2 * shares.
+    The parts of all hot keys add up to at most 2 * shares.
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    share = F.ceil(F.lit(shares) * F.col("_rows") / total).cast("int")
+    parts = F.ceil(F.lit(shares) * F.col("_rows") / total).cast("int")
     return counts.filter(F.col("_rows") * shares > total).select(
-        *keys, share.alias("_parts")
+        *keys, parts.alias("_parts")
     )
 
 
-def balanced_join(
+def salted_join(
     rows: DataFrame,
     lookup: DataFrame,
     keys: list[str],
@@ -34,25 +50,48 @@ def balanced_join(
     condition: Column | None = None,
     shares: int = SHARES,
 ) -> DataFrame:
-    """Join a large table that may be skewed with a lookup table.
+    """Shuffle both sides on the keys, with the rows of hot keys cut into parts.
 
-    Rows of hot keys are cut into parts by a hash of the `spread_by` columns, which
-    should tell the rows of one key apart. Lookup rows of those keys are repeated once
-    per part. Only an inner or a left join keeps its meaning under this.
+    The part of a row follows from a hash of the `spread_by` columns, which should tell
+    the rows of one key apart. Lookup rows of hot keys are repeated once per part. Only
+    an inner or a left join keeps its meaning under this.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type: {how}")
-    hot = F.broadcast(hot_keys(rows, keys, shares))
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    cut = F.pmod(F.xxhash64(*spread_by), parts).cast("int")
-    left = rows.join(hot, keys, "left").withColumn("_part", cut).drop("_parts")
-    right = (
-        lookup.join(hot, keys, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_parts")
-    )
-    if condition is None:
-        return left.join(right, [*keys, "_part"], how).drop("_part")
-    if how != "inner":
-        raise ValueError("a condition needs an inner join")
-    return left.join(right, [*keys, "_part"], how).filter(condition).drop("_part")
+    if how != "inner" and (how != "left" or condition is not None):
+        raise ValueError(f"unsupported join: {how} with condition {condition}")
+    hot = stored(hot_keys(rows, keys, shares), "hot-keys")
+    if hot.isEmpty():
+        left, right, on = rows, lookup, keys
+    else:
+        parts = F.coalesce(F.col("_parts"), F.lit(1))
+        cut = F.pmod(F.xxhash64(*spread_by), parts).cast("int")
+        left = (
+            rows.join(F.broadcast(hot), keys, "left").withColumn("_part", cut).drop("_parts")
+        )
+        right = (
+            lookup.join(F.broadcast(hot), keys, "left")
+            .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .drop("_parts")
+        )
+        on = [*keys, "_part"]
+    joined = left.join(right, on, how)
+    if condition is not None:
+        joined = joined.filter(condition)
+    return joined.drop("_part")
+
+
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Join many rows with a lookup table without moving the rows if that can be helped.
+
+    The lookup table is worked out once and measured. A small one goes to the rows; with
+    a larger one both sides are shuffled and hot keys are cut.
+    """
+    lookup = stored(lookup, "lookup")
+    if is_small(lookup):
+        return rows.join(F.broadcast(lookup), keys, how)
+    return salted_join(rows, lookup, keys, spread_by, how)

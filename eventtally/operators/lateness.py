@@ -4,6 +4,9 @@ A row is late when, by the time it arrived, the largest event time seen before i
 at least B + L past the end of the row's window. "Before" goes by ticks of arrival
 time, as a watermark does that is advanced from time to time: rows of one tick do not
 see each other.
+
+A log is a table of events with `event_time` and `arrival`. It is read several times;
+one that is costly to make should be stored first.
 """
 
 from __future__ import annotations
@@ -12,46 +15,74 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventtally.config import Settings
-from eventtally.functions.skew import balanced_join
+from eventtally.functions.skew import lookup_join
 from eventtally.operators.totals import window_start
+from eventtally.session import stored
 
 # Fixed value: the usual pause between two watermarks, in milliseconds.
 TICK_MS = 200
-DAY_MS = 86_400_000
+MINUTE_MS = 60_000
+MINUTES_PER_DAY = 1440
 
 
 def millis(at: Column) -> Column:
     return F.unix_millis(at.cast("timestamp"))
 
 
-def arrival_tick(arrival: Column, tick_ms: int = TICK_MS) -> Column:
-    """Number of the tick an arrival falls into."""
-    return F.floor(millis(arrival) / tick_ms).cast("long")
+def _div(number: Column, by: int) -> Column:
+    """Whole-number division that rounds down, also below zero."""
+    return F.call_function("div", number - F.pmod(number, F.lit(by)), F.lit(by))
+
+
+def arrival_step(arrival: Column, step_ms: int) -> Column:
+    """Number of the step of arrival time an instant falls into."""
+    return _div(millis(arrival), step_ms)
 
 
-def seen_before(log: DataFrame, tick_ms: int = TICK_MS) -> DataFrame:
-    """For each tick the largest event time of all earlier ticks, NULL for the first.
+def minutes_seen(log: DataFrame) -> DataFrame:
+    """Largest event time seen before each minute of arrival and up to its end.
 
-    One row per tick is left after the first step, however many rows arrive in one.
-    Their running maximum is taken day by day, and the days before one are summed up
-    by one row each; no task sees more than the ticks of a day or one row per day.
+    One row per minute is left after the first step, however many rows arrive in one.
+    The running maximum is taken within days, and over one row per day: no task sees
+    more than the minutes of a day or the days of the log.
     """
-    ticks = log.groupBy(arrival_tick(F.col("arrival"), tick_ms).alias("tick")).agg(
+    tops = log.groupBy(arrival_step(F.col("arrival"), MINUTE_MS).alias("minute")).agg(
         F.max(millis(F.col("event_time"))).alias("top")
     )
-    ticks = ticks.withColumn("day", F.floor(F.col("tick") * tick_ms / DAY_MS).cast("long"))
+    tops = tops.withColumn("day", _div(F.col("minute"), MINUTES_PER_DAY))
     before = Window.unboundedPreceding, -1
-    in_day = Window.partitionBy("day").orderBy("tick").rowsBetween(*before)
+    in_day = Window.partitionBy("day").orderBy("minute").rowsBetween(*before)
     across = Window.orderBy("day").rowsBetween(*before)
     days = (
-        ticks.groupBy("day")
-        .agg(F.max("top").alias("top"))
-        .select("day", F.max("top").over(across).alias("earlier_days"))
+        tops.groupBy("day")
+        .agg(F.max("top").alias("day_top"))
+        .select("day", F.max("day_top").over(across).alias("earlier_days"))
     )
+    seen = F.greatest(F.max("top").over(in_day), F.col("earlier_days"))
     return (
-        ticks.withColumn("same_day", F.max("top").over(in_day))
-        .join(days, "day")
-        .select("tick", F.greatest("same_day", "earlier_days").alias("seen_ms"))
+        tops.join(days, "day")
+        .withColumn("before_ms", seen)
+        .select("minute", "before_ms", F.greatest("before_ms", "top").alias("upto_ms"))
+    )
+
+
+def ticks_seen(log: DataFrame, minutes: DataFrame, tick_ms: int = TICK_MS) -> DataFrame:
+    """Largest event time seen before each tick of the given minutes."""
+    tops = (
+        log.select(
+            arrival_step(F.col("arrival"), MINUTE_MS).alias("minute"),
+            arrival_step(F.col("arrival"), tick_ms).alias("tick"),
+            millis(F.col("event_time")).alias("event_ms"),
+        )
+        .groupBy("minute", "tick")
+        .agg(F.max("event_ms").alias("top"))
+        .join(minutes.select("minute", "before_ms"), "minute")
+    )
+    in_minute = (
+        Window.partitionBy("minute").orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return tops.select(
+        "tick", F.greatest(F.max("top").over(in_minute), F.col("before_ms")).alias("seen_ms")
     )
 
 
@@ -61,52 +92,64 @@ def is_late(window_end_ms: Column, seen_ms: Column, settings: Settings) -> Colum
     return F.coalesce(window_end_ms + delay <= seen_ms, F.lit(False))
 
 
-def _window_end(size: str) -> Column:
-    return window_start("event_time", size) + F.expr(f"INTERVAL {size}")
-
-
 def late_split(
     log: DataFrame, settings: Settings, spread_by: list[str], tick_ms: int = TICK_MS
 ) -> DataFrame:
-    """Every row of the log with `window_end` and `late`; none is lost or repeated."""
-    keyed = log.withColumn("tick", arrival_tick(F.col("arrival"), tick_ms)).withColumn(
-        "window_end", _window_end(settings.window_size)
+    """Every row of the log with `window_end` and `late`; none is lost or repeated.
+
+    What was seen before and up to the end of a row's minute of arrival settles nearly
+    all rows: late even by the first, or on time even by the second. The table of
+    minutes is short, so these rows are not shuffled. Only rows in between are joined
+    with the ticks of their minute.
+    """
+    if MINUTE_MS % tick_ms:
+        raise ValueError("a tick must divide a minute")
+    minutes = stored(minutes_seen(log), "minutes")
+    size = settings.window_size
+    end = window_start("event_time", size) + F.expr(f"INTERVAL {size}")
+    keyed = log.withColumn("window_end", end).withColumn(
+        "minute", arrival_step(F.col("arrival"), MINUTE_MS)
+    )
+    joined = lookup_join(keyed, minutes, ["minute"], spread_by)
+    end_ms = millis(F.col("window_end"))
+    late_before = is_late(end_ms, F.col("before_ms"), settings)
+    late_upto = is_late(end_ms, F.col("upto_ms"), settings)
+    columns = [*log.columns, "window_end", "late"]
+    settled = (
+        joined.filter(late_before | ~late_upto).withColumn("late", late_before).select(*columns)
     )
-    joined = balanced_join(keyed, seen_before(log, tick_ms), ["tick"], spread_by)
-    late = is_late(millis(F.col("window_end")), F.col("seen_ms"), settings)
-    return joined.withColumn("late", late).drop("tick", "seen_ms")
 
+    open_rows = joined.filter(~late_before & late_upto).select(*log.columns, "window_end", "minute")
+    open_minutes = minutes.join(open_rows.select("minute").distinct(), "minute", "left_semi")
+    by_tick = lookup_join(
+        open_rows.withColumn("tick", arrival_step(F.col("arrival"), tick_ms)),
+        ticks_seen(log, open_minutes, tick_ms),
+        ["tick"],
+        spread_by,
+    )
+    late = is_late(end_ms, F.col("seen_ms"), settings)
+    return settled.unionByName(by_tick.withColumn("late", late).select(*columns))
 
-def split_totals(log: DataFrame, settings: Settings, tick_ms: int = TICK_MS) -> DataFrame:
-    """Totals per metric and window, of on-time rows and of late rows apart.
 
-    All rows of one tick and window share their fate, so they are summed before they
-    are judged: what is joined with the ticks is sums, not rows.
-    """
-    size = settings.window_size
+def split_totals(judged_deltas: DataFrame, size: str = "1 minute") -> DataFrame:
+    """Totals per metric and window, of on-time deltas and of late ones apart."""
     sums = (
-        log.withColumn("tick", arrival_tick(F.col("arrival"), tick_ms))
-        .withColumn("window_start", window_start("event_time", size))
-        .groupBy("tick", "window_start", "metric_name")
-        .agg(F.sum("delta").alias("part"), F.count(F.lit(1)).alias("rows"))
+        judged_deltas.withColumn("window_start", window_start("event_time", size))
+        .groupBy("metric_name", "window_start")
+        .agg(
+            F.sum(F.when(~F.col("late"), F.col("delta"))).alias("metric_value"),
+            F.count_if("late").alias("late_rows"),
+            F.sum(F.when(F.col("late"), F.col("delta")).otherwise(0.0)).alias("late_value"),
+        )
     )
     end = F.col("window_start") + F.expr(f"INTERVAL {size}")
-    judged = (
-        sums.withColumn("window_end", end)
-        .join(seen_before(log, tick_ms), "tick")
-        .withColumn("late", is_late(millis(F.col("window_end")), F.col("seen_ms"), settings))
-    )
-    return judged.groupBy("metric_name", "window_start", "window_end").agg(
-        F.sum(F.when(~F.col("late"), F.col("part"))).alias("metric_value"),
-        F.sum(F.when(F.col("late"), F.col("rows")).otherwise(0)).alias("late_rows"),
-        F.sum(F.when(F.col("late"), F.col("part")).otherwise(0.0)).alias("late_value"),
-    )
+    return sums.withColumn("window_end", end)
 
 
-def on_time_totals(log: DataFrame, settings: Settings, tick_ms: int = TICK_MS) -> DataFrame:
+def on_time_totals(judged_deltas: DataFrame, size: str = "1 minute") -> DataFrame:
     """What the stream would have served: totals without the late rows."""
     return (
-        split_totals(log, settings, tick_ms)
+        split_totals(judged_deltas, size)
         .filter(F.col("metric_value").isNotNull())
         .select("metric_name", "metric_value", "window_start", "window_end")
     )

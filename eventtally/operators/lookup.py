@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS
 from eventtally.functions.parsing import INSTANT_PATTERN, iso_instant, required_instant
-from eventtally.functions.skew import balanced_join
+from eventtally.functions.skew import lookup_join, salted_join
 from eventtally.operators.totals import window_start
 
 
@@ -81,7 +81,9 @@ def bulk_range_totals(
     A range test alone would compare each request with all totals of its metric. Here
     each request is written out once per day of its range and meets the totals of the
     same metric and day, so the join is on equal keys and the two bounds only trim the
-    first and the last day. Days outside the table are left out beforehand.
+    first and the last day. Days outside the table are left out beforehand. Both sides
+    are shuffled, also small ones: a few requests can have very many answers, and the
+    shuffle spreads the work of writing them out.
     """
     kind = dict(totals.dtypes)["window_start"]
     day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
@@ -108,7 +110,7 @@ def bulk_range_totals(
     )
     rows = totals.select(*SERVING_COLUMNS, day.alias("_day"))
     inside = (F.col("window_start") >= F.col("_from")) & (F.col("window_end") <= F.col("_to"))
-    joined = balanced_join(
+    joined = salted_join(
         by_day,
         rows,
         ["metric_name", "_day"],
@@ -133,7 +135,7 @@ def window_of_event(
     keyed = events.withColumn("window_start", window_start("event_time", size))
     end = F.col("window_start") + F.expr(f"INTERVAL {size}")
     same_size = totals.filter(F.col("window_end") == end)
-    return balanced_join(
+    return lookup_join(
         keyed,
         same_size,
         ["metric_name", "window_start"],

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventtally.functions.skew import balanced_join
+from eventtally.functions.skew import lookup_join
 
 # Sketch accuracy; it decides how evenly the work is cut, never the result.
 ACCURACY = 10_000
@@ -48,7 +48,7 @@ def exact_percentiles(
         F.lit(0),
     )
     slotted = (
-        balanced_join(counted, sketch, by, ["_x"]) if by else counted.crossJoin(F.broadcast(sketch))
+        lookup_join(counted, sketch, by, ["_x"]) if by else counted.crossJoin(F.broadcast(sketch))
     ).withColumn("_slot", slot).drop("_edges")
 
     ranks = F.array(

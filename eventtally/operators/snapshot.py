@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventtally.functions.skew import balanced_join
+from eventtally.functions.skew import lookup_join
 from eventtally.operators.lookup import bulk_range_totals
 
 REQUEST_KEY = ["metric_name", "start", "end"]
@@ -36,7 +36,7 @@ def probe(
     live = live_entries(snapshot, as_of, ttl_seconds).select(
         *REQUEST_KEY, F.col("value").alias("cached_value")
     )
-    return balanced_join(requests, live, REQUEST_KEY, requests.columns, how="left")
+    return lookup_join(requests, live, REQUEST_KEY, requests.columns, how="left")
 
 
 def hits(probed: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventtally.config import Settings
 from eventtally.functions.parsing import iso_instant
-from eventtally.operators.deltas import activity_deltas, transaction_deltas
+from eventtally.operators.deltas import event_deltas
+from eventtally.operators.lateness import late_split
 from eventtally.operators.totals import event_totals
 from eventtally.sources.topics import ACTIVITY, TRANSACTION
 
@@ -160,25 +162,33 @@ dirty AS (
   FROM ms WHERE event_type = 'purchase')"""
 
 
-# The log: deltas in order of arrival, up to `jitter` seconds after the event.
+# The log: events with a time of arrival, up to `jitter` seconds after the event.
 
 
 def arrival(jitter: int) -> Column:
-    return F.col("ts") + F.make_dt_interval(secs=(F.col("event_id") * 7919 % jitter).cast("double"))
+    return F.timestamp_add("SECOND", (F.col("event_id") * 7919 % jitter).cast("int"), F.col("ts"))
 
 
 def arrival_log(spark: SparkSession, sf_dir: str, jitter: int = 600) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
+    """Every event as an activity, purchases as transactions too."""
+    events = table(spark, sf_dir, "events")
+    columns = [
         F.col("event_id").alias("id"),
         F.col("event_type").alias("action"),
-        "event_type",
         F.col("value").alias("amount"),
         F.col("ts").alias("event_time"),
         arrival(jitter).alias("arrival"),
-    )
-    keep = ["id", "arrival"]
+    ]
     purchases = events.filter(F.col("event_type") == "purchase")
-    return transaction_deltas(purchases, keep).unionByName(activity_deltas(events, keep))
+    return events.select(*columns, F.lit(ACTIVITY).alias("source")).unionByName(
+        purchases.select(*columns, F.lit(TRANSACTION).alias("source"))
+    )
+
+
+def judged_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deltas of the log: events are judged first and fan out after."""
+    judged = late_split(arrival_log(spark, sf_dir), Settings(), spread_by=["id"])
+    return event_deltas(judged, keep=["id", "arrival", "window_end", "late"])
 
 
 def log_sql(jitter: int = 600) -> str:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from eventtally.config import Settings
 from eventtally.operators import deltas as dl
 from eventtally.operators import totals as tt
-from eventtally.operators.lateness import late_split as split_rows
 from eventtally.operators.lateness import on_time_totals, split_totals
 from eventtally.operators.reconcile import reconcile as reconcile_totals
 from eventtally.plans.backfill import recomputed_totals
@@ -145,7 +144,7 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id, metric_name, delta, event_time, arrival, window_end, late FROM judged"""
 )
 def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_rows(i.arrival_log(spark, sf_dir), Settings(), spread_by=["id"])
+    return i.judged_deltas(spark, sf_dir)
 
 
 @query(
@@ -157,7 +156,7 @@ SELECT metric_name, window_end - INTERVAL 1 MINUTE AS window_start, window_end,
 FROM judged GROUP BY metric_name, window_end"""
 )
 def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = split_totals(i.arrival_log(spark, sf_dir), Settings())
+    totals = split_totals(i.judged_deltas(spark, sf_dir))
     return rounded(rounded(totals), "late_value")
 
 
@@ -174,7 +173,7 @@ SELECT metric_name, window_start, window_end,
 FROM streamed FULL JOIN totals USING (metric_name, window_start, window_end)"""
 )
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    streamed = on_time_totals(i.arrival_log(spark, sf_dir), Settings())
+    streamed = on_time_totals(i.judged_deltas(spark, sf_dir))
     out = reconcile_totals(streamed, i.totals(spark, sf_dir))
     for column in ("streamed_value", "recomputed_value", "difference"):
         out = rounded(out, column)

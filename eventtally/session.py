@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -29,3 +29,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="eventtally-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/eventtally/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The same rows, worked out once and read back from the shared folder."""
+    path = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
