@@ -85,13 +85,16 @@ def lookup_join(
     keys: list[str],
     spread_by: list[str],
     how: str = "inner",
+    is_stored: bool = False,
 ) -> DataFrame:
     """Join many rows with a lookup table without moving the rows if that can be helped.
 
-    The lookup table is worked out once and measured. A small one goes to the rows; with
-    a larger one both sides are shuffled and hot keys are cut.
+    The lookup table is worked out once, unless it `is_stored` already, and measured. A
+    small one goes to the rows; with a larger one both sides are shuffled and hot keys
+    are cut.
     """
-    lookup = stored(lookup, "lookup")
+    if not is_stored:
+        lookup = stored(lookup, "lookup")
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), keys, how)
     return salted_join(rows, lookup, keys, spread_by, how)

@@ -110,7 +110,7 @@ def late_split(
     keyed = log.withColumn("window_end", end).withColumn(
         "minute", arrival_step(F.col("arrival"), MINUTE_MS)
     )
-    joined = lookup_join(keyed, minutes, ["minute"], spread_by)
+    joined = lookup_join(keyed, minutes, ["minute"], spread_by, is_stored=True)
     end_ms = millis(F.col("window_end"))
     late_before = is_late(end_ms, F.col("before_ms"), settings)
     late_upto = is_late(end_ms, F.col("upto_ms"), settings)

@@ -50,13 +50,13 @@ def serving_range_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {i.ACT}, {i.TX}, {i.DELTAS}, {i.totals_sql("hour")} {TOTALS_OUT}
+    f"""WITH {i.ACT}, {i.TX}, {i.DELTAS}, {i.totals_sql("day")} {TOTALS_OUT}
 WHERE metric_name = 'activity_count' AND window_start <= TIMESTAMP '2024-01-15 12:34:56'
   AND window_end > TIMESTAMP '2024-01-15 12:34:56' ORDER BY window_start LIMIT 1"""
 )
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = i.totals(spark, sf_dir, "1 hour")
-    return rounded(lk.point_total(hours, "activity_count", "2024-01-15T12:34:56Z"))
+    days = i.totals(spark, sf_dir, "1 day")
+    return rounded(lk.point_total(days, "activity_count", "2024-01-15T12:34:56Z"))
 
 
 @query(

@@ -1,0 +1,208 @@
+import datetime as dt
+import math
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import rows
+from eventtally.functions import skew
+from eventtally.functions.parsing import required_instant
+from eventtally.operators import bulk, measures, quality, users
+from eventtally.operators.percentiles import approximate_percentiles, exact_percentiles
+from eventtally.sources.tsv import parse_metric_lines, read_metric_lines
+
+BASE = dt.datetime(2024, 1, 1)
+TOTAL = (
+    "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ"
+)
+
+
+def nearest_rank(values, p):
+    values = sorted(v for v in values if v is not None)
+    return values[max(1, math.ceil(round(p * len(values), 6))) - 1]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_percentiles_equal_a_sorted_list(spark, limit, monkeypatch):
+    monkeypatch.setattr(skew.is_small, "__defaults__", (limit,))
+    rng = random.Random(9)
+    data = [("25", float(n)) for n in range(1, 26)]
+    data += [("one", 4.0), ("copies", 7.0), ("copies", None)] + [("copies", 7.0)] * 500
+    data += [("mixed", rng.choice([0.0, 0.5, rng.gauss(0, 1), 10 ** rng.uniform(-9, 9)])) for _ in range(3000)]
+    data += [("100", float(n)) for n in range(100)]
+    probs = [0.0, 0.07, 0.5, 0.95, 0.99, 1.0]
+    got = exact_percentiles(spark.createDataFrame(data, "g STRING, x DOUBLE"), ["g"], "x", probs)
+    want = [
+        (g, p, nearest_rank([x for k, x in data if k == g], p))
+        for g in {k for k, _ in data}
+        for p in probs
+    ]
+    assert rows(got, "g", "percentile", "value") == sorted(want, key=str)
+
+
+def test_percentiles_of_25_samples(spark):
+    frame = spark.range(1, 26).withColumnRenamed("id", "x")
+    got = exact_percentiles(frame, [], "x", [0.5, 0.95])
+    assert rows(got, "percentile", "value") == [(0.5, 13), (0.95, 24)]
+
+
+def test_approximate_percentiles(spark):
+    frame = spark.range(100_000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("x"))
+    for g, p, value in rows(approximate_percentiles(frame, ["g"], "x", [0.5, 0.99])):
+        assert abs(value - p * 100_000) < 100
+
+
+def test_transaction_summary_and_range(spark):
+    txs = spark.createDataFrame(
+        [(1, 2.0, BASE), (1, 4.0, BASE + dt.timedelta(days=1)), (2, 1.0, BASE)],
+        "user_id BIGINT, amount DOUBLE, event_time TIMESTAMP_NTZ",
+    )
+    assert rows(users.transaction_summary(txs)) == [
+        (1, 2, 6.0, 3.0, 2.0, 4.0, BASE, BASE + dt.timedelta(days=1)),
+        (2, 1, 1.0, 1.0, 1.0, 1.0, BASE, BASE),
+    ]
+    day = users.between(txs, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")
+    assert day.count() == 2
+    assert users.between(txs, start="2024-01-02T00:00:00Z").count() == 1
+
+
+def test_activity_trend(spark):
+    days = [0, 0, 1, 3, 3, 3]
+    acts = spark.createDataFrame(
+        [(1, "LOGIN", BASE + dt.timedelta(days=d)) for d in days] + [(1, "LOGOUT", BASE)],
+        "user_id BIGINT, action STRING, event_time TIMESTAMP_NTZ",
+    )
+    got = rows(users.activity_trend(acts), "action", "n", "change")
+    assert got == sorted(
+        [("LOGIN", 2, None), ("LOGIN", 1, -1), ("LOGIN", 3, 2), ("LOGOUT", 1, None)], key=str
+    )
+
+
+def test_bulk_requests(spark):
+    good = (1, "bulk-user", "PURCHASE", "2025-09-09T12:00:00Z")
+    requests = spark.createDataFrame(
+        [
+            (1, [good, good]),
+            (2, [good, (None, "u", "A", good[3]), (1, " ", "A", good[3]), (1, "u", None, good[3]), (1, "u", "A", "now")]),
+            (3, []),
+        ],
+        "request_id INT, activities ARRAY<STRUCT<id: INT, userId: STRING, action: STRING, timestamp: STRING>>",
+    )
+    assert rows(bulk.bulk_accounting(requests)) == [(1, 2, 0), (2, 1, 4), (3, 0, 0)]
+    taken = bulk.bulk_activities(requests)
+    assert rows(taken) == [(1, "bulk-user", "PURCHASE", dt.datetime(2025, 9, 9, 12))] * 3
+    assert "Exchange" not in bulk.bulk_accounting(requests)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_throughput(spark):
+    events = spark.createDataFrame(
+        [(BASE + dt.timedelta(seconds=s),) for s in (0, 10, 3600)], "event_time TIMESTAMP_NTZ"
+    )
+    assert rows(measures.throughput(events), "n_events", "events_per_second") == [(1, 1 / 3600), (2, 2 / 3600)]
+    whole = measures.overall_throughput(events).first()
+    assert (whole.n_events, whole.seconds, whole.events_per_second) == (3, 3600.0, 3 / 3600)
+    single = measures.overall_throughput(events.limit(1)).first()
+    assert single.events_per_second is None
+
+
+def test_freshness(spark):
+    at = dt.datetime(2026, 2, 9, 10, 25, 18)
+    start, end = dt.datetime(2026, 2, 9, 10, 25), dt.datetime(2026, 2, 9, 10, 26)
+    events = spark.createDataFrame(
+        [("m", at), ("m", at + dt.timedelta(minutes=1)), ("n", at)], "metric_name STRING, event_time TIMESTAMP_NTZ"
+    )
+    committed = spark.createDataFrame(
+        [
+            ("m", 1.0, start, end, at + dt.timedelta(seconds=74)),
+            ("m", 2.0, start, end, at + dt.timedelta(seconds=90)),
+            ("n", 2.0, start, end, at + dt.timedelta(seconds=121)),
+        ],
+        TOTAL + ", committed_at TIMESTAMP_NTZ",
+    )
+    got = measures.freshness(events, committed)
+    assert rows(got, "metric_name", "lag_seconds", "visible") == sorted(
+        [("m", 74.0, True), ("m", None, False), ("n", 121.0, False)], key=str
+    )
+
+
+def test_ratio(spark):
+    events = spark.createDataFrame(
+        [(BASE, True), (BASE, False), (BASE, None), (BASE, True)], "event_time TIMESTAMP_NTZ, hit BOOLEAN"
+    )
+    got = measures.ratio(events, F.col("hit")).first()
+    assert (got.n_events, got.n_flagged, got.ratio) == (4, 2, 0.5)
+
+
+def test_schema_contract(spark):
+    good = spark.createDataFrame([], TOTAL)
+    assert quality.require_schema(good.withColumnRenamed("metric_name", "METRIC_NAME")) is not None
+    with pytest.raises(ValueError, match="Aggregate schema validation failed.*window_end"):
+        quality.require_schema(good.drop("window_end"))
+    assert quality.require_schema(good.drop("window_end"), enabled=False) is not None
+    with pytest.raises(ValueError, match="missing table"):
+        quality.require_table(spark, "no_such_table")
+    good.createOrReplaceTempView("some_totals")
+    assert quality.require_table(spark, "some_totals").columns == good.columns
+
+
+def test_constraints(spark):
+    end = BASE + dt.timedelta(minutes=1)
+    totals = spark.createDataFrame(
+        [
+            ("ok", 1.0, BASE, end),
+            (None, 1.0, BASE, end),
+            ("x" * 255, 1.0, BASE, end),
+            ("x" * 256, 1.0, BASE, end),
+            ("m", None, BASE, end),
+            ("m", float("nan"), BASE, end),
+            ("m", float("-inf"), BASE, end),
+            ("m", 1.0, None, end),
+            ("m", 1.0, BASE, None),
+            (None, 1.0, BASE, BASE),
+        ],
+        TOTAL,
+    )
+    counts = dict(rows(quality.constraint_violations(totals)))
+    assert counts == {
+        "metric_name_null": 2,
+        "metric_name_too_long": 1,
+        "metric_value_null": 1,
+        "metric_value_not_finite": 2,
+        "window_start_null": 1,
+        "window_end_null": 1,
+        "window_not_positive": 1,
+    }
+    assert quality.accepted(totals).count() == 2
+    assert quality.quarantined(totals).count() == 8
+    both = quality.quarantined(totals).filter("window_end = window_start").first()
+    assert both.rules == ["metric_name_null", "window_not_positive"]
+
+
+def test_duplicate_keys(spark):
+    end = BASE + dt.timedelta(minutes=1)
+    totals = spark.createDataFrame([("a", 1.0, BASE, end), ("a", 2.0, BASE, end), ("b", 1.0, BASE, end)], TOTAL)
+    assert rows(quality.duplicate_keys(totals), "metric_name", "n_rows") == [("a", 2)]
+
+
+def write_lines(folder, lines):
+    with open(f"{folder}/part-0", "w", encoding="utf-8") as out:
+        out.write("\n".join(lines) + "\n")
+
+
+def test_metric_lines(spark, folder):
+    write_lines(folder, ["a\t1", "a\t1\t", "\t1", "a\t", "a\t1\tx", "", "a\tNaN", "a\t1d", "a\t 2 "])
+    bounds = [required_instant(F.lit(t)) for t in ("2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")]
+    got = parse_metric_lines(read_metric_lines(spark, folder), *bounds)
+    assert [str(r) for r in rows(got, "metric_name", "metric_value")] == sorted(
+        ["('a', 1.0)", "('a', 1.0)", "('', 1.0)", "('a', nan)", "('a', 1.0)", "('a', 2.0)"]
+    )
+    assert got.first().window_end == dt.datetime(2024, 1, 2)
+
+
+def test_metric_lines_with_a_word_fail(spark, folder):
+    write_lines(folder, ["a\t1", "a\tword"])
+    got = parse_metric_lines(read_metric_lines(spark, folder), F.lit(BASE), F.lit(BASE))
+    with pytest.raises(PySparkException):
+        got.collect()
