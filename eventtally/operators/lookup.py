@@ -87,8 +87,10 @@ def bulk_range_totals(
     """
     kind = dict(totals.dtypes)["window_start"]
     day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
-    days = totals.agg(F.min(day).alias("low"), F.max(day).alias("high"))
-    low, high = days.select("low").scalar(), days.select("high").scalar()
+    days = totals.agg(
+        F.struct(F.min(day).alias("low"), F.max(day).alias("high")).alias("days")
+    ).scalar()
+    low, high = days["low"], days["high"]
     columns = requests.columns
     bounds = requests.withColumn(
         "_from", required_instant(F.col("start")).cast(kind)

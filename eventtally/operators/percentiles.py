@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventtally.functions.skew import lookup_join
+from eventtally.functions.skew import is_small, lookup_join
+from eventtally.session import stored
 
 # Sketch accuracy; it decides how evenly the work is cut, never the result.
 ACCURACY = 10_000
@@ -29,57 +30,69 @@ def exact_percentiles(
 ) -> DataFrame:
     """The value of rank ceil(p * n) in each group, for each p.
 
-    A group may be far larger than a task, so no task sorts one. Equal values are
-    counted first. A sketch cuts each group into a few slots around the wanted ranks;
-    exact slot counts tell which slot holds a rank, whatever the sketch's error; only
-    that slot is cut again, by value, and only the final cut is put in order.
+    A group may be far larger than a task, so no task sorts one. A sketch cuts each
+    group into a few slots around the wanted ranks; exact slot counts tell which slot
+    holds a rank, whatever the sketch's error; only that slot is cut again, by value,
+    and only the final cut is put in order. The rows are read three times and are not
+    shuffled: each pass combines them where they are.
     """
     probs = [float(p) for p in percentiles]
-    values = rows.select(*by, F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
-    counted = values.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    by = by or ["_all"]
+    source = rows if by != ["_all"] else rows.withColumn("_all", F.lit(0))
+    values = source.select(*by, F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
 
     margin = 2.0 / ACCURACY
     edge_probs = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
     sketch = values.groupBy(*by).agg(
         F.percentile_approx("_x", edge_probs, ACCURACY).alias("_edges")
     )
+    edges = [F.col("_edges")[k].alias(f"_edge{k}") for k in range(len(edge_probs))]
+    sketch = stored(sketch.select(*by, *edges), "sketch")
+    if is_small(sketch):
+        weighted = values.withColumn("_c", F.lit(1).cast("long"))
+    else:
+        # The rows have to move: copies of a value go as one row with their number.
+        weighted = values.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
     slot = sum(
-        (F.when(F.col("_x") >= F.col("_edges")[i], 1).otherwise(0) for i in range(len(edge_probs))),
+        (F.when(F.col("_x") >= F.col(f"_edge{k}"), 1).otherwise(0) for k in range(len(edge_probs))),
         F.lit(0),
     )
-    slotted = (
-        lookup_join(counted, sketch, by, ["_x"]) if by else counted.crossJoin(F.broadcast(sketch))
-    ).withColumn("_slot", slot).drop("_edges")
+    slotted = lookup_join(weighted, sketch, by, ["_x"], is_stored=True).select(
+        *by, "_x", "_c", slot.alias("_slot")
+    )
 
+    sizes = stored(slotted.groupBy(*by, "_slot").agg(F.sum("_c").alias("_in")), "slots")
     ranks = F.array(
         *[F.struct(F.lit(p).alias("percentile"), _rank(p, F.col("_n")).alias("_rank")) for p in probs]
     )
-    wanted = (
-        counted.groupBy(*by).agg(F.sum("_c").alias("_n")).select(*by, F.inline(ranks))
+    wanted = sizes.groupBy(*by).agg(F.sum("_in").alias("_n")).select(*by, F.inline(ranks))
+    targets = stored(_holding(sizes, wanted, by, "_slot"), "targets")
+    keys = [*by, "percentile"]
+    in_slot = stored(
+        lookup_join(slotted, targets, [*by, "_slot"], ["_x"], is_stored=True)
+        .groupBy(*keys, "_rank", "_x")
+        .agg(F.sum("_c").alias("_c")),
+        "in-slot",
     )
-    in_slot = _narrow(slotted, wanted, by, "_slot")
 
-    keys = [*by, "percentile"]
     span = in_slot.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"))
-    sub = F.when(
-        F.col("_low") < F.col("_high"),
-        F.width_bucket(
-            F.col("_x").cast("double"),
-            F.col("_low").cast("double"),
-            F.col("_high").cast("double"),
-            F.lit(SUB_SLOTS),
-        ),
-    ).otherwise(F.lit(0).cast("long"))
+    low, high, x = (F.col(c).cast("double") for c in ("_low", "_high", "_x"))
+    sub = F.when(low < high, F.width_bucket(x, low, high, F.lit(SUB_SLOTS))).otherwise(
+        F.lit(0).cast("long")
+    )
     cut = in_slot.join(span, keys).withColumn("_sub", sub)
-    rest = cut.select(*keys, "_rank").distinct()
-    in_sub = _narrow(cut.drop("_rank"), rest, keys, "_sub", drop=["percentile"])
-
+    sub_sizes = cut.groupBy(*keys, "_sub").agg(F.sum("_c").alias("_in"))
+    sub_wanted = in_slot.select(*keys, "_rank").distinct()
+    in_sub = cut.drop("_rank").join(
+        _holding(sub_sizes, sub_wanted, keys, "_sub"), [*keys, "_sub"]
+    )
     upto = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     return (
         in_sub.withColumn("_cum", F.sum("_c").over(upto))
         .filter(F.col("_cum") >= F.col("_rank"))
         .groupBy(*keys)
         .agg(F.min("_x").alias("value"))
+        .drop("_all")
     )
 
 
@@ -88,17 +101,14 @@ def _rank(p: float, n: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.round(F.lit(p) * n, 6))).cast("long")
 
 
-def _narrow(
-    rows: DataFrame, wanted: DataFrame, by: list[str], slot: str, drop: list[str] | None = None
-) -> DataFrame:
-    """Rows of the slot that holds each wanted rank, with the rank inside that slot."""
-    counts = rows.groupBy(*by, slot).agg(F.sum("_c").alias("_in"))
+def _holding(sizes: DataFrame, wanted: DataFrame, by: list[str], slot: str) -> DataFrame:
+    """The slot that holds each wanted rank, with the rank counted inside that slot."""
     order = Window.partitionBy(*by).orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
-    ends = counts.withColumn("_end", F.sum("_in").over(order))
-    holds = (F.col("_rank") > F.col("_end") - F.col("_in")) & (F.col("_rank") <= F.col("_end"))
-    joined = ends.join(wanted, by) if by else ends.crossJoin(F.broadcast(wanted))
-    targets = joined.filter(holds).withColumn(
-        "_rank", F.col("_rank") - (F.col("_end") - F.col("_in"))
+    ends = sizes.withColumn("_end", F.sum("_in").over(order))
+    start = F.col("_end") - F.col("_in")
+    return (
+        ends.join(wanted, by)
+        .filter((F.col("_rank") > start) & (F.col("_rank") <= F.col("_end")))
+        .withColumn("_rank", F.col("_rank") - start)
+        .drop("_in", "_end")
     )
-    extra = [c for c in wanted.columns if c not in by]
-    return rows.join(targets.select(*by, slot, *extra), [*by, slot])

@@ -104,9 +104,8 @@ FROM reqs r JOIN totals t ON t.metric_name = r.metric_name
   AND t.window_start >= r.lo AND t.window_end <= r.hi"""
 )
 def bulk_range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lk.bulk_range_totals(
-        i.requests(spark, sf_dir), i.totals(spark, sf_dir), spread_by=["request_id"]
-    )
+    served, _ = _served(spark, sf_dir)
+    found = lk.bulk_range_totals(i.requests(spark, sf_dir), served, spread_by=["request_id"])
     return rounded(found)
 
 
@@ -146,9 +145,8 @@ FROM (SELECT r.metric_name, r.start, r."end", t.metric_value, t.window_start
 GROUP BY metric_name, start, "end\""""
 )
 def snapshot_refill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = snap.refill(
-        i.requests(spark, sf_dir), i.totals(spark, sf_dir), F.expr(i.AS_OF)
-    )
+    served, _ = _served(spark, sf_dir)
+    entries = snap.refill(i.requests(spark, sf_dir), served, F.expr(i.AS_OF))
     return entries.withColumn("value", F.round(F.col("value").cast("double"), 4))
 
 
@@ -174,11 +172,9 @@ FROM (SELECT metric_name, start, "end",
 GROUP BY metric_name, start, "end\""""
 )
 def snapshot_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    served, _ = _served(spark, sf_dir)
     after = refreshed(
-        i.requests(spark, sf_dir),
-        i.snapshot(spark, sf_dir),
-        i.totals(spark, sf_dir),
-        F.expr(i.AS_OF),
+        i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), served, F.expr(i.AS_OF)
     )
     return after.withColumn("value", F.round(F.expr("try_cast(value AS DOUBLE)"), 4))
 
@@ -193,13 +189,9 @@ SELECT request_id, metric_name, start, "end", round(metric_value, 4),
   strftime(window_start, {ISO}), strftime(window_end, {ISO}), 'miss' FROM found"""
 )
 def answered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    served, _ = _served(spark, sf_dir)
     return rounded(
-        answer(
-            i.requests(spark, sf_dir),
-            i.snapshot(spark, sf_dir),
-            i.totals(spark, sf_dir),
-            F.expr(i.AS_OF),
-        )
+        answer(i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), served, F.expr(i.AS_OF))
     )
 
 

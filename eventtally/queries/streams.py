@@ -59,8 +59,8 @@ def _captured(spark: SparkSession, sf_dir: str) -> str:
     folder = shared_folder(spark, "capture")
     events = i.table(spark, sf_dir, "events").withColumn("arrival", i.arrival(JITTER))
     at = F.unix_millis(F.col("arrival").cast("timestamp"))
-    span = events.agg(F.min(at).alias("low"), F.max(at).alias("high"))
-    low, high = span.select("low").scalar(), span.select("high").scalar()
+    span = events.agg(F.struct(F.min(at).alias("low"), F.max(at).alias("high"))).scalar()
+    low, high = span["low"], span["high"]
     part = F.least(F.lit(SLICES - 1), F.floor((at - low) * SLICES / (high - low))).cast("int")
     kinds = F.when(
         F.col("event_type") == "purchase", F.array(F.lit("transaction"), F.lit("activity"))

@@ -39,10 +39,10 @@ def latest_totals(log: DataFrame) -> DataFrame:
 
 
 def append_batch(rows: DataFrame, path: str, batch_id: int, files: int) -> None:
-    """Write the rows of one batch, in at most `files` files."""
+    """Write the rows of one batch, gathered into at most `files` files."""
     (
         rows.select(*SERVING_COLUMNS)
-        .coalesce(files)
+        .repartition(files)
         .write.mode("overwrite")
         .parquet(f"{path}/batches/batch_id={batch_id}")
     )

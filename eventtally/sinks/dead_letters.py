@@ -19,6 +19,9 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     )
 
 
-def append_dead_letters(parsed: DataFrame, path: str, batch_id: int) -> None:
-    """Append the unreadable records of a batch; a repeated batch replaces itself."""
-    dead_letters(parsed).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def append_dead_letters(parsed: DataFrame, path: str, batch_id: int, files: int) -> None:
+    """Append the unreadable records of a batch; a repeated batch replaces itself.
+
+    They are few, so they are gathered into at most `files` files.
+    """
+    dead_letters(parsed).repartition(files).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -76,6 +76,7 @@ def capture_batch(
     (
         deltas.filter(late)
         .select("metric_name", F.col("delta").alias("delta_value"), "event_time", "ingested_at")
+        .repartition(settings.files_per_batch)
         .write.mode("overwrite")
         .parquet(f"{path}/late/batch_id={batch_id}")
     )
@@ -100,7 +101,9 @@ def capture_raw_batch(
     """
     parsed = parse_events(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        append_dead_letters(parsed, f"{path}/dead_letters", batch_id)
+        append_dead_letters(
+            parsed, f"{path}/dead_letters", batch_id, settings.files_per_batch
+        )
         deltas = event_deltas(parsed, keep=["ingest_time"]).withColumnRenamed(
             "ingest_time", "ingested_at"
         )
