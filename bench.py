@@ -117,7 +117,9 @@ def main() -> None:
         times["bulk_range_lookup"] = middle(
             lambda: lk.bulk_range_totals(requests, served, spread_by=["request_id"])
         )
-        rates["lookups_per_second"] = requests.count() / times["bulk_range_lookup"]
+        asked = requests.count()
+        rates["lookups_per_second"] = asked / times["bulk_range_lookup"]
+        rates["milliseconds_per_bulk_lookup"] = 1000 * times["bulk_range_lookup"] / asked
         times["rollup_day"] = middle(lambda: rollup_totals(served, "1 day"))
 
         def single() -> float:
@@ -144,7 +146,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 4),
                 "unit": "sec",
                 "queries": {k: round(v, 4) for k, v in times.items()},
-                "rates": {k: round(v, 1) for k, v in rates.items()},
+                "rates": {k: round(v, 3) for k, v in rates.items()},
                 "sf": float(scale.group(1)) if scale else SF_DIR,
                 "cpus": int(CPUS),
                 "runs": RUNS,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventtally.session import stored
+from eventtally.session import stored, stored_with_size
 
 # A lookup table is sent to every executor only when its measured size is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -15,18 +15,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SHARES = 512
 
 
-def is_small(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure a stored table: eight bytes per value plus the bytes of its texts."""
-    texts = [
-        F.coalesce(F.octet_length(name), F.lit(0))
-        for name, kind in table.dtypes
-        if kind == "string"
-    ]
-    width = sum(texts, F.lit(8 * len(table.columns)))
-    size = table.agg(F.sum(width.cast("long"))).first()[0]
-    return size is None or size <= limit
-
-
 def hot_keys(rows: DataFrame, keys: list[str], shares: int = SHARES) -> DataFrame:
     """Keys with more than 1/shares of all rows and the number of parts to cut them into.
 
@@ -85,16 +73,25 @@ def lookup_join(
     keys: list[str],
     spread_by: list[str],
     how: str = "inner",
-    is_stored: bool = False,
 ) -> DataFrame:
     """Join many rows with a lookup table without moving the rows if that can be helped.
 
-    The lookup table is worked out once, unless it `is_stored` already, and measured. A
-    small one goes to the rows; with a larger one both sides are shuffled and hot keys
-    are cut.
+    The lookup table is worked out once and measured. A small one goes to the rows; with
+    a larger one both sides are shuffled and hot keys are cut.
     """
-    if not is_stored:
-        lookup = stored(lookup, "lookup")
-    if is_small(lookup):
-        return rows.join(F.broadcast(lookup), keys, how)
-    return salted_join(rows, lookup, keys, spread_by, how)
+    table, size = stored_with_size(lookup, "lookup")
+    return sized_join(rows, table, size, keys, spread_by, how)
+
+
+def sized_join(
+    rows: DataFrame,
+    table: DataFrame,
+    size: int,
+    keys: list[str],
+    spread_by: list[str],
+    how: str = "inner",
+) -> DataFrame:
+    """The same with a table that is stored and measured already."""
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), keys, how)
+    return salted_join(rows, table, keys, spread_by, how)

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventtally.config import Settings
-from eventtally.functions.skew import lookup_join
+from eventtally.functions.skew import lookup_join, sized_join
 from eventtally.operators.totals import window_start
-from eventtally.session import stored
+from eventtally.session import stored_with_size
 
 # Fixed value: the usual pause between two watermarks, in milliseconds.
 TICK_MS = 200
@@ -104,13 +104,13 @@ def late_split(
     """
     if MINUTE_MS % tick_ms:
         raise ValueError("a tick must divide a minute")
-    minutes = stored(minutes_seen(log), "minutes")
+    minutes, minutes_size = stored_with_size(minutes_seen(log), "minutes")
     size = settings.window_size
     end = window_start("event_time", size) + F.expr(f"INTERVAL {size}")
     keyed = log.withColumn("window_end", end).withColumn(
         "minute", arrival_step(F.col("arrival"), MINUTE_MS)
     )
-    joined = lookup_join(keyed, minutes, ["minute"], spread_by, is_stored=True)
+    joined = sized_join(keyed, minutes, minutes_size, ["minute"], spread_by)
     end_ms = millis(F.col("window_end"))
     late_before = is_late(end_ms, F.col("before_ms"), settings)
     late_upto = is_late(end_ms, F.col("upto_ms"), settings)

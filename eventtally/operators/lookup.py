@@ -39,16 +39,14 @@ def range_totals(
     """
     low, high = request_bound(start), request_bound(end)
     types = dict(totals.dtypes)
-    rows = totals
-    if metric_name is not None:
-        rows = rows.filter(F.col("metric_name") == metric_name)
-    rows = rows.filter(
-        (F.col("window_start") >= bound_literal(low, types["window_start"]))
-        & (F.col("window_end") <= bound_literal(high, types["window_end"]))
+    inside = (F.col("window_start") >= bound_literal(low, types["window_start"])) & (
+        F.col("window_end") <= bound_literal(high, types["window_end"])
     )
-    if "day" in totals.columns:
-        rows = rows.filter(F.col("day").between(low.date(), high.date()))
-    return rows.select(*SERVING_COLUMNS)
+    if metric_name is not None:
+        inside = inside & (F.col("metric_name") == metric_name)
+    if "day" in types:
+        inside = inside & F.col("day").between(low.date(), high.date())
+    return totals.filter(inside).select(*SERVING_COLUMNS)
 
 
 def point_total(totals: DataFrame, metric_name: str, at: str) -> DataFrame:

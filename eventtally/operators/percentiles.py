@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventtally.functions.skew import is_small, lookup_join
-from eventtally.session import stored
+from eventtally.functions import skew
+from eventtally.session import stored, stored_with_size
 
 # Sketch accuracy; it decides how evenly the work is cut, never the result.
 ACCURACY = 10_000
@@ -47,8 +47,8 @@ def exact_percentiles(
         F.percentile_approx("_x", edge_probs, ACCURACY).alias("_edges")
     )
     edges = [F.col("_edges")[k].alias(f"_edge{k}") for k in range(len(edge_probs))]
-    sketch = stored(sketch.select(*by, *edges), "sketch")
-    if is_small(sketch):
+    sketch, sketch_size = stored_with_size(sketch.select(*by, *edges), "sketch")
+    if sketch_size <= skew.BROADCAST_BYTES:
         weighted = values.withColumn("_c", F.lit(1).cast("long"))
     else:
         # The rows have to move: copies of a value go as one row with their number.
@@ -57,7 +57,7 @@ def exact_percentiles(
         (F.when(F.col("_x") >= F.col(f"_edge{k}"), 1).otherwise(0) for k in range(len(edge_probs))),
         F.lit(0),
     )
-    slotted = lookup_join(weighted, sketch, by, ["_x"], is_stored=True).select(
+    slotted = skew.sized_join(weighted, sketch, sketch_size, by, ["_x"]).select(
         *by, "_x", "_c", slot.alias("_slot")
     )
 
@@ -66,10 +66,9 @@ def exact_percentiles(
         *[F.struct(F.lit(p).alias("percentile"), _rank(p, F.col("_n")).alias("_rank")) for p in probs]
     )
     wanted = sizes.groupBy(*by).agg(F.sum("_in").alias("_n")).select(*by, F.inline(ranks))
-    targets = stored(_holding(sizes, wanted, by, "_slot"), "targets")
     keys = [*by, "percentile"]
     in_slot = stored(
-        lookup_join(slotted, targets, [*by, "_slot"], ["_x"], is_stored=True)
+        skew.lookup_join(slotted, _holding(sizes, wanted, by, "_slot"), [*by, "_slot"], ["_x"])
         .groupBy(*keys, "_rank", "_x")
         .agg(F.sum("_c").alias("_c")),
         "in-slot",

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -33,6 +34,22 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The same rows, worked out once and read back from the shared folder."""
+    return stored_with_size(rows, name)[0]
+
+
+def stored_with_size(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The same, with the size of the rows: eight bytes per value plus the bytes of texts.
+
+    The size is taken while the rows are written, which costs no job of its own.
+    """
+    texts = [
+        F.coalesce(F.octet_length(column), F.lit(0))
+        for column, kind in rows.dtypes
+        if kind == "string"
+    ]
+    width = sum(texts, F.lit(8 * len(rows.columns))).cast("long")
+    size = Observation()
     path = shared_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    rows.observe(size, F.sum(width).alias("bytes")).write.parquet(path)
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return back, size.get["bytes"] or 0

@@ -48,10 +48,10 @@ def log_of(seed, n=600):
     return log
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 30])
+@pytest.mark.parametrize("limit", [-1, 1 << 30])
 @pytest.mark.parametrize("seed, settings", [(1, Settings()), (2, Settings(allowed_lateness_seconds=300))])
 def test_split_equals_brute_force(spark, seed, settings, limit, monkeypatch):
-    monkeypatch.setattr(skew.is_small, "__defaults__", (limit,))
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
     log = log_of(seed)
     frame = spark.createDataFrame(log, LOG)
     judged = late_split(frame, settings, ["id"])

@@ -130,9 +130,9 @@ def test_response_prints_instants(spark, data):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limit", [0, 1 << 30])
+@pytest.mark.parametrize("limit", [-1, 1 << 30])
 def test_lookup_join_is_a_join(spark, how, limit, monkeypatch):
-    monkeypatch.setattr(skew.is_small, "__defaults__", (limit,))
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
     left = [(n, 1 if n % 3 else n) for n in range(3000)] + [(-1, None)]
     right = [(k, k * 10) for k in range(0, 3000, 2)] + [(1, 11)]
     a = spark.createDataFrame(left, "id INT, k INT")

@@ -24,9 +24,9 @@ def nearest_rank(values, p):
     return values[max(1, math.ceil(round(p * len(values), 6))) - 1]
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 30])
+@pytest.mark.parametrize("limit", [-1, 1 << 30])
 def test_percentiles_equal_a_sorted_list(spark, limit, monkeypatch):
-    monkeypatch.setattr(skew.is_small, "__defaults__", (limit,))
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
     rng = random.Random(9)
     data = [("25", float(n)) for n in range(1, 26)]
     data += [("one", 4.0), ("copies", 7.0), ("copies", None)] + [("copies", 7.0)] * 500
