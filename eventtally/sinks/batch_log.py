@@ -22,6 +22,8 @@ LOGGED = (
     "window_end TIMESTAMP, batch_id BIGINT"
 )
 
+NOTHING_COMPACTED = -1
+
 Fold = Callable[[DataFrame], DataFrame]
 
 
@@ -46,13 +48,15 @@ def append_batch(rows: DataFrame, path: str, batch_id: int, files: int) -> None:
         .write.mode("overwrite")
         .parquet(f"{path}/batches/batch_id={batch_id}")
     )
+    if batch_id == 0:
+        _mark(rows.sparkSession, path, NOTHING_COMPACTED)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The current generation, if there is one, and all batches after it."""
     upto = _compacted_upto(spark, path)
     batches = spark.read.schema(LOGGED).parquet(f"{path}/batches")
-    if upto is None:
+    if upto == NOTHING_COMPACTED:
         return batches
     base = spark.read.schema(LOGGED).parquet(f"{path}/generations/upto={upto}")
     return base.unionByName(batches.filter(F.col("batch_id") > upto))
@@ -60,8 +64,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def compact(spark: SparkSession, path: str, fold: Fold, upto: int) -> None:
     """Fold all batches up to one into a generation; later reads skip those batches."""
-    previous = _compacted_upto(spark, path)
-    if previous is not None and upto <= previous:
+    if upto <= _compacted_upto(spark, path):
         return
     log = read_log(spark, path).filter(F.col("batch_id") <= upto)
     (
@@ -74,15 +77,20 @@ def compact(spark: SparkSession, path: str, fold: Fold, upto: int) -> None:
         .write.mode("overwrite")
         .parquet(f"{path}/generations/upto={upto}")
     )
-    # The mark is one row, written only after the generation is complete.
+    _mark(spark, path, upto)
+
+
+def _mark(spark: SparkSession, path: str, upto: int) -> None:
+    """One row, written only after the generation it speaks of is complete."""
     spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode(
         "overwrite"
     ).parquet(f"{path}/marks/mark={upto}")
 
 
-def _compacted_upto(spark: SparkSession, path: str) -> int | None:
+def _compacted_upto(spark: SparkSession, path: str) -> int:
     try:
         marks = spark.read.schema("upto BIGINT").parquet(f"{path}/marks")
     except AnalysisException:
-        return None
+        # A log that does not begin with batch 0 has no first mark.
+        return NOTHING_COMPACTED
     return marks.agg(F.max("upto")).first()[0]
