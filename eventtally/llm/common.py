@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,11 +24,29 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD_SEPARATORS = "[\\x20\\x09-\\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_eventtally_sent", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="eventtally-"), "eventtally.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    file.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._eventtally_sent = True
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function's name, with the SQL for the same result if any."""
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return build(configure(spark), sf_dir)
 
         QUERIES[build.__name__] = run

@@ -9,6 +9,8 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
     """Both tables, after all operator modules have been read."""
     from eventtally.llm import (  # noqa: F401
         chat_format,
+        decontaminate,
+        language_id,
         packing,
         topk,
         url_reputation,
