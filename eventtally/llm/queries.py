@@ -10,6 +10,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
     from eventtally.llm import (  # noqa: F401
         chat_format,
         decontaminate,
+        jaccard_join,
         language_id,
         packing,
         topk,
