@@ -13,6 +13,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         jaccard_join,
         language_id,
         packing,
+        pii,
         topk,
         url_reputation,
         warc,
