@@ -9,17 +9,17 @@ the score is 1 less the distance over the largest possible one.
 Only the profiles are collected: `PROFILE` n-grams for each language that occurs in training.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0, and so is any text
-when nothing was learned. Ties in frequency go by the n-gram, ties in distance by the language's
+when nothing was learned. Ties in frequency go by the n-gram (shorter
+ones first, then by code point), ties in distance by the language's
 name. Rows without doc_id are scored but never learned from and are not held out. Repeated rows
 count each. Empty tables give no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
-from zlib import crc32
+from collections import defaultdict
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,171 +30,121 @@ from eventtally.llm.common import fold_of, query, table
 
 UNKNOWN = "und"
 PROFILE = 400
-LONGEST_GRAM = 3
-WORD = re.compile(r"[^\W\d_]+")
-
-# A worker forgets its cached words and n-grams beyond these.
-CACHED_WORDS, CACHED_GRAMS = 200_000, 400_000
-# Words longer than this are counted without being cached.
-LONG_WORD = 40
-
-
-def grams_of(word: str) -> Iterator[str]:
-    padded = f"_{word}_"
-    yield from word
-    for size in range(2, LONGEST_GRAM + 1):
-        for k in range(len(padded) - size + 1):
-            yield padded[k : k + size]
-
-
-class GramCounter:
-    """Counts the n-grams of texts, with the n-grams of a word looked up and not cut anew."""
-
-    def __init__(self):
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.names: list[str] = []
-        self.order = np.zeros(1024, np.uint32)
-        self.words: dict[str, np.ndarray] = {}
-
-    def number(self, gram: str) -> int:
-        known = self.numbers.get(gram)
-        if known is None:
-            known = self.numbers[gram] = len(self.names)
-            self.names.append(gram)
-            if known >= len(self.order):
-                self.order = np.concatenate([self.order, np.zeros_like(self.order)])
-            self.order[known] = crc32(gram.encode())
-        return known
-
-    def cut(self, word: str) -> np.ndarray:
-        letters = word if word.isalpha() else "".join(filter(str.isalpha, word))
-        grams = np.fromiter((self.number(g) for g in grams_of(letters)), np.int32) if letters else np.zeros(0, np.int32)
-        if len(word) <= LONG_WORD:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            self.words[word] = grams
-        return grams
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the n-grams in a text and how often each occurs."""
-        if len(self.names) > CACHED_GRAMS:
-            self.forget()
-        seen = Counter(WORD.findall(text.lower()))
-        if not seen:
-            return np.zeros(0, np.int32), np.zeros(0)
-        known = self.words.get
-        parts = []
-        for word in seen:
-            part = known(word)
-            parts.append(self.cut(word) if part is None else part)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        weights = np.repeat(np.fromiter(seen.values(), np.float64, len(parts)), sizes)
-        counted = np.bincount(np.concatenate(parts), weights, len(self.names))
-        at = np.flatnonzero(counted)
-        return at, counted[at]
-
-    def ranked(self, text: str, most: int) -> np.ndarray:
-        """The most frequent n-grams, the commonest first."""
-        at, counted = self.counts(text)
-        if len(at) > most:
-            kth = np.partition(counted, len(counted) - most)[len(counted) - most]
-            keep = counted >= kth
-            at, counted = at[keep], counted[keep]
-        return at[np.lexsort((self.order[at], -counted))][:most]
-
-
-def learn_profiles(rows: DataFrame, size: int = PROFILE) -> dict[str, list[str]]:
+
+# An n-gram is one number: its code points, 21 bits each. A word's end is an underscore, which
+# is no letter.
+BITS = 21
+END = ord("_")
+# Training merges its counts after so many n-grams.
+MERGE_GRAMS = 2_000_000
+
+
+@cache
+def letters() -> np.ndarray:
+    """For every code point, whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def grams_of(text: str) -> np.ndarray:
+    """The 1-, 2- and 3-grams of the words of a text, as numbers, with repeats."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    is_letter = letters()[points]
+    if not is_letter.any():
+        return np.zeros(0, np.int64)
+    line = np.full(len(points) + 2, END, np.int64)
+    line[1:-1][is_letter] = points[is_letter]
+    gap = line == END
+    line = line[~(gap & np.concatenate([[False], gap[:-1]]))]
+    pairs = (line[:-1] << BITS) | line[1:]
+    triples = (pairs[:-1] << BITS) | line[2:]
+    return np.concatenate([line[line != END], pairs, triples[line[1:-1] != END]])
+
+
+def counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams in ascending order and how often each occurs."""
+    ordered = np.sort(grams)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return ordered[starts], np.diff(np.append(starts, len(ordered)))
+
+
+def ranked(text: str, most: int) -> np.ndarray:
+    """The most frequent n-grams of a text, the commonest first."""
+    grams, counts = counted(grams_of(text))
+    if len(grams) > most:
+        kept = counts >= np.partition(counts, len(counts) - most)[len(counts) - most]
+        grams, counts = grams[kept], counts[kept]
+    # The n-grams ascend, so a stable sort by count settles ties.
+    return grams[np.argsort(-counts, kind="stable")][:most]
+
+
+def learn_profiles(rows: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
     """The n-grams of each language of `rows` (text, lang), the commonest first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = GramCounter()
-        sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(0))
-
-        def emitted() -> Iterable[pa.RecordBatch]:
-            for lang, total in sums.items():
-                at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(at), pa.string()),
-                        pa.array([counter.names[k] for k in at], pa.string()),
-                        pa.array(total[at].astype(np.int64)),
-                    ],
-                    names=["lang", "gram", "n"],
-                )
-            sums.clear()
+        waiting: dict[str, list[np.ndarray]] = defaultdict(list)
+        sizes: dict[str, int] = defaultdict(int)
+
+        def merged(lang: str) -> pa.RecordBatch:
+            grams, counts = counted(np.concatenate(waiting.pop(lang)))
+            sizes[lang] = 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts.astype(np.int64))],
+                names=["lang", "gram", "n"],
+            )
 
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-                if len(counter.names) > CACHED_GRAMS:
-                    yield from emitted()
-                at, counted = counter.counts(text.as_py())
-                if len(at):
-                    total = sums[lang]
-                    if len(total) <= at[-1]:
-                        total = sums[lang] = np.concatenate([total, np.zeros(2 * len(counter.names) - len(total))])
-                    total[at] += counted
-        yield from emitted()
+                grams = grams_of(text.as_py())
+                if len(grams):
+                    waiting[lang].append(grams)
+                    sizes[lang] += len(grams)
+                    if sizes[lang] >= MERGE_GRAMS:
+                        yield merged(lang)
+        for lang in list(waiting):
+            yield merged(lang)
 
     learnt = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     totals = (
-        learnt.mapInArrow(count, "lang string, gram string, n long")
+        learnt.mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
     best = totals.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
-    profiles: dict[str, list[str]] = defaultdict(list)
+    profiles: dict[str, list[int]] = defaultdict(list)
     for row in sorted(best.collect(), key=lambda r: (r["lang"], r["rank"])):
         profiles[row["lang"]].append(row["gram"])
     return dict(profiles)
 
 
 class Profiles:
-    """Compares ranked n-grams with all profiles at once."""
+    """Compares the ranked n-grams of a text with all profiles at once."""
 
-    def __init__(self, profiles: dict[str, list[str]], size: int):
+    def __init__(self, profiles: dict[str, list[int]], size: int):
         self.size = size
         self.langs = sorted(profiles)
-        self.rank = {
-            gram: np.full(len(self.langs), -1) for grams in profiles.values() for gram in grams
-        }
+        self.grams = np.unique(np.array([g for grams in profiles.values() for g in grams], np.int64))
+        # The last row is for n-grams that no profile has.
+        self.ranks = np.full((len(self.grams) + 1, len(self.langs)), -1, np.int64)
         for column, lang in enumerate(self.langs):
-            for rank, gram in enumerate(profiles[lang]):
-                self.rank[gram][column] = rank
-        self.counter = GramCounter()
-        self.ranks = np.zeros((0, len(self.langs)), np.int32)
-
-    def rank_table(self) -> np.ndarray:
-        """Rank in each profile by the counter's numbers, -1 where missing."""
-        names = self.counter.names
-        if len(self.ranks) > len(names):  # the counter has forgotten its numbers
-            self.ranks = self.ranks[:0]
-        if len(self.ranks) < len(names):
-            missing = np.full(len(self.langs), -1)
-            more = [self.rank.get(gram, missing) for gram in names[len(self.ranks) :]]
-            self.ranks = np.concatenate([self.ranks, np.array(more, np.int32).reshape(-1, len(self.langs))])
-        return self.ranks
+            at = np.searchsorted(self.grams, np.array(profiles[lang], np.int64))
+            self.ranks[at, column] = np.arange(len(at))
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         if text is None or not self.langs:
             return UNKNOWN, 0.0
-        before = self.counter.names
-        own = self.counter.ranked(text, self.size)
-        if self.counter.names is not before:
-            self.ranks = self.ranks[:0]
+        own = ranked(text, self.size)
         if not len(own):
             return UNKNOWN, 0.0
-        there = self.rank_table()[own]
+        at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
+        there = self.ranks[np.where(self.grams[at] == own, at, len(self.grams))]
         away = np.abs(there - np.arange(len(own))[:, None])
         distance = np.where(there < 0, self.size, away).sum(axis=0)
-        at = int(np.argmin(distance))
-        return self.langs[at], 1.0 - float(distance[at]) / (self.size * len(own))
+        best = int(np.argmin(distance))
+        return self.langs[best], 1.0 - float(distance[best]) / (self.size * len(own))
 
 
-def identified(docs: DataFrame, profiles: dict[str, list[str]], size: int = PROFILE) -> DataFrame:
+def identified(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE) -> DataFrame:
     """All columns of `docs` but lang_pred and score, with these two worked out from `text`."""
     kept = docs.drop("lang_pred", "score")
 
