@@ -6,9 +6,10 @@ union, and the classes are the connected components.
 1. Documents with the same set form one class (a digest, combined before the shuffle). From here on
    a class has one set, however many copies it stands for.
 2. All shingles are put in one order: those that tasks found repeatedly come last, by their summed
-   counts, the others first, by hash. A link needs t = 3/4 of a set in common, so two sets that link
-   share l tokens of their first n - t + l, for any l. Each class picks its own l: a longer prefix
-   has more postings to read, but asks for more shared tokens, so fewer candidates are
+   counts, the others first, by hash. If two sets link, the smaller one, of n, has 6/7 n in common
+   with the larger one, and that one, of m, has 3/4 m. So they share l tokens of the first
+   n - 6/7 n + l and the first m - 3/4 m + l, for any l. Each class picks its own l: longer prefixes
+   have more postings to read, but ask for more shared tokens, so fewer candidates are
    verified. A pair must share the smaller l of its two.
 3. Postings whose token only one class has are dropped. Within a token, classes are first held
    against one of them (a star), verified and merged; later rounds only look at tokens that still
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventtally.functions.skew import lookup_join
@@ -50,42 +51,42 @@ MOST_MATCHES = 16
 VERIFY_COST = 1.0
 # So many repeated shingles are told apart by their counts; all others go by hash alone.
 ORDERED = 500_000
-# Star rounds before all pairs of different components are counted.
+# Tokens with a smaller count are not worth it.
+LEAST_COUNT = 4
+# Hubs of a token in one star round; one that fits its group badly is made up for by another.
+HUBS = 4
+# Star rounds before all pairs of different components are looked at. The rounds end early once
+# there are at most PAIRS_PER_POSTING, or a round has not brought them down to WORTHWHILE.
 ROUNDS = 5
-# They are counted once there are at most this many per posting.
 PAIRS_PER_POSTING = 1.0
+WORTHWHILE = 0.8
 
-CACHED_WORDS = 300_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-SET_SCHEMA = "class long, tokens binary"
+# A posting's set size, the tokens to share, and its role are one number. Roles: only in the longer
+# prefix, in the shorter one, and so far ahead that a pair shares one such token at least.
+MATCHES, ROLES = 64, 4
+LONG, SHORT, FIRST = 0, 1, 2
+# A hub with more partners than this is verified in several tasks.
+PARTNERS_PER_TASK = 1000
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; starts anew when it has grown too large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingles(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """The distinct shingle hashes of a whole text in ascending order."""
     # Of bytes, exactly A-Z are lowered and exactly space and tab to carriage return part words.
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    numbers = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    numbers = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(words) < size:
-        whole = b"".join(n.to_bytes(8, "little") for n in numbers.tolist())
-        return np.array([xxhash.xxh3_64_intdigest(whole)], np.uint64)
+        return np.array([xxhash.xxh3_64_intdigest(numbers.tobytes())], np.uint64)
     count = len(words) - size + 1
     mixed = numbers[:count].copy()
     for k in range(1, size):
         mixed *= MULTIPLIER
         mixed += numbers[k : k + count]
-    return np.unique(mixed)
+    mixed.sort()
+    fresh = mixed[1:] != mixed[:-1]
+    return mixed if fresh.all() else mixed[np.concatenate([[True], fresh])]
 
 
 def class_of(tokens: np.ndarray) -> int:
@@ -100,12 +101,11 @@ def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, n
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             seen: set[int] = set()
             parts = [np.zeros(0, np.uint64)]
             for text in batch.column(0):
-                tokens = shingles(text.as_py(), hashes)
+                tokens = shingles(text.as_py())
                 number = class_of(tokens)
                 if number not in seen:  # copies are no reason to put a token last
                     seen.add(number)
@@ -121,16 +121,22 @@ def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, n
             )
 
     totals = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    best = totals.orderBy(F.desc("n"), "token").limit(most).toPandas()
+    best = totals.filter(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "token").limit(most).toPandas()
     tokens = best["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], best["n"].to_numpy(np.int64)[order]
 
 
-def prefix_of(tokens: np.ndarray, known: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """The tokens of a set's prefix and the number of them that a partner must share."""
+def required(n: int | np.ndarray, smaller: bool) -> int | np.ndarray:
+    """The tokens that a set of n has in common with any set that links, if it is the smaller one
+    of the two, or if it is the larger one."""
+    return -(-2 * NEED * n // (WHOLE + NEED)) if smaller else -(-NEED * n // WHOLE)
+
+
+def prefix_of(tokens: np.ndarray, known: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """The tokens of a set's longer prefix, how many of them are in the shorter one, and how
+    many a partner must share."""
     n = len(tokens)
-    required = -(-NEED * n // WHOLE)
     ordered, weight = tokens, np.ones(n)
     if len(known):
         at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
@@ -140,41 +146,51 @@ def prefix_of(tokens: np.ndarray, known: np.ndarray, counts: np.ndarray) -> tupl
             order = np.lexsort((tokens[common], often))
             ordered = np.concatenate([tokens[~common], tokens[common][order]])
             weight = np.concatenate([np.ones(n - len(often)), often[order].astype(float)])
-    matches = np.arange(1, min(MOST_MATCHES, required) + 1)
-    postings = np.cumsum(weight)[n - required + matches - 1]
+    longer, shorter = n - required(n, False), n - required(n, True)
+    matches = np.arange(1, min(MOST_MATCHES, n - longer) + 1)
+    postings = np.cumsum(weight)[longer + matches - 1]
     best = int(matches[np.argmin(postings * (1 + VERIFY_COST / matches))])
-    return ordered[: n - required + best], best
+    return ordered[: longer + best], min(shorter + best, longer + best), best
+
+
+def row_key():
+    """What tells rows apart; only copies with the same id share it."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
 
 
 def classed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, n, class, matches and prefix of every document.
+    """doc_id, row_key, n, class, matches, shorter, asked and prefix of every document.
 
-    Within a task only the first of equal sets carries the prefix.
+    Within a task only the first of equal sets carries the prefix. Postings hold half of a
+    token's hash; tokens of a set that are alike in it count once, so `matches`, the number of
+    tokens that a partner must share, is `asked` less these, and no candidate is lost.
     """
     known, counts = repeated_tokens(docs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         seen: set[int] = set()
         for batch in batches:
             rows: list[tuple] = []
+            none = np.zeros(0, np.uint32)
             prefixes: list[np.ndarray] = []
             for text in batch.column(2):
-                tokens = shingles(text.as_py(), hashes)
+                tokens = shingles(text.as_py())
                 if not len(tokens):
-                    rows.append((0, None, None))
-                    prefixes.append(tokens)
+                    rows.append((0, None, None, None, None))
+                    prefixes.append(none)
                     continue
                 number = class_of(tokens)
-                prefix, matches = tokens[:0], None
+                prefix, matches, shorter, asked = none, None, None, None
                 if number not in seen:
                     seen.add(number)
-                    prefix, matches = prefix_of(tokens, known, counts)
-                rows.append((len(tokens), number, matches))
+                    ordered, shorter, asked = prefix_of(tokens, known, counts)
+                    prefix = (ordered >> np.uint64(32)).astype(np.uint32)
+                    matches = max(1, asked - (len(prefix) - len(set(prefix.tolist()))))
+                rows.append((len(tokens), number, matches, shorter, asked))
                 prefixes.append(prefix)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-            values = np.concatenate([*prefixes, np.zeros(0, np.uint64)]).view(np.int64)
-            n, number, matches = zip(*rows) if rows else ((), (), ())
+            values = np.concatenate([*prefixes, none])
+            n, number, matches, shorter, asked = zip(*rows) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -182,78 +198,109 @@ def classed(docs: DataFrame) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(number, pa.int64()),
                     pa.array(matches, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    pa.array(shorter, pa.int32()),
+                    pa.array(asked, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int32))),
                 ],
-                names=["doc_id", "text_key", "n", "class", "matches", "prefix"],
+                names=["doc_id", "row_key", "n", "class", "matches", "shorter", "asked", "prefix"],
             )
 
-    given = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    given = docs.select("doc_id", row_key(), "text")
     kind = dict(docs.dtypes)["doc_id"]
     return given.mapInArrow(
-        work, f"doc_id {kind}, text_key long, n long, class long, matches int, prefix array<long>"
+        work, f"doc_id {kind}, row_key long, n long, class long, matches int, shorter int, asked int, prefix array<int>"
     )
 
 
 def shared_postings(found: DataFrame) -> DataFrame:
-    """token, class, n and matches of the tokens that several classes have in their prefix."""
+    """token, class and info of the tokens that several classes have in their prefix."""
+    info = (F.col("n") * MATCHES + F.col("matches")) * ROLES
+    place = F.col("place")
+    role = (
+        F.when(place <= F.col("shorter") - F.col("asked"), FIRST)
+        .when(place < F.col("shorter"), SHORT)
+        .otherwise(LONG)
+    )
     postings = (
         found.filter("matches IS NOT NULL")
-        .select(F.explode("prefix").alias("token"), "class", "n", "matches")
-        .repartition("token")
-        # A class that several tasks met has as many postings; one is enough.
-        .groupBy("token", "class")
-        .agg(F.first("n").alias("n"), F.first("matches").alias("matches"))
+        .select("class", info.alias("info"), "shorter", "asked", F.posexplode("prefix").alias("place", "token"))
+        .select("token", "class", (F.col("info") + role).alias("info"))
+    )
+    of_token = Window.partitionBy("token")
+    several = (
+        postings.withColumn("low", F.min("class").over(of_token))
+        .withColumn("high", F.max("class").over(of_token))
+        .filter("low < high")
     )
-    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
-    return stored(postings.join(several.select("token"), "token"), "postings")
+    # A class that several tasks met has as many postings; one is enough.
+    return stored(several.groupBy("token", "class").agg(F.max("info").alias("info")), "postings")
 
 
-def sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """class and tokens (the whole set) of the classes that postings ask for.
+def verified(pairs: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets link. `keys` has class and the row_key of one of its rows.
 
-    `needed` has text_key. Copies of a text are worked out once per task.
+    The texts are read once; the sets of a's partners go to where the set of `a` is, which
+    is sent to several tasks if there are many.
     """
+    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS_PER_TASK).alias("parts"))
+    parts = lookup_join(pairs, hubs, ["a"], ["b"])
+    asked = parts.select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("class")).union(
+        hubs.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)), "a")
+    )
+    wanted = asked.join(keys, "class").select("row_key", "a", "part", "class")
+    texts = docs.select("text", row_key())
+    sent = lookup_join(texts, wanted, ["row_key"], ["text"]).select("a", "part", "class", "text")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        seen: set[int] = set()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, tokens = None, b""
+        seen: set[tuple] = set()
         for batch in batches:
-            rows = []
-            for text in batch.column(0):
-                tokens = shingles(text.as_py(), hashes)
-                number = class_of(tokens)
-                if number not in seen:
-                    seen.add(number)
-                    rows.append((number, tokens.tobytes()))
+            keep, values = [], []
+            ids = zip(*(batch.column(k).to_pylist() for k in range(3)))
+            for key, text in zip(ids, batch.column(3)):
+                if key in seen:  # a repeated row
+                    keep.append(False)
+                    continue
+                seen.add(key)
+                if key[2] != last:
+                    last, tokens = key[2], shingles(text.as_py()).tobytes()
+                keep.append(True)
+                values.append(tokens)
+            kept = batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                names=["class", "tokens"],
+                [*kept.columns, pa.array(values, pa.binary())], names=["a", "part", "class", "tokens"]
             )
 
-    texts = docs.select("text", F.xxhash64("text").alias("text_key"))
-    wanted = lookup_join(texts, needed, ["text_key"], ["text"]).select("text")
-    made = wanted.mapInArrow(work, SET_SCHEMA)
-    return stored(made.groupBy("class").agg(F.first("tokens").alias("tokens")), "sets")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, hub = None, None
         for batch in batches:
-            keep = []
-            for one, other in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, other))
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(WHOLE * shared >= NEED * (len(both) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            found = []
+            ids = zip(*(batch.column(k).to_pylist() for k in range(3)))
+            for (a, part, number), tokens in zip(ids, batch.column(3)):
+                own = np.frombuffer(tokens.as_buffer(), np.uint64)
+                if number == a:
+                    here, hub = (a, part), own
+                elif here == (a, part) and linked(hub, own):
+                    found.append((a, number))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
+
+    # The hub comes first among the rows of its key.
+    gathered = (
+        sent.mapInArrow(cut, "a long, part long, class long, tokens binary")
+        .repartition("a", "part")
+        .sortWithinPartitions("a", "part", F.col("class") != F.col("a"))
+    )
+    return stored(gathered.mapInArrow(test, "a long, b long"), "links")
 
-    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a"))
-    other = sets.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b"))
-    both = pairs.join(other, "b").join(one, "a").select("a", "b", "tokens_a", "tokens_b")
-    return stored(both.mapInArrow(test, "a long, b long"), "links")
+
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets have NEED / WHOLE of their union in common."""
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return WHOLE * shared >= NEED * (len(both) - shared)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -304,67 +351,105 @@ def labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(named.join(open_tokens, "token"), "open-postings")
 
 
-def sizes_allow(one: str, other: str):
-    return (NEED * F.greatest(one, other)) <= (WHOLE * F.least(one, other))
+def size(info: Column) -> Column:
+    return F.floor(info / (MATCHES * ROLES))
+
+
+def counts_for(smaller: Column, larger: Column) -> Column:
+    """Whether a token in common counts, by the infos of the smaller and the larger set."""
+    fits = (size(smaller) <= size(larger)) & (NEED * size(larger) <= WHOLE * size(smaller))
+    return (smaller % ROLES != LONG) & fits
 
 
 def star_pairs(postings: DataFrame, seed: int) -> DataFrame:
-    """Every class of a token with the token's hub, if they are not in one component yet."""
-    turn = F.xxhash64("class", F.lit(seed))
-    hubs = postings.groupBy("token").agg(
-        F.min(F.struct(turn.alias("turn"), "class", "n", "matches", "label")).alias("hub")
+    """Classes of a token with its hubs (a), if they are not in one component yet and share as
+    many tokens of which `a` is a hub as they must."""
+    turns = [
+        F.min(F.struct(F.xxhash64("class", F.lit(seed * HUBS + k)).alias("turn"), "class", "info", "label"))
+        for k in range(HUBS)
+    ]
+    hubs = postings.groupBy("token").agg(F.array(*turns).alias("hubs")).select(
+        "token", F.explode(F.array_distinct(F.transform("hubs", lambda h: h.dropFields("turn")))).alias("hub")
     )
-    met = postings.join(hubs, "token").filter(F.col("label") != F.col("hub.label"))
-    met = met.withColumn("hub_n", F.col("hub.n")).filter(sizes_allow("n", "hub_n"))
-    shared = met.groupBy(F.col("hub.class").alias("a"), F.col("class").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"),
-        F.first(F.least("matches", "hub.matches")).alias("asked"),
+    a, b = F.col("hub.info"), F.col("info")
+    asked = F.least(*(F.floor(c / ROLES) % MATCHES for c in (a, b)))
+    return (
+        postings.join(hubs, "token")
+        .filter(F.col("label") != F.col("hub.label"))
+        .filter(counts_for(a, b) | counts_for(b, a))
+        .groupBy(F.col("hub.class").alias("a"), F.col("class").alias("b"))
+        .agg(F.count(F.lit(1)).alias("shared"), F.first(asked).alias("asked"))
+        .filter("shared >= asked")
+        .select("a", "b")
     )
-    return shared.filter("shared >= asked").select("a", "b")
 
 
-def open_pairs(postings: DataFrame) -> int:
-    """How many pairs of postings of one token are in different components."""
-    sums = postings.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
-        F.sum("n").alias("every"), F.sum(F.col("n") * F.col("n")).alias("inside")
+def open_pairs(postings: DataFrame) -> tuple[int, int]:
+    """How many pairs `crossing_pairs` would meet, at most; and all postings."""
+    short = F.count_if(F.col("info") % ROLES == FIRST).alias("short")
+    sums = (
+        postings.groupBy("token", "label")
+        .agg(F.count(F.lit(1)).alias("n"), short)
+        .groupBy("token")
+        .agg(F.sum("n").alias("n"), F.sum("short").alias("short"), F.sum(F.col("n") * F.col("short")).alias("inside"))
+    )
+    both = sums.agg(F.sum(F.col("n") * F.col("short") - F.col("inside")), F.sum("n")).first()
+    return int(both[0] or 0), int(both[1] or 0)
+
+
+def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs of different components that share as many prefix tokens as they must.
+
+    The smaller set is `a`; of sets of one size, the smaller class. Pairs that share l tokens
+    of the shorter prefix share one that is not among the last l - 1, so pairs meet at
+    these only, and then all shared tokens are counted.
+    """
+    left, right = (
+        postings.select("token", F.col("class").alias(x), F.col("info").alias(f"info_{x}"), F.col("label").alias(f"label_{x}"))
+        for x in "ab"
+    )
+    a, b = F.col("info_a"), F.col("info_b")
+    met = (
+        left.filter(a % ROLES == FIRST)
+        .join(right, "token")
+        .filter("label_a <> label_b")
+        .filter(counts_for(a, b) & ((size(a) < size(b)) | (F.col("a") < F.col("b"))))
+        .select("a", "b")
+        .distinct()
+    )
+    prefixes = found.filter("matches IS NOT NULL").groupBy("class").agg(
+        F.first(F.struct("matches", "shorter", "prefix")).alias("p")
+    )
+    both = met.join(prefixes.select(F.col("class").alias("a"), F.col("p").alias("p_a")), "a").join(
+        prefixes.select(F.col("class").alias("b"), F.col("p").alias("p_b")), "b"
     )
-    return sums.agg(F.sum((F.col("every") * F.col("every") - F.col("inside")) / 2)).first()[0] or 0
-
-
-def crossing_pairs(postings: DataFrame) -> DataFrame:
-    """All pairs of different components that share as many prefix tokens as they must."""
-    left = postings.select("token", *(F.col(c).alias(f"{c}_a") for c in ("class", "n", "matches", "label")))
-    right = postings.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "matches", "label")))
-    met = left.join(right, "token").filter("class_a < class_b AND label_a <> label_b")
-    shared = (
-        met.filter(sizes_allow("n_a", "n_b"))
-        .groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("matches_a", "matches_b")).alias("asked"))
+    shared = F.size(
+        F.array_intersect(F.slice("p_a.prefix", F.lit(1), F.col("p_a.shorter")), F.col("p_b.prefix"))
     )
-    return shared.filter("shared >= asked").select("a", "b")
+    return both.filter(shared >= F.least("p_a.matches", "p_b.matches")).select("a", "b")
 
 
 def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """class and label for all classes that link with another one."""
+    """class (as node) and label for all classes that link with another one."""
     postings = shared_postings(found)
-    keys = found.filter("class IS NOT NULL").groupBy("class").agg(F.min("text_key").alias("text_key"))
-    needed = postings.select("class").distinct().join(keys, "class").select("text_key").distinct()
-    sets = sets_of(docs, needed)
+    keys = found.filter("class IS NOT NULL").groupBy("class").agg(F.min("row_key").alias("row_key"))
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     labels = docs.sparkSession.createDataFrame([], "node long, label long")
     open_postings = labelled(postings, labels)
+    before = None
     for seed in range(ROUNDS):
         # Once star rounds have merged what is close, few pairs are left to count.
-        left = open_pairs(open_postings)
-        if not left or (seed and left <= PAIRS_PER_POSTING * open_postings.count()):
+        left, rows = open_pairs(open_postings)
+        if not left or (seed and (left <= PAIRS_PER_POSTING * rows or left > WORTHWHILE * before)):
             break
-        more = verified(star_pairs(open_postings, seed), sets)
+        before = left
+        more = verified(star_pairs(open_postings, seed), docs, keys)
         if more.isEmpty():
             break
         links = links.union(more)
         labels = components(links)
         open_postings = labelled(open_postings.drop("label"), labels)
-    last = verified(crossing_pairs(open_postings), sets)
+    last = verified(crossing_pairs(open_postings, found), docs, keys)
     if not last.isEmpty():
         labels = components(links.union(last))
     return labels
