@@ -24,6 +24,10 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD_SEPARATORS = "[\\x20\\x09-\\x0D]+"
 
 
+# Rows of a batch between Spark and Python: texts can be long, and two copies are held.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this library to the Python workers, once per application."""
     context = spark.sparkContext
@@ -41,12 +45,18 @@ def ship_package(spark: SparkSession) -> None:
     context._eventtally_sent = True
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every operator with Python work needs: this library, and small batches of texts."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function's name, with the SQL for the same result if any."""
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return build(configure(spark), sf_dir)
 
         QUERIES[build.__name__] = run

@@ -51,6 +51,8 @@ MOST_MATCHES = 16
 VERIFY_COST = 1.0
 # So many repeated shingles are told apart by their counts; all others go by hash alone.
 ORDERED = 500_000
+# Tokens that a task looks through at a time for repeated ones.
+TOGETHER = 5_000_000
 # Tokens with a smaller count are not worth it.
 LEAST_COUNT = 4
 # Hubs of a token in one star round; one that fits its group badly is made up for by another.
@@ -95,31 +97,42 @@ def class_of(tokens: np.ndarray) -> int:
 
 
 def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that occur in several documents of some batch, ascending, and their summed counts.
+    """Tokens that occur in several documents near one another, ascending, and their summed counts.
 
     The list has a fixed bound: the commonest `most`.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[int] = set()
-            parts = [np.zeros(0, np.uint64)]
-            for text in batch.column(0):
-                tokens = shingles(text.as_py())
-                number = class_of(tokens)
-                if number not in seen:  # copies are no reason to put a token last
-                    seen.add(number)
-                    parts.append(tokens)
-            tokens = np.concatenate(parts)
+        seen: set[int] = set()
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def repeated() -> pa.RecordBatch:
+            tokens = np.concatenate([*parts, np.zeros(0, np.uint64)])
             tokens.sort()
             starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)])
             counts = np.diff(np.append(starts, len(tokens)))
             often = counts >= 2
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(tokens[starts[often]].view(np.int64)), pa.array(counts[often].astype(np.int64))],
                 names=["token", "n"],
             )
 
+        for batch in batches:
+            for text in batch.column(0):
+                tokens = shingles(text.as_py())
+                number = class_of(tokens)
+                if number not in seen:  # copies are no reason to put a token last
+                    seen.add(number)
+                    parts.append(tokens)
+                    size += len(tokens)
+                    if size >= TOGETHER:
+                        yield repeated()
+                        seen.clear()
+                        parts.clear()
+                        size = 0
+        yield repeated()
+
     totals = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     best = totals.filter(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "token").limit(most).toPandas()
     tokens = best["token"].to_numpy(np.int64).view(np.uint64)

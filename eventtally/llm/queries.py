@@ -12,6 +12,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         decontaminate,
         jaccard_join,
         language_id,
+        lm_score,
         packing,
         pii,
         topk,
