@@ -300,6 +300,46 @@ def masked(text: Column, kinds: tuple[Kind, ...] = (*KINDS, IDENTIFIER)) -> Colu
     )
 
 
+def without_personal_data(docs: DataFrame, rules: Bootstrap = Bootstrap()) -> DataFrame:
+    """The documents with every span in `text` masked; other columns stay.
+
+    Base spans are found where the text is read. Only what the patterns discovered is looked up,
+    by a key of id and text; its places are written as text, so that they can be measured.
+    """
+    names = [kind.name for kind in (*KINDS, IDENTIFIER)]
+    key = F.xxhash64("doc_id", "text")
+    found = find_personal_data(docs.select(key.alias("doc_id"), "text"), rules)
+    places = F.transform(IDENTIFIER.name, lambda s: F.concat_ws(":", s["start"], s["end"]))
+    discovered = (
+        found.filter(F.size(IDENTIFIER.name) > 0)
+        .select(F.col("doc_id").alias("_key"), F.array_join(places, ",").alias("_places"))
+        .distinct()
+    )
+    known = lookup_join(docs.withColumn("_key", key), discovered, ["_key"], ["text"], "left")
+    own = F.struct(*(F.col(c) for c in docs.columns)).alias("_doc")
+    place = F.split(F.coalesce("_places", F.lit("")), ",")
+    spread = F.transform(
+        F.filter(place, lambda p: p != ""),
+        lambda p: F.struct(
+            F.substring_index(p, ":", 1).cast("int").alias("start"),
+            F.substring_index(p, ":", -1).cast("int").alias("end"),
+        ),
+    )
+    laid = known.select(
+        own, *(spans(F.col("text"), kind).alias(kind.name) for kind in KINDS), spread.alias(IDENTIFIER.name)
+    )
+    return laid.select(
+        *(
+            F.when(F.size(F.concat(*(F.transform(n, lambda s: s["start"]) for n in names))) == 0, F.col("_doc.text"))
+            .otherwise(masked(F.col("_doc.text")))
+            .alias("text")
+            if c == "text"
+            else F.col(f"_doc.`{c}`").alias(c)
+            for c in docs.columns
+        )
+    )
+
+
 @query()
 def op1_personal_data(spark, sf_dir):
     """Counts, digest and spans of the personal data of every document."""
