@@ -41,7 +41,7 @@ class Settings:
     visible_within_seconds: int = 120
     publish_enabled: bool = False
     max_offsets_per_trigger: int | None = None
-    files_per_batch: int = 8
+    files_per_batch: int | None = None
 
     @property
     def out_of_orderness_seconds(self) -> int:

@@ -59,9 +59,12 @@ def instant(text: Column) -> Column:
 
     Date-only, zone-less and offset texts are not instants.
     """
-    well_formed = text.rlike(INSTANT_PATTERN)
-    parsed = F.try_to_timestamp(F.upper(text))
-    return F.date_trunc("millisecond", F.when(well_formed, parsed))
+    return F.date_trunc("millisecond", exact_instant(text))
+
+
+def exact_instant(text: Column) -> Column:
+    """The same with all the digits that a timestamp holds."""
+    return F.when(text.rlike(INSTANT_PATTERN), F.try_to_timestamp(F.upper(text)))
 
 
 def event_time(text: Column, ingest_time: Column) -> Column:
@@ -72,7 +75,7 @@ def event_time(text: Column, ingest_time: Column) -> Column:
 def required_instant(text: Column) -> Column:
     """The instant of a request bound; a bound that is not one fails the job."""
     message = F.concat(F.lit("not an instant: "), F.coalesce(text, F.lit("null")))
-    return F.coalesce(instant(text), F.raise_error(message).cast("timestamp"))
+    return F.coalesce(exact_instant(text), F.raise_error(message).cast("timestamp"))
 
 
 def action_or_unknown(action: Column, activity: Column) -> Column:

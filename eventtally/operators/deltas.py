@@ -11,7 +11,7 @@ from eventtally.config import (
     TRANSACTION_AMOUNT,
     TRANSACTION_COUNT,
 )
-from eventtally.functions.parsing import normalised_action
+from eventtally.functions.parsing import UNKNOWN_ACTION, normalised_action
 from eventtally.sources.topics import TRANSACTION
 
 
@@ -51,7 +51,7 @@ def activity_deltas(activities: DataFrame, keep: list[str] | None = None) -> Dat
         activities,
         [
             (F.lit(ACTIVITY_COUNT), F.lit(1.0)),
-            (action_metric(F.col("action")), F.lit(1.0)),
+            (action_metric(F.coalesce("action", F.lit(UNKNOWN_ACTION))), F.lit(1.0)),
         ],
         keep or [],
     )

@@ -21,9 +21,8 @@ def parse_events(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     value = F.col("value")
     known = F.coalesce(F.col("source").isin(TRANSACTION, ACTIVITY), F.lit(False))
     reason = F.when(value.isNull(), F.lit(MALFORMED)).when(~known, F.lit(UNKNOWN_TYPE))
-    parsed = raw.select(
-        "raw", "ingest_time", "source", *keep, parsing.parsed_json(F.col("raw")).alias("value")
-    )
+    json = value if "value" in raw.columns else parsing.parsed_json(F.col("raw"))
+    parsed = raw.select("raw", "ingest_time", "source", *keep, json.alias("value"))
     # Fields are taken out in a step of their own, so that none is looked up twice.
     fields = parsed.select(
         "raw",
@@ -59,13 +58,17 @@ def parse_events(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
 def route_events(raw: DataFrame) -> DataFrame:
     """Tell the kind of each record of a mixed feed by its `type` field.
 
+    The parsed record goes on as `value`, so `parse_events` does not read it again.
+
     The source of a record without a known type is NULL or the text it carried;
     `parse_events` marks it as a dead letter.
     """
-    kind = parsing.field(parsing.parsed_json(F.col("raw")), "type")
-    return raw.withColumn("_type", kind).withColumn(
-        "source", parsing.field_text(F.col("_type"))
-    ).drop("_type")
+    parsed = raw.withColumn("value", parsing.parsed_json(F.col("raw")))
+    return (
+        parsed.withColumn("_type", parsing.field(F.col("value"), "type"))
+        .withColumn("source", parsing.field_text(F.col("_type")))
+        .drop("_type")
+    )
 
 
 def canonical_transactions(events: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from eventtally.config import Settings
 from eventtally.functions.skew import lookup_join, sized_join
-from eventtally.operators.totals import window_start
+from eventtally.operators.totals import start_of, window_start
 from eventtally.session import stored_with_size
 
 # Fixed value: the usual pause between two watermarks, in milliseconds.
@@ -46,7 +46,8 @@ def minutes_seen(log: DataFrame) -> DataFrame:
     The running maximum is taken within days, and over one row per day: no task sees
     more than the minutes of a day or the days of the log.
     """
-    tops = log.groupBy(arrival_step(F.col("arrival"), MINUTE_MS).alias("minute")).agg(
+    known = log.filter(F.col("arrival").isNotNull())
+    tops = known.groupBy(arrival_step(F.col("arrival"), MINUTE_MS).alias("minute")).agg(
         F.max(millis(F.col("event_time"))).alias("top")
     )
     tops = tops.withColumn("day", _div(F.col("minute"), MINUTES_PER_DAY))
@@ -97,6 +98,9 @@ def late_split(
 ) -> DataFrame:
     """Every row of the log with `window_end` and `late`; none is lost or repeated.
 
+    A row without an arrival is on time and seen by no other; one without an event time has
+    no window and is on time.
+
     What was seen before and up to the end of a row's minute of arrival settles nearly
     all rows: late even by the first, or on time even by the second. The table of
     minutes is short, so these rows are not shuffled. Only rows in between are joined
@@ -106,11 +110,12 @@ def late_split(
         raise ValueError("a tick must divide a minute")
     minutes, minutes_size = stored_with_size(minutes_seen(log), "minutes")
     size = settings.window_size
-    end = window_start("event_time", size) + F.expr(f"INTERVAL {size}")
+    kind = dict(log.dtypes)["event_time"]
+    end = start_of(F.col("event_time"), size, kind) + F.expr(f"INTERVAL {size}")
     keyed = log.withColumn("window_end", end).withColumn(
         "minute", arrival_step(F.col("arrival"), MINUTE_MS)
     )
-    joined = sized_join(keyed, minutes, minutes_size, ["minute"], spread_by)
+    joined = sized_join(keyed, minutes, minutes_size, ["minute"], spread_by, "left")
     end_ms = millis(F.col("window_end"))
     late_before = is_late(end_ms, F.col("before_ms"), settings)
     late_upto = is_late(end_ms, F.col("upto_ms"), settings)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventtally.config import SERVING_COLUMNS
 from eventtally.functions.parsing import INSTANT_PATTERN, iso_instant, required_instant
 from eventtally.functions.skew import lookup_join, salted_join
-from eventtally.operators.totals import window_start
+from eventtally.operators.totals import size_micros, start_of
 
 
 def request_bound(text: str) -> datetime:
@@ -49,15 +49,27 @@ def range_totals(
     return totals.filter(inside).select(*SERVING_COLUMNS)
 
 
-def point_total(totals: DataFrame, metric_name: str, at: str) -> DataFrame:
-    """The total of the earliest window that contains an instant: one row or none."""
+def point_total(
+    totals: DataFrame, metric_name: str, at: str, longest: str | None = None
+) -> DataFrame:
+    """The total of the earliest window that contains an instant: one row or none.
+
+    On a table with day folders no later day is read and, if the length of the longest
+    window in the table is given, none that is too early to reach the instant.
+    """
     instant = request_bound(at)
     types = dict(totals.dtypes)
-    rows = totals.filter(
+    inside = (
         (F.col("metric_name") == metric_name)
         & (F.col("window_start") <= bound_literal(instant, types["window_start"]))
         & (F.col("window_end") > bound_literal(instant, types["window_end"]))
     )
+    if "day" in types:
+        inside = inside & (F.col("day") <= instant.date())
+        if longest is not None:
+            earliest = instant - timedelta(microseconds=size_micros(longest))
+            inside = inside & (F.col("day") >= earliest.date())
+    rows = totals.filter(inside)
     return rows.orderBy("window_start", "window_end").limit(1).select(*SERVING_COLUMNS)
 
 
@@ -79,16 +91,15 @@ def bulk_range_totals(
     A range test alone would compare each request with all totals of its metric. Here
     each request is written out once per day of its range and meets the totals of the
     same metric and day, so the join is on equal keys and the two bounds only trim the
-    first and the last day. Days outside the table are left out beforehand. Both sides
-    are shuffled, also small ones: a few requests can have very many answers, and the
+    first and the last day. Days outside the table are left out beforehand; of the table
+    only the days of the requests are read, and of these only the asked pairs of metric and day
+    go on. Both sides are shuffled, also small ones: a few requests can have very many answers, and the
     shuffle spreads the work of writing them out.
     """
     kind = dict(totals.dtypes)["window_start"]
     day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
-    days = totals.agg(
-        F.struct(F.min(day).alias("low"), F.max(day).alias("high")).alias("days")
-    ).scalar()
-    low, high = days["low"], days["high"]
+    table_days = totals.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    low, high = (F.lit(table_days[k]).cast("date") for k in ("low", "high"))
     columns = requests.columns
     bounds = requests.withColumn(
         "_from", required_instant(F.col("start")).cast(kind)
@@ -108,7 +119,13 @@ def bulk_range_totals(
         )
         .drop("_first", "_last")
     )
-    rows = totals.select(*SERVING_COLUMNS, day.alias("_day"))
+    asked = by_day.select("metric_name", "_day").distinct()
+    span = by_day.agg(F.min("_day").alias("low"), F.max("_day").alias("high")).first()
+    rows = (
+        totals.filter(day.between(*(F.lit(span[k]).cast("date") for k in ("low", "high"))))
+        .select(*SERVING_COLUMNS, day.alias("_day"))
+        .join(asked, ["metric_name", "_day"], "left_semi")
+    )
     inside = (F.col("window_start") >= F.col("_from")) & (F.col("window_end") <= F.col("_to"))
     joined = salted_join(
         by_day,
@@ -130,9 +147,10 @@ def window_of_event(
     """For each event (metric_name, event_time) the total of the window that holds it.
 
     Tumbling windows make this a join on equal keys: the window start follows from the
-    event time.
+    event time. A left join keeps events without a time or a metric.
     """
-    keyed = events.withColumn("window_start", window_start("event_time", size))
+    kind = dict(events.dtypes)["event_time"]
+    keyed = events.withColumn("window_start", start_of(F.col("event_time"), size, kind))
     end = F.col("window_start") + F.expr(f"INTERVAL {size}")
     same_size = totals.filter(F.col("window_end") == end)
     return lookup_join(

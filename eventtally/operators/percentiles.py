@@ -34,12 +34,14 @@ def exact_percentiles(
     group into a few slots around the wanted ranks; exact slot counts tell which slot
     holds a rank, whatever the sketch's error; only that slot is cut again, by value,
     and only the final cut is put in order. The rows are read three times and are not
-    shuffled: each pass combines them where they are.
+    shuffled: each pass combines them where they are. A group may have NULL in its name;
+    missing values do not count; NaN is above all numbers.
     """
     probs = [float(p) for p in percentiles]
-    by = by or ["_all"]
-    source = rows if by != ["_all"] else rows.withColumn("_all", F.lit(0))
-    values = source.select(*by, F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
+    # A struct is never NULL itself, so joins on it keep groups with NULL in their name.
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    names, by = by, ["_group"]
+    values = rows.select(group.alias("_group"), F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
 
     margin = 2.0 / ACCURACY
     edge_probs = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
@@ -74,10 +76,17 @@ def exact_percentiles(
         "in-slot",
     )
 
-    span = in_slot.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"))
-    low, high, x = (F.col(c).cast("double") for c in ("_low", "_high", "_x"))
-    sub = F.when(low < high, F.width_bucket(x, low, high, F.lit(SUB_SLOTS))).otherwise(
-        F.lit(0).cast("long")
+    # Infinities and NaN have slots of their own around those of the finite values.
+    limit = F.lit(float("inf"))
+    x = F.col("_x").cast("double")
+    finite = F.when((x > -limit) & (x < limit), x)
+    span = in_slot.groupBy(*keys).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
+    sub = (
+        F.when(x == -limit, F.lit(-1).cast("long"))
+        .when(F.isnan(x), F.lit(SUB_SLOTS + 3).cast("long"))
+        .when(x == limit, F.lit(SUB_SLOTS + 2).cast("long"))
+        .when(F.col("_low") < F.col("_high"), F.width_bucket(x, F.col("_low"), F.col("_high"), F.lit(SUB_SLOTS)))
+        .otherwise(F.lit(0).cast("long"))
     )
     cut = in_slot.join(span, keys).withColumn("_sub", sub)
     sub_sizes = cut.groupBy(*keys, "_sub").agg(F.sum("_c").alias("_in"))
@@ -91,7 +100,7 @@ def exact_percentiles(
         .filter(F.col("_cum") >= F.col("_rank"))
         .groupBy(*keys)
         .agg(F.min("_x").alias("value"))
-        .drop("_all")
+        .select(*(F.col("_group")[name].alias(name) for name in names), "percentile", "value")
     )
 
 

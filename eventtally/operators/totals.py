@@ -14,6 +14,7 @@ from eventtally.config import (
     TRANSACTION_AMOUNT,
     TRANSACTION_COUNT,
 )
+from eventtally.functions.parsing import UNKNOWN_ACTION
 from eventtally.operators.deltas import action_metric
 
 
@@ -22,6 +23,21 @@ def window_start(at: str, size: str) -> Column:
     return F.window(at, size)["start"]
 
 
+UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def size_micros(size: str) -> int:
+    """Length of a window, as "15 minutes"."""
+    number, unit = size.split()
+    return int(number) * UNITS[unit.rstrip("s")] * 1_000_000
+
+
+def start_of(at: Column, size: str, kind: str) -> Column:
+    """The same worked out by hand: rows without a time stay, with no window."""
+    micros = F.unix_micros(at.cast("timestamp"))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(size_micros(size)))).cast(kind)
+
+
 def _with_end(totals: DataFrame, size: str) -> DataFrame:
     end = F.col("window_start") + F.expr(f"INTERVAL {size}")
     return totals.withColumn("window_end", end).select(*SERVING_COLUMNS)
@@ -66,8 +82,9 @@ def activity_totals(activities: DataFrame, size: str = "1 minute") -> DataFrame:
     The action text is normalised once per window and distinct text instead of once per
     event.
     """
+    known = activities.withColumn("action", F.coalesce("action", F.lit(UNKNOWN_ACTION)))
     counts = (
-        activities.withColumn("window_start", window_start("event_time", size))
+        known.withColumn("window_start", window_start("event_time", size))
         .groupBy("window_start", "action")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventtally.config import Settings
-from eventtally.operators.lookup import request_bound
+from eventtally.config import (
+    ACTIVITY_COUNT,
+    ACTIVITY_COUNT_PREFIX,
+    TRANSACTION_AMOUNT,
+    TRANSACTION_COUNT,
+    Settings,
+)
+from eventtally.operators.lookup import bound_literal, request_bound
 from eventtally.operators.totals import event_totals, window_start
 from eventtally.operators.users import between
-from eventtally.sinks.serving import write_serving
+from eventtally.session import shared_folder
+from eventtally.sinks.serving import replace_windows
 
 
 def recomputed_totals(
@@ -49,16 +58,22 @@ def backfill(
     serving_path: str,
     settings: Settings = Settings(),
 ) -> None:
-    """Replace the totals of whole days from stored events.
+    """Replace the totals of the windows that begin in [start, end) from stored events.
 
-    Days are the unit the serving table is replaced in, so both bounds must be at
-    midnight. What is written comes from the events alone; after a failure the same
-    call can simply be made again.
+    A window of the range that has no events any more loses its totals. Totals of other
+    metrics or window sizes, as rollups and imports are, stay. What is written comes from
+    the events alone; after a failure the same call can simply be made again.
     """
-    for bound in (start, end):
-        at = request_bound(bound)
-        if (at.hour, at.minute, at.second, at.microsecond) != (0, 0, 0, 0):
-            raise ValueError(f"{bound} is not at midnight")
-    write_serving(
-        recomputed_totals(transactions, activities, start, end, settings), serving_path
+    spark = transactions.sparkSession
+    totals = recomputed_totals(transactions, activities, start, end, settings)
+    low, high = request_bound(start), request_bound(end)
+    kind = dict(totals.dtypes)["window_start"]
+    begins, name = F.col("window_start"), F.col("metric_name")
+    replaced = (
+        (begins >= bound_literal(low, kind))
+        & (begins < bound_literal(high, kind))
+        & (F.col("window_end") == begins + F.expr(f"INTERVAL {settings.window_size}"))
+        & (name.isin(TRANSACTION_COUNT, TRANSACTION_AMOUNT, ACTIVITY_COUNT) | name.startswith(ACTIVITY_COUNT_PREFIX))
     )
+    days = low.date(), (high - timedelta(microseconds=1)).date()
+    replace_windows(spark, serving_path, totals, replaced, days, shared_folder(spark, "backfill"))

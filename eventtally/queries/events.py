@@ -16,6 +16,8 @@ from eventtally.queries.registry import query
 from eventtally.queries.totals import rounded
 from eventtally.session import shared_folder
 from eventtally.sinks.dead_letters import dead_letters as unreadable
+from eventtally.sinks.serving import upsert_serving
+from eventtally.sources.serving import read_serving
 from eventtally.sources.topics import TRANSACTION, as_source, stored_topic
 from eventtally.sources.tsv import parse_metric_lines, read_metric_lines
 
@@ -181,6 +183,10 @@ SELECT CASE WHEN minute(window_start) = 8 THEN '' ELSE metric_name END AS metric
 FROM totals WHERE minute(window_start) NOT IN (5, 6, 9)"""
 )
 def tsv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(_imported_lines(spark, sf_dir), "window_start", "window_end")
+
+
+def _imported_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = i.totals(spark, sf_dir)
     name = F.col("metric_name")
     value = F.round("metric_value", 2).cast("string")
@@ -197,9 +203,23 @@ def tsv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = shared_folder(spark, "tsv")
     totals.select(line.alias("value")).write.text(folder)
-    imported = parse_metric_lines(
+    return parse_metric_lines(
         read_metric_lines(spark, folder),
         required_instant(F.lit("2024-01-01T00:00:00Z")),
         required_instant(F.lit("2024-02-01T00:00:00Z")),
     )
-    return _ntz(imported, "window_start", "window_end")
+
+
+@query(
+    f"""{i.WITH_TOTALS}
+SELECT CASE WHEN minute(window_start) = 8 THEN '' ELSE metric_name END AS metric_name,
+  max(round(metric_value, 2)) AS metric_value,
+  TIMESTAMP '2024-01-01' AS window_start, TIMESTAMP '2024-02-01' AS window_end
+FROM totals WHERE minute(window_start) NOT IN (5, 6, 9) GROUP BY 1"""
+)
+def tsv_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines in the serving table, imported twice; of lines of one metric the largest stays."""
+    path = shared_folder(spark, "serving")
+    for _ in range(2):
+        upsert_serving(spark, path, _imported_lines(spark, sf_dir), shared_folder(spark, "import"))
+    return _ntz(read_serving(spark, path).drop("day"), "window_start", "window_end")

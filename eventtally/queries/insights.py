@@ -153,3 +153,33 @@ FROM events GROUP BY 1"""
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = measures.ratio(i.activities(spark, sf_dir), F.col("action") == "error")
     return shares.withColumn("ratio", F.round("ratio", 6))
+
+
+GAPS = (0.01, 0.5, 0.99, 1.0)
+
+
+@query(
+    f"""WITH measured AS (
+  SELECT CASE WHEN event_type <> 'error' THEN event_type END AS kind,
+    CASE WHEN event_id % 97 = 0 THEN 'infinity'::DOUBLE WHEN event_id % 89 = 0 THEN '-infinity'::DOUBLE
+      WHEN event_id % 83 = 0 THEN 'nan'::DOUBLE WHEN event_id % 79 = 0 THEN NULL ELSE value END AS x
+  FROM events),
+ranked AS (
+  SELECT kind, x, row_number() OVER (PARTITION BY kind ORDER BY x) AS r, count(*) OVER (PARTITION BY kind) AS n
+  FROM measured WHERE x IS NOT NULL)
+SELECT kind, p::DOUBLE AS percentile, x AS value
+FROM ranked, unnest([{", ".join(map(str, GAPS))}]) t(p) WHERE r = greatest(1, ceil(round(p * n, 6)))"""
+)
+def percentiles_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group without a name, infinities, NaN and missing values."""
+    at = F.col("event_id")
+    value = (
+        F.when(at % 97 == 0, F.lit(float("inf")))
+        .when(at % 89 == 0, F.lit(float("-inf")))
+        .when(at % 83 == 0, F.lit(float("nan")))
+        .when(at % 79 == 0, F.lit(None))
+        .otherwise(F.col("value"))
+    )
+    kind = F.when(F.col("event_type") != "error", F.col("event_type"))
+    rows = i.table(spark, sf_dir, "events").select(kind.alias("kind"), value.alias("x"))
+    return exact_percentiles(rows, ["kind"], "x", GAPS)

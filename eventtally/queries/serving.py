@@ -55,8 +55,10 @@ WHERE metric_name = 'activity_count' AND window_start <= TIMESTAMP '2024-01-15 1
   AND window_end > TIMESTAMP '2024-01-15 12:34:56' ORDER BY window_start LIMIT 1"""
 )
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = i.totals(spark, sf_dir, "1 day")
-    return rounded(lk.point_total(days, "activity_count", "2024-01-15T12:34:56Z"))
+    path = shared_folder(spark, "serving")
+    write_serving(i.totals(spark, sf_dir, "1 day"), path)
+    served = read_serving(spark, path)
+    return rounded(lk.point_total(served, "activity_count", "2024-01-15T12:34:56Z", longest="1 day"))
 
 
 @query(

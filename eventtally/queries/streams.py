@@ -6,12 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import Settings
-from eventtally.operators.deltas import activity_deltas, all_deltas, transaction_deltas
+from eventtally.operators.deltas import (
+    activity_deltas,
+    all_deltas,
+    event_deltas,
+    transaction_deltas,
+)
+from eventtally.operators.events import parse_events
+from eventtally.operators.lookup import range_totals
 from eventtally.queries import inputs as i
 from eventtally.queries.registry import query
 from eventtally.queries.totals import TOTALS_OUT, rounded
 from eventtally.session import shared_folder
 from eventtally.sinks.batch_log import latest_totals, read_log
+from eventtally.sources.serving import read_serving
 from eventtally.streaming.late_capture import (
     captured_late_rows,
     captured_totals,
@@ -51,12 +59,8 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_ntz(totals, "window_start", "window_end"))
 
 
-def _captured(spark: SparkSession, sf_dir: str) -> str:
-    """Feed the log slice by slice of its arrival time, one micro-batch each.
-
-    The job is started anew for every slice and goes on from its checkpoint.
-    """
-    folder = shared_folder(spark, "capture")
+def _sliced(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The events as raw records, in slices of their arrival time."""
     events = i.table(spark, sf_dir, "events").withColumn("arrival", i.arrival(JITTER))
     at = F.unix_millis(F.col("arrival").cast("timestamp"))
     span = events.agg(F.struct(F.min(at).alias("low"), F.max(at).alias("high"))).scalar()
@@ -80,22 +84,57 @@ def _captured(spark: SparkSession, sf_dir: str) -> str:
         .write.partitionBy("part")
         .parquet(f"{folder}/sliced")
     )
+
+
+def _fed(spark: SparkSession, sf_dir: str, folder: str, start) -> None:
+    """Feed the slices one by one, a micro-batch each.
+
+    `start` starts a job over the stream of raw records. The job is started anew for every slice
+    and goes on from its checkpoint.
+    """
+    _sliced(spark, sf_dir, folder)
     schema = "raw STRING, ingest_time TIMESTAMP, source STRING"
     for number in range(SLICES):
         spark.read.schema(schema).parquet(f"{folder}/sliced/part={number}").write.parquet(
             f"{folder}/topic/slice={number}"
         )
         raw = spark.readStream.schema(schema).parquet(f"{folder}/topic")
-        start_capture(
-            raw.select("raw", "ingest_time", "source"),
+        start(raw.select("raw", "ingest_time", "source")).awaitTermination()
+
+
+def _captured(spark: SparkSession, sf_dir: str, serving_path: str | None = None) -> str:
+    folder = shared_folder(spark, "capture")
+
+    def start(raw: DataFrame):
+        return start_capture(
+            raw,
             f"{folder}/out",
             f"{folder}/checkpoint",
             Settings(),
             available_now=True,
-        ).awaitTermination()
+            serving_path=serving_path,
+            publish_every=2,
+        )
+
+    _fed(spark, sf_dir, folder, start)
     return f"{folder}/out"
 
 
+def _aggregated(spark: SparkSession, sf_dir: str, closed_only: bool) -> DataFrame:
+    """The totals of the job with built-in state, after all slices."""
+    folder = shared_folder(spark, "totals")
+
+    def start(raw: DataFrame):
+        deltas = event_deltas(parse_events(raw))
+        return start_totals(
+            deltas, f"{folder}/log", f"{folder}/checkpoint", Settings(), available_now=True, closed_only=closed_only
+        )
+
+    _fed(spark, sf_dir, folder, start)
+    totals = latest_totals(read_log(spark, f"{folder}/log"))
+    return rounded(_ntz(totals, "window_start", "window_end"))
+
+
 CAPTURE = f"""WITH {i.ACT}, {i.TX}, {i.DELTAS},
 arrivals AS (
   SELECT d.metric_name, d.delta, date_trunc('milliseconds', d.event_time) AS event_time,
@@ -134,3 +173,43 @@ FROM judged WHERE NOT late GROUP BY metric_name, window_start"""
 def stream_ledger_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = captured_totals(spark, _captured(spark, sf_dir))
     return rounded(_ntz(totals, "window_start", "window_end"))
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, round(sum(delta), 4) AS metric_value, window_start,
+  window_start + INTERVAL 1 MINUTE AS window_end
+FROM judged WHERE NOT late GROUP BY metric_name, window_start"""
+)
+def stream_metrics_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows of later slices are dropped; open windows go on over restarts."""
+    return _aggregated(spark, sf_dir, closed_only=False)
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, round(sum(delta), 4) AS metric_value, window_start,
+  window_start + INTERVAL 1 MINUTE AS window_end
+FROM judged WHERE NOT late
+  AND epoch_ms(window_start + INTERVAL 1 MINUTE) + 60000 <= (SELECT max(top) FROM tops)
+GROUP BY metric_name, window_start"""
+)
+def stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only windows that the watermark has passed, each written once."""
+    return _aggregated(spark, sf_dir, closed_only=True)
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, round(sum(delta), 4) AS metric_value, window_start,
+  window_start + INTERVAL 1 MINUTE AS window_end
+FROM judged WHERE NOT late AND window_start >= TIMESTAMP '2024-01-05 06:30:00'
+  AND window_start + INTERVAL 1 MINUTE <= TIMESTAMP '2024-01-19 18:00:00'
+GROUP BY metric_name, window_start"""
+)
+def stream_to_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of the serving table that the capture keeps up to date."""
+    path = shared_folder(spark, "serving")
+    _captured(spark, sf_dir, serving_path=path)
+    served = range_totals(read_serving(spark, path), "2024-01-05T06:30:00Z", "2024-01-19T18:00:00Z")
+    return rounded(_ntz(served, "window_start", "window_end"))

@@ -10,9 +10,12 @@ from eventtally.operators import deltas as dl
 from eventtally.operators import totals as tt
 from eventtally.operators.lateness import on_time_totals, split_totals
 from eventtally.operators.reconcile import reconcile as reconcile_totals
-from eventtally.plans.backfill import recomputed_totals
+from eventtally.plans.backfill import backfill, recomputed_totals
 from eventtally.queries import inputs as i
 from eventtally.queries.registry import query
+from eventtally.session import shared_folder
+from eventtally.sinks.serving import write_serving
+from eventtally.sources.serving import read_serving
 
 
 def rounded(totals: DataFrame, column: str = "metric_value") -> DataFrame:
@@ -139,6 +142,47 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EMPTIED = "2024-01-10"
+
+
+@query(
+    f"""{i.WITH_TOTALS}, days AS (
+  SELECT metric_name, sum(metric_value) AS metric_value,
+    date_trunc('day', window_start)::TIMESTAMP AS window_start,
+    date_trunc('day', window_start)::TIMESTAMP + INTERVAL 1 DAY AS window_end
+  FROM totals GROUP BY metric_name, date_trunc('day', window_start))
+SELECT metric_name, CASE WHEN window_start >= TIMESTAMP '2024-01-08' AND window_start < TIMESTAMP '2024-01-15'
+    THEN round(metric_value, 4) ELSE -1 END AS metric_value, window_start, window_end
+FROM totals WHERE window_start::DATE <> DATE '{EMPTIED}'
+UNION ALL SELECT metric_name, round(metric_value, 4), window_start, window_end FROM days
+UNION ALL SELECT 'imported', 7, TIMESTAMP '2024-01-09', TIMESTAMP '2024-01-09 00:01:00'"""
+)
+def backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of wrong totals, day rollups and an imported metric, after a backfill of a week
+    in which one day has no events any more."""
+    path = shared_folder(spark, "serving")
+    totals = i.totals(spark, sf_dir)
+    at = F.expr("TIMESTAMP_NTZ '2024-01-09 00:00:00'")
+    imported = spark.range(1).select(
+        F.lit("imported").alias("metric_name"),
+        F.lit(7.0).alias("metric_value"),
+        at.alias("window_start"),
+        (at + F.expr("INTERVAL 1 minute")).alias("window_end"),
+    )
+    wrong = totals.withColumn("metric_value", F.lit(-1.0))
+    write_serving(wrong.unionByName(tt.rollup_totals(totals, "1 day")).unionByName(imported), path)
+    left = F.to_date("event_time") != F.lit(EMPTIED).cast("date")
+    backfill(
+        spark,
+        i.transactions(spark, sf_dir).filter(left),
+        i.activities(spark, sf_dir).filter(left),
+        "2024-01-08T00:00:00Z",
+        "2024-01-15T00:00:00Z",
+        path,
+    )
+    return rounded(read_serving(spark, path).drop("day"))
+
+
 @query(
     f"""WITH {i.ACT}, {i.TX}, {i.DELTAS}, {i.log_sql()}
 SELECT id, metric_name, delta, event_time, arrival, window_end, late FROM judged"""

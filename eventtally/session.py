@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/eventtally/{name}-{uuid.uuid4().hex}"
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because nothing has been written to its path yet."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The same rows, worked out once and read back from the shared folder."""
     return stored_with_size(rows, name)[0]

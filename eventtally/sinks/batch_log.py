@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS, SERVING_KEY
+from eventtally.session import is_missing, remove_folder
 
 LOGGED = (
     "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP, "
@@ -40,11 +41,41 @@ def latest_totals(log: DataFrame) -> DataFrame:
     return log.groupBy(*SERVING_KEY).agg(latest).select(*SERVING_COLUMNS)
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int, files: int) -> None:
-    """Write the rows of one batch, gathered into at most `files` files."""
+def gathered(rows: DataFrame, files: int | None = None) -> DataFrame:
+    """The rows in as many tasks as their size asks for, or in a given number."""
+    return rows.hint("rebalance") if files is None else rows.repartition(files)
+
+
+def claim(spark: SparkSession, path: str, run: str) -> None:
+    """Make a folder the output of one run, named by the stream's own id.
+
+    Batches count from 0 in every run. A new run on an old output would overwrite its
+    batches one by one, so it is refused.
+    """
+    try:
+        owner = spark.read.schema("run STRING").parquet(f"{path}/run").first()
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        owner = None
+    if owner is None:
+        spark.range(1).select(F.lit(run).alias("run")).write.mode("overwrite").parquet(f"{path}/run")
+    elif owner["run"] != run:
+        raise ValueError(f"{path} holds the batches of another run; use a folder of its own")
+
+
+def claimed_by_stream(batch: DataFrame, path: str) -> None:
+    """`claim` for the stream that this batch belongs to."""
+    spark = batch.sparkSession
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if run:
+        claim(spark, path, run)
+
+
+def append_batch(rows: DataFrame, path: str, batch_id: int, files: int | None = None) -> None:
+    """Write the rows of one batch, in files of a size that suits them."""
     (
-        rows.select(*SERVING_COLUMNS)
-        .repartition(files)
+        gathered(rows.select(*SERVING_COLUMNS), files)
         .write.mode("overwrite")
         .parquet(f"{path}/batches/batch_id={batch_id}")
     )
@@ -80,6 +111,17 @@ def compact(spark: SparkSession, path: str, fold: Fold, upto: int) -> None:
     _mark(spark, path, upto)
 
 
+def drop_compacted(spark: SparkSession, path: str, upto: int) -> None:
+    """Delete the folders of batches that a finished generation holds.
+
+    Call it when no reader that began before the compaction still runs. The first mark and
+    the newest generation stay.
+    """
+    done = _compacted_upto(spark, path)
+    for batch_id in range(min(upto, done) + 1):
+        remove_folder(spark, f"{path}/batches/batch_id={batch_id}")
+
+
 def _mark(spark: SparkSession, path: str, upto: int) -> None:
     """One row, written only after the generation it speaks of is complete."""
     spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode(
@@ -90,7 +132,9 @@ def _mark(spark: SparkSession, path: str, upto: int) -> None:
 def _compacted_upto(spark: SparkSession, path: str) -> int:
     try:
         marks = spark.read.schema("upto BIGINT").parquet(f"{path}/marks")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         # A log that does not begin with batch 0 has no first mark.
         return NOTHING_COMPACTED
     return marks.agg(F.max("upto")).first()[0]

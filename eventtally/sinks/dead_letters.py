@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventtally.config import ACTIVITIES_DLQ_TOPIC, TRANSACTIONS_DLQ_TOPIC
+from eventtally.sinks.batch_log import gathered
+from eventtally.sources.topics import TRANSACTION
+
 MALFORMED = "malformed"
 UNKNOWN_TYPE = "unknown_type"
 
@@ -19,9 +23,19 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     )
 
 
-def append_dead_letters(parsed: DataFrame, path: str, batch_id: int, files: int) -> None:
-    """Append the unreadable records of a batch; a repeated batch replaces itself.
+def append_dead_letters(
+    parsed: DataFrame, path: str, batch_id: int, files: int | None = None
+) -> None:
+    """Append the unreadable records of a batch; a repeated batch replaces itself."""
+    letters = gathered(dead_letters(parsed), files)
+    letters.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def dead_letter_records(letters: DataFrame) -> DataFrame:
+    """Dead letters as records for the dead-letter topics: key, value and topic.
 
-    They are few, so they are gathered into at most `files` files.
+    The record goes as it came, below the topic of its source; one of an unknown source goes
+    with the activities. The key is the reason.
     """
-    dead_letters(parsed).repartition(files).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    topic = F.when(F.col("source") == TRANSACTION, TRANSACTIONS_DLQ_TOPIC).otherwise(ACTIVITIES_DLQ_TOPIC)
+    return letters.select(F.col("reason").alias("key"), F.col("raw").alias("value"), topic.alias("topic"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS, SERVING_KEY, SERVING_TABLE, Settings
+from eventtally.session import is_missing
 
 
 def write_serving(totals: DataFrame, path: str) -> None:
@@ -57,16 +60,55 @@ def upsert_serving(
         row.day
         for row in updates.select(F.to_date("window_start").alias("day")).distinct().collect()
     ]
+    current = _current(spark, path, updates).filter(F.col("day").isin(days))
+    _swap(spark, path, upserted(current, updates), current, work_path)
+
+
+def replace_windows(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    replaced: Column,
+    days: tuple[date, date],
+    work_path: str,
+) -> None:
+    """Put `updates` in the place of all rows of the table for which `replaced` holds.
+
+    Only days from the first to the last of `days` are read and rewritten. Rows that are
+    neither replaced nor updated stay, whatever their metric or window size; a replaced row
+    without an update goes, also if its day is left without rows.
+    """
+    current = _current(spark, path, updates).filter(F.col("day").between(*days))
+    kept = current.filter(~F.coalesce(replaced, F.lit(False)))
+    _swap(spark, path, upserted(kept, updates), current, work_path)
+
+
+def _current(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table so far; empty if there is none."""
     try:
-        current = spark.read.parquet(path).filter(F.col("day").isin(days))
-    except AnalysisException:
-        current = updates.limit(0)
-    upserted(current, updates).write.mode("overwrite").parquet(work_path)
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return like.limit(0).select(*SERVING_COLUMNS, F.to_date("window_start").alias("day"))
+
+
+def _swap(
+    spark: SparkSession, path: str, rows: DataFrame, current: DataFrame, work_path: str
+) -> None:
+    rows.write.mode("overwrite").parquet(f"{work_path}/rows")
+    current.select("day").distinct().write.mode("overwrite").parquet(f"{work_path}/days")
     finish_upsert(spark, path, work_path)
 
 
 def finish_upsert(spark: SparkSession, path: str, work_path: str) -> None:
-    write_serving(spark.read.parquet(work_path), path)
+    """Put the finished days in place; days that have no rows any more become empty."""
+    rows = spark.read.parquet(f"{work_path}/rows")
+    write_serving(rows, path)
+    left = rows.select(F.to_date("window_start").alias("day")).distinct()
+    emptied = spark.read.parquet(f"{work_path}/days").join(left, "day", "left_anti")
+    for row in emptied.collect():
+        rows.limit(0).select(*SERVING_COLUMNS).write.mode("overwrite").parquet(f"{path}/day={row.day}")
 
 
 def append_serving_jdbc(totals: DataFrame, settings: Settings, table: str = SERVING_TABLE) -> None:

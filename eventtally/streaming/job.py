@@ -2,7 +2,7 @@
 
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version> \\
         --py-files eventtally.zip eventtally/streaming/job.py \\
-        --output <folder> --checkpoint <folder>
+        --output <folder> --checkpoint <folder> [--serving <folder>]
 """
 
 from __future__ import annotations
@@ -40,15 +40,20 @@ def parse_arguments(argv: Sequence[str] | None = None) -> tuple[Settings, argpar
         parser.add_argument(f"--{name}", dest=field, default=value, type=kind)
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--serving")
     parsed = parser.parse_args(argv)
     return Settings(**{field: getattr(parsed, field) for field in ARGUMENTS.values()}), parsed
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     settings, folders = parse_arguments(argv)
+    if settings.jdbc_url is not None:
+        raise SystemExit("totals go to folders, not to a database: --jdbc.* cannot be used here")
     spark = configure(SparkSession.builder.appName("event-totals").getOrCreate())
     raw = both_topics(transactions_stream(spark, settings), activities_stream(spark, settings))
-    start_capture(raw, folders.output, folders.checkpoint, settings).awaitTermination()
+    start_capture(
+        raw, folders.output, folders.checkpoint, settings, serving_path=folders.serving
+    ).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -22,8 +22,16 @@ from eventtally.operators.deltas import event_deltas
 from eventtally.operators.events import parse_events
 from eventtally.operators.lateness import is_late, millis
 from eventtally.operators.totals import window_start, window_totals
-from eventtally.sinks.batch_log import append_batch, read_log, sum_partials
+from eventtally.session import is_missing
+from eventtally.sinks.batch_log import (
+    append_batch,
+    claimed_by_stream,
+    gathered,
+    read_log,
+    sum_partials,
+)
 from eventtally.sinks.dead_letters import append_dead_letters
+from eventtally.sinks.published import publish_captured
 
 LATE_SCHEMA = (
     "metric_name STRING, delta_value DOUBLE, event_time TIMESTAMP, ingested_at TIMESTAMP, "
@@ -45,8 +53,10 @@ def seen_before_batch(spark: SparkSession, ledger_path: str, batch_id: int) -> i
             .parquet(f"{ledger_path}/batch_id={batch_id - 1}")
             .first()
         )
-    except AnalysisException as missing:
-        raise RuntimeError(f"no ledger row for batch {batch_id - 1}") from missing
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        raise RuntimeError(f"no ledger row for batch {batch_id - 1}") from error
     return row[0]
 
 
@@ -73,12 +83,11 @@ def capture_batch(
         f"INTERVAL {settings.window_size}"
     )
     late = is_late(millis(end), F.lit(seen).cast("long"), settings)
-    (
-        deltas.filter(late)
-        .select("metric_name", F.col("delta").alias("delta_value"), "event_time", "ingested_at")
-        .repartition(settings.files_per_batch)
-        .write.mode("overwrite")
-        .parquet(f"{path}/late/batch_id={batch_id}")
+    late_rows = deltas.filter(late).select(
+        "metric_name", F.col("delta").alias("delta_value"), "event_time", "ingested_at"
+    )
+    gathered(late_rows, settings.files_per_batch).write.mode("overwrite").parquet(
+        f"{path}/late/batch_id={batch_id}"
     )
     append_batch(
         window_totals(deltas.filter(~late), settings.window_size),
@@ -119,11 +128,20 @@ def start_capture(
     settings: Settings = Settings(),
     available_now: bool = False,
     batch_function: Callable[[DataFrame, int, str, Settings], None] = capture_raw_batch,
+    serving_path: str | None = None,
+    publish_every: int = 10,
 ) -> StreamingQuery:
-    """Run the capture over a stream of raw records with `source` and `ingest_time`."""
+    """Run the capture over a stream of raw records with `source` and `ingest_time`.
+
+    With a serving table, the totals that have changed are put there after every so many
+    batches.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        claimed_by_stream(batch, path)
         batch_function(batch, batch_id, path, settings)
+        if serving_path is not None and (batch_id + 1) % publish_every == 0:
+            publish_captured(batch.sparkSession, path, serving_path)
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if available_now:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventtally.config import Settings
-from eventtally.sinks.batch_log import append_batch
+from eventtally.sinks.batch_log import append_batch, claimed_by_stream
 
 # With one stateful operator per query this drops late rows in the batch that follows
 # the one which advanced the watermark, not one batch later.
@@ -54,20 +54,23 @@ def start_totals(
     checkpoint: str,
     settings: Settings = Settings(),
     available_now: bool = False,
+    closed_only: bool = False,
 ) -> StreamingQuery:
     """Keep a log of changed totals; `batch_log.latest_totals` folds it to the table.
 
     Each batch appends only the totals it changed, under its own number, so a batch that
-    runs again replaces itself and no batch rewrites the days it touches.
+    runs again replaces itself and no batch rewrites the days it touches. With `closed_only`
+    a total is written once, when its window has closed.
     """
 
     def write(totals: DataFrame, batch_id: int) -> None:
+        claimed_by_stream(totals, log_path)
         append_batch(totals, log_path, batch_id, settings.files_per_batch)
 
     with single_stateful_operator(deltas.sparkSession):
         writer = (
             streaming_totals(deltas, settings)
-            .writeStream.outputMode("update")
+            .writeStream.outputMode("append" if closed_only else "update")
             .option("checkpointLocation", checkpoint)
             .foreachBatch(write)
         )
