@@ -226,7 +226,11 @@ def classed(docs: DataFrame) -> DataFrame:
 
 
 def shared_postings(found: DataFrame) -> DataFrame:
-    """token, class and info of the tokens that several classes have in their prefix."""
+    """token, class and info of the tokens that several classes have in their prefix, and how
+    many such tokens the class has.
+
+    Tokens that no class has in its shorter prefix are counted, but go no further.
+    """
     info = (F.col("n") * MATCHES + F.col("matches")) * ROLES
     place = F.col("place")
     role = (
@@ -243,10 +247,16 @@ def shared_postings(found: DataFrame) -> DataFrame:
     several = (
         postings.withColumn("low", F.min("class").over(of_token))
         .withColumn("high", F.max("class").over(of_token))
+        .withColumn("role", F.max(F.col("info") % ROLES).over(of_token))
         .filter("low < high")
     )
     # A class that several tasks met has as many postings; one is enough.
-    return stored(several.groupBy("token", "class").agg(F.max("info").alias("info")), "postings")
+    shared = stored(
+        several.groupBy("token", "class").agg(F.max("info").alias("info"), F.max("role").alias("role")),
+        "postings",
+    )
+    kept = shared.groupBy("class").agg(F.count(F.lit(1)).alias("kept"))
+    return lookup_join(shared.filter(F.col("role") != LONG).drop("role"), kept, ["class"], ["token"])
 
 
 def verified(pairs: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -374,6 +384,22 @@ def counts_for(smaller: Column, larger: Column) -> Column:
     return (smaller % ROLES != LONG) & fits
 
 
+def may_link(a: Column, b: Column, kept_a: Column, kept_b: Column) -> Column:
+    """Whether two sets can have enough in common, by their infos and their shared tokens.
+
+    Let the prefix of one end before that of the other in the common order. What both have up to
+    there are shared tokens of both; what both have after it is at most what the one has left.
+    """
+
+    def left(info: Column) -> Column:
+        n, matches = size(info), F.floor(info / ROLES) % MATCHES
+        # 1 may also stand for less than one, which bounds nothing.
+        return F.when(matches == 1, n).otherwise(F.ceil(NEED * n / WHOLE) - matches)
+
+    most = F.least(kept_a, kept_b) + F.greatest(left(a), left(b))
+    return (WHOLE + NEED) * most >= NEED * (size(a) + size(b))
+
+
 def star_pairs(postings: DataFrame, seed: int) -> DataFrame:
     """Classes of a token with its hubs (a), if they are not in one component yet and share as
     many tokens of which `a` is a hub as they must."""
@@ -418,7 +444,9 @@ def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
     these only, and then all shared tokens are counted.
     """
     left, right = (
-        postings.select("token", F.col("class").alias(x), F.col("info").alias(f"info_{x}"), F.col("label").alias(f"label_{x}"))
+        postings.select(
+            "token", F.col("class").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("info", "label", "kept"))
+        )
         for x in "ab"
     )
     a, b = F.col("info_a"), F.col("info_b")
@@ -427,6 +455,7 @@ def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
         .join(right, "token")
         .filter("label_a <> label_b")
         .filter(counts_for(a, b) & ((size(a) < size(b)) | (F.col("a") < F.col("b"))))
+        .filter(may_link(a, b, F.col("kept_a"), F.col("kept_b")))
         .select("a", "b")
         .distinct()
     )

@@ -3,7 +3,7 @@
 The reputation of a host is the rate of bad outcomes among its labelled pages, shrunk
 by beta-binomial priors: a host towards its registered domain, that towards its suffix, that
 towards all pages. How hard a level shrinks is estimated from how much the rates of its members
-differ beyond chance. A host is blocked when the lower bound of its posterior is above
+differ beyond chance, and how unsure a prior is is passed on to what it is a prior of. A host is blocked when the lower bound of its posterior is above
 the rate a user accepts.
 
 Defined cases: a null url or one without "://" has an empty host and path and fits no rule; all
@@ -80,9 +80,9 @@ def domain_of(host: Column) -> Column:
 
 
 def shrunk(level: DataFrame, key: str) -> DataFrame:
-    """The posterior mean and strength of each member, given its prior mean.
+    """The posterior mean and variance of each member, given its prior mean and how sure that is.
 
-    `level` has key, n, bad and prior. The strength follows from the spread of the
+    `level` has key, n, bad, prior and doubt (the variance of prior). The strength follows from the spread of the
     members' rates by moments: X = sum n (rate - prior)^2 / (prior (1 - prior)) is the number of
     members when they differ by chance alone.
     """
@@ -103,8 +103,10 @@ def shrunk(level: DataFrame, key: str) -> DataFrame:
         .alias("strength")
     ).first()["strength"]
     total = F.col("n") + F.lit(found)
+    share = F.lit(found) / total
     return level.withColumn("mean", (F.col("bad") + F.lit(found) * F.col("prior")) / total).withColumn(
-        "weight", total
+        "variance",
+        F.col("mean") * (1 - F.col("mean")) / (total + 1) + share * share * F.col("doubt"),
     )
 
 
@@ -125,20 +127,17 @@ def host_reputation(outcomes: DataFrame, bound: float = 1.645) -> DataFrame:
     domains = hosts.groupBy("suffix", "domain").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
     every = suffixes.agg(*sums).first()
-    overall = ((every["bad"] or 0) + 1) / ((every["n"] or 0) + 2)
-    top = shrunk(suffixes.withColumn("prior", F.lit(overall)), "suffix")
-    middle = shrunk(
-        domains.join(top.select("suffix", F.col("mean").alias("prior")), "suffix"), "domain"
-    )
-    low = shrunk(
-        hosts.join(
-            middle.select("suffix", "domain", F.col("mean").alias("prior")), ["suffix", "domain"]
-        ),
-        "host",
-    )
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
+    labelled = every["n"] or 0
+    overall = ((every["bad"] or 0) + 1) / (labelled + 2)
+    doubt = overall * (1 - overall) / (labelled + 3)
+    passed_on = [F.col("mean").alias("prior"), F.col("variance").alias("doubt")]
+    top = shrunk(suffixes.withColumns({"prior": F.lit(overall), "doubt": F.lit(doubt)}), "suffix")
+    middle = shrunk(domains.join(top.select("suffix", *passed_on), "suffix"), "domain")
+    low = shrunk(hosts.join(middle.select("suffix", "domain", *passed_on), ["suffix", "domain"]), "host")
     return low.select(
-        "host", F.col("mean").alias("rate"), (F.col("mean") - bound * deviation).alias("lowest")
+        "host",
+        F.col("mean").alias("rate"),
+        (F.col("mean") - bound * F.sqrt("variance")).alias("lowest"),
     )
 
 
@@ -198,25 +197,29 @@ hosts AS (
   FROM parts LEFT JOIN labels ON page_id = doc_id GROUP BY ALL),
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
-top0 AS (SELECT *, (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM suffixes) AS prior FROM suffixes),
-top AS (SELECT *, (bad + k * prior) / (n + k) AS mean FROM top0, (
+every AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS o, coalesce(sum(n), 0) AS labelled FROM suffixes),
+top0 AS (SELECT suffixes.*, o AS prior, o * (1 - o) / (labelled + 3) AS doubt FROM suffixes, every),
+top AS (SELECT *, (bad + k * prior) / (n + k) AS mean,
+  mean * (1 - mean) / (n + k + 1) + (k / (n + k)) * (k / (n + k)) * doubt AS variance FROM top0, (
   SELECT CASE WHEN sum(n - 1) > 0 THEN least(greatest(1 / greatest(
     (sum(n * (bad / n - prior) * (bad / n - prior) / greatest(prior * (1 - prior), 1e-9)) - count(*)) / sum(n - 1), 1e-9) - 1, 1), 10000) ELSE 1 END AS k
   FROM top0 WHERE n > 0)),
-mid0 AS (SELECT d.*, t.mean AS prior FROM domains d JOIN top t USING (suffix)),
-mid AS (SELECT *, (bad + k * prior) / (n + k) AS mean FROM mid0, (
+mid0 AS (SELECT d.*, t.mean AS prior, t.variance AS doubt FROM domains d JOIN top t USING (suffix)),
+mid AS (SELECT *, (bad + k * prior) / (n + k) AS mean,
+  mean * (1 - mean) / (n + k + 1) + (k / (n + k)) * (k / (n + k)) * doubt AS variance FROM mid0, (
   SELECT CASE WHEN sum(n - 1) > 0 THEN least(greatest(1 / greatest(
     (sum(n * (bad / n - prior) * (bad / n - prior) / greatest(prior * (1 - prior), 1e-9)) - count(*)) / sum(n - 1), 1e-9) - 1, 1), 10000) ELSE 1 END AS k
   FROM mid0 WHERE n > 0)),
-low0 AS (SELECT h.*, m.mean AS prior FROM hosts h JOIN mid m USING (suffix, domain)),
-low AS (SELECT host, n + k AS weight, (bad + k * prior) / (n + k) AS mean FROM low0, (
+low0 AS (SELECT h.*, m.mean AS prior, m.variance AS doubt FROM hosts h JOIN mid m USING (suffix, domain)),
+low AS (SELECT host, (bad + k * prior) / (n + k) AS mean,
+  mean * (1 - mean) / (n + k + 1) + (k / (n + k)) * (k / (n + k)) * doubt AS variance FROM low0, (
   SELECT CASE WHEN sum(n - 1) > 0 THEN least(greatest(1 / greatest(
     (sum(n * (bad / n - prior) * (bad / n - prior) / greatest(prior * (1 - prior), 1e-9)) - count(*)) / sum(n - 1), 1e-9) - 1, 1), 10000) ELSE 1 END AS k
   FROM low0 WHERE n > 0))
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
   WHEN rule IS NOT NULL THEN 'block'
-  WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) > 0.25 THEN 'block'
+  WHEN mean - 1.645 * sqrt(variance) > 0.25 THEN 'block'
   ELSE 'allow' END AS verdict
 FROM ruled JOIN low USING (host)
 """
