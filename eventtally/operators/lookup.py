@@ -84,9 +84,13 @@ def response(totals: DataFrame) -> DataFrame:
 
 
 def bulk_range_totals(
-    requests: DataFrame, totals: DataFrame, spread_by: list[str] | None = None
+    requests: DataFrame,
+    totals: DataFrame,
+    spread_by: list[str] | None = None,
+    first_day_only: bool = False,
 ) -> DataFrame:
-    """Every total that lies in the range of each request (metric_name, start, end).
+    """Every total that lies in the range of each request (metric_name, start, end), or only
+    those whose window begins on the first day of the range.
 
     A range test alone would compare each request with all totals of its metric. Here
     each request is written out once per day of its range and meets the totals of the
@@ -104,8 +108,9 @@ def bulk_range_totals(
     bounds = requests.withColumn(
         "_from", required_instant(F.col("start")).cast(kind)
     ).withColumn("_to", required_instant(F.col("end")).cast(kind))
-    first = F.greatest(F.to_date("_from"), low)
-    last = F.least(F.to_date("_to"), high)
+    begin = F.to_date("_from")
+    first = F.greatest(begin, low)
+    last = F.least(F.to_date("_to"), high, *([begin] if first_day_only else []))
     by_day = (
         bounds.withColumn("_first", first)
         .withColumn("_last", last)

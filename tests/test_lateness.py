@@ -118,3 +118,12 @@ def test_nothing_late_reconciles_fully(spark):
     judged = activity_deltas(late_split(frame, Settings(), ["id"]), keep=["late"])
     result = reconcile(on_time_totals(judged), window_totals(activity_deltas(frame)))
     assert rows(result.select("status").distinct()) == [("matched",)]
+
+
+def test_rows_without_times_are_kept(spark):
+    at = lambda m: dt.datetime(2024, 1, 1, 12, m)
+    rows_in = [(1, at(0), at(0)), (2, at(30), at(1)), (3, at(0), at(40)), (4, at(0), None), (5, None, at(3)), (6, None, None), (7, at(50), None)]
+    log = spark.createDataFrame(rows_in, "id INT, event_time TIMESTAMP_NTZ, arrival TIMESTAMP_NTZ")
+    judged = {r["id"]: (r["late"], r["window_end"]) for r in late_split(log, Settings(), ["id"]).collect()}
+    assert {k: v[0] for k, v in judged.items()} == {1: False, 2: False, 3: True, 4: False, 5: False, 6: False, 7: False}
+    assert judged[5][1] is None and judged[4][1] == at(1)

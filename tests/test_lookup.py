@@ -220,3 +220,43 @@ def test_later_entry_replaces_earlier(spark):
     a = snapshot(spark, [("m", "s", "e", "1.0", late), ("n", "s", "e", "1.0", early)])
     b = snapshot(spark, [("m", "s", "e", "2.0", early), ("n", "s", "e", "2.0", late)])
     assert rows(snap.stored(a, b), "metric_name", "value") == [("m", "1.0"), ("n", "2.0")]
+
+
+def test_a_left_lookup_keeps_events_without_a_time(spark, data):
+    totals = data[0] if isinstance(data, tuple) else data
+    events = spark.createDataFrame(
+        [("a", BASE + dt.timedelta(minutes=5)), ("a", None), (None, BASE), ("z", BASE)], "metric_name STRING, event_time TIMESTAMP_NTZ"
+    )
+    served = spark.createDataFrame([("a", 1.0, BASE, BASE + dt.timedelta(hours=1))], TOTAL)
+    found = lk.window_of_event(events, served, "1 hour", how="left").collect()
+    assert len(found) == 4 and [r["metric_value"] for r in found if r["metric_value"]] == [1.0]
+
+
+def test_bulk_bounds_keep_their_digits(spark):
+    start = BASE + dt.timedelta(microseconds=400)
+    served = spark.createDataFrame(
+        [("a", 1.0, start, start + dt.timedelta(minutes=1)), ("a", 2.0, BASE + dt.timedelta(milliseconds=1), BASE + dt.timedelta(minutes=2))],
+        TOTAL,
+    )
+    bounds = "2024-01-01T00:00:00.000500Z", "2024-01-01T01:00:00Z"
+    alone = lk.range_totals(served, *bounds, "a")
+    asked = spark.createDataFrame([("a", *bounds)], "metric_name STRING, start STRING, end STRING")
+    assert rows(alone, "metric_value") == rows(lk.bulk_range_totals(asked, served), "metric_value") == [(2.0,)]
+
+
+def test_lookups_read_the_asked_days_only(spark, folder):
+    served = spark.createDataFrame(
+        [(m, float(d), BASE + dt.timedelta(days=d), BASE + dt.timedelta(days=d, minutes=1)) for d in range(9) for m in "ab"], TOTAL
+    )
+    write_serving(served, folder + "/s")
+    table = read_serving(spark, folder + "/s")
+    plan = lambda f: f._jdf.queryExecution().executedPlan().toString()
+    point = lk.point_total(table, "a", "2024-01-04T00:00:30Z", longest="1 day")
+    assert rows(point, "metric_value") == [(3.0,)]
+    assert "<= 2024-01-04" in plan(point) and ">= 2024-01-03" in plan(point)
+    asked = spark.createDataFrame([("a", "2024-01-03T00:00:00Z", "2024-01-05T00:00:00Z")], "metric_name STRING, start STRING, end STRING")
+    bulk = lk.bulk_range_totals(asked, table)
+    assert len(bulk.collect()) == 2
+    partition_filters = [line for line in plan(bulk).splitlines() if "PartitionFilters" in line]
+    assert any(">= 2024-01-03" in line and "<= 2024-01-05" in line for line in partition_filters)
+    assert "LeftSemi" in plan(bulk)

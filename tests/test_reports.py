@@ -206,3 +206,17 @@ def test_metric_lines_with_a_word_fail(spark, folder):
     got = parse_metric_lines(read_metric_lines(spark, folder), F.lit(BASE), F.lit(BASE))
     with pytest.raises(PySparkException):
         got.collect()
+
+
+def test_percentiles_keep_unnamed_groups_and_infinities(spark):
+    from eventtally.operators.percentiles import exact_percentiles
+
+    inf, nan = float("inf"), float("nan")
+    values = [float(k) for k in range(24)] + [-inf, inf, nan]
+    frame = spark.createDataFrame([(k, v) for k in (None, "a") for v in values] + [("b", inf), ("c", nan), ("d", None)], "k STRING, x DOUBLE")
+    found = {(r["k"], r["percentile"]): r["value"] for r in exact_percentiles(frame, ["k"], "x", [0.01, 0.5, 0.96, 1.0]).collect()}
+    for k in (None, "a"):
+        assert (found[k, 0.01], found[k, 0.5], found[k, 0.96]) == (-inf, 12.0, inf) and found[k, 1.0] != found[k, 1.0]
+    assert found["b", 0.5] == inf and found["c", 0.5] != found["c", 0.5] and ("d", 0.5) not in found
+    one = exact_percentiles(frame, [], "x", [0.5])
+    assert one.columns == ["percentile", "value"] and one.count() == 1

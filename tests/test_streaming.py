@@ -247,3 +247,37 @@ def test_upsert_rewrites_touched_days_only(spark, folder):
     assert os.listdir(path + "/day=2024-01-02") == untouched
     serving.finish_upsert(spark, path, folder + "/w2")
     assert read_serving(spark, path).count() == 4
+
+
+def test_a_new_run_cannot_overwrite_the_batches_of_another(spark, folder):
+    feed(spark, folder + "/in", 0, spark.createDataFrame([("m", 1.0, at("12:00:00"))], DELTA))
+
+    def run(checkpoint):
+        deltas = spark.readStream.schema(DELTA).parquet(folder + "/in").select("metric_name", "delta", "event_time")
+        start_totals(deltas, folder + "/log", folder + checkpoint, Settings(), True).awaitTermination()
+
+    run("/one")
+    run("/one")
+    with pytest.raises(Exception, match="another run"):
+        run("/two")
+    assert batch_log.latest_totals(batch_log.read_log(spark, folder + "/log")).count() == 1
+
+
+def test_compacted_batches_can_be_dropped(spark, folder):
+    path = folder + "/log"
+    for number in range(3):
+        frame = spark.createDataFrame([("m", 1.0, NOON, NOON + dt.timedelta(minutes=1))], TOTAL)
+        batch_log.append_batch(frame, path, number)
+    batch_log.compact(spark, path, batch_log.sum_partials, 1)
+    batch_log.drop_compacted(spark, path, 2)
+    assert sorted(n for n in os.listdir(path + "/batches") if n.startswith("batch")) == ["batch_id=2"]
+    assert rows(batch_log.sum_partials(batch_log.read_log(spark, path)), "metric_value") == [(3.0,)]
+
+
+def test_dead_letters_go_to_the_topic_of_their_source(spark):
+    from eventtally.sinks.dead_letters import dead_letter_records
+
+    letters = spark.createDataFrame([("{bad", "transaction", "malformed"), ("x", None, "unknown_type")], "raw STRING, source STRING, reason STRING")
+    assert rows(dead_letter_records(letters)) == [
+        ("malformed", "{bad", "events.transactions.dlq"), ("unknown_type", "x", "events.activities.dlq")
+    ]
