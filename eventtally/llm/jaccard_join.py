@@ -56,14 +56,14 @@ TOGETHER = 5_000_000
 # Tokens with a smaller count are not worth it.
 LEAST_COUNT = 4
 # Hubs of a token in one star round; one that fits its group badly is made up for by another.
-HUBS = 4
+HUBS = 6
 # Star rounds before all pairs of different components are looked at. The rounds end early once
-# there are at most PAIRS_PER_POSTING, or a round has not brought them down to WORTHWHILE.
-ROUNDS = 5
-PAIRS_PER_POSTING = 1.0
-WORTHWHILE = 0.8
+# there are at most PAIRS_PER_POSTING, or a round has found no link.
+ROUNDS = 4
+PAIRS_PER_POSTING = 20
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
 # A posting's set size, the tokens to share, and its role are one number. Roles: only in the longer
 # prefix, in the shorter one, and so far ahead that a pair shares one such token at least.
 MATCHES, ROLES = 64, 4
@@ -478,13 +478,11 @@ def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     labels = docs.sparkSession.createDataFrame([], "node long, label long")
     open_postings = labelled(postings, labels)
-    before = None
     for seed in range(ROUNDS):
         # Once star rounds have merged what is close, few pairs are left to count.
         left, rows = open_pairs(open_postings)
-        if not left or (seed and (left <= PAIRS_PER_POSTING * rows or left > WORTHWHILE * before)):
+        if not left or (seed and left <= PAIRS_PER_POSTING * rows):
             break
-        before = left
         more = verified(star_pairs(open_postings, seed), docs, keys)
         if more.isEmpty():
             break
