@@ -1 +1,2 @@
-"""DataFrame-to-DataFrame operators; none of them reads or writes anything."""
+"""DataFrame-to-DataFrame operators. They take their input from no path and leave no table; lookups,
+lateness and percentiles store and measure small intermediate tables while a frame is built."""

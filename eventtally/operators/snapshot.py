@@ -54,6 +54,16 @@ def misses(probed: DataFrame) -> DataFrame:
     return probed.filter(F.col("cached_value").isNull()).drop("cached_value")
 
 
+def hit_ratio(probed: DataFrame) -> DataFrame:
+    """Requests, answered ones and their share, per metric."""
+    hit = F.col("cached_value").isNotNull()
+    return probed.groupBy("metric_name").agg(
+        F.count(F.lit(1)).alias("n_requests"),
+        F.count_if(hit).alias("n_hits"),
+        F.avg(hit.cast("double")).alias("ratio"),
+    )
+
+
 def refill(missed: DataFrame, totals: DataFrame, as_of: Column) -> DataFrame:
     """New entries for missed requests: the value of the earliest window in range.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventtally.config import Settings
 from eventtally.operators import lookup as lk
 from eventtally.operators import quality
 from eventtally.operators import snapshot as snap
@@ -113,7 +114,7 @@ def bulk_range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _probed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.probe(
-        i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), F.expr(i.AS_OF), ttl_seconds=60
+        i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), F.expr(i.AS_OF), Settings().cache_ttl_seconds
     )
 
 
@@ -126,6 +127,16 @@ def snapshot_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.hits(_probed(spark, sf_dir))
 
 
+@query(
+    f"""WITH {i.REQ}, {i.SNAPSHOT}
+SELECT r.metric_name, count(*) AS n_requests, count(l.value) AS n_hits,
+  round(count(l.value) / count(*), 10) AS ratio
+FROM reqs r LEFT JOIN live l USING (metric_name, start, "end") GROUP BY r.metric_name"""
+)
+def snapshot_hit_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snap.hit_ratio(_probed(spark, sf_dir)).withColumn("ratio", F.round("ratio", 10))
+
+
 @query(
     f"""WITH {i.REQ}, {i.SNAPSHOT}
 SELECT request_id, metric_name, start, "end" FROM reqs r WHERE NOT EXISTS (
