@@ -14,6 +14,7 @@ from eventtally.functions.parsing import iso_instant
 from eventtally.operators.deltas import event_deltas
 from eventtally.operators.lateness import late_split
 from eventtally.operators.totals import event_totals
+from eventtally.session import stored
 from eventtally.sources.topics import ACTIVITY, TRANSACTION
 
 
@@ -170,19 +171,19 @@ def arrival(jitter: int) -> Column:
 
 
 def arrival_log(spark: SparkSession, sf_dir: str, jitter: int = 600) -> DataFrame:
-    """Every event as an activity, purchases as transactions too."""
-    events = table(spark, sf_dir, "events")
-    columns = [
+    """Every event as an activity, purchases as transactions too; one scan, kept for its readers."""
+    kinds = F.when(
+        F.col("event_type") == "purchase", F.array(F.lit(ACTIVITY), F.lit(TRANSACTION))
+    ).otherwise(F.array(F.lit(ACTIVITY)))
+    log = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("action"),
         F.col("value").alias("amount"),
         F.col("ts").alias("event_time"),
         arrival(jitter).alias("arrival"),
-    ]
-    purchases = events.filter(F.col("event_type") == "purchase")
-    return events.select(*columns, F.lit(ACTIVITY).alias("source")).unionByName(
-        purchases.select(*columns, F.lit(TRANSACTION).alias("source"))
+        F.explode(kinds).alias("source"),
     )
+    return stored(log, "log")
 
 
 def judged_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
