@@ -10,7 +10,9 @@ union, and the classes are the connected components.
    with the larger one, and that one, of m, has 3/4 m. So they share l tokens of the first
    n - 6/7 n + l and the first m - 3/4 m + l, for any l. Each class picks its own l: longer prefixes
    have more postings to read, but ask for more shared tokens, so fewer candidates are
-   verified. A pair must share the smaller l of its two.
+   verified. A pair must share the smaller l of its two, and as both sizes are known then, within
+   the first n - c + l of one and m - c + l of the other, for the c = 3/7 (n + m) it must have
+   in common.
 3. Postings whose token only one class has are dropped. Within a token, classes are first held
    against one of them (a star), verified and merged; later rounds only look at tokens that still
    hold several components. When few pairs of classes in different components are left, all of
@@ -64,10 +66,9 @@ PAIRS_PER_POSTING = 20
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-# A posting's set size, the tokens to share, and its role are one number. Roles: only in the longer
-# prefix, in the shorter one, and so far ahead that a pair shares one such token at least.
-MATCHES, ROLES = 64, 4
-LONG, SHORT, FIRST = 0, 1, 2
+# A posting's set size, the tokens to share, those that are alike in the set, and its place in the
+# common order are one number.
+SHARES, ALIKE, PLACES = 64, 64, 1 << 24
 # A hub with more partners than this is verified in several tasks.
 PARTNERS_PER_TASK = 1000
 
@@ -172,11 +173,11 @@ def row_key():
 
 
 def classed(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, n, class, matches, shorter, asked and prefix of every document.
+    """doc_id, row_key, n, class, asked, alike and prefix of every document.
 
-    Within a task only the first of equal sets carries the prefix. Postings hold half of a
-    token's hash; tokens of a set that are alike in it count once, so `matches`, the number of
-    tokens that a partner must share, is `asked` less these, and no candidate is lost.
+    Within a task only the first of equal sets carries the prefix, and `asked`, the number of
+    tokens that a partner must share. Postings hold half of a token's hash; `alike` is how many
+    tokens of the prefix count for nothing because another one has the same half.
     """
     known, counts = repeated_tokens(docs)
 
@@ -189,39 +190,38 @@ def classed(docs: DataFrame) -> DataFrame:
             for text in batch.column(2):
                 tokens = shingles(text.as_py())
                 if not len(tokens):
-                    rows.append((0, None, None, None, None))
+                    rows.append((0, None, None, None))
                     prefixes.append(none)
                     continue
                 number = class_of(tokens)
-                prefix, matches, shorter, asked = none, None, None, None
+                prefix, asked, alike = none, None, None
                 if number not in seen:
                     seen.add(number)
-                    ordered, shorter, asked = prefix_of(tokens, known, counts)
+                    ordered, _, asked = prefix_of(tokens, known, counts)
                     prefix = (ordered >> np.uint64(32)).astype(np.uint32)
-                    matches = max(1, asked - (len(prefix) - len(set(prefix.tolist()))))
-                rows.append((len(tokens), number, matches, shorter, asked))
+                    alike = min(len(prefix) - len(set(prefix.tolist())), ALIKE - 1)
+                rows.append((len(tokens), number, asked, alike))
                 prefixes.append(prefix)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             values = np.concatenate([*prefixes, none])
-            n, number, matches, shorter, asked = zip(*rows) if rows else [()] * 5
+            n, number, asked, alike = zip(*rows) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(n, pa.int64()),
                     pa.array(number, pa.int64()),
-                    pa.array(matches, pa.int32()),
-                    pa.array(shorter, pa.int32()),
                     pa.array(asked, pa.int32()),
+                    pa.array(alike, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int32))),
                 ],
-                names=["doc_id", "row_key", "n", "class", "matches", "shorter", "asked", "prefix"],
+                names=["doc_id", "row_key", "n", "class", "asked", "alike", "prefix"],
             )
 
     given = docs.select("doc_id", row_key(), "text")
     kind = dict(docs.dtypes)["doc_id"]
     return given.mapInArrow(
-        work, f"doc_id {kind}, row_key long, n long, class long, matches int, shorter int, asked int, prefix array<int>"
+        work, f"doc_id {kind}, row_key long, n long, class long, asked int, alike int, prefix array<int>"
     )
 
 
@@ -231,32 +231,26 @@ def shared_postings(found: DataFrame) -> DataFrame:
 
     Tokens that no class has in its shorter prefix are counted, but go no further.
     """
-    info = (F.col("n") * MATCHES + F.col("matches")) * ROLES
-    place = F.col("place")
-    role = (
-        F.when(place <= F.col("shorter") - F.col("asked"), FIRST)
-        .when(place < F.col("shorter"), SHORT)
-        .otherwise(LONG)
-    )
+    info = (F.col("n") * SHARES + F.col("asked")) * ALIKE + F.col("alike")
     postings = (
-        found.filter("matches IS NOT NULL")
-        .select("class", info.alias("info"), "shorter", "asked", F.posexplode("prefix").alias("place", "token"))
-        .select("token", "class", (F.col("info") + role).alias("info"))
+        found.filter("asked IS NOT NULL")
+        .select("class", info.alias("info"), F.posexplode("prefix").alias("place", "token"))
+        .select("token", "class", (F.col("info") * PLACES + F.col("place")).alias("info"))
     )
     of_token = Window.partitionBy("token")
     several = (
         postings.withColumn("low", F.min("class").over(of_token))
         .withColumn("high", F.max("class").over(of_token))
-        .withColumn("role", F.max(F.col("info") % ROLES).over(of_token))
+        .withColumn("short", F.max(in_shorter(F.col("info"))).over(of_token))
         .filter("low < high")
     )
     # A class that several tasks met has as many postings; one is enough.
     shared = stored(
-        several.groupBy("token", "class").agg(F.max("info").alias("info"), F.max("role").alias("role")),
+        several.groupBy("token", "class").agg(F.min("info").alias("info"), F.max("short").alias("short")),
         "postings",
     )
     kept = shared.groupBy("class").agg(F.count(F.lit(1)).alias("kept"))
-    return lookup_join(shared.filter(F.col("role") != LONG).drop("role"), kept, ["class"], ["token"])
+    return lookup_join(shared.filter("short").drop("short"), kept, ["class"], ["token"])
 
 
 def verified(pairs: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -374,14 +368,48 @@ def labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(named.join(open_tokens, "token"), "open-postings")
 
 
+def place(info: Column) -> Column:
+    return info % PLACES
+
+
+def alike(info: Column) -> Column:
+    return F.floor(info / PLACES) % ALIKE
+
+
+def asked(info: Column) -> Column:
+    return F.floor(info / (PLACES * ALIKE)) % SHARES
+
+
 def size(info: Column) -> Column:
-    return F.floor(info / (MATCHES * ROLES))
+    return F.floor(info / (PLACES * ALIKE * SHARES))
+
 
+def ahead(info: Column) -> Column:
+    """Whether a token is among the first n - 6/7 n + 1 of its set."""
+    n = size(info)
+    return place(info) <= n - F.ceil(2 * NEED * n / (WHOLE + NEED))
 
-def counts_for(smaller: Column, larger: Column) -> Column:
-    """Whether a token in common counts, by the infos of the smaller and the larger set."""
-    fits = (size(smaller) <= size(larger)) & (NEED * size(larger) <= WHOLE * size(smaller))
-    return (smaller % ROLES != LONG) & fits
+
+def in_shorter(info: Column) -> Column:
+    """Whether a token is among the first n - 6/7 n + l of its set."""
+    n = size(info)
+    return place(info) < n - F.ceil(2 * NEED * n / (WHOLE + NEED)) + asked(info)
+
+
+def in_common(n: Column, m: Column) -> Column:
+    """How many tokens sets of two sizes have in common if they link."""
+    return F.ceil(NEED * (n + m) / (WHOLE + NEED))
+
+
+def sizes_allow(n: Column, m: Column) -> Column:
+    return NEED * F.greatest(n, m) <= WHOLE * F.least(n, m)
+
+
+def counts_for(a: Column, b: Column, shares: Column) -> Column:
+    """Whether a token in common counts, for two infos and a number of tokens to share."""
+    n, m = size(a), size(b)
+    common = in_common(n, m)
+    return sizes_allow(n, m) & (place(a) < n - common + shares) & (place(b) < m - common + shares)
 
 
 def may_link(a: Column, b: Column, kept_a: Column, kept_b: Column) -> Column:
@@ -392,12 +420,10 @@ def may_link(a: Column, b: Column, kept_a: Column, kept_b: Column) -> Column:
     """
 
     def left(info: Column) -> Column:
-        n, matches = size(info), F.floor(info / ROLES) % MATCHES
-        # 1 may also stand for less than one, which bounds nothing.
-        return F.when(matches == 1, n).otherwise(F.ceil(NEED * n / WHOLE) - matches)
+        return F.ceil(NEED * size(info) / WHOLE) - asked(info) + alike(info)
 
     most = F.least(kept_a, kept_b) + F.greatest(left(a), left(b))
-    return (WHOLE + NEED) * most >= NEED * (size(a) + size(b))
+    return most >= in_common(size(a), size(b))
 
 
 def star_pairs(postings: DataFrame, seed: int) -> DataFrame:
@@ -411,21 +437,24 @@ def star_pairs(postings: DataFrame, seed: int) -> DataFrame:
         "token", F.explode(F.array_distinct(F.transform("hubs", lambda h: h.dropFields("turn")))).alias("hub")
     )
     a, b = F.col("hub.info"), F.col("info")
-    asked = F.least(*(F.floor(c / ROLES) % MATCHES for c in (a, b)))
+    shares = F.least(asked(a), asked(b))
     return (
         postings.join(hubs, "token")
         .filter(F.col("label") != F.col("hub.label"))
-        .filter(counts_for(a, b) | counts_for(b, a))
+        .filter(counts_for(a, b, shares))
         .groupBy(F.col("hub.class").alias("a"), F.col("class").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.first(asked).alias("asked"))
-        .filter("shared >= asked")
+        .agg(
+            F.count(F.lit(1)).alias("shared"),
+            F.first(shares - F.least(alike(a), alike(b))).alias("needed"),
+        )
+        .filter("shared >= needed")
         .select("a", "b")
     )
 
 
 def open_pairs(postings: DataFrame) -> tuple[int, int]:
     """How many pairs `crossing_pairs` would meet, at most; and all postings."""
-    short = F.count_if(F.col("info") % ROLES == FIRST).alias("short")
+    short = F.count_if(ahead(F.col("info"))).alias("short")
     sums = (
         postings.groupBy("token", "label")
         .agg(F.count(F.lit(1)).alias("n"), short)
@@ -439,9 +468,9 @@ def open_pairs(postings: DataFrame) -> tuple[int, int]:
 def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
     """All pairs of different components that share as many prefix tokens as they must.
 
-    The smaller set is `a`; of sets of one size, the smaller class. Pairs that share l tokens
-    of the shorter prefix share one that is not among the last l - 1, so pairs meet at
-    these only, and then all shared tokens are counted.
+    The smaller set is `a`; of sets of one size, the smaller class. With l = 1 the prefixes are
+    shortest, so pairs meet at these tokens only; then all shared tokens are counted for the l
+    that they ask for.
     """
     left, right = (
         postings.select(
@@ -451,24 +480,28 @@ def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
     )
     a, b = F.col("info_a"), F.col("info_b")
     met = (
-        left.filter(a % ROLES == FIRST)
+        left.filter(ahead(a))
         .join(right, "token")
         .filter("label_a <> label_b")
-        .filter(counts_for(a, b) & ((size(a) < size(b)) | (F.col("a") < F.col("b"))))
+        .filter(counts_for(a, b, F.lit(1)) & ((size(a) < size(b)) | ((size(a) == size(b)) & (F.col("a") < F.col("b")))))
         .filter(may_link(a, b, F.col("kept_a"), F.col("kept_b")))
         .select("a", "b")
         .distinct()
     )
-    prefixes = found.filter("matches IS NOT NULL").groupBy("class").agg(
-        F.first(F.struct("matches", "shorter", "prefix")).alias("p")
+    prefixes = found.filter("asked IS NOT NULL").groupBy("class").agg(
+        F.first(F.struct("n", "asked", "alike", "prefix")).alias("p")
     )
     both = met.join(prefixes.select(F.col("class").alias("a"), F.col("p").alias("p_a")), "a").join(
         prefixes.select(F.col("class").alias("b"), F.col("p").alias("p_b")), "b"
     )
-    shared = F.size(
-        F.array_intersect(F.slice("p_a.prefix", F.lit(1), F.col("p_a.shorter")), F.col("p_b.prefix"))
+    n, m, shares = F.col("p_a.n"), F.col("p_b.n"), F.least("p_a.asked", "p_b.asked")
+    common = in_common(n, m)
+    first_of = (
+        F.slice("p_a.prefix", F.lit(1), (n - common + shares).cast("int")),
+        F.slice("p_b.prefix", F.lit(1), (m - common + shares).cast("int")),
     )
-    return both.filter(shared >= F.least("p_a.matches", "p_b.matches")).select("a", "b")
+    enough = F.size(F.array_intersect(*first_of)) >= shares - F.least("p_a.alike", "p_b.alike")
+    return both.filter(enough).select("a", "b")
 
 
 def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
