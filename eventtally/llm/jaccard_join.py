@@ -355,6 +355,29 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node and label after more links. Only links between different components go on, as one
+    per pair of components."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    fresh = ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    nodes = stored(labels.unionByName(fresh), "nodes")
+    one, other = (nodes.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+    pairs = stored(
+        links.join(one, "a")
+        .join(other, "b")
+        .filter("label_a <> label_b")
+        .select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b"))
+        .distinct(),
+        "merged",
+    )
+    if pairs.isEmpty():
+        return nodes
+    roots = components(pairs).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return stored(
+        nodes.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels"
+    )
+
+
 def labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """The postings of tokens that hold several components, with the class's label."""
     named = lookup_join(postings, labels.withColumnRenamed("node", "class"), ["class"], ["token"], "left")
@@ -508,7 +531,6 @@ def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
     """class (as node) and label for all classes that link with another one."""
     postings = shared_postings(found)
     keys = found.filter("class IS NOT NULL").groupBy("class").agg(F.min("row_key").alias("row_key"))
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
     labels = docs.sparkSession.createDataFrame([], "node long, label long")
     open_postings = labelled(postings, labels)
     for seed in range(ROUNDS):
@@ -519,13 +541,10 @@ def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
         more = verified(star_pairs(open_postings, seed), docs, keys)
         if more.isEmpty():
             break
-        links = links.union(more)
-        labels = components(links)
+        labels = merged(labels, more)
         open_postings = labelled(open_postings.drop("label"), labels)
     last = verified(crossing_pairs(open_postings, found), docs, keys)
-    if not last.isEmpty():
-        labels = components(links.union(last))
-    return labels
+    return labels if last.isEmpty() else merged(labels, last)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
