@@ -492,8 +492,8 @@ def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
     """All pairs of different components that share as many prefix tokens as they must.
 
     The smaller set is `a`; of sets of one size, the smaller class. With l = 1 the prefixes are
-    shortest, so pairs meet at these tokens only; then all shared tokens are counted for the l
-    that they ask for.
+    shortest, so pairs meet at these tokens only; then all shared tokens are counted, for the l
+    that they ask for and, as `may_link` does, for the whole prefixes.
     """
     left, right = (
         postings.select(
@@ -524,7 +524,9 @@ def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
         F.slice("p_b.prefix", F.lit(1), (m - common + shares).cast("int")),
     )
     enough = F.size(F.array_intersect(*first_of)) >= shares - F.least("p_a.alike", "p_b.alike")
-    return both.filter(enough).select("a", "b")
+    left = F.greatest(*(F.ceil(NEED * p["n"] / WHOLE) - p["asked"] + p["alike"] for p in (F.col("p_a"), F.col("p_b"))))
+    whole = F.size(F.array_intersect("p_a.prefix", "p_b.prefix")) + left >= common
+    return both.filter(enough & whole).select("a", "b")
 
 
 def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
