@@ -113,7 +113,7 @@ def _captured(spark: SparkSession, sf_dir: str, serving_path: str | None = None)
             Settings(),
             available_now=True,
             serving_path=serving_path,
-            publish_every=2,
+            publish_every=3,
         )
 
     _fed(spark, sf_dir, folder, start)

@@ -31,7 +31,12 @@ def publish_captured(spark: SparkSession, path: str, serving_path: str) -> None:
     again. Afterwards the batches are folded, so the log stays short.
     """
     log_path = f"{path}/partials"
-    done = spark.read.parquet(f"{path}/ledger").agg(F.max("batch_id")).first()[0]
+    try:
+        done = spark.read.parquet(f"{path}/ledger").agg(F.max("batch_id")).first()[0]
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return
     before = published_upto(spark, path)
     if done is None or done <= before:
         return

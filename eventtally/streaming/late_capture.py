@@ -9,10 +9,11 @@ replaces its own, so late rows and totals together always hold each row once.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +26,7 @@ from eventtally.operators.totals import window_start, window_totals
 from eventtally.session import is_missing
 from eventtally.sinks.batch_log import (
     append_batch,
+    claim,
     claimed_by_stream,
     gathered,
     read_log,
@@ -121,6 +123,57 @@ def capture_raw_batch(
         parsed.unpersist()
 
 
+class ServedQuery(StreamingQuery):
+    """A capture whose totals are also served when it has ended and while it waits for input.
+
+    A thread publishes every so many seconds and after the end; `lock` keeps it apart from the
+    batches. Who waits for the query waits for the last totals to be served as well.
+    """
+
+    def __init__(
+        self, query: StreamingQuery, publish: Callable[[], None], seconds: float, lock: threading.Lock
+    ):
+        super().__init__(query._jsq)
+        self._publish, self._seconds, self._lock = publish, seconds, lock
+        self._error: Exception | None = None
+        self._server = threading.Thread(target=self._serve, daemon=True)
+        self._server.start()
+
+    def _serve(self) -> None:
+        ended = False
+        while not ended:
+            try:
+                ended = super().awaitTermination(self._seconds)
+            except StreamingQueryException:
+                ended = True  # its finished batches count; who waits for the query is told
+            try:
+                with self._lock:
+                    self._publish()
+                self._error = None
+            except Exception as error:  # tried again next time; after the end it is raised
+                self._error = error
+
+    def _served(self) -> None:
+        self._server.join()
+        if self._error is not None:
+            raise self._error
+
+    def awaitTermination(self, timeout: float | None = None) -> bool | None:
+        ended = super().awaitTermination(timeout)
+        if timeout is None or ended:
+            self._served()
+        return ended
+
+    def processAllAvailable(self) -> None:
+        super().processAllAvailable()
+        with self._lock:
+            self._publish()
+
+    def stop(self) -> None:
+        super().stop()
+        self._served()
+
+
 def start_capture(
     raw: DataFrame,
     path: str,
@@ -130,23 +183,34 @@ def start_capture(
     batch_function: Callable[[DataFrame, int, str, Settings], None] = capture_raw_batch,
     serving_path: str | None = None,
     publish_every: int = 10,
+    publish_seconds: float = 60,
 ) -> StreamingQuery:
     """Run the capture over a stream of raw records with `source` and `ingest_time`.
 
     With a serving table, the totals that have changed are put there after every so many
-    batches.
+    batches, every so many seconds, with or without input, and when the query has ended.
     """
+    lock = threading.Lock()
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        claimed_by_stream(batch, path)
-        batch_function(batch, batch_id, path, settings)
-        if serving_path is not None and (batch_id + 1) % publish_every == 0:
-            publish_captured(batch.sparkSession, path, serving_path)
+        with lock:
+            claimed_by_stream(batch, path)
+            batch_function(batch, batch_id, path, settings)
+            if serving_path is not None and (batch_id + 1) % publish_every == 0:
+                publish_captured(batch.sparkSession, path, serving_path)
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    query = writer.start()
+    if serving_path is None:
+        return query
+
+    def publish() -> None:
+        claim(raw.sparkSession, path, str(query.id))
+        publish_captured(raw.sparkSession, path, serving_path)
+
+    return ServedQuery(query, publish, publish_seconds, lock)
 
 
 def captured_totals(spark: SparkSession, path: str) -> DataFrame:

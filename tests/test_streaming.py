@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,6 +264,50 @@ def test_a_new_run_cannot_overwrite_the_batches_of_another(spark, folder):
     assert batch_log.latest_totals(batch_log.read_log(spark, folder + "/log")).count() == 1
 
 
+def served_capture(spark, folder, available_now, **settings):
+    def captured(batch, batch_id, path, settings):
+        lc.capture_batch(batch.withColumn("ingested_at", F.lit(NOON).cast("timestamp")), batch_id, path, settings)
+
+    deltas = spark.readStream.schema(DELTA).parquet(folder + "/in").select("metric_name", "delta", "event_time")
+    return lc.start_capture(
+        deltas, folder + "/out", folder + "/cp", Settings(), available_now, captured, folder + "/serving", **settings
+    )
+
+
+def served(spark, folder):
+    return rows(read_serving(spark, folder + "/serving"), "metric_value", "window_start")
+
+
+def test_totals_are_served_when_the_stream_has_ended(spark, folder):
+    """Also of fewer batches than are published together, and of the rest after the last of them."""
+    for number in range(3):
+        feed(spark, folder + "/in", number, spark.createDataFrame([("m", 1.0, at("12:00:30"))], DELTA))
+        served_capture(spark, folder, True, publish_every=2).awaitTermination()
+        assert served(spark, folder) == [(1.0 + number, NOON)]
+
+
+def test_totals_are_served_while_the_stream_waits(spark, folder):
+    feed(spark, folder + "/in", 0, spark.createDataFrame([("m", 1.0, at("12:00:30"))], DELTA))
+    query = served_capture(spark, folder, False, publish_seconds=0.5)
+    try:
+        for number in range(2):
+            for _ in range(120):
+                time.sleep(0.25)
+                if os.path.isdir(folder + "/serving") and os.path.isdir(f"{folder}/out/published/mark={number}"):
+                    break
+            assert served(spark, folder) == [(1.0 + number, NOON)]
+            if number == 0:
+                feed(spark, folder + "/in", 1, spark.createDataFrame([("m", 1.0, at("12:00:30"))], DELTA))
+    finally:
+        query.stop()
+
+
+def test_a_stream_without_batches_ends_in_peace(spark, folder):
+    os.makedirs(folder + "/in")
+    served_capture(spark, folder, True).awaitTermination()
+    assert not os.path.isdir(folder + "/serving")
+
+
 def test_compacted_batches_can_be_dropped(spark, folder):
     path = folder + "/log"
     for number in range(3):
