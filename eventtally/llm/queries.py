@@ -8,6 +8,7 @@ from eventtally.llm.common import ORACLES, QUERIES, Query
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """Both tables, after all operator modules have been read."""
     from eventtally.llm import (  # noqa: F401
+        byte_bpe,
         chat_format,
         decontaminate,
         jaccard_join,

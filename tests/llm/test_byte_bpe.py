@@ -1,0 +1,113 @@
+"""Byte-level BPE against the public library that defines the result."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from eventtally.llm import byte_bpe as b
+from eventtally.llm.byte_bpe import decoded, default_path, encoded, op11_byte_bpe, vocabulary
+
+from __spark_entry__ import SMOKE_DIR
+
+WORDS = vocabulary(default_path())
+PLAIN = tiktoken.Encoding(
+    "plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=WORDS.ranks, special_tokens={}
+)
+HARD = "aZé1²٣'’ \t\n\r\x0b\x1c\x85\xa0 　sStmdrevl.,!?-_日本ˈ̈𝔘🙂\x00ǅ½"
+
+
+def ids(texts):
+    return [i.tolist() for i in WORDS.encode(texts)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(alphabet=HARD), st.text()), min_size=1, max_size=5))
+def test_ids_as_the_library(texts):
+    assert ids(texts) == [PLAIN.encode_ordinary(t) for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=HARD, max_size=200), st.integers(1, 9))
+def test_windows_do_not_matter(text, window):
+    points = np.concatenate([b.points_of(text), [b.END_POINT]]).astype(np.uint32)
+    assert b.slice_starts(points, window).tolist() == b.slice_starts(points).tolist()
+
+
+def test_every_code_point():
+    """The class of every code point, between letters, numbers, marks and blanks."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c}a 1{c}1 !{c}! {c}\n{c}" for c in every[k : k + 5000]) for k in range(0, len(every), 5000)]
+    assert ids(texts) == [PLAIN.encode_ordinary(t) for t in texts]
+
+
+def test_contractions_and_white_space():
+    for text in ("it's", "'s's 's", "''re're", "he'll've 'll 'rx'r", "!'s", "1's\n's", "  \n a", "a  ", "\n\n\ta", "'"):
+        assert ids([text]) == [PLAIN.encode_ordinary(text)]
+
+
+def test_products_are_associative():
+    t = b.transitions()
+    assert t.count < 256
+    product = t.product.reshape(t.count, t.count)
+    assert (product[product, :] == product[:, product]).all()
+
+
+@pytest.mark.parametrize("piece", ["a" * 3001, "ab" * 3000, "9" * 2500, "é" * 2000, "=" * 4097, " " * 5000])
+def test_long_slices(piece):
+    assert ids([piece]) == [PLAIN.encode_ordinary(piece)]
+
+
+def test_random_bytes_merge_as_the_library():
+    draw = random.Random(1)
+    for _ in range(200):
+        piece = "".join(draw.choice("etaoinshrdlu") for _ in range(draw.randint(1, 150)))
+        assert ids([piece]) == [PLAIN.encode_ordinary(piece)]
+
+
+def test_ranges_decode_alone():
+    text = "Ein Satz, it's 日本 🙂🙂 — und 12345 Zeichen.\n"
+    found = next(WORDS.encode([text]))
+    ends, data = WORDS.ends(found), text.encode()
+    for low in range(len(data) + 1):
+        for high in range(low, len(data) + 3, 3):
+            assert WORDS.decode(found, ends, low, high) == data[low:high]
+    assert WORDS.decode(found, ends) == data
+    with pytest.raises(ValueError):
+        WORDS.decode(found, ends * 2)
+
+
+def test_cache_stays_bounded(monkeypatch):
+    monkeypatch.setattr(b, "CACHED_SLICES", 10)
+    merger = b.Merger(WORDS.ranks)
+    for k in range(100):
+        assert merger[f" word{k}"] == tuple(PLAIN.encode_ordinary(f" word{k}")) or k > 9
+        assert len(merger) <= 10
+
+
+def test_rows(spark):
+    long = "It's a long text; " * 100_000
+    given_rows = [(1, None, "x"), (2, "", "x"), (3, "<|endoftext|> it's", "y"), (3, "<|endoftext|> it's", "y"),
+                  (None, "a", "z"), (4, long, "z")]
+    docs = spark.createDataFrame(given_rows, "doc_id long, text string, ids string")
+    found = {(r.doc_id, bytes(r.decoded)): r for r in decoded(encoded(docs)).collect()}
+    assert found[(1, b"")].ids == [] and found[(2, b"")].ends == []
+    assert found[(3, b"<|endoftext|> it's")].ids == PLAIN.encode_ordinary("<|endoftext|> it's")
+    assert (None, b"a") in found and found[(4, long.encode())].ids == PLAIN.encode_ordinary(long)
+    assert decoded(encoded(docs)).count() == 6
+    assert decoded(encoded(docs.limit(0))).count() == 0
+
+
+def test_query_against_the_library(spark):
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet").collect()
+    want = set()
+    for row in docs:
+        own = PLAIN.encode_ordinary(row.text or "")
+        digest = hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest()
+        want.add((row.doc_id, len(own), digest, hashlib.sha256((row.text or "").encode()).hexdigest()))
+    assert {tuple(r) for r in op11_byte_bpe(spark, SMOKE_DIR).collect()} == want
