@@ -15,7 +15,9 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         language_id,
         lm_score,
         packing,
+        phrases,
         pii,
+        spelling,
         topk,
         url_reputation,
         warc,

@@ -26,7 +26,7 @@ def con():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14))
     assert {*NAMES, "pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
