@@ -2,12 +2,12 @@
 
 Counting. Every task reads its texts as a stream of word ids and adds each window of words to the
 trie of its language: a shallow trie of word ids whose leaves are hash containers of the words
-that follow. A container with more than `BURST` entries bursts into a node with a container per next
-word. When the tries of a task hold `ENTRIES`, the largest subtrees of the root are spilled whole, as
-a run sorted by words. Runs are a table in the shared folder. They are merged by ranges of
-prefixes: Spark deals them out by sampled ranges of (first word, language, other words) and sorts
-each range, and one pass over it adds up every prefix. A hot prefix is cut into several
-ranges; the phrases at the ends of a range are added up afterwards.
+that follow. A container with more than `BURST` entries bursts: each word that begins many of its entries
+gets a container of its own, the others go on sharing one. When the tries of a task hold `ENTRIES`, the
+largest subtrees of the root are spilled whole, as runs sorted by words, one per prefix partition:
+the words of a run, then the windows as numbers of these words, then their counts. A window goes by a
+hash of as many first words as the shortest phrase has, so each partition has all windows that
+begin a phrase. Runs of a partition are merged by one task, which adds up every prefix.
 
 Pruning. Only a phrase all of whose parts are frequent can be frequent. Words are counted first,
 then pairs of frequent words, then windows in which every pair is frequent. What is frequent
@@ -26,12 +26,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from zlib import compress, decompress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventtally.functions.skew import lookup_join
@@ -43,13 +43,14 @@ LEAST = 100
 LONGEST = 5
 MOST_PHRASES = 2000
 
-BURST = 4096  # entries of a container
+BURST = 16_384  # entries of a container
+HEAVY = 128  # entries that a word needs for a container of its own
 ENTRIES = 600_000  # of all tries of a task
 WORDS = 400_000  # ids given out in a task before they are given anew
 BLOCK = 1 << 22  # bytes of text taken at a time
 BITS = 1 << 26
 SEGMENT = 1 << 15  # bits of an entry of Spark's bitmap functions
-MERGED_ROWS = 50_000
+MERGED_ROWS = 2_000_000  # windows of a partition before they are added up
 
 GAP = b"\xff"  # no byte of UTF-8
 # What ends a piece, and the second blank.
@@ -58,11 +59,18 @@ BYTES = bytes.maketrans(
     UPPER.encode() + ENDS_OF_PIECES + b"\t", LOWER.encode() + GAP * len(ENDS_OF_PIECES) + b" "
 )
 
+RUN_SCHEMA = "part int, lang string, words binary, windows binary, counts binary"
 PHRASE_SCHEMA = "lang string, phrase string, words int, n long"
+PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
 
 class Node(dict):
-    """The words that may come next, each with its node or container (a Counter)."""
+    """The words that begin many entries, each with its node or container; and the others together."""
+
+    def __init__(self, shared: Counter):
+        super().__init__()
+        self.shared = shared
+        self.limit = 0  # entries of the shared container at which it is looked through again
 
 
 def keys_of(windows: np.ndarray) -> list[bytes]:
@@ -73,6 +81,8 @@ def keys_of(windows: np.ndarray) -> list[bytes]:
 
 def groups_of(windows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The indexes of the rows with each first id."""
+    if not len(windows):
+        return
     order = np.argsort(windows[:, 0], kind="stable")
     first = windows[order, 0]
     cuts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
@@ -83,8 +93,8 @@ def groups_of(windows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 class HatTrie:
     """Counts of windows of `width` word ids; shorter windows end in zeros."""
 
-    def __init__(self, width: int, burst: int = BURST):
-        self.width, self.burst, self.size = width, burst, 0
+    def __init__(self, width: int, burst: int = BURST, heavy: int = HEAVY):
+        self.width, self.burst, self.heavy, self.size = width, burst, heavy, 0
         self.root: Node | Counter = Counter()
 
     def add(self, windows: np.ndarray) -> None:
@@ -93,42 +103,58 @@ class HatTrie:
 
     def _add(self, node: Node | Counter, windows: np.ndarray) -> Node | Counter:
         if isinstance(node, Counter):
-            before = len(node)
-            node.update(keys_of(windows))
-            self.size += len(node) - before
-            wide = windows.shape[1] > 1
-            return self._burst(node, windows.shape[1]) if wide and len(node) > self.burst else node
+            self._count(node, windows)
+            if windows.shape[1] > 1 and len(node) > self.burst:
+                return self._burst(Node(node), windows.shape[1])
+            return node
+        own = np.isin(windows[:, 0], np.fromiter(node, np.uint32, len(node)))
+        self._count(node.shared, windows[~own])
+        windows = windows[own]
         for word, at in groups_of(windows):
-            node[word] = self._add(node.get(word) or Counter(), windows[at, 1:])
-        return node
-
-    def _burst(self, container: Counter, width: int) -> Node:
-        windows, counts = entries_of(container, width)
-        node = Node()
+            node[word] = self._add(node[word], windows[at, 1:])
+        return self._burst(node, windows.shape[1]) if len(node.shared) > node.limit else node
+
+    def _count(self, container: Counter, windows: np.ndarray) -> None:
+        before = len(container)
+        container.update(keys_of(windows))
+        self.size += len(container) - before
+
+    def _burst(self, node: Node, width: int) -> Node:
+        """Give words with many entries in the shared container one of their own."""
+        windows, counts = entries_of(node.shared, width)
+        rest = np.ones(len(windows), bool)
         for word, at in groups_of(windows):
-            child = Counter(dict(zip(keys_of(windows[at, 1:]), counts[at].tolist())))
-            wide = width > 2 and len(child) > self.burst
-            node[word] = self._burst(child, width - 1) if wide else child
+            if len(at) >= self.heavy:
+                node[word] = Counter(dict(zip(keys_of(windows[at, 1:]), counts[at].tolist())))
+                rest[at] = False
+        node.shared = Counter(dict(zip(keys_of(windows[rest]), counts[rest].tolist())))
+        node.limit = max(self.burst, 2 * len(node.shared))
         return node
 
     def spilled(self, keep: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Take out the largest subtrees of the root until `keep` entries are left: windows, counts."""
-        if isinstance(self.root, Counter) or not keep:
-            found = entries_of(self.root, self.width)
+        root = self.root
+        if isinstance(root, Counter) or not keep:
+            found = entries_of(root, self.width)
             self.root, self.size = Counter(), 0
             return found
-        sizes = sorted(((entries_in(child), word) for word, child in self.root.items()), reverse=True)
-        taken = Node()
+        taken = Node(Counter())
+        sizes = sorted(((entries_in(child), word) for word, child in root.items()), reverse=True)
         for size, word in sizes:
             if self.size <= keep:
                 break
-            taken[word] = self.root.pop(word)
+            taken[word] = root.pop(word)
             self.size -= size
+        if self.size > keep:
+            self.size -= len(root.shared)
+            taken.shared, root.shared = root.shared, Counter()
         return entries_of(taken, self.width)
 
 
 def entries_in(node: Node | Counter) -> int:
-    return len(node) if isinstance(node, Counter) else sum(map(entries_in, node.values()))
+    if isinstance(node, Counter):
+        return len(node)
+    return len(node.shared) + sum(map(entries_in, node.values()))
 
 
 def entries_of(node: Node | Counter, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,16 +162,13 @@ def entries_of(node: Node | Counter, width: int) -> tuple[np.ndarray, np.ndarray
     if isinstance(node, Counter):
         windows = np.frombuffer(b"".join(node), ">u4").reshape(-1, width)
         return windows, np.fromiter(node.values(), np.int64, len(node))
-    parts = [(word, *entries_of(child, width - 1)) for word, child in node.items()]
-    if not parts:
-        return np.zeros((0, width), ">u4"), np.zeros(0, np.int64)
-    windows = np.empty((sum(len(c) for _, _, c in parts), width), ">u4")
-    low = 0
-    for word, rest, _ in parts:
-        windows[low : low + len(rest), 0] = word
-        windows[low : low + len(rest), 1:] = rest
-        low += len(rest)
-    return windows, np.concatenate([c for _, _, c in parts])
+    shared, counts = entries_of(node.shared, width)
+    parts, numbers = [shared], [counts]
+    for word, child in node.items():
+        rest, counts = entries_of(child, width - 1)
+        parts.append(np.concatenate([np.full((len(rest), 1), word, ">u4"), rest], axis=1))
+        numbers.append(counts)
+    return np.concatenate(parts), np.concatenate(numbers)
 
 
 def hashed(lang: bytes, word: bytes) -> int:
@@ -211,16 +234,12 @@ class Vocabulary(dict):
         self.hashes = [0]
 
     def __missing__(self, word: bytes) -> int:
+        code = hashed(self.lang, word)
         number = 0
-        if self.frequent is None:
+        if self.frequent is None or self.frequent.holds(code):
             number = len(self.words)
             self.words.append(word)
-        else:
-            code = hashed(self.lang, word)
-            if self.frequent.holds(code):
-                number = len(self.words)
-                self.words.append(word)
-                self.hashes.append(code)
+            self.hashes.append(code)
         self[word] = number
         return number
 
@@ -284,24 +303,35 @@ class Counted:
         kept = length >= self.shortest
         return np.stack([c[kept] for c in columns], axis=1).astype(">u4")
 
-    def run(self, keep: int = 0) -> Iterator[pa.RecordBatch]:
-        """Spill subtrees as a sorted run."""
+    def run(self, parts: int, keep: int = 0) -> Iterator[pa.RecordBatch]:
+        """Spill subtrees as sorted runs, one per prefix partition."""
         windows, counts = self.trie.spilled(keep)
         if not len(counts):
             return
         words = self.ids.words
+        by_rank = np.array(sorted(range(len(words)), key=words.__getitem__))
         rank = np.empty(len(words), np.int64)
-        rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        rank[by_rank] = np.arange(len(words))
         windows = windows.astype(np.int64)
-        order = np.lexsort(rank[windows].T[::-1])
-        names = pa.array(words, pa.binary()).cast(pa.string())
-        for low in range(0, len(order), MERGED_ROWS):
-            at = order[low : low + MERGED_ROWS]
-            columns = [names.take(pa.array(windows[at, k])) for k in range(self.longest)]
-            lang = pa.array([self.lang] * len(at), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [columns[0], lang, *columns[1:], pa.array(counts[at])], names=run_columns(self.longest)
-            )
+        hashes = np.array(self.ids.hashes, np.uint64)
+        code = hashes[windows[:, 0]]
+        for k in range(1, self.shortest):
+            code = pair_hashes(code, hashes[windows[:, k]])
+        part = ((code >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+        ranked = rank[windows]
+        order = np.lexsort([*ranked.T[::-1], part])
+        part, ranked, counts = part[order], ranked[order], counts[order]
+        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        rows = []
+        for low, high in zip(cuts, np.append(cuts[1:], len(part))):
+            there, numbers = np.unique(ranked[low:high], return_inverse=True)
+            named = b"\n".join([words[k] for k in by_rank[there].tolist()])  # no word has a line end
+            columns = numbers.reshape(high - low, -1).T.astype("<u4").tobytes()
+            packed = (compress(x, 1) for x in (named, columns, counts[low:high].astype("<u8").tobytes()))
+            rows.append((int(part[low]), self.lang, *packed))
+        kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "lang", "words", "windows", "counts"])
 
     def renew(self) -> None:
         """Give out ids anew, after all has been spilled."""
@@ -310,16 +340,12 @@ class Counted:
         self.tail = np.array([self.ids[w] if w else 0 for w in words], np.int64)
 
 
-def run_columns(longest: int) -> list[str]:
-    """The first word comes before the language: it tells more rows apart when they are sorted."""
-    return ["w1", "lang", *(f"w{k}" for k in range(2, longest + 1)), "n"]
-
-
 def runs_of(
     docs: DataFrame, lengths: tuple[int, int], words: bytes | None = None, pairs: bytes | None = None
 ) -> DataFrame:
-    """Sorted runs of the windows of `docs` (lang, text)."""
+    """Sorted runs of the windows of `docs` (lang, text) by prefix partition."""
     context = docs.sparkSession.sparkContext
+    parts = partitions(docs.sparkSession)
     word_bits = context.broadcast(words) if words is not None else None
     pair_bits = context.broadcast(pairs) if pairs is not None else None
 
@@ -331,12 +357,12 @@ def runs_of(
         def spilled() -> Iterator[pa.RecordBatch]:
             if sum(len(c.ids) for c in langs.values()) > WORDS:
                 for counted in langs.values():
-                    yield from counted.run()
+                    yield from counted.run(parts)
                     counted.renew()
             total = sum(c.trie.size for c in langs.values())
             if total > ENTRIES:
                 for counted in langs.values():
-                    yield from counted.run(counted.trie.size // 2)
+                    yield from counted.run(parts, counted.trie.size // 2)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -351,80 +377,106 @@ def runs_of(
                     yield from spilled()
         for counted in langs.values():
             counted.count(last=True)
-            yield from counted.run()
+            yield from counted.run(parts)
 
-    fields = ", ".join(f"{c} {'long' if c == 'n' else 'string'}" for c in run_columns(lengths[1]))
     texts = docs.filter(F.col("text").isNotNull()).select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text"
     )
-    return texts.mapInArrow(count, fields)
+    return texts.mapInArrow(count, RUN_SCHEMA)
 
 
-def merged(runs: DataFrame, lengths: tuple[int, int], least: int) -> DataFrame:
-    """All phrases of the lengths with `least` occurrences in all runs: lang, phrase, words, n."""
-    shortest, longest = lengths
-    order = run_columns(longest)[:-1]
-
-    def added(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        """The sums of every prefix; rows are sorted, so those of a prefix lie together."""
-        n = rows.num_rows
-        counts = rows.column("n").to_numpy()
-        change = np.zeros(n, bool)
-        change[0] = True
-        for k in range(1, longest + 1):
-            for name in ("w1", "lang") if k == 1 else (f"w{k}",):
-                column = rows.column(name).combine_chunks()
-                change[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-            if k < shortest:
-                continue
-            starts = np.flatnonzero(change)
+def partitions(spark: SparkSession) -> int:
+    """Prefix partitions: as many as shuffles have, so that they grow with the cluster's settings."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Merge:
+    """The runs of one language in one prefix partition."""
+
+    def __init__(self, lang: str, lengths: tuple[int, int], least: int):
+        self.lang, self.least = lang, least
+        self.shortest, self.longest = lengths
+        self.ids: dict[bytes, int] = {b"": 0}
+        self.windows: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.rows = 0
+
+    def take(self, words: bytes, windows: bytes, counts: bytes) -> None:
+        ids = self.ids
+        known = [ids.setdefault(w, len(ids)) for w in decompress(words).split(b"\n")]
+        columns = np.frombuffer(decompress(windows), "<u4").reshape(self.longest, -1)
+        self.windows.append(np.array(known, np.uint32)[columns])
+        self.counts.append(np.frombuffer(decompress(counts), "<u8").astype(np.int64))
+        self.rows += columns.shape[1]
+        if self.rows > MERGED_ROWS and len(self.windows) > 1:
+            self._add_up()
+
+    def _add_up(self) -> np.ndarray:
+        """Leave every window once; where it differs from the one before, by column."""
+        windows, counts = np.concatenate(self.windows, axis=1), np.concatenate(self.counts)
+        order = np.lexsort(windows[::-1])
+        windows, counts = windows[:, order], counts[order]
+        change = np.ones(windows.shape, bool)
+        change[:, 1:] = np.logical_or.accumulate(windows[:, 1:] != windows[:, :-1], axis=0)
+        starts = np.flatnonzero(change[-1])
+        self.windows, self.counts = [windows[:, starts]], [np.add.reduceat(counts, starts)]
+        self.rows = len(starts)
+        return change[:, starts]
+
+    def phrases(self) -> Iterator[pa.RecordBatch]:
+        """All prefixes that occur often enough: their windows lie together."""
+        change = self._add_up()
+        windows, counts = self.windows[0], self.counts[0]
+        words = list(self.ids)
+        if self.shortest == 1:  # all words together, as a phrase without words
+            row = {"lang": self.lang, "phrase": "", "words": 0, "n": int(counts.sum())}
+            yield pa.RecordBatch.from_pylist([row], PHRASES)
+        for k in range(self.shortest, self.longest + 1):
+            starts = np.flatnonzero(change[k - 1])
             sums = np.add.reduceat(counts, starts)
-            kept = pc.not_equal(rows.column(f"w{k}"), "").combine_chunks().to_numpy(zero_copy_only=False)[starts]
-            # The first and the last group may go on beyond these rows.
-            enough = sums >= least
-            enough[[0, -1]] = True
-            at = np.flatnonzero(kept & enough)
-            if len(at):
-                picked = rows.take(pa.array(starts[at]))
-                names = [picked.column(f"w{j}").combine_chunks() for j in range(1, k + 1)]
-                phrase = pc.binary_join_element_wise(*names, " ") if k > 1 else names[0]
-                yield pa.RecordBatch.from_arrays(
-                    [picked.column("lang").combine_chunks(), phrase, pa.array([k] * len(at), pa.int32()),
-                     pa.array(sums[at])],
-                    names=["lang", "phrase", "words", "n"],
-                )
+            at = (sums >= self.least) & (windows[k - 1, starts] > 0)
+            found = windows[:k, starts[at]].T.tolist()
+            if found:
+                phrases = [b" ".join([words[w] for w in row]).decode() for row in found]
+                columns = [[self.lang] * len(found), phrases, [k] * len(found), sums[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PHRASES)], schema=PHRASES)
+
+
+def merged(runs: DataFrame, lengths: tuple[int, int], least: int) -> DataFrame:
+    """All phrases of the lengths with `least` occurrences in all runs: lang, phrase, words, n.
+
+    With single words there are also rows without a phrase that add up to all words of a lang.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
+        here, langs = None, {}
         for batch in batches:
-            waiting.append(batch)
-            size += batch.num_rows
-            if size >= MERGED_ROWS:
-                yield from added(pa.Table.from_batches(waiting))
-                waiting, size = [], 0
-        if size:
-            yield from added(pa.Table.from_batches(waiting))
-
-    sums = runs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(merge, PHRASE_SCHEMA)
-    return (
-        sums.groupBy("lang", "phrase", "words")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least)
-    )
+            for part, lang, *run in zip(*batch.columns):
+                part, lang = part.as_py(), lang.as_py()
+                if part != here:
+                    for merging in langs.values():
+                        yield from merging.phrases()
+                    here, langs = part, {}
+                if lang not in langs:
+                    langs[lang] = Merge(lang, lengths, least)
+                langs[lang].take(*(memoryview(x.as_buffer()) for x in run))
+        for merging in langs.values():
+            yield from merging.phrases()
+
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(merge, PHRASE_SCHEMA)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """All phrases of up to `longest` words with `least` occurrences, and all words of each lang (n)."""
-    word_runs = stored(runs_of(docs, (1, 1)), "word-runs")
-    totals = word_runs.groupBy("lang").agg(F.sum("n").alias("total"))
-    words = stored(merged(word_runs, (1, 1), least), "words")
+    """All phrases of up to `longest` words with `least` occurrences, and all words of each lang (total)."""
+    counted = stored(merged(runs_of(docs, (1, 1)), (1, 1), least), "words")
+    totals = counted.filter("words = 0").groupBy("lang").agg(F.sum("n").alias("total"))
+    words = counted.filter("words = 1")
     levels, word_bits = [words], bitmap_of(words)
     if longest > 1:
-        runs = stored(runs_of(docs, (2, 2), word_bits), "pair-runs")
-        pairs = stored(merged(runs, (2, 2), least), "pairs")
+        pairs = stored(merged(runs_of(docs, (2, 2), word_bits), (2, 2), least), "pairs")
         levels.append(pairs)
         if longest > 2:
-            runs = stored(runs_of(docs, (3, longest), word_bits, bitmap_of(pairs)), "window-runs")
+            runs = runs_of(docs, (3, longest), word_bits, bitmap_of(pairs))
             levels.append(stored(merged(runs, (3, longest), least), "windows"))
     phrases = levels[0]
     for level in levels[1:]:

@@ -83,25 +83,30 @@ def test_small_memory_gives_the_same(spark, monkeypatch):
     The runs are made in this process, as the settings would not reach Spark's workers.
     """
     rows = [(lang or "und", text) for lang, text in corpus(3) if text is not None]
-    for name, value in (("BURST", 3), ("MERGED_ROWS", 5), ("BLOCK", 50)):
+    for name, value in (("MERGED_ROWS", 5), ("BLOCK", 50)):
         monkeypatch.setattr(p, name, value)
     langs, runs = {}, []
     for k, (lang, text) in enumerate(rows):
         counted = langs.setdefault(lang, p.Counted(lang, (1, 5), None, None))
-        counted.trie.burst = 3
+        counted.trie.burst, counted.trie.heavy = 3, 2
         for _ in counted.feed(text):
             if counted.trie.size > 40:
-                runs += counted.run(20)
+                runs += counted.run(7, 20)
             if len(counted.ids) > 15:
-                runs += counted.run()
+                runs += counted.run(7)
                 counted.renew()
     for counted in langs.values():
         counted.count(last=True)
-        runs += counted.run()
+        runs += counted.run(7)
     assert len(runs) > 20
     lines = [tuple(r.values()) for batch in runs for r in batch.to_pylist()]
-    frame = spark.createDataFrame(lines, "w1 string, lang string, w2 string, w3 string, w4 string, w5 string, n long")
-    got = {(r.lang, r.phrase): r.n for r in merged(frame.repartition(3), (1, 5), 2).collect()}
+    frame = spark.createDataFrame(lines, p.RUN_SCHEMA)
+    found_rows = merged(frame.repartition(3), (1, 5), 2).collect()
+    got = {(r.lang, r.phrase): r.n for r in found_rows if r.words}
+    totals = Counter()
+    for r in found_rows:
+        totals[r.lang] += 0 if r.words else r.n
+    assert totals == Counter(lang for lang, text in rows for words in pieces(text) for _ in words)
     want = Counter()
     for lang, text in rows:
         for words in pieces(text):
@@ -113,7 +118,7 @@ def test_small_memory_gives_the_same(spark, monkeypatch):
 
 def test_trie_counts_and_spills():
     draw = np.random.default_rng(5)
-    trie, want, got = HatTrie(4, burst=8), Counter(), Counter()
+    trie, want, got = HatTrie(4, burst=8, heavy=3), Counter(), Counter()
     for _ in range(30):
         windows = draw.integers(1, 5, (50, 4)).astype(">u4")
         trie.add(windows)
@@ -161,4 +166,4 @@ def test_empty_tables(spark):
 
 def test_runs_ignore_other_columns(spark):
     docs = spark.createDataFrame([("en", "a b", "z", 5)], "lang string, text string, w1 string, n int")
-    assert [tuple(r) for r in runs_of(docs, (2, 2)).collect()] == [("a", "en", "b", 1)]
+    assert [tuple(r) for r in merged(runs_of(docs, (2, 2)), (2, 2), 1).collect()] == [("en", "a b", 2, 1)]
