@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS
+from eventtally.functions import skew
 from eventtally.functions.parsing import INSTANT_PATTERN, iso_instant, required_instant
 from eventtally.functions.skew import lookup_join, salted_join
 from eventtally.operators.totals import size_micros, start_of
+from eventtally.session import stored_with_size
 
 
 def request_bound(text: str) -> datetime:
@@ -87,10 +89,8 @@ def bulk_range_totals(
     requests: DataFrame,
     totals: DataFrame,
     spread_by: list[str] | None = None,
-    first_day_only: bool = False,
 ) -> DataFrame:
-    """Every total that lies in the range of each request (metric_name, start, end), or only
-    those whose window begins on the first day of the range.
+    """Every total that lies in the range of each request (metric_name, start, end).
 
     A range test alone would compare each request with all totals of its metric. Here
     each request is written out once per day of its range and meets the totals of the
@@ -105,25 +105,7 @@ def bulk_range_totals(
     table_days = totals.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
     low, high = (F.lit(table_days[k]).cast("date") for k in ("low", "high"))
     columns = requests.columns
-    bounds = requests.withColumn(
-        "_from", required_instant(F.col("start")).cast(kind)
-    ).withColumn("_to", required_instant(F.col("end")).cast(kind))
-    begin = F.to_date("_from")
-    first = F.greatest(begin, low)
-    last = F.least(F.to_date("_to"), high, *([begin] if first_day_only else []))
-    by_day = (
-        bounds.withColumn("_first", first)
-        .withColumn("_last", last)
-        .withColumn(
-            "_day",
-            F.explode(
-                F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last")).otherwise(
-                    F.array().cast("array<date>")
-                )
-            ),
-        )
-        .drop("_first", "_last")
-    )
+    by_day = _by_day(requests, kind, low, high)
     asked = by_day.select("metric_name", "_day").distinct()
     span = by_day.agg(F.min("_day").alias("low"), F.max("_day").alias("high")).first()
     rows = (
@@ -142,6 +124,54 @@ def bulk_range_totals(
     return joined.select(*columns, "metric_value", "window_start", "window_end")
 
 
+def _by_day(requests: DataFrame, kind: str, low: Column, high: Column) -> DataFrame:
+    """A row per request and day of its range (`_day`), from `low` to `high` at most.
+
+    The bounds of a request go along as `_from` and `_to`.
+    """
+    bounds = requests.withColumn(
+        "_from", required_instant(F.col("start")).cast(kind)
+    ).withColumn("_to", required_instant(F.col("end")).cast(kind))
+    first = F.greatest(F.to_date("_from"), low)
+    last = F.least(F.to_date("_to"), high)
+    days = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<date>"))
+    return bounds.withColumn("_day", F.explode(days))
+
+
+def earliest_totals(requests: DataFrame, totals: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The earliest total in the range of each request (metric_name, start, end).
+
+    `firsts` has the first window of each metric, day and length. Windows are only looked
+    at on the first day of a range; of each later day the first one of each length is
+    enough, as no later one of its length ends sooner. Both go into one join on metric
+    and day.
+    """
+    kind = dict(totals.dtypes)["window_start"]
+    index_days = firsts.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
+    low, high = (F.lit(index_days[k]).cast("date") for k in ("low", "high"))
+    by_day = _by_day(requests, kind, low, high)
+    asked, asked_size = stored_with_size(
+        by_day.withColumn("_whole", F.col("_day") == F.to_date("_from")), "asked"
+    )
+    # No more days than the table has folders.
+    begun = F.broadcast(asked.filter("_whole").select(F.col("_day").alias("day")).distinct())
+    rows = (
+        totals.join(begun, "day", "left_semi")
+        .select(*SERVING_COLUMNS, "day", F.lit(True).alias("_whole"))
+        .unionByName(firsts.select(*SERVING_COLUMNS, "day", F.lit(False).alias("_whole")))
+        .withColumnRenamed("day", "_day")
+    )
+    keys = ["metric_name", "_day", "_whole"]
+    inside = (F.col("window_start") >= F.col("_from")) & (F.col("window_end") <= F.col("_to"))
+    if asked_size <= skew.BROADCAST_BYTES:
+        # The windows stay where they are, and so do all answers of a task but the earliest.
+        joined = rows.join(F.broadcast(asked), keys).filter(inside)
+    else:
+        joined = salted_join(asked, rows, keys, requests.columns, condition=inside)
+    first = F.min(F.struct("window_start", "window_end", "metric_value")).alias("first")
+    return joined.groupBy(*requests.columns).agg(first).select(*requests.columns, "first.*")
+
+
 def window_of_event(
     events: DataFrame,
     totals: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventtally.functions.skew import lookup_join
-from eventtally.operators.lookup import bulk_range_totals
+from eventtally.operators.lookup import earliest_totals
 
 REQUEST_KEY = ["metric_name", "start", "end"]
 
@@ -64,31 +64,16 @@ def hit_ratio(probed: DataFrame) -> DataFrame:
     )
 
 
-def refill(missed: DataFrame, totals: DataFrame, as_of: Column) -> DataFrame:
+def refill(missed: DataFrame, totals: DataFrame, firsts: DataFrame, as_of: Column) -> DataFrame:
     """New entries for missed requests: the value of the earliest window in range.
 
-    A key that was asked for many times is looked up once. Requests without any total
-    get no entry. All windows are only looked at on the first day of a range; of each later
-    day the first window of each length is enough, as no later one of its length ends sooner.
+    `totals` and `firsts` are a serving table and its index of first windows. A key that was
+    asked for many times is looked up once. Requests without any total get no entry.
     """
     wanted = missed.select(*REQUEST_KEY).distinct()
-    first = F.min_by("metric_value", F.struct("window_start", "window_end", "metric_value"))
-    day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
-    length = F.unix_micros(F.col("window_end").cast("timestamp")) - F.unix_micros(
-        F.col("window_start").cast("timestamp")
-    )
-    of_day = (
-        totals.groupBy("metric_name", day.alias("day"), length.alias("length"))
-        .agg(F.min(F.struct("window_start", "window_end", "metric_value")).alias("first"))
-        .select("metric_name", "day", "first.*")
-    )
-    found = bulk_range_totals(wanted, totals, first_day_only=True).unionByName(
-        bulk_range_totals(wanted, of_day)
-    )
-    return (
-        found.groupBy(*REQUEST_KEY)
-        .agg(first.cast("string").alias("value"))
-        .withColumn("cached_at", as_of)
+    found = earliest_totals(wanted, totals, firsts)
+    return found.select(
+        *REQUEST_KEY, F.col("metric_value").cast("string").alias("value"), as_of.alias("cached_at")
     )
 
 

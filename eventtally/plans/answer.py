@@ -44,9 +44,10 @@ def refreshed(
     requests: DataFrame,
     snapshot: DataFrame,
     totals: DataFrame,
+    firsts: DataFrame,
     as_of: Column,
     ttl_seconds: int | None = 60,
 ) -> DataFrame:
-    """The snapshot after these requests were answered."""
+    """The snapshot after these requests were answered; `firsts` is the index of `totals`."""
     missed = snap.misses(snap.probe(requests, snapshot, as_of, ttl_seconds))
-    return snap.stored(snapshot, snap.refill(missed, totals, as_of))
+    return snap.stored(snapshot, snap.refill(missed, totals, firsts, as_of))

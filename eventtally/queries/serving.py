@@ -16,7 +16,7 @@ from eventtally.queries.registry import query
 from eventtally.queries.totals import TOTALS_OUT, rounded
 from eventtally.session import shared_folder
 from eventtally.sinks.serving import upsert_serving, write_serving
-from eventtally.sources.serving import read_serving
+from eventtally.sources.serving import read_first_windows, read_serving
 
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
@@ -158,8 +158,9 @@ FROM (SELECT r.metric_name, r.start, r."end", t.metric_value, t.window_start
 GROUP BY metric_name, start, "end\""""
 )
 def snapshot_refill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    served, _ = _served(spark, sf_dir)
-    entries = snap.refill(i.requests(spark, sf_dir), served, F.expr(i.AS_OF))
+    served, path = _served(spark, sf_dir)
+    firsts = read_first_windows(spark, path)
+    entries = snap.refill(i.requests(spark, sf_dir), served, firsts, F.expr(i.AS_OF))
     return entries.withColumn("value", F.round(F.col("value").cast("double"), 4))
 
 
@@ -185,9 +186,10 @@ FROM (SELECT metric_name, start, "end",
 GROUP BY metric_name, start, "end\""""
 )
 def snapshot_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    served, _ = _served(spark, sf_dir)
+    served, path = _served(spark, sf_dir)
+    firsts = read_first_windows(spark, path)
     after = refreshed(
-        i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), served, F.expr(i.AS_OF)
+        i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), served, firsts, F.expr(i.AS_OF)
     )
     return after.withColumn("value", F.round(F.expr("try_cast(value AS DOUBLE)"), 4))
 

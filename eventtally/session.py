@@ -38,10 +38,39 @@ def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names directly below a folder, on whatever file system it is; none if it is not there."""
+    files, place = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers of the entries `name=<number>` below a folder, ascending."""
+    found = (entry.partition("=") for entry in names_in(spark, path))
+    return sorted(int(number) for key, _, number in found if key == name)
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to its end."""
+    files, place = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def set_mark(spark: SparkSession, path: str) -> None:
+    """Make an empty file: there at once or not at all."""
+    files, place = _file_system(spark, path)
+    files.create(place, True).close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written, on whatever file system it is."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:

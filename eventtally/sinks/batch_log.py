@@ -1,49 +1,80 @@
-"""Tables that grow by one folder per micro-batch.
+"""Tables that grow by one folder per micro-batch and are folded day by day.
 
-A batch that runs again overwrites its own folder and no other, so writes are
-idempotent without a transaction. Readers fold the folders: partial sums are added
-up, replaced totals are taken from the latest batch. `compact` writes the fold of
-all batches up to one as a new generation and marks it last, so a reader sees either
-the batches or their fold, never both and never neither.
+    batches/batch_id=N         the rows of a batch; a batch that runs again replaces its own
+    days/upto=U/day=D          all rows of a day up to batch U, folded to one per key
+    marks/upto=U               an empty file: the fold up to U is complete
+
+A fold reads the batches since the last mark and the newest generation of the days that occur in
+them, and writes new generations of these days only. A reader takes every day's newest marked
+generation and the batches after the last mark. What a mark has superseded is deleted by the
+fold after it, so a reader has its files for as long as one publish to the next takes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS, SERVING_KEY
-from eventtally.session import is_missing, remove_folder
+from eventtally.session import names_in, numbered, remove_folder, set_mark
 
 LOGGED = (
     "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP, "
     "window_end TIMESTAMP, batch_id BIGINT"
 )
 
-NOTHING_COMPACTED = -1
+NOTHING_FOLDED = -1
+ROWS_PER_FILE = 1_000_000
+
+Fold = Callable[[], Column]
+
 
-Fold = Callable[[DataFrame], DataFrame]
+def added() -> Column:
+    """The value of a key whose rows are partial sums."""
+    return F.sum("metric_value")
+
+
+def newest() -> Column:
+    """The value of a key whose rows replace one another."""
+    return F.max_by("metric_value", "batch_id")
+
+
+def folded(log: DataFrame, fold: Fold) -> DataFrame:
+    """One row per key, with the last batch that changed it."""
+    return log.groupBy(*SERVING_KEY).agg(
+        fold().alias("metric_value"), F.max("batch_id").alias("batch_id")
+    )
 
 
 def sum_partials(log: DataFrame) -> DataFrame:
     """Totals from partial sums: the sum of the sums per key."""
-    return log.groupBy(*SERVING_KEY).agg(F.sum("metric_value").alias("metric_value")).select(
-        *SERVING_COLUMNS
-    )
+    return folded(log, added).select(*SERVING_COLUMNS)
 
 
 def latest_totals(log: DataFrame) -> DataFrame:
     """Totals from replaced values: the one of the latest batch per key."""
-    latest = F.max_by("metric_value", "batch_id").alias("metric_value")
-    return log.groupBy(*SERVING_KEY).agg(latest).select(*SERVING_COLUMNS)
+    return folded(log, newest).select(*SERVING_COLUMNS)
 
 
-def gathered(rows: DataFrame, files: int | None = None) -> DataFrame:
-    """The rows in as many tasks as their size asks for, or in a given number."""
-    return rows.hint("rebalance") if files is None else rows.repartition(files)
+def write_gathered(rows: DataFrame, path: str, files: int | None = None) -> None:
+    """Replace a folder by rows in as many files as their size asks for, or in a given number."""
+    spark = rows.sparkSession
+    if files is None and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows.hint("rebalance").write.mode("overwrite").parquet(path)
+        return
+    if files is not None:
+        rows.repartition(files).write.mode("overwrite").parquet(path)
+        return
+    # Streams with state run without adaptive execution: the rows are counted instead.
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kept.coalesce(max(1, ceil(kept.count() / ROWS_PER_FILE))).write.mode("overwrite").parquet(path)
+    finally:
+        kept.unpersist()
 
 
 def claim(spark: SparkSession, path: str, run: str) -> None:
@@ -52,15 +83,10 @@ def claim(spark: SparkSession, path: str, run: str) -> None:
     Batches count from 0 in every run. A new run on an old output would overwrite its
     batches one by one, so it is refused.
     """
-    try:
-        owner = spark.read.schema("run STRING").parquet(f"{path}/run").first()
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        owner = None
-    if owner is None:
-        spark.range(1).select(F.lit(run).alias("run")).write.mode("overwrite").parquet(f"{path}/run")
-    elif owner["run"] != run:
+    owners = names_in(spark, f"{path}/run")
+    if not owners:
+        set_mark(spark, f"{path}/run/{run}")
+    elif owners != [run]:
         raise ValueError(f"{path} holds the batches of another run; use a folder of its own")
 
 
@@ -73,68 +99,100 @@ def claimed_by_stream(batch: DataFrame, path: str) -> None:
 
 
 def append_batch(rows: DataFrame, path: str, batch_id: int, files: int | None = None) -> None:
-    """Write the rows of one batch, in files of a size that suits them."""
-    (
-        gathered(rows.select(*SERVING_COLUMNS), files)
-        .write.mode("overwrite")
-        .parquet(f"{path}/batches/batch_id={batch_id}")
-    )
-    if batch_id == 0:
-        _mark(rows.sparkSession, path, NOTHING_COMPACTED)
+    """Write the rows of one batch."""
+    write_gathered(rows.select(*SERVING_COLUMNS), f"{path}/batches/batch_id={batch_id}", files)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The current generation, if there is one, and all batches after it."""
-    upto = _compacted_upto(spark, path)
-    batches = spark.read.schema(LOGGED).parquet(f"{path}/batches")
-    if upto == NOTHING_COMPACTED:
-        return batches
-    base = spark.read.schema(LOGGED).parquet(f"{path}/generations/upto={upto}")
-    return base.unionByName(batches.filter(F.col("batch_id") > upto))
-
-
-def compact(spark: SparkSession, path: str, fold: Fold, upto: int) -> None:
-    """Fold all batches up to one into a generation; later reads skip those batches."""
-    if upto <= _compacted_upto(spark, path):
-        return
-    log = read_log(spark, path).filter(F.col("batch_id") <= upto)
-    (
-        fold(log)
-        .withColumn("batch_id", F.lit(upto).cast("long"))
-        .withColumn("day", F.to_date("window_start"))
-        .hint("rebalance", "day")
-        .sortWithinPartitions("day", "metric_name", "window_start")
-        .drop("day")
-        .write.mode("overwrite")
-        .parquet(f"{path}/generations/upto={upto}")
-    )
-    _mark(spark, path, upto)
+def folded_upto(spark: SparkSession, path: str) -> int:
+    return max(numbered(spark, f"{path}/marks", "upto"), default=NOTHING_FOLDED)
 
 
-def drop_compacted(spark: SparkSession, path: str, upto: int) -> None:
-    """Delete the folders of batches that a finished generation holds.
+def _day_folders(spark: SparkSession, path: str) -> dict[int, list[str]]:
+    """The days of each generation, the oldest generation first."""
+    root = f"{path}/days"
+    return {
+        upto: [n for n in names_in(spark, f"{root}/upto={upto}") if n.startswith("day=")]
+        for upto in numbered(spark, root, "upto")
+    }
 
-    Call it when no reader that began before the compaction still runs. The first mark and
-    the newest generation stay.
-    """
-    done = _compacted_upto(spark, path)
-    for batch_id in range(min(upto, done) + 1):
-        remove_folder(spark, f"{path}/batches/batch_id={batch_id}")
 
+def _newest(generations: dict[int, list[str]], mark: int) -> dict[str, int]:
+    """The newest generation of every day, of those that a mark covers."""
+    return {day: upto for upto, days in generations.items() if upto <= mark for day in days}
 
-def _mark(spark: SparkSession, path: str, upto: int) -> None:
-    """One row, written only after the generation it speaks of is complete."""
-    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/marks/mark={upto}")
 
+def _read(spark: SparkSession, root: str, folders: list[str], base: bool = False) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], LOGGED)
+    reader = spark.read.schema(LOGGED)
+    reader = reader.option("basePath", root) if base else reader
+    return reader.parquet(*(f"{root}/{folder}" for folder in folders))
 
-def _compacted_upto(spark: SparkSession, path: str) -> int:
-    try:
-        marks = spark.read.schema("upto BIGINT").parquet(f"{path}/marks")
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        # A log that does not begin with batch 0 has no first mark.
-        return NOTHING_COMPACTED
-    return marks.agg(F.max("upto")).first()[0]
+
+def _read_days(spark: SparkSession, path: str, days: dict[str, int]) -> DataFrame:
+    return _read(spark, f"{path}/days", [f"upto={upto}/{day}" for day, upto in sorted(days.items())])
+
+
+def _read_batches(spark: SparkSession, path: str, after: int, upto: int | None = None) -> DataFrame:
+    numbers = numbered(spark, f"{path}/batches", "batch_id")
+    folders = [f"batch_id={n}" for n in numbers if n > after and (upto is None or n <= upto)]
+    return _read(spark, f"{path}/batches", folders, base=True)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The newest generation of every day and all batches after the last mark."""
+    mark = folded_upto(spark, path)
+    days = _newest(_day_folders(spark, path), mark)
+    return _read_days(spark, path, days).unionByName(_read_batches(spark, path, mark))
+
+
+def read_changed(spark: SparkSession, path: str, after: int) -> DataFrame:
+    """The folded rows that batches after a given one have changed; other days are not read."""
+    days = _newest(_day_folders(spark, path), folded_upto(spark, path))
+    touched = {day: upto for day, upto in days.items() if upto > after}
+    return _read_days(spark, path, touched).filter(F.col("batch_id") > after)
+
+
+def fold_log(spark: SparkSession, path: str, fold: Fold, upto: int) -> None:
+    """Fold the batches up to one into the days that they touch.
+
+    A fold that broke off left no mark and is written anew.
+    """
+    before = folded_upto(spark, path)
+    if upto <= before:
+        return
+    new = _read_batches(spark, path, before, upto)
+    day = F.to_date("window_start")
+    # As many days as the table has folders at most, which the driver lists anyway.
+    touched = {f"day={row[0]}" for row in new.select(day.cast("string")).distinct().collect()}
+    generations = _day_folders(spark, path)
+    kept = {d: u for d, u in _newest(generations, before).items() if d in touched}
+    (
+        folded(_read_days(spark, path, kept).unionByName(new), fold)
+        .withColumn("day", day)
+        .hint("rebalance", "day")
+        .sortWithinPartitions("day", "metric_name", "window_start")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("day")
+        .parquet(f"{path}/days/upto={upto}")
+    )
+    set_mark(spark, f"{path}/marks/upto={upto}")
+    _reclaim(spark, path, generations, before)
+
+
+def _reclaim(spark: SparkSession, path: str, generations: dict[int, list[str]], mark: int) -> None:
+    """Delete what a mark has superseded: older generations and marks, and its batches."""
+    newest_days = _newest(generations, mark)
+    for upto, days in generations.items():
+        if upto <= mark:
+            old = [day for day in days if newest_days[day] > upto]
+            gone = [f"upto={upto}"] if len(old) == len(days) else [f"upto={upto}/{day}" for day in old]
+            for folder in gone:
+                remove_folder(spark, f"{path}/days/{folder}")
+    for number in numbered(spark, f"{path}/batches", "batch_id"):
+        if number <= mark:
+            remove_folder(spark, f"{path}/batches/batch_id={number}")
+    for number in numbered(spark, f"{path}/marks", "upto"):
+        if number < mark:
+            remove_folder(spark, f"{path}/marks/upto={number}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventtally.config import ACTIVITIES_DLQ_TOPIC, TRANSACTIONS_DLQ_TOPIC
-from eventtally.sinks.batch_log import gathered
+from eventtally.sinks.batch_log import write_gathered
 from eventtally.sources.topics import TRANSACTION
 
 MALFORMED = "malformed"
@@ -27,8 +27,7 @@ def append_dead_letters(
     parsed: DataFrame, path: str, batch_id: int, files: int | None = None
 ) -> None:
     """Append the unreadable records of a batch; a repeated batch replaces itself."""
-    letters = gathered(dead_letters(parsed), files)
-    letters.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    write_gathered(dead_letters(parsed), f"{path}/batch_id={batch_id}", files)
 
 
 def dead_letter_records(letters: DataFrame) -> DataFrame:

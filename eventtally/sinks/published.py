@@ -1,52 +1,61 @@
-"""From captured partial sums to the serving table."""
+"""From the log of a stream to the serving table."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from eventtally.config import SERVING_KEY
-from eventtally.session import is_missing, remove_folder, shared_folder
-from eventtally.sinks.batch_log import compact, read_log, sum_partials
-from eventtally.sinks.serving import upsert_serving
+from eventtally.config import SERVING_COLUMNS
+from eventtally.session import is_finished, numbered, remove_folder, set_mark
+from eventtally.sinks.batch_log import Fold, added, fold_log, newest, read_changed
+from eventtally.sinks.serving import finish_upsert, upsert_serving
+
+NOTHING_PUBLISHED = -1
 
 
 def published_upto(spark: SparkSession, path: str) -> int:
-    """The last batch whose totals the serving table holds; -1 for none."""
-    try:
-        marks = spark.read.schema("upto BIGINT").parquet(f"{path}/published")
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return -1
-    return marks.agg(F.max("upto")).first()[0]
+    """The last batch whose totals the serving table holds."""
+    return max(numbered(spark, f"{path}/published", "upto"), default=NOTHING_PUBLISHED)
 
 
-def publish_captured(spark: SparkSession, path: str, serving_path: str) -> None:
-    """Upsert the totals of all windows that batches have changed since the last time.
+def last_finished(spark: SparkSession, path: str) -> int | None:
+    """The last batch below a folder that was written to its end."""
+    for number in reversed(numbered(spark, path, "batch_id")):
+        if is_finished(spark, f"{path}/batch_id={number}"):
+            return number
+    return None
+
 
-    `path` is the output of a capture. Only finished batches count, those with a row in the
-    ledger. The totals are sums over the whole log, so a call that broke off can be made
-    again. Afterwards the batches are folded, so the log stays short.
+def publish(
+    spark: SparkSession, path: str, log_path: str, fold: Fold, done: int | None, serving_path: str
+) -> None:
+    """Upsert the totals of all windows that batches up to `done` have changed since the last time.
+
+    Only the days of these windows are read and written, in the log and in the serving
+    table. A call that broke off can be made again: the log is folded under a mark, and a swap
+    of days that has begun is finished from the days kept aside for it.
     """
-    log_path = f"{path}/partials"
-    try:
-        done = spark.read.parquet(f"{path}/ledger").agg(F.max("batch_id")).first()[0]
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return
+    work = f"{path}/publish"
+    if is_finished(spark, f"{work}/days"):
+        finish_upsert(spark, serving_path, work)
     before = published_upto(spark, path)
-    if done is None or done <= before:
-        return
-    log = read_log(spark, log_path).filter(F.col("batch_id") <= done)
-    changed = log.filter(F.col("batch_id") > before).select(*SERVING_KEY).distinct()
-    totals = sum_partials(log.join(changed, SERVING_KEY, "left_semi"))
-    work = shared_folder(spark, "publish")
-    upsert_serving(spark, serving_path, totals, work)
-    compact(spark, log_path, sum_partials, done)
-    spark.range(1).select(F.lit(done).cast("long").alias("upto")).write.mode("overwrite").parquet(
-        f"{path}/published/mark={done}"
-    )
+    if done is not None and done > before:
+        fold_log(spark, log_path, fold, done)
+        changed = read_changed(spark, log_path, before).select(*SERVING_COLUMNS)
+        upsert_serving(spark, serving_path, changed, work)
+        set_mark(spark, f"{path}/published/upto={done}")
+        for number in numbered(spark, f"{path}/published", "upto"):
+            if number < done:
+                remove_folder(spark, f"{path}/published/upto={number}")
     remove_folder(spark, work)
+
+
+def publish_captured(spark: SparkSession, path: str, serving_path: str) -> None:
+    """`publish` for a capture; finished batches are those with a row in the ledger."""
+    done = last_finished(spark, f"{path}/ledger")
+    publish(spark, path, f"{path}/partials", added, done, serving_path)
+
+
+def publish_totals(spark: SparkSession, log_path: str, serving_path: str) -> None:
+    """`publish` for a log of replaced totals."""
+    done = last_finished(spark, f"{log_path}/batches")
+    publish(spark, log_path, log_path, newest, done, serving_path)

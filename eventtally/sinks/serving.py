@@ -1,15 +1,20 @@
-"""Writing the serving table: day folders, sorted for range reads."""
+"""Writing the serving table: day folders, sorted for range reads.
+
+Next to the table lies an index of first windows: a row per metric, day and length of window, with
+the first window of that length. It is written anew for the days that a write touches.
+"""
 
 from __future__ import annotations
 
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS, SERVING_KEY, SERVING_TABLE, Settings
-from eventtally.session import is_missing
+from eventtally.session import is_missing, remove_folder
+from eventtally.sources.serving import first_windows_path
 
 
 def write_serving(totals: DataFrame, path: str) -> None:
@@ -18,8 +23,10 @@ def write_serving(totals: DataFrame, path: str) -> None:
     `totals` must hold all rows of each of its days. Files follow the size of a day:
     small days share a task, a very large one is split.
     """
+    days = Observation()
     (
         totals.select(*SERVING_COLUMNS, F.to_date("window_start").alias("day"))
+        .observe(days, F.collect_set(F.col("day")).alias("days"))
         .hint("rebalance", "day")
         .sortWithinPartitions("day", "metric_name", "window_start")
         .write.mode("overwrite")
@@ -27,6 +34,39 @@ def write_serving(totals: DataFrame, path: str) -> None:
         .partitionBy("day")
         .parquet(path)
     )
+    _index(totals.sparkSession, path, days.get["days"])
+
+
+def first_windows(totals: DataFrame) -> DataFrame:
+    """The first window of each length, per metric and day."""
+    day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
+    length = F.unix_micros(F.col("window_end").cast("timestamp")) - F.unix_micros(
+        F.col("window_start").cast("timestamp")
+    )
+    return (
+        totals.groupBy("metric_name", day.alias("day"), length.alias("length"))
+        .agg(F.min(F.struct("window_start", "window_end", "metric_value")).alias("first"))
+        .select("metric_name", "length", "first.*", "day")
+    )
+
+
+def _index(spark: SparkSession, path: str, days: list[date]) -> None:
+    """Write the index of some days anew; a day without rows leaves it."""
+    if not days:
+        return
+    index = first_windows_path(path)
+    found = Observation()
+    (
+        first_windows(spark.read.parquet(path).filter(F.col("day").isin(days)))
+        .observe(found, F.collect_set(F.col("day")).alias("days"))
+        .hint("rebalance", "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .parquet(index)
+    )
+    for day in {*days} - {*(found.get["days"] or [])}:
+        remove_folder(spark, f"{index}/day={day}")
 
 
 def upserted(current: DataFrame, updates: DataFrame) -> DataFrame:
@@ -107,8 +147,10 @@ def finish_upsert(spark: SparkSession, path: str, work_path: str) -> None:
     write_serving(rows, path)
     left = rows.select(F.to_date("window_start").alias("day")).distinct()
     emptied = spark.read.parquet(f"{work_path}/days").join(left, "day", "left_anti")
-    for row in emptied.collect():
-        rows.limit(0).select(*SERVING_COLUMNS).write.mode("overwrite").parquet(f"{path}/day={row.day}")
+    days = [row.day for row in emptied.collect()]
+    for day in days:
+        rows.limit(0).select(*SERVING_COLUMNS).write.mode("overwrite").parquet(f"{path}/day={day}")
+    _index(spark, path, days)
 
 
 def append_serving_jdbc(totals: DataFrame, settings: Settings, table: str = SERVING_TABLE) -> None:

@@ -12,6 +12,16 @@ def read_serving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*SERVING_COLUMNS, "day")
 
 
+def first_windows_path(path: str) -> str:
+    """Where the index of first windows lies: next to the table, not among its days."""
+    return f"{path.rstrip('/')}-first-windows"
+
+
+def read_first_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The index of a serving table: the first window of each metric, day and length."""
+    return spark.read.parquet(first_windows_path(path)).select(*SERVING_COLUMNS, "day")
+
+
 def read_serving_jdbc(
     spark: SparkSession, settings: Settings, table: str = SERVING_TABLE
 ) -> DataFrame:

@@ -13,7 +13,6 @@ import threading
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,17 +22,18 @@ from eventtally.operators.deltas import event_deltas
 from eventtally.operators.events import parse_events
 from eventtally.operators.lateness import is_late, millis
 from eventtally.operators.totals import window_start, window_totals
-from eventtally.session import is_missing
+from eventtally.session import is_finished
 from eventtally.sinks.batch_log import (
     append_batch,
     claim,
     claimed_by_stream,
-    gathered,
     read_log,
     sum_partials,
+    write_gathered,
 )
 from eventtally.sinks.dead_letters import append_dead_letters
 from eventtally.sinks.published import publish_captured
+from eventtally.streaming.served import ServedQuery
 
 LATE_SCHEMA = (
     "metric_name STRING, delta_value DOUBLE, event_time TIMESTAMP, ingested_at TIMESTAMP, "
@@ -49,17 +49,10 @@ def seen_before_batch(spark: SparkSession, ledger_path: str, batch_id: int) -> i
     """
     if batch_id == 0:
         return None
-    try:
-        row = (
-            spark.read.schema(LEDGER_SCHEMA)
-            .parquet(f"{ledger_path}/batch_id={batch_id - 1}")
-            .first()
-        )
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        raise RuntimeError(f"no ledger row for batch {batch_id - 1}") from error
-    return row[0]
+    before = f"{ledger_path}/batch_id={batch_id - 1}"
+    if not is_finished(spark, before):
+        raise RuntimeError(f"no ledger row for batch {batch_id - 1}")
+    return spark.read.schema(LEDGER_SCHEMA).parquet(before).first()[0]
 
 
 def write_ledger(
@@ -88,9 +81,7 @@ def capture_batch(
     late_rows = deltas.filter(late).select(
         "metric_name", F.col("delta").alias("delta_value"), "event_time", "ingested_at"
     )
-    gathered(late_rows, settings.files_per_batch).write.mode("overwrite").parquet(
-        f"{path}/late/batch_id={batch_id}"
-    )
+    write_gathered(late_rows, f"{path}/late/batch_id={batch_id}", settings.files_per_batch)
     append_batch(
         window_totals(deltas.filter(~late), settings.window_size),
         f"{path}/partials",
@@ -123,57 +114,6 @@ def capture_raw_batch(
         parsed.unpersist()
 
 
-class ServedQuery(StreamingQuery):
-    """A capture whose totals are also served when it has ended and while it waits for input.
-
-    A thread publishes every so many seconds and after the end; `lock` keeps it apart from the
-    batches. Who waits for the query waits for the last totals to be served as well.
-    """
-
-    def __init__(
-        self, query: StreamingQuery, publish: Callable[[], None], seconds: float, lock: threading.Lock
-    ):
-        super().__init__(query._jsq)
-        self._publish, self._seconds, self._lock = publish, seconds, lock
-        self._error: Exception | None = None
-        self._server = threading.Thread(target=self._serve, daemon=True)
-        self._server.start()
-
-    def _serve(self) -> None:
-        ended = False
-        while not ended:
-            try:
-                ended = super().awaitTermination(self._seconds)
-            except StreamingQueryException:
-                ended = True  # its finished batches count; who waits for the query is told
-            try:
-                with self._lock:
-                    self._publish()
-                self._error = None
-            except Exception as error:  # tried again next time; after the end it is raised
-                self._error = error
-
-    def _served(self) -> None:
-        self._server.join()
-        if self._error is not None:
-            raise self._error
-
-    def awaitTermination(self, timeout: float | None = None) -> bool | None:
-        ended = super().awaitTermination(timeout)
-        if timeout is None or ended:
-            self._served()
-        return ended
-
-    def processAllAvailable(self) -> None:
-        super().processAllAvailable()
-        with self._lock:
-            self._publish()
-
-    def stop(self) -> None:
-        super().stop()
-        self._served()
-
-
 def start_capture(
     raw: DataFrame,
     path: str,
@@ -197,7 +137,7 @@ def start_capture(
             claimed_by_stream(batch, path)
             batch_function(batch, batch_id, path, settings)
             if serving_path is not None and (batch_id + 1) % publish_every == 0:
-                publish_captured(batch.sparkSession, path, serving_path)
+                publish_captured(raw.sparkSession, path, serving_path)
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if available_now:

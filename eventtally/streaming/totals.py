@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventtally.config import Settings
-from eventtally.sinks.batch_log import append_batch, claimed_by_stream
+from eventtally.sinks.batch_log import append_batch, claim, claimed_by_stream
+from eventtally.sinks.published import publish_totals
+from eventtally.streaming.served import ServedQuery
 
-# With one stateful operator per query this drops late rows in the batch that follows
-# the one which advanced the watermark, not one batch later.
-MULTIPLE_OPERATORS = "spark.sql.streaming.statefulOperator.allowMultiple"
+# What a query takes over from the session when it starts. With one stateful operator per query
+# late rows are dropped in the batch that follows the one which advanced the watermark, not one batch later.
+# State lies in RocksDB, outside the heap, and a batch writes the changes of state only.
+QUERY_SETTINGS = {
+    "spark.sql.streaming.statefulOperator.allowMultiple": "false",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def streaming_totals(deltas: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -35,17 +45,19 @@ def streaming_totals(deltas: DataFrame, settings: Settings = Settings()) -> Data
 
 
 @contextmanager
-def single_stateful_operator(spark: SparkSession):
-    """A query takes the setting over when it starts; the session gets its own back."""
-    before = spark.conf.get(MULTIPLE_OPERATORS, None)
-    spark.conf.set(MULTIPLE_OPERATORS, "false")
+def query_settings(spark: SparkSession):
+    """The settings while a query starts; the session gets its own back."""
+    before = {name: spark.conf.get(name, None) for name in QUERY_SETTINGS}
+    for name, value in QUERY_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(MULTIPLE_OPERATORS)
-        else:
-            spark.conf.set(MULTIPLE_OPERATORS, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def start_totals(
@@ -55,19 +67,28 @@ def start_totals(
     settings: Settings = Settings(),
     available_now: bool = False,
     closed_only: bool = False,
+    serving_path: str | None = None,
+    publish_every: int = 10,
+    publish_seconds: float = 60,
 ) -> StreamingQuery:
     """Keep a log of changed totals; `batch_log.latest_totals` folds it to the table.
 
     Each batch appends only the totals it changed, under its own number, so a batch that
     runs again replaces itself and no batch rewrites the days it touches. With `closed_only`
-    a total is written once, when its window has closed.
+    a total is written once, when its window has closed. With a serving table, the totals that
+    have changed are put there, as `start_capture` does.
     """
+    spark = deltas.sparkSession
+    lock = threading.Lock()
 
     def write(totals: DataFrame, batch_id: int) -> None:
-        claimed_by_stream(totals, log_path)
-        append_batch(totals, log_path, batch_id, settings.files_per_batch)
+        with lock:
+            claimed_by_stream(totals, log_path)
+            append_batch(totals, log_path, batch_id, settings.files_per_batch)
+            if serving_path is not None and (batch_id + 1) % publish_every == 0:
+                publish_totals(spark, log_path, serving_path)
 
-    with single_stateful_operator(deltas.sparkSession):
+    with query_settings(spark):
         writer = (
             streaming_totals(deltas, settings)
             .writeStream.outputMode("append" if closed_only else "update")
@@ -76,4 +97,26 @@ def start_totals(
         )
         if available_now:
             writer = writer.trigger(availableNow=True)
-        return writer.start()
+        query = writer.start()
+    if serving_path is None:
+        return query
+
+    def publish() -> None:
+        claim(spark, log_path, str(query.id))
+        publish_totals(spark, log_path, serving_path)
+
+    return ServedQuery(query, publish, publish_seconds, lock)
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The totals that a query holds as state after its last batch, from its checkpoint.
+
+    Closed windows have left the state, so these are the windows that can still change.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key.metric_name").alias("metric_name"),
+        F.col("value.sum").alias("metric_value"),
+        F.col("key.window.start").alias("window_start"),
+        F.col("key.window.end").alias("window_end"),
+    )

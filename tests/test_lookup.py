@@ -10,8 +10,8 @@ from eventtally.functions import skew
 from eventtally.operators import lookup as lk
 from eventtally.operators import snapshot as snap
 from eventtally.plans.answer import answer, refreshed
-from eventtally.sinks.serving import write_serving
-from eventtally.sources.serving import read_serving
+from eventtally.sinks.serving import first_windows, replace_windows, upsert_serving, write_serving
+from eventtally.sources.serving import read_first_windows, read_serving
 
 BASE = dt.datetime(2024, 1, 1)
 TOTAL = (
@@ -205,7 +205,8 @@ def test_probe_refill_and_invalidate(spark, data):
         (2, 0.0, iso(BASE), "miss"),
         (2, 1.0, iso(BASE + dt.timedelta(hours=1)), "miss"),
     ]
-    after = refreshed(asked, live, totals, as_of)
+    by_day = totals.withColumn("day", F.to_date("window_start"))
+    after = refreshed(asked, live, by_day, first_windows(totals), as_of)
     assert rows(after, "end", "value") == sorted(
         [(key(3)[2], "7.5"), (key(9)[2], "1.0"), (key(2)[2], "0.0")]
     )
@@ -260,3 +261,46 @@ def test_lookups_read_the_asked_days_only(spark, folder):
     partition_filters = [line for line in plan(bulk).splitlines() if "PartitionFilters" in line]
     assert any(">= 2024-01-03" in line and "<= 2024-01-05" in line for line in partition_filters)
     assert "LeftSemi" in plan(bulk)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_earliest_totals_against_all_windows(spark, folder, monkeypatch, broadcast):
+    """Windows of several lengths, ranges that begin within a day, far outside, and backwards."""
+    if not broadcast:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    draw = random.Random(4)
+    lengths = [1, 60, 1440, 47]
+    served = [
+        (draw.choice("ab"), float(k), start := BASE + dt.timedelta(minutes=draw.randrange(6 * 1440)), start + dt.timedelta(minutes=lengths[k % 4]))
+        for k in range(300)
+    ]
+    frame = spark.createDataFrame(served, TOTAL)
+    write_serving(frame, folder + "/s")
+    asked = []
+    for _ in range(60):
+        low = BASE + dt.timedelta(minutes=draw.randrange(-1440, 7 * 1440))
+        asked.append((draw.choice("abz"), iso(low), iso(low + dt.timedelta(minutes=draw.choice([-5, 30, 2000, 99999])))))
+    asked += [("a", "0001-01-01T00:00:00Z", "9999-12-31T00:00:00Z")]
+    requests = spark.createDataFrame(asked, "metric_name STRING, start STRING, end STRING").distinct()
+    found = lk.earliest_totals(requests, read_serving(spark, folder + "/s"), read_first_windows(spark, folder + "/s"))
+    want = set()
+    for name, start, end in set(asked):
+        inside = [(s, e, v) for n, v, s, e in served if n == name and iso(s) >= start and iso(e) <= end]
+        if inside:
+            want.add((name, start, end, min(inside)[2]))
+    assert {(r.metric_name, r.start, r.end, r.metric_value) for r in found.collect()} == want and len(want) > 10
+
+
+def test_the_index_follows_the_table(spark, folder):
+    """Days that are replaced, upserted and emptied."""
+    day = lambda n, m=0: BASE.replace(hour=0, minute=0) + dt.timedelta(days=n, minutes=m)
+    one = lambda value, n, m=0: ("a", value, day(n, m), day(n, m + 1))
+    path = folder + "/s"
+    write_serving(spark.createDataFrame([one(1.0, 0), one(2.0, 0, 5), one(3.0, 1)], TOTAL), path)
+    upsert_serving(spark, path, spark.createDataFrame([("a", 9.0, day(0, -1), day(0)), one(4.0, 2)], TOTAL), folder + "/w")
+    index = lambda: rows(read_first_windows(spark, path), "metric_value", "day")
+    dates = [day(n).date() for n in range(-1, 3)]
+    assert index() == sorted(zip([9.0, 1.0, 3.0, 4.0], dates), key=str)
+    nothing = spark.createDataFrame([], TOTAL)
+    replace_windows(spark, path, nothing, F.col("metric_value") == 3.0, (dates[2], dates[2]), folder + "/w2")
+    assert index() == sorted(zip([9.0, 1.0, 4.0], [dates[0], dates[1], dates[3]]), key=str)

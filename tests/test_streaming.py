@@ -12,15 +12,16 @@ from eventtally.operators.deltas import activity_deltas, all_deltas, transaction
 from eventtally.operators.events import parse_events
 from eventtally.operators.totals import window_totals
 from eventtally.plans.ingest import ingest_batch, ingest_function
-from eventtally.sinks import batch_log, serving
+from eventtally.sinks import batch_log, published, serving
 from eventtally.sinks.topics import published_records
-from eventtally.sources.serving import read_serving
+from eventtally.sources.serving import read_first_windows, read_serving
 from eventtally.sources.topics import as_source, both_topics, file_topic, stored_topic
 from eventtally.streaming import late_capture as lc
-from eventtally.streaming.totals import MULTIPLE_OPERATORS, start_totals
+from eventtally.streaming.totals import QUERY_SETTINGS, open_windows, start_totals
 
 NOON = dt.datetime(2024, 1, 1, 12)
 DELTA = "metric_name STRING, delta DOUBLE, event_time TIMESTAMP"
+TOTAL = "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP, window_end TIMESTAMP"
 
 
 def at(text):
@@ -54,10 +55,40 @@ def test_late_row_in_the_batch_that_advances_time_is_kept(spark, folder):
     assert run_totals(spark, folder, [["12:00:30"], ["12:02:00", "12:00:40"]])[NOON] == 2.0
 
 
-def test_session_setting_is_given_back(spark, folder):
-    before = spark.conf.get(MULTIPLE_OPERATORS, None)
+def test_session_settings_are_given_back(spark, folder):
+    before = {name: spark.conf.get(name, None) for name in QUERY_SETTINGS}
     run_totals(spark, folder, [["12:00:30"]])
-    assert spark.conf.get(MULTIPLE_OPERATORS, None) == before
+    assert {name: spark.conf.get(name, None) for name in QUERY_SETTINGS} == before
+
+
+def test_state_holds_open_windows_only(spark, folder):
+    """Read from the checkpoint after restarts: 12:00 has closed, the others can still change."""
+    run_totals(spark, folder, [["12:00:30"], ["12:01:30", "12:00:40"], ["12:02:10"], ["12:01:50"]])
+    state = open_windows(spark, folder + "/cp")
+    assert rows(state, "metric_name", "metric_value", "window_start") == [
+        ("m", 1.0, NOON + dt.timedelta(minutes=2)),
+        ("m", 2.0, NOON + dt.timedelta(minutes=1)),
+    ]
+    assert os.path.exists(folder + "/cp/state/0/0/1.changelog")
+
+
+def test_a_small_batch_is_one_file(spark, folder):
+    run_totals(spark, folder, [["12:00:30", "12:01:30", "12:02:30", "12:03:30"]])
+    files = [n for n in os.listdir(folder + "/log/batches/batch_id=0") if n.startswith("part-")]
+    assert len(files) == 1
+
+
+def test_state_totals_are_served(spark, folder):
+    """Published by the batch and at the end; a total that changes later is replaced."""
+    for number, times in enumerate([["12:00:30"], ["12:00:40", "12:01:10"], ["12:01:20"]]):
+        feed(spark, folder + "/in", number, spark.createDataFrame([("m", 1.0, at(t)) for t in times], DELTA))
+        deltas = spark.readStream.schema(DELTA).parquet(folder + "/in").select("metric_name", "delta", "event_time")
+        start_totals(
+            deltas, folder + "/log", folder + "/cp", Settings(), True, serving_path=folder + "/serving", publish_every=2
+        ).awaitTermination()
+    assert served(spark, folder) == [(2.0, NOON), (2.0, NOON + dt.timedelta(minutes=1))]
+    log = batch_log.read_log(spark, folder + "/log")
+    assert rows(batch_log.latest_totals(log), "metric_value", "window_start") == served(spark, folder)
 
 
 def capture(spark, path, batches, first=0):
@@ -101,29 +132,121 @@ def test_missing_ledger_row_stops_the_job(spark, folder):
         capture(spark, folder, [["12:05:00"]], first=5)
 
 
-def test_compaction_keeps_totals(spark, folder):
+def test_folding_keeps_totals(spark, folder):
     batches = [["12:00:30"], ["12:00:31", "12:01:00"], ["12:00:32"], ["12:01:10"]]
     capture(spark, folder, batches)
     before = rows(lc.captured_totals(spark, folder))
     log = folder + "/partials"
-    batch_log.compact(spark, log, batch_log.sum_partials, 1)
-    assert rows(lc.captured_totals(spark, folder)) == before
-    batch_log.compact(spark, log, batch_log.sum_partials, 3)
-    batch_log.compact(spark, log, batch_log.sum_partials, 2)
-    assert rows(lc.captured_totals(spark, folder)) == before
+    for upto in (1, 3, 2):
+        batch_log.fold_log(spark, log, batch_log.added, upto)
+        assert rows(lc.captured_totals(spark, folder)) == before
     assert batch_log.read_log(spark, log).count() == 2
     capture(spark, folder, [["12:01:20"]], first=4)
     assert sum(r.metric_value for r in lc.captured_totals(spark, folder).collect()) == 6.0
 
 
-def test_generation_without_a_mark_does_not_count(spark, folder):
-    capture(spark, folder, [["12:00:30"], ["12:00:31"]])
-    before = rows(lc.captured_totals(spark, folder))
-    log = folder + "/partials"
-    batch_log.latest_totals(batch_log.read_log(spark, log)).withColumn(
-        "batch_id", F.lit(1).cast("long")
-    ).write.parquet(log + "/generations/upto=1")
-    assert rows(lc.captured_totals(spark, folder)) == before
+def total_rows(spark, path, number, days, value=1.0):
+    """A batch with a total in each of some days."""
+    at_day = lambda n: dt.datetime(2024, 1, n)
+    frame = spark.createDataFrame([("m", value, at_day(n), at_day(n) + dt.timedelta(minutes=1)) for n in days], TOTAL)
+    batch_log.append_batch(frame, path, number, 1)
+
+
+def folders(path, *names):
+    return sorted(n for n in os.listdir("/".join([path, *names])) if "=" in n and not n.startswith("."))
+
+
+def test_a_fold_writes_touched_days_and_deletes_what_is_superseded(spark, folder):
+    path = folder + "/log"
+    total_rows(spark, path, 0, [1, 2, 3])
+    batch_log.fold_log(spark, path, batch_log.added, 0)
+    total_rows(spark, path, 1, [2])
+    batch_log.fold_log(spark, path, batch_log.added, 1)
+    # What the mark before needs is still there.
+    assert folders(path, "days/upto=0") == ["day=2024-01-01", "day=2024-01-02", "day=2024-01-03"]
+    assert folders(path, "days/upto=1") == ["day=2024-01-02"]
+    total_rows(spark, path, 2, [3])
+    batch_log.fold_log(spark, path, batch_log.added, 2)
+    assert folders(path, "days/upto=0") == ["day=2024-01-01", "day=2024-01-03"]
+    assert folders(path, "marks") == ["upto=1", "upto=2"] and folders(path, "batches") == ["batch_id=2"]
+    total_rows(spark, path, 3, [1])
+    batch_log.fold_log(spark, path, batch_log.added, 3)
+    total_rows(spark, path, 4, [1])
+    batch_log.fold_log(spark, path, batch_log.added, 4)
+    assert folders(path, "days") == ["upto=1", "upto=2", "upto=3", "upto=4"]
+    got = rows(batch_log.sum_partials(batch_log.read_log(spark, path)), "metric_value", "window_start")
+    assert got == [(2.0, dt.datetime(2024, 1, 2)), (2.0, dt.datetime(2024, 1, 3)), (3.0, dt.datetime(2024, 1, 1))]
+    changed = batch_log.read_changed(spark, path, 2)
+    assert rows(changed, "metric_value", "batch_id") == [(3.0, 4)]
+
+
+def test_a_fold_without_a_mark_does_not_count(spark, folder):
+    path = folder + "/log"
+    total_rows(spark, path, 0, [1, 2])
+    batch_log.fold_log(spark, path, batch_log.added, 0)
+    total_rows(spark, path, 1, [1])
+    batch_log.fold_log(spark, path, batch_log.added, 1)
+    os.remove(path + "/marks/upto=1")  # as if the driver had gone before it
+    total_rows(spark, path, 2, [2])
+    want = [(2.0, dt.datetime(2024, 1, 1)), (2.0, dt.datetime(2024, 1, 2))]
+    read = lambda: rows(batch_log.sum_partials(batch_log.read_log(spark, path)), "metric_value", "window_start")
+    assert read() == want
+    batch_log.fold_log(spark, path, batch_log.added, 2)
+    assert read() == want
+
+
+def used(path):
+    return sum(os.path.getsize(os.path.join(d, n)) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet"))
+
+
+def test_fifty_publishes_stay_flat(spark, folder):
+    """A long history in other days is neither read nor written; the log does not grow."""
+    path, log, table = folder + "/out", folder + "/out/partials", folder + "/serving"
+    total_rows(spark, log, 0, range(1, 21))
+    published.publish(spark, path, log, batch_log.added, 0, table)
+    old = {d: os.listdir(f"{table}/{d}") for d in folders(table) if d < "day=2024-01-20"}
+    sizes = []
+    for number in range(1, 51):
+        total_rows(spark, log, number, [20, 21])
+        published.publish(spark, path, log, batch_log.added, number, table)
+        if number > 2:
+            sizes.append((used(log), sum(map(len, (folders(log, "days"), folders(log, "batches"), folders(log, "marks"))))))
+    assert max(s for s, _ in sizes) <= 1.05 * min(s for s, _ in sizes) and len({n for _, n in sizes}) == 1
+    assert {d: os.listdir(f"{table}/{d}") for d in old} == old
+    got = {r.window_start.day: r.metric_value for r in read_serving(spark, table).collect()}
+    assert got == {**{n: 1.0 for n in range(1, 20)}, 20: 51.0, 21: 50.0}
+    assert os.listdir(path + "/published") and folders(path, "published") == ["upto=50"] and not os.path.exists(path + "/publish")
+    first = {r.window_start.day: r.metric_value for r in read_first_windows(spark, table).collect()}
+    assert first == got
+
+
+def test_a_publish_that_broke_off_is_finished(spark, folder, monkeypatch):
+    """After the log was folded, and while days were being swapped."""
+    path, log, table = folder + "/out", folder + "/out/partials", folder + "/serving"
+    other = spark.createDataFrame([("other", 5.0, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))], TOTAL)
+    serving.write_serving(other, table)
+    total_rows(spark, log, 0, [1])
+    publish = lambda number: published.publish(spark, path, log, batch_log.added, number, table)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(published, "upsert_serving", broken)
+        with pytest.raises(OSError):
+            publish(0)
+    publish(0)
+    assert rows(read_serving(spark, table), "metric_value") == [(1.0,), (5.0,)]
+    total_rows(spark, log, 1, [1])
+    with monkeypatch.context() as patched:
+        patched.setattr(serving, "finish_upsert", broken)
+        with pytest.raises(OSError):
+            publish(1)
+    # A day lost on the way comes back from the copy.
+    for name in os.listdir(table + "/day=2024-01-01"):
+        os.remove(f"{table}/day=2024-01-01/{name}")
+    publish(1)
+    assert rows(read_serving(spark, table), "metric_value") == [(2.0,), (5.0,)]
 
 
 def test_latest_total_wins(spark, folder):
@@ -133,7 +256,7 @@ def test_latest_total_wins(spark, folder):
         batch_log.append_batch(frame, folder + "/log", number, 1)
     log = batch_log.read_log(spark, folder + "/log")
     assert rows(batch_log.latest_totals(log), "metric_value") == [(3.0,)]
-    batch_log.compact(spark, folder + "/log", batch_log.latest_totals, 1)
+    batch_log.fold_log(spark, folder + "/log", batch_log.newest, 1)
     assert rows(batch_log.latest_totals(batch_log.read_log(spark, folder + "/log")), "metric_value") == [(3.0,)]
 
 
@@ -227,9 +350,6 @@ def _raw(spark, folder, name):
     return topic.select(F.col("value").alias("raw"), "ingest_time")
 
 
-TOTAL = "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP, window_end TIMESTAMP"
-
-
 def test_upsert_rewrites_touched_days_only(spark, folder):
     day = lambda n: dt.datetime(2024, 1, n)
     one = lambda name, value, n: (name, value, day(n), day(n) + dt.timedelta(minutes=1))
@@ -293,7 +413,7 @@ def test_totals_are_served_while_the_stream_waits(spark, folder):
         for number in range(2):
             for _ in range(120):
                 time.sleep(0.25)
-                if os.path.isdir(folder + "/serving") and os.path.isdir(f"{folder}/out/published/mark={number}"):
+                if os.path.isdir(folder + "/serving") and os.path.exists(f"{folder}/out/published/upto={number}"):
                     break
             assert served(spark, folder) == [(1.0 + number, NOON)]
             if number == 0:
@@ -308,17 +428,6 @@ def test_a_stream_without_batches_ends_in_peace(spark, folder):
     assert not os.path.isdir(folder + "/serving")
 
 
-def test_compacted_batches_can_be_dropped(spark, folder):
-    path = folder + "/log"
-    for number in range(3):
-        frame = spark.createDataFrame([("m", 1.0, NOON, NOON + dt.timedelta(minutes=1))], TOTAL)
-        batch_log.append_batch(frame, path, number)
-    batch_log.compact(spark, path, batch_log.sum_partials, 1)
-    batch_log.drop_compacted(spark, path, 2)
-    assert sorted(n for n in os.listdir(path + "/batches") if n.startswith("batch")) == ["batch_id=2"]
-    assert rows(batch_log.sum_partials(batch_log.read_log(spark, path)), "metric_value") == [(3.0,)]
-
-
 def test_dead_letters_go_to_the_topic_of_their_source(spark):
     from eventtally.sinks.dead_letters import dead_letter_records
 
