@@ -12,7 +12,9 @@ from eventtally.session import stored, stored_with_size
 
 # Sketch accuracy; it decides how evenly the work is cut, never the result.
 ACCURACY = 10_000
-SUB_SLOTS = 1024
+# Parts of one cut, and distinct values that one task may put in order.
+PARTS = 64
+LAST_CUT = 100_000
 
 
 def approximate_percentiles(
@@ -26,16 +28,21 @@ def approximate_percentiles(
 
 
 def exact_percentiles(
-    rows: DataFrame, by: list[str], column: str, percentiles: Sequence[float]
+    rows: DataFrame,
+    by: list[str],
+    column: str,
+    percentiles: Sequence[float],
+    last_cut: int = LAST_CUT,
 ) -> DataFrame:
     """The value of rank ceil(p * n) in each group, for each p.
 
     A group may be far larger than a task, so no task sorts one. A sketch cuts each
     group into a few slots around the wanted ranks; exact slot counts tell which slot
-    holds a rank, whatever the sketch's error; only that slot is cut again, by value,
-    and only the final cut is put in order. The rows are read three times and are not
-    shuffled: each pass combines them where they are. A group may have NULL in its name;
-    missing values do not count; NaN is above all numbers.
+    holds a rank, whatever the sketch's error. That slot is cut again at quantiles of its
+    distinct values until none has more than `last_cut` of these, and only they are put in
+    order. The rows are read three times and are not shuffled: each pass combines them
+    where they are. A group may have NULL in its name; missing values do not count; NaN
+    is above all numbers.
     """
     probs = [float(p) for p in percentiles]
     # A struct is never NULL itself, so joins on it keep groups with NULL in their name.
@@ -76,27 +83,10 @@ def exact_percentiles(
         "in-slot",
     )
 
-    # Infinities and NaN have slots of their own around those of the finite values.
-    limit = F.lit(float("inf"))
-    x = F.col("_x").cast("double")
-    finite = F.when((x > -limit) & (x < limit), x)
-    span = in_slot.groupBy(*keys).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
-    sub = (
-        F.when(x == -limit, F.lit(-1).cast("long"))
-        .when(F.isnan(x), F.lit(SUB_SLOTS + 3).cast("long"))
-        .when(x == limit, F.lit(SUB_SLOTS + 2).cast("long"))
-        .when(F.col("_low") < F.col("_high"), F.width_bucket(x, F.col("_low"), F.col("_high"), F.lit(SUB_SLOTS)))
-        .otherwise(F.lit(0).cast("long"))
-    )
-    cut = in_slot.join(span, keys).withColumn("_sub", sub)
-    sub_sizes = cut.groupBy(*keys, "_sub").agg(F.sum("_c").alias("_in"))
-    sub_wanted = in_slot.select(*keys, "_rank").distinct()
-    in_sub = cut.drop("_rank").join(
-        _holding(sub_sizes, sub_wanted, keys, "_sub"), [*keys, "_sub"]
-    )
+    in_slot = _cut_down(in_slot, keys, last_cut)
     upto = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        in_sub.withColumn("_cum", F.sum("_c").over(upto))
+        in_slot.withColumn("_cum", F.sum("_c").over(upto))
         .filter(F.col("_cum") >= F.col("_rank"))
         .groupBy(*keys)
         .agg(F.min("_x").alias("value"))
@@ -104,6 +94,31 @@ def exact_percentiles(
     )
 
 
+def _cut_down(in_slot: DataFrame, keys: list[str], last_cut: int) -> DataFrame:
+    """The part of each slot (distinct `_x`, number `_c`) that holds the rank, small enough to order.
+
+    The values of a slot may lie anywhere, so a cut goes by their own quantiles: a part
+    has about 1/PARTS of the distinct values, and a billion of them take three cuts.
+    """
+    before = None
+    while True:
+        most = in_slot.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if most <= last_cut or (before is not None and most >= before):
+            return in_slot
+        before = most
+        probs = [k / PARTS for k in range(1, PARTS)]
+        edges = in_slot.groupBy(*keys).agg(F.percentile_approx("_x", probs, ACCURACY).alias("_edges"))
+        part = F.size(F.filter("_edges", lambda edge: F.col("_x") >= edge))
+        cut = skew.lookup_join(in_slot, edges, keys, ["_x"]).withColumn("_bin", part).drop("_edges")
+        cut = stored(cut, "cut")
+        sizes = cut.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_in"))
+        wanted = cut.select(*keys, "_rank").distinct()
+        holding = _holding(sizes, wanted, keys, "_bin")
+        in_slot = stored(
+            skew.lookup_join(cut.drop("_rank"), holding, [*keys, "_bin"], ["_x"]).drop("_bin"), "in-slot"
+        )
+
+
 def _rank(p: float, n: Column) -> Column:
     # Rounded first: 0.07 * 100 is a little over 7 in binary.
     return F.greatest(F.lit(1), F.ceil(F.round(F.lit(p) * n, 6))).cast("long")

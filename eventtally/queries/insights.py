@@ -155,6 +155,24 @@ def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.withColumn("ratio", F.round("ratio", 6))
 
 
+TAIL = (0.1, 0.5, 0.9, 0.999)
+
+
+@query(
+    f"""WITH heavy AS (SELECT event_type, value * value * value * value * value AS x FROM events WHERE value IS NOT NULL),
+ranked AS (
+  SELECT event_type, x, row_number() OVER (PARTITION BY event_type ORDER BY x) AS r,
+    count(*) OVER (PARTITION BY event_type) AS n FROM heavy)
+SELECT event_type, p::DOUBLE AS percentile, x AS value
+FROM ranked, unnest([{", ".join(map(str, TAIL))}]) t(p) WHERE r = greatest(1, ceil(round(p * n, 6)))"""
+)
+def percentiles_heavy_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most values bunched at one end of a wide range; slots are cut down to a few values."""
+    x = F.col("value")
+    rows = i.table(spark, sf_dir, "events").select("event_type", (x * x * x * x * x).alias("x"))
+    return exact_percentiles(rows, ["event_type"], "x", TAIL, last_cut=8)
+
+
 GAPS = (0.01, 0.5, 0.99, 1.0)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from eventtally.functions import skew
 from eventtally.functions.parsing import required_instant
-from eventtally.operators import bulk, measures, quality, users
+from eventtally.operators import bulk, measures, percentiles, quality, users
 from eventtally.operators.percentiles import approximate_percentiles, exact_percentiles
 from eventtally.sources.tsv import parse_metric_lines, read_metric_lines
 
@@ -42,6 +42,33 @@ def test_percentiles_equal_a_sorted_list(spark, limit, monkeypatch):
     assert rows(got, "g", "percentile", "value") == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("limit", [-1, 1 << 30])
+def test_no_task_orders_more_than_the_last_cut(spark, limit, monkeypatch):
+    """Values bunched over many magnitudes, so that equal widths would not part them."""
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+    rng = random.Random(2)
+    data = [("tail", rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300)) for _ in range(30_000)]
+    data += [("near", 1.0 + k * 2.0**-50) for k in range(20_000)] + [("near", 1e300), ("near", float("inf"))]
+    data += [(None, float(k // 7)) for k in range(9_000)] + [(None, float("nan"))] * 50
+    frame = spark.createDataFrame(data, "g STRING, x DOUBLE")
+    largest = []
+    cut_down = percentiles._cut_down
+
+    def watched(in_slot, keys, last_cut):
+        start = in_slot.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        end = cut_down(in_slot, keys, last_cut)
+        largest.append((start, end.groupBy(*keys).count().agg(F.max("count")).first()[0]))
+        return end
+
+    monkeypatch.setattr(percentiles, "_cut_down", watched)
+    # A sketch this coarse leaves thousands of values in a slot.
+    monkeypatch.setattr(percentiles, "ACCURACY", 50)
+    got = exact_percentiles(frame, ["g"], "x", [0.01, 0.5, 0.9], last_cut=16)
+    want = [(g, p, nearest_rank([x for k, x in data if k == g], p)) for g in ("tail", "near", None) for p in (0.01, 0.5, 0.9)]
+    assert rows(got, "g", "percentile", "value") == sorted(want, key=str)
+    assert largest[0][0] > 500 and largest[0][1] <= 16
+
+
 def test_percentiles_of_25_samples(spark):
     frame = spark.range(1, 26).withColumnRenamed("id", "x")
     got = exact_percentiles(frame, [], "x", [0.5, 0.95])
