@@ -42,6 +42,7 @@ class Settings:
     publish_enabled: bool = False
     max_offsets_per_trigger: int | None = None
     files_per_batch: int | None = None
+    record_batches: bool = False
 
     @property
     def out_of_orderness_seconds(self) -> int:

@@ -1,92 +1,24 @@
-"""Which rows of a recorded stream were too late, and the totals without them.
+"""Which rows of a stream were too late, and the totals without them.
 
-A row is late when, by the time it arrived, the largest event time seen before it was
-at least B + L past the end of the row's window. "Before" goes by ticks of arrival
-time, as a watermark does that is advanced from time to time: rows of one tick do not
-see each other.
-
-A log is a table of events with `event_time` and `arrival`. It is read several times;
-one that is costly to make should be stored first.
+A row is late when, by the time its batch came, the largest event time of all batches before was
+at least B + L past the end of the row's window. A ledger holds that running maximum, a row
+per batch, so a row is judged by one join with the ledger row of the batch before its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventtally.config import Settings
-from eventtally.functions.skew import lookup_join, sized_join
+from eventtally.functions.skew import lookup_join
 from eventtally.operators.totals import start_of, window_start
-from eventtally.session import stored_with_size
-
-# Fixed value: the usual pause between two watermarks, in milliseconds.
-TICK_MS = 200
-MINUTE_MS = 60_000
-MINUTES_PER_DAY = 1440
 
 
 def millis(at: Column) -> Column:
     return F.unix_millis(at.cast("timestamp"))
 
 
-def _div(number: Column, by: int) -> Column:
-    """Whole-number division that rounds down, also below zero."""
-    return F.call_function("div", number - F.pmod(number, F.lit(by)), F.lit(by))
-
-
-def arrival_step(arrival: Column, step_ms: int) -> Column:
-    """Number of the step of arrival time an instant falls into."""
-    return _div(millis(arrival), step_ms)
-
-
-def minutes_seen(log: DataFrame) -> DataFrame:
-    """Largest event time seen before each minute of arrival and up to its end.
-
-    One row per minute is left after the first step, however many rows arrive in one.
-    The running maximum is taken within days, and over one row per day: no task sees
-    more than the minutes of a day or the days of the log.
-    """
-    known = log.filter(F.col("arrival").isNotNull())
-    tops = known.groupBy(arrival_step(F.col("arrival"), MINUTE_MS).alias("minute")).agg(
-        F.max(millis(F.col("event_time"))).alias("top")
-    )
-    tops = tops.withColumn("day", _div(F.col("minute"), MINUTES_PER_DAY))
-    before = Window.unboundedPreceding, -1
-    in_day = Window.partitionBy("day").orderBy("minute").rowsBetween(*before)
-    across = Window.orderBy("day").rowsBetween(*before)
-    days = (
-        tops.groupBy("day")
-        .agg(F.max("top").alias("day_top"))
-        .select("day", F.max("day_top").over(across).alias("earlier_days"))
-    )
-    seen = F.greatest(F.max("top").over(in_day), F.col("earlier_days"))
-    return (
-        tops.join(days, "day")
-        .withColumn("before_ms", seen)
-        .select("minute", "before_ms", F.greatest("before_ms", "top").alias("upto_ms"))
-    )
-
-
-def ticks_seen(log: DataFrame, minutes: DataFrame, tick_ms: int = TICK_MS) -> DataFrame:
-    """Largest event time seen before each tick of the given minutes."""
-    tops = (
-        log.select(
-            arrival_step(F.col("arrival"), MINUTE_MS).alias("minute"),
-            arrival_step(F.col("arrival"), tick_ms).alias("tick"),
-            millis(F.col("event_time")).alias("event_ms"),
-        )
-        .groupBy("minute", "tick")
-        .agg(F.max("event_ms").alias("top"))
-        .join(minutes.select("minute", "before_ms"), "minute")
-    )
-    in_minute = (
-        Window.partitionBy("minute").orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return tops.select(
-        "tick", F.greatest(F.max("top").over(in_minute), F.col("before_ms")).alias("seen_ms")
-    )
-
-
 def is_late(window_end_ms: Column, seen_ms: Column, settings: Settings) -> Column:
     """Exactly B + L past the window end is late, one millisecond less is not."""
     delay = settings.watermark_delay_seconds * 1000
@@ -94,46 +26,24 @@ def is_late(window_end_ms: Column, seen_ms: Column, settings: Settings) -> Colum
 
 
 def late_split(
-    log: DataFrame, settings: Settings, spread_by: list[str], tick_ms: int = TICK_MS
+    log: DataFrame, ledger: DataFrame, settings: Settings, spread_by: list[str]
 ) -> DataFrame:
     """Every row of the log with `window_end` and `late`; none is lost or repeated.
 
-    A row without an arrival is on time and seen by no other; one without an event time has
-    no window and is on time.
-
-    What was seen before and up to the end of a row's minute of arrival settles nearly
-    all rows: late even by the first, or on time even by the second. The table of
-    minutes is short, so these rows are not shuffled. Only rows in between are joined
-    with the ticks of their minute.
+    `log` has `event_time` and `batch_id`, `ledger` has for each batch the largest event time
+    up to its end, `max_event_ms`. A row without a batch, or of a batch without one before it
+    in the ledger, is on time; so is one without an event time, which has no window.
     """
-    if MINUTE_MS % tick_ms:
-        raise ValueError("a tick must divide a minute")
-    minutes, minutes_size = stored_with_size(minutes_seen(log), "minutes")
     size = settings.window_size
     kind = dict(log.dtypes)["event_time"]
     end = start_of(F.col("event_time"), size, kind) + F.expr(f"INTERVAL {size}")
-    keyed = log.withColumn("window_end", end).withColumn(
-        "minute", arrival_step(F.col("arrival"), MINUTE_MS)
-    )
-    joined = sized_join(keyed, minutes, minutes_size, ["minute"], spread_by, "left")
-    end_ms = millis(F.col("window_end"))
-    late_before = is_late(end_ms, F.col("before_ms"), settings)
-    late_upto = is_late(end_ms, F.col("upto_ms"), settings)
-    columns = [*log.columns, "window_end", "late"]
-    settled = (
-        joined.filter(late_before | ~late_upto).withColumn("late", late_before).select(*columns)
-    )
-
-    open_rows = joined.filter(~late_before & late_upto).select(*log.columns, "window_end", "minute")
-    open_minutes = minutes.join(open_rows.select("minute").distinct(), "minute", "left_semi")
-    by_tick = lookup_join(
-        open_rows.withColumn("tick", arrival_step(F.col("arrival"), tick_ms)),
-        ticks_seen(log, open_minutes, tick_ms),
-        ["tick"],
-        spread_by,
+    before = ledger.select(
+        (F.col("batch_id") + 1).cast(dict(log.dtypes)["batch_id"]).alias("batch_id"),
+        F.col("max_event_ms").alias("_seen_ms"),
     )
-    late = is_late(end_ms, F.col("seen_ms"), settings)
-    return settled.unionByName(by_tick.withColumn("late", late).select(*columns))
+    joined = lookup_join(log.withColumn("window_end", end), before, ["batch_id"], spread_by, "left")
+    late = is_late(millis(F.col("window_end")), F.col("_seen_ms"), settings)
+    return joined.select(*log.columns, "window_end", late.alias("late"))
 
 
 def split_totals(judged_deltas: DataFrame, size: str = "1 minute") -> DataFrame:
@@ -152,7 +62,7 @@ def split_totals(judged_deltas: DataFrame, size: str = "1 minute") -> DataFrame:
 
 
 def on_time_totals(judged_deltas: DataFrame, size: str = "1 minute") -> DataFrame:
-    """What the stream would have served: totals without the late rows."""
+    """What a stream with these settings would have served: totals without the late rows."""
     return (
         split_totals(judged_deltas, size)
         .filter(F.col("metric_value").isNotNull())

@@ -9,12 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventtally.config import Settings
 from eventtally.functions.parsing import iso_instant
-from eventtally.operators.deltas import event_deltas
-from eventtally.operators.lateness import late_split
 from eventtally.operators.totals import event_totals
-from eventtally.session import stored
 from eventtally.sources.topics import ACTIVITY, TRANSACTION
 
 
@@ -163,49 +159,13 @@ dirty AS (
   FROM ms WHERE event_type = 'purchase')"""
 
 
-# The log: events with a time of arrival, up to `jitter` seconds after the event.
+# The time of arrival of an event, up to `jitter` seconds after it.
 
 
 def arrival(jitter: int) -> Column:
     return F.timestamp_add("SECOND", (F.col("event_id") * 7919 % jitter).cast("int"), F.col("ts"))
 
 
-def arrival_log(spark: SparkSession, sf_dir: str, jitter: int = 600) -> DataFrame:
-    """Every event as an activity, purchases as transactions too; one scan, kept for its readers."""
-    kinds = F.when(
-        F.col("event_type") == "purchase", F.array(F.lit(ACTIVITY), F.lit(TRANSACTION))
-    ).otherwise(F.array(F.lit(ACTIVITY)))
-    log = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        F.col("event_type").alias("action"),
-        F.col("value").alias("amount"),
-        F.col("ts").alias("event_time"),
-        arrival(jitter).alias("arrival"),
-        F.explode(kinds).alias("source"),
-    )
-    return stored(log, "log")
-
-
-def judged_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deltas of the log: events are judged first and fan out after."""
-    judged = late_split(arrival_log(spark, sf_dir), Settings(), spread_by=["id"])
-    return event_deltas(judged, keep=["id", "arrival", "window_end", "late"])
-
-
-def log_sql(jitter: int = 600) -> str:
-    return f"""log AS (
-  SELECT d.*, e.ts + to_seconds((e.event_id * 7919) % {jitter}) AS arrival
-  FROM deltas d JOIN events e ON e.event_id = d.id),
-ticks AS (
-  SELECT *, epoch_ms(arrival) // 200 AS tick FROM log),
-judged AS (
-  SELECT *, date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
-    coalesce(epoch_ms(date_trunc('minute', event_time) + INTERVAL 1 MINUTE) + 60000
-      <= max(epoch_ms(event_time)) OVER (
-        ORDER BY tick RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late
-  FROM ticks)"""
-
-
 # Requests, one per customer, and a snapshot with an entry for each request key.
 
 REQUESTED = [

@@ -13,12 +13,17 @@ from eventtally.operators.deltas import (
     transaction_deltas,
 )
 from eventtally.operators.events import parse_events
+from eventtally.operators.lateness import split_totals
 from eventtally.operators.lookup import range_totals
+from eventtally.operators.reconcile import reconcile_by_day
+from eventtally.operators.totals import event_totals
+from eventtally.plans.replay import replayed_deltas
 from eventtally.queries import inputs as i
 from eventtally.queries.registry import query
 from eventtally.queries.totals import TOTALS_OUT, rounded
 from eventtally.session import shared_folder
 from eventtally.sinks.batch_log import latest_totals, read_log
+from eventtally.sinks.serving import write_serving
 from eventtally.sources.serving import read_serving
 from eventtally.streaming.late_capture import (
     captured_late_rows,
@@ -102,7 +107,9 @@ def _fed(spark: SparkSession, sf_dir: str, folder: str, start) -> None:
         start(raw.select("raw", "ingest_time", "source")).awaitTermination()
 
 
-def _captured(spark: SparkSession, sf_dir: str, serving_path: str | None = None) -> str:
+def _captured(
+    spark: SparkSession, sf_dir: str, serving_path: str | None = None, settings: Settings = Settings()
+) -> str:
     folder = shared_folder(spark, "capture")
 
     def start(raw: DataFrame):
@@ -110,7 +117,7 @@ def _captured(spark: SparkSession, sf_dir: str, serving_path: str | None = None)
             raw,
             f"{folder}/out",
             f"{folder}/checkpoint",
-            Settings(),
+            settings,
             available_now=True,
             serving_path=serving_path,
             publish_every=3,
@@ -135,7 +142,8 @@ def _aggregated(spark: SparkSession, sf_dir: str, closed_only: bool) -> DataFram
     return rounded(_ntz(totals, "window_start", "window_end"))
 
 
-CAPTURE = f"""WITH {i.ACT}, {i.TX}, {i.DELTAS},
+def capture_sql(delay_ms: int = 60_000) -> str:
+    return f"""WITH {i.ACT}, {i.TX}, {i.DELTAS},
 arrivals AS (
   SELECT d.metric_name, d.delta, date_trunc('milliseconds', d.event_time) AS event_time,
     epoch_ms(e.ts + to_seconds((e.event_id * 7919) % {JITTER})) AS arrived_ms,
@@ -149,11 +157,14 @@ sliced AS (
 tops AS (SELECT batch_id, max(epoch_ms(event_time)) AS top FROM sliced GROUP BY batch_id),
 judged AS (
   SELECT s.*, date_trunc('minute', event_time) AS window_start,
-    coalesce(epoch_ms(date_trunc('minute', event_time) + INTERVAL 1 MINUTE) + 60000 <=
+    coalesce(epoch_ms(date_trunc('minute', event_time) + INTERVAL 1 MINUTE) + {delay_ms} <=
       (SELECT max(top) FROM tops t WHERE t.batch_id < s.batch_id), false) AS late
   FROM sliced s)"""
 
 
+CAPTURE = capture_sql()
+
+
 @query(
     f"""{CAPTURE}
 SELECT metric_name, delta AS delta_value, event_time, arrival AS ingested_at, batch_id
@@ -213,3 +224,73 @@ def stream_to_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     _captured(spark, sf_dir, serving_path=path)
     served = range_totals(read_serving(spark, path), "2024-01-05T06:30:00Z", "2024-01-19T18:00:00Z")
     return rounded(_ntz(served, "window_start", "window_end"))
+
+
+RECORDED = Settings(record_batches=True)
+
+
+@query(
+    f"""{capture_sql(43_200_000)}
+SELECT metric_name, delta, event_time, arrival AS ingest_time, batch_id,
+  date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end, late
+FROM judged"""
+)
+def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows of the capture would have been late had its two bounds been six hours each."""
+    path = _captured(spark, sf_dir, settings=RECORDED)
+    deltas = replayed_deltas(spark, path, Settings(allowed_lateness_seconds=21_600))
+    return _ntz(deltas, "event_time", "ingest_time", "window_end")
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, window_start, window_start + INTERVAL 1 MINUTE AS window_end,
+  round(sum(delta) FILTER (WHERE NOT late), 4) AS metric_value,
+  count(*) FILTER (WHERE late) AS late_rows,
+  round(coalesce(sum(delta) FILTER (WHERE late), 0), 4) AS late_value
+FROM judged GROUP BY metric_name, window_start"""
+)
+def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On-time and late totals of the recorded batches, by the capture's own settings."""
+    path = _captured(spark, sf_dir, settings=RECORDED)
+    totals = split_totals(replayed_deltas(spark, path))
+    return _ntz(rounded(rounded(totals), "late_value"), "window_start", "window_end")
+
+
+PURGED = "2024-01-20"
+
+
+@query(
+    f"""{CAPTURE},
+streamed AS (
+  SELECT metric_name, window_start, window_start + INTERVAL 1 MINUTE AS window_end, sum(delta) AS s
+  FROM judged WHERE NOT late GROUP BY ALL),
+kept AS (
+  SELECT d.* FROM deltas d JOIN events e ON e.event_id = d.id
+  WHERE NOT (e.event_type = 'error' AND e.ts::DATE = DATE '{PURGED}')),
+totals AS (
+  SELECT metric_name, date_trunc('minute', event_time) AS window_start,
+    date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end, sum(delta) AS b
+  FROM kept GROUP BY ALL)
+SELECT metric_name, window_start, window_end,
+  round(s, 4) AS streamed_value, round(b, 4) AS recomputed_value,
+  CASE WHEN s IS NULL THEN 'missing' WHEN b IS NULL THEN 'extra'
+    WHEN abs(s - b) <= 1e-6 THEN 'matched' ELSE 'drift' END AS status,
+  round(s - b, 4) AS difference
+FROM streamed FULL JOIN totals USING (metric_name, window_start, window_end)"""
+)
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that the capture serves against a recompute from the store of events.
+
+    The capture left late rows out, and the errors of a day were purged from the store since.
+    """
+    served, store = shared_folder(spark, "serving"), shared_folder(spark, "recomputed")
+    _captured(spark, sf_dir, serving_path=served)
+    purged = F.to_date("event_time") == F.lit(PURGED).cast("date")
+    activities = i.activities(spark, sf_dir).filter(~(purged & (F.col("action") == "error")))
+    write_serving(event_totals(i.transactions(spark, sf_dir), activities), store)
+    streamed = _ntz(read_serving(spark, served), "window_start", "window_end")
+    out = reconcile_by_day(streamed, read_serving(spark, store))
+    for column in ("streamed_value", "recomputed_value", "difference"):
+        out = rounded(out, column)
+    return out

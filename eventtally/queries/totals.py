@@ -1,4 +1,4 @@
-"""Deltas, window totals, rollups, backfill and late rows."""
+"""Deltas, window totals, rollups and backfill."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from eventtally.config import Settings
 from eventtally.operators import deltas as dl
 from eventtally.operators import totals as tt
-from eventtally.operators.lateness import on_time_totals, split_totals
-from eventtally.operators.reconcile import reconcile as reconcile_totals
 from eventtally.plans.backfill import backfill, recomputed_totals
 from eventtally.queries import inputs as i
 from eventtally.queries.registry import query
@@ -181,44 +179,3 @@ def backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
         path,
     )
     return rounded(read_serving(spark, path).drop("day"))
-
-
-@query(
-    f"""WITH {i.ACT}, {i.TX}, {i.DELTAS}, {i.log_sql()}
-SELECT id, metric_name, delta, event_time, arrival, window_end, late FROM judged"""
-)
-def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return i.judged_deltas(spark, sf_dir)
-
-
-@query(
-    f"""WITH {i.ACT}, {i.TX}, {i.DELTAS}, {i.log_sql()}
-SELECT metric_name, window_end - INTERVAL 1 MINUTE AS window_start, window_end,
-  round(sum(delta) FILTER (WHERE NOT late), 4) AS metric_value,
-  count(*) FILTER (WHERE late) AS late_rows,
-  round(coalesce(sum(delta) FILTER (WHERE late), 0), 4) AS late_value
-FROM judged GROUP BY metric_name, window_end"""
-)
-def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = split_totals(i.judged_deltas(spark, sf_dir))
-    return rounded(rounded(totals), "late_value")
-
-
-@query(
-    f"""WITH {i.ACT}, {i.TX}, {i.DELTAS}, {i.totals_sql()}, {i.log_sql()},
-streamed AS (
-  SELECT metric_name, window_end - INTERVAL 1 MINUTE AS window_start, window_end,
-    sum(delta) AS s FROM judged WHERE NOT late GROUP BY ALL)
-SELECT metric_name, window_start, window_end,
-  round(s, 4) AS streamed_value, round(metric_value, 4) AS recomputed_value,
-  CASE WHEN s IS NULL THEN 'missing' WHEN metric_value IS NULL THEN 'extra'
-    WHEN abs(s - metric_value) <= 1e-6 THEN 'matched' ELSE 'drift' END AS status,
-  round(s - metric_value, 4) AS difference
-FROM streamed FULL JOIN totals USING (metric_name, window_start, window_end)"""
-)
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    streamed = on_time_totals(i.judged_deltas(spark, sf_dir))
-    out = reconcile_totals(streamed, i.totals(spark, sf_dir))
-    for column in ("streamed_value", "recomputed_value", "difference"):
-        out = rounded(out, column)
-    return out

@@ -32,7 +32,7 @@ from eventtally.sinks.batch_log import (
     write_gathered,
 )
 from eventtally.sinks.dead_letters import append_dead_letters
-from eventtally.sinks.published import publish_captured
+from eventtally.sinks.published import last_finished, publish_captured
 from eventtally.streaming.served import ServedQuery
 
 LATE_SCHEMA = (
@@ -40,6 +40,7 @@ LATE_SCHEMA = (
     "batch_id BIGINT"
 )
 LEDGER_SCHEMA = "max_event_ms BIGINT"
+RECORD_SCHEMA = "raw STRING, ingest_time TIMESTAMP, source STRING"
 
 
 def seen_before_batch(spark: SparkSession, ledger_path: str, batch_id: int) -> int | None:
@@ -99,8 +100,13 @@ def capture_raw_batch(
     """The same from raw records; unreadable ones go to the dead letters.
 
     Records are parsed once. What is kept of a batch while it is written is the parsed
-    fields, and the text of unreadable records only.
+    fields, and the text of unreadable records only. With `record_batches` the records are
+    first written as they came, under the number of their batch, and read from there.
     """
+    if settings.record_batches:
+        folder = f"{path}/records/batch_id={batch_id}"
+        write_gathered(raw.select("raw", "ingest_time", "source"), folder, settings.files_per_batch)
+        raw = raw.sparkSession.read.schema(RECORD_SCHEMA).parquet(folder)
     parsed = parse_events(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append_dead_letters(
@@ -161,3 +167,15 @@ def captured_totals(spark: SparkSession, path: str) -> DataFrame:
 def captured_late_rows(spark: SparkSession, path: str) -> DataFrame:
     """All rows that came too late, with the batch they came in."""
     return spark.read.schema(LATE_SCHEMA).parquet(f"{path}/late")
+
+
+def captured_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The largest event time up to each finished batch: batch_id, max_event_ms."""
+    return spark.read.schema(f"{LEDGER_SCHEMA}, batch_id BIGINT").parquet(f"{path}/ledger")
+
+
+def recorded_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all finished batches as they came, with their batch."""
+    done = last_finished(spark, f"{path}/ledger")
+    records = spark.read.schema(f"{RECORD_SCHEMA}, batch_id BIGINT").parquet(f"{path}/records")
+    return records.filter(F.col("batch_id") <= F.lit(-1 if done is None else done))
