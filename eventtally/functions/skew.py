@@ -73,6 +73,7 @@ def lookup_join(
     keys: list[str],
     spread_by: list[str],
     how: str = "inner",
+    condition: Column | None = None,
 ) -> DataFrame:
     """Join many rows with a lookup table without moving the rows if that can be helped.
 
@@ -80,7 +81,7 @@ def lookup_join(
     a larger one both sides are shuffled and hot keys are cut.
     """
     table, size = stored_with_size(lookup, "lookup")
-    return sized_join(rows, table, size, keys, spread_by, how)
+    return sized_join(rows, table, size, keys, spread_by, how, condition)
 
 
 def sized_join(
@@ -90,8 +91,10 @@ def sized_join(
     keys: list[str],
     spread_by: list[str],
     how: str = "inner",
+    condition: Column | None = None,
 ) -> DataFrame:
     """The same with a table that is stored and measured already."""
-    if size <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(table), keys, how)
-    return salted_join(rows, table, keys, spread_by, how)
+    if size <= BROADCAST_BYTES and (condition is None or how == "inner"):
+        joined = rows.join(F.broadcast(table), keys, how)
+        return joined if condition is None else joined.filter(condition)
+    return salted_join(rows, table, keys, spread_by, how, condition)

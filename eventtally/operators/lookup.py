@@ -195,3 +195,49 @@ def window_of_event(
         spread_by or events.columns,
         how=how,
     )
+
+
+def windows_of_event(
+    events: DataFrame, totals: DataFrame, spread_by: list[str] | None = None
+) -> DataFrame:
+    """For each event (metric_name, event_time) the totals of all windows that hold it.
+
+    Windows may have any length and place, and may overlap. Time is cut into buckets, for each
+    window into ones of the least power of two that is no shorter than the window: it
+    then lies in two buckets at most, and an event meets it in the bucket of its time. So the
+    join is on equal keys, and an event is held against windows of its bucket only, which
+    are no farther away than their own length. Few lengths occur, so an event is written
+    out a few times: once for each power of two.
+    """
+    start, end, at = (
+        F.unix_micros(F.col(c).cast("timestamp")) for c in ("window_start", "window_end", "event_time")
+    )
+    # The power is counted in whole numbers: of a length less one, the digits in base two.
+    power = F.length(F.bin(end - start - 1))
+    long = totals.filter(end > start).select(*SERVING_COLUMNS, power.alias("_power"))
+    bucket = lambda micros: F.call_function("shiftright", micros, F.col("_power"))  # noqa: E731 - rounds down, also below zero
+    placed = long.withColumn("_bucket", F.explode(F.array_distinct(F.array(bucket(start), bucket(end - 1)))))
+    table, size = stored_with_size(placed, "placed")
+    # At most 63 powers.
+    powers = [row[0] for row in table.select("_power").distinct().collect()]
+    asked = (
+        events.withColumn("_power", F.explode(F.array(*map(F.lit, powers)).cast("array<int>")))
+        .withColumn("_bucket", bucket(at))
+        .filter(F.col("_bucket").isNotNull())
+    )
+    kind = dict(events.dtypes)["event_time"]
+    inside = (F.col("window_start").cast(kind) <= F.col("event_time")) & (
+        F.col("window_end").cast(kind) > F.col("event_time")
+    )
+    keys = ["metric_name", "_power", "_bucket"]
+    joined = skew.sized_join(asked, table, size, keys, spread_by or events.columns, condition=inside)
+    return joined.select(*events.columns, "metric_value", "window_start", "window_end")
+
+
+def first_window_of_event(
+    events: DataFrame, totals: DataFrame, spread_by: list[str] | None = None
+) -> DataFrame:
+    """The earliest of them, as `point_total` gives for one instant; events without one go."""
+    found = windows_of_event(events, totals, spread_by)
+    first = F.min(F.struct("window_start", "window_end", "metric_value")).alias("first")
+    return found.groupBy(*events.columns).agg(first).select(*events.columns, "first.*")

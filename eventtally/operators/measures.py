@@ -66,6 +66,34 @@ def freshness(
     )
 
 
+def served_freshness(
+    deltas: DataFrame,
+    served: DataFrame,
+    size: str = "1 minute",
+    visible_within_seconds: int = 120,
+) -> DataFrame:
+    """Seconds from the landing of a window's last row to the commit of the file that serves it.
+
+    `deltas` carry `ingest_time`, the time their record was landed; `served` is a serving table
+    with `committed_at`, the time its files were written. A day that is written again later
+    has later files, so the lag is an upper bound.
+    """
+    landed = (
+        deltas.withColumn("window_start", window_start("event_time", size))
+        .groupBy("metric_name", "window_start")
+        .agg(F.max("ingest_time").alias("landed_at"))
+        .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {size}"))
+    )
+    joined = landed.join(served.select(*SERVING_KEY, "committed_at"), SERVING_KEY, "left")
+    lag = seconds_between(F.col("landed_at"), F.col("committed_at"))
+    visible = F.coalesce(F.col("lag_seconds").between(0, visible_within_seconds), F.lit(False))
+    return (
+        joined.withColumn("lag_seconds", lag)
+        .withColumn("visible", visible)
+        .select(*SERVING_KEY, "landed_at", "committed_at", "lag_seconds", "visible")
+    )
+
+
 def ratio(events: DataFrame, flag: Column, size: str = "1 hour") -> DataFrame:
     """Share of the events of each window for which a flag is set."""
     return (

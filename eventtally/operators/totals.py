@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -130,6 +131,30 @@ def rollup_totals(totals: DataFrame, size: str) -> DataFrame:
     return _with_end(sums, size)
 
 
+def rollup_levels(totals: DataFrame, sizes: Sequence[str]) -> DataFrame:
+    """Totals of windows of several larger sizes at once.
+
+    Grouping sets give every size from one pass over the totals and one shuffle, with the sums
+    of all sizes combined before it.
+    """
+    starts = {size: f"_start{k}" for k, size in enumerate(sizes)}
+    at, kind = F.col("window_start"), dict(totals.dtypes)["window_start"]
+    rows = totals.select(
+        "metric_name",
+        "metric_value",
+        *(start_of(at, size, kind).alias(name) for size, name in starts.items()),
+    )
+    sums = rows.groupingSets(
+        [["metric_name", name] for name in starts.values()], "metric_name", *starts.values()
+    ).agg(F.sum("metric_value").alias("metric_value"))
+    # Of the starts only that of a row's own set is filled.
+    start = F.coalesce(*starts.values())
+    end = F.coalesce(*(F.col(name) + F.expr(f"INTERVAL {size}") for size, name in starts.items()))
+    return sums.select(
+        "metric_name", "metric_value", start.alias("window_start"), end.alias("window_end")
+    )
+
+
 def closed_totals(totals: DataFrame, max_event_time: Column, bound_seconds: int) -> DataFrame:
     """Totals of windows whose end the watermark has passed."""
     bound = F.expr(f"INTERVAL {int(bound_seconds)} SECONDS")

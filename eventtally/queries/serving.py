@@ -76,6 +76,72 @@ def point_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(lk.window_of_event(asked, i.totals(spark, sf_dir), spread_by=["id"]))
 
 
+# Totals of minutes and days, and imported ones of 90 minutes, 17 minutes past every hour.
+MIXED = f"""{i.WITH_TOTALS}, mixed AS (
+  SELECT * FROM totals
+  UNION ALL SELECT metric_name, sum(metric_value), date_trunc('day', window_start)::TIMESTAMP,
+    date_trunc('day', window_start)::TIMESTAMP + INTERVAL 1 DAY
+  FROM totals GROUP BY metric_name, date_trunc('day', window_start)
+  UNION ALL SELECT 'activity_count', count(*)::DOUBLE, date_trunc('hour', event_time) + INTERVAL 17 MINUTE,
+    date_trunc('hour', event_time) + INTERVAL 107 MINUTE
+  FROM act GROUP BY date_trunc('hour', event_time))"""
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written to a serving table and read back."""
+    totals = i.totals(spark, sf_dir)
+    hour = F.date_trunc("hour", "event_time").cast("timestamp_ntz")
+    imported = (
+        i.activities(spark, sf_dir)
+        .groupBy(hour.alias("hour"))
+        .agg(F.count(F.lit(1)).cast("double").alias("metric_value"))
+        .select(
+            F.lit("activity_count").alias("metric_name"),
+            "metric_value",
+            (F.col("hour") + F.expr("INTERVAL 17 MINUTES")).alias("window_start"),
+            (F.col("hour") + F.expr("INTERVAL 107 MINUTES")).alias("window_end"),
+        )
+    )
+    path = shared_folder(spark, "serving")
+    write_serving(totals.unionByName(rollup_totals(totals, "1 day")).unionByName(imported), path)
+    return read_serving(spark, path)
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return i.activities(spark, sf_dir).select(
+        "id", F.lit("activity_count").alias("metric_name"), "event_time"
+    )
+
+
+@query(
+    f"""{MIXED}
+SELECT a.id, a.event_time, t.window_start, t.window_end, t.metric_name,
+  round(t.metric_value, 4) AS metric_value
+FROM act a JOIN mixed t ON t.metric_name = 'activity_count'
+  AND t.window_start <= a.event_time AND t.window_end > a.event_time"""
+)
+def point_in_any_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows that hold an event, in a table of windows of several lengths that overlap."""
+    found = lk.windows_of_event(_asked(spark, sf_dir), _mixed(spark, sf_dir), spread_by=["id"])
+    return rounded(found)
+
+
+@query(
+    f"""{MIXED}
+SELECT id, event_time, 'activity_count' AS metric_name, w.window_start, w.window_end,
+  round(w.metric_value, 4) AS metric_value
+FROM (SELECT a.id, a.event_time, min({{'window_start': t.window_start, 'window_end': t.window_end,
+    'metric_value': t.metric_value}}) AS w
+  FROM act a JOIN mixed t ON t.metric_name = 'activity_count'
+    AND t.window_start <= a.event_time AND t.window_end > a.event_time
+  GROUP BY a.id, a.event_time)"""
+)
+def point_in_first_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The point lookup for a whole table of instants."""
+    found = lk.first_window_of_event(_asked(spark, sf_dir), _mixed(spark, sf_dir), spread_by=["id"])
+    return rounded(found)
+
+
 @query(
     f"""{i.WITH_TOTALS}, days AS (
   SELECT metric_name, sum(metric_value) AS metric_value,

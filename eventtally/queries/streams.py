@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import Settings
+from eventtally.operators import measures
 from eventtally.operators.deltas import (
     activity_deltas,
     all_deltas,
@@ -24,15 +27,16 @@ from eventtally.queries.totals import TOTALS_OUT, rounded
 from eventtally.session import shared_folder
 from eventtally.sinks.batch_log import latest_totals, read_log
 from eventtally.sinks.serving import write_serving
-from eventtally.sources.serving import read_serving
+from eventtally.sources.serving import read_committed, read_serving
 from eventtally.streaming.late_capture import (
     captured_late_rows,
     captured_totals,
     start_capture,
 )
-from eventtally.streaming.totals import start_totals
+from eventtally.streaming.totals import open_windows, start_totals
 
 SLICES = 4
+RECORDED = Settings(record_batches=True)
 JITTER = 172_800
 
 
@@ -91,12 +95,13 @@ def _sliced(spark: SparkSession, sf_dir: str, folder: str) -> None:
     )
 
 
-def _fed(spark: SparkSession, sf_dir: str, folder: str, start) -> None:
+def _fed(spark: SparkSession, sf_dir: str, folder: str, start, landed: Column | None = None) -> None:
     """Feed the slices one by one, a micro-batch each.
 
     `start` starts a job over the stream of raw records. The job is started anew for every slice
-    and goes on from its checkpoint.
+    and goes on from its checkpoint. `landed` takes the place of the recorded time of arrival.
     """
+    landed = F.col("ingest_time") if landed is None else landed
     _sliced(spark, sf_dir, folder)
     schema = "raw STRING, ingest_time TIMESTAMP, source STRING"
     for number in range(SLICES):
@@ -104,11 +109,16 @@ def _fed(spark: SparkSession, sf_dir: str, folder: str, start) -> None:
             f"{folder}/topic/slice={number}"
         )
         raw = spark.readStream.schema(schema).parquet(f"{folder}/topic")
-        start(raw.select("raw", "ingest_time", "source")).awaitTermination()
+        start(raw.select("raw", landed.alias("ingest_time"), "source")).awaitTermination()
 
 
 def _captured(
-    spark: SparkSession, sf_dir: str, serving_path: str | None = None, settings: Settings = Settings()
+    spark: SparkSession,
+    sf_dir: str,
+    serving_path: str | None = None,
+    settings: Settings = Settings(),
+    rollups: Sequence[str] = (),
+    landed: Column | None = None,
 ) -> str:
     folder = shared_folder(spark, "capture")
 
@@ -121,24 +131,29 @@ def _captured(
             available_now=True,
             serving_path=serving_path,
             publish_every=3,
+            rollups=rollups,
         )
 
-    _fed(spark, sf_dir, folder, start)
+    _fed(spark, sf_dir, folder, start, landed)
     return f"{folder}/out"
 
 
-def _aggregated(spark: SparkSession, sf_dir: str, closed_only: bool) -> DataFrame:
-    """The totals of the job with built-in state, after all slices."""
+def _aggregated(spark: SparkSession, sf_dir: str, **options) -> str:
+    """The folder of the job with built-in state, after all slices."""
     folder = shared_folder(spark, "totals")
 
     def start(raw: DataFrame):
         deltas = event_deltas(parse_events(raw))
         return start_totals(
-            deltas, f"{folder}/log", f"{folder}/checkpoint", Settings(), available_now=True, closed_only=closed_only
+            deltas, f"{folder}/log", f"{folder}/checkpoint", Settings(), available_now=True, **options
         )
 
     _fed(spark, sf_dir, folder, start)
-    totals = latest_totals(read_log(spark, f"{folder}/log"))
+    return folder
+
+
+def _logged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    totals = latest_totals(read_log(spark, f"{_aggregated(spark, sf_dir, **options)}/log"))
     return rounded(_ntz(totals, "window_start", "window_end"))
 
 
@@ -194,7 +209,7 @@ FROM judged WHERE NOT late GROUP BY metric_name, window_start"""
 )
 def stream_metrics_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows of later slices are dropped; open windows go on over restarts."""
-    return _aggregated(spark, sf_dir, closed_only=False)
+    return _logged(spark, sf_dir)
 
 
 @query(
@@ -207,7 +222,72 @@ GROUP BY metric_name, window_start"""
 )
 def stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only windows that the watermark has passed, each written once."""
-    return _aggregated(spark, sf_dir, closed_only=True)
+    return _logged(spark, sf_dir, closed_only=True)
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, round(sum(delta), 4) AS metric_value, window_start,
+  window_start + INTERVAL 1 MINUTE AS window_end
+FROM judged WHERE NOT late
+  AND epoch_ms(window_start + INTERVAL 1 MINUTE) + 60000 > (SELECT max(top) FROM tops)
+GROUP BY metric_name, window_start"""
+)
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job still holds as state after the last slice, read from its checkpoint."""
+    folder = _aggregated(spark, sf_dir)
+    return rounded(_ntz(open_windows(spark, f"{folder}/checkpoint"), "window_start", "window_end"))
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, round(sum(delta), 4) AS metric_value, window_start,
+  window_start + INTERVAL 1 MINUTE AS window_end
+FROM judged WHERE NOT late GROUP BY metric_name, window_start"""
+)
+def stream_state_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving table that the job with state keeps up to date."""
+    path = shared_folder(spark, "serving")
+    _aggregated(spark, sf_dir, serving_path=path, publish_every=3)
+    return rounded(_ntz(read_serving(spark, path).drop("day"), "window_start", "window_end"))
+
+
+def _served_rollup_sql(unit: str) -> str:
+    return f"""SELECT metric_name, round(sum(delta), 4) AS metric_value,
+  date_trunc('{unit}', window_start)::TIMESTAMP AS window_start,
+  date_trunc('{unit}', window_start)::TIMESTAMP + INTERVAL 1 {unit} AS window_end
+FROM judged WHERE NOT late GROUP BY metric_name, date_trunc('{unit}', window_start)"""
+
+
+@query(f"{CAPTURE} {_served_rollup_sql('hour')} UNION ALL {_served_rollup_sql('day')}")
+def served_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours and days of the serving table, kept up to date with the minutes of touched days."""
+    path = shared_folder(spark, "serving")
+    _captured(spark, sf_dir, serving_path=path, rollups=["1 hour", "1 day"])
+    longer = F.col("window_end") > F.col("window_start") + F.expr("INTERVAL 1 MINUTE")
+    return rounded(_ntz(read_serving(spark, path).filter(longer).drop("day"), "window_start", "window_end"))
+
+
+# Seconds from landing to reading that a run of this query may take, waiting for slices included.
+VISIBLE_WITHIN = 3600
+
+
+@query(
+    f"""{CAPTURE}
+SELECT metric_name, count(*) AS n_windows, count(*) AS n_visible
+FROM (SELECT DISTINCT metric_name, window_start FROM judged WHERE NOT late) GROUP BY metric_name"""
+)
+def served_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that could be read soon enough after their rows had landed, by the times of the files."""
+    path = shared_folder(spark, "serving")
+    captured = _captured(
+        spark, sf_dir, serving_path=path, settings=RECORDED, landed=F.col("_metadata.file_modification_time")
+    )
+    deltas = replayed_deltas(spark, captured).filter(~F.col("late"))
+    lags = measures.served_freshness(deltas, read_committed(spark, path), visible_within_seconds=VISIBLE_WITHIN)
+    return lags.groupBy("metric_name").agg(
+        F.count(F.lit(1)).alias("n_windows"), F.count_if("visible").alias("n_visible")
+    )
 
 
 @query(
@@ -226,9 +306,6 @@ def stream_to_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_ntz(served, "window_start", "window_end"))
 
 
-RECORDED = Settings(record_batches=True)
-
-
 @query(
     f"""{capture_sql(43_200_000)}
 SELECT metric_name, delta, event_time, arrival AS ingest_time, batch_id,

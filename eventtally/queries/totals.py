@@ -113,6 +113,12 @@ def rollup_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tt.rollup_totals(i.totals(spark, sf_dir), "1 day"))
 
 
+@query(f"{_rollup_sql('hour')} UNION ALL ({_rollup_sql('day')})")
+def rollup_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours and days from one pass over the totals of minutes."""
+    return rounded(tt.rollup_levels(i.totals(spark, sf_dir), ["1 hour", "1 day"]))
+
+
 @query(
     f"""{i.WITH_TOTALS} {TOTALS_OUT}
 WHERE window_end + INTERVAL 30 SECONDS <= (SELECT max(ts) FROM events)"""

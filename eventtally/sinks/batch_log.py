@@ -146,11 +146,11 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return _read_days(spark, path, days).unionByName(_read_batches(spark, path, mark))
 
 
-def read_changed(spark: SparkSession, path: str, after: int) -> DataFrame:
-    """The folded rows that batches after a given one have changed; other days are not read."""
+def read_touched(spark: SparkSession, path: str, after: int) -> DataFrame:
+    """The folded rows of the days that batches after a given one have touched; no other is read."""
     days = _newest(_day_folders(spark, path), folded_upto(spark, path))
     touched = {day: upto for day, upto in days.items() if upto > after}
-    return _read_days(spark, path, touched).filter(F.col("batch_id") > after)
+    return _read_days(spark, path, touched)
 
 
 def fold_log(spark: SparkSession, path: str, fold: Fold, upto: int) -> None:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS
+from eventtally.operators.totals import rollup_levels
 from eventtally.session import is_finished, numbered, remove_folder, set_mark
-from eventtally.sinks.batch_log import Fold, added, fold_log, newest, read_changed
+from eventtally.sinks.batch_log import Fold, added, fold_log, newest, read_touched
 from eventtally.sinks.serving import finish_upsert, upsert_serving
 
 NOTHING_PUBLISHED = -1
@@ -26,9 +30,16 @@ def last_finished(spark: SparkSession, path: str) -> int | None:
 
 
 def publish(
-    spark: SparkSession, path: str, log_path: str, fold: Fold, done: int | None, serving_path: str
+    spark: SparkSession,
+    path: str,
+    log_path: str,
+    fold: Fold,
+    done: int | None,
+    serving_path: str,
+    rollups: Sequence[str] = (),
 ) -> None:
-    """Upsert the totals of all windows that batches up to `done` have changed since the last time.
+    """Upsert the totals of all windows that batches up to `done` have changed since the last time,
+    and of the larger windows of the sizes `rollups` on the days of these. A size must divide a day.
 
     Only the days of these windows are read and written, in the log and in the serving
     table. A call that broke off can be made again: the log is folded under a mark, and a swap
@@ -40,8 +51,11 @@ def publish(
     before = published_upto(spark, path)
     if done is not None and done > before:
         fold_log(spark, log_path, fold, done)
-        changed = read_changed(spark, log_path, before).select(*SERVING_COLUMNS)
-        upsert_serving(spark, serving_path, changed, work)
+        touched = read_touched(spark, log_path, before)
+        updates = touched.filter(F.col("batch_id") > before).select(*SERVING_COLUMNS)
+        if rollups:
+            updates = updates.unionByName(rollup_levels(touched, rollups))
+        upsert_serving(spark, serving_path, updates, work)
         set_mark(spark, f"{path}/published/upto={done}")
         for number in numbered(spark, f"{path}/published", "upto"):
             if number < done:
@@ -49,10 +63,12 @@ def publish(
     remove_folder(spark, work)
 
 
-def publish_captured(spark: SparkSession, path: str, serving_path: str) -> None:
+def publish_captured(
+    spark: SparkSession, path: str, serving_path: str, rollups: Sequence[str] = ()
+) -> None:
     """`publish` for a capture; finished batches are those with a row in the ledger."""
     done = last_finished(spark, f"{path}/ledger")
-    publish(spark, path, f"{path}/partials", added, done, serving_path)
+    publish(spark, path, f"{path}/partials", added, done, serving_path, rollups)
 
 
 def publish_totals(spark: SparkSession, log_path: str, serving_path: str) -> None:

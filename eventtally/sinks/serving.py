@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS, SERVING_KEY, SERVING_TABLE, Settings
-from eventtally.session import is_missing, remove_folder
+from eventtally.session import names_in, remove_folder
 from eventtally.sources.serving import first_windows_path
 
 
@@ -26,9 +25,10 @@ def write_serving(totals: DataFrame, path: str) -> None:
     days = Observation()
     (
         totals.select(*SERVING_COLUMNS, F.to_date("window_start").alias("day"))
-        .observe(days, F.collect_set(F.col("day")).alias("days"))
         .hint("rebalance", "day")
         .sortWithinPartitions("day", "metric_name", "window_start")
+        # Observed last: a step below a shuffle without rows is dropped together with it.
+        .observe(days, F.collect_set(F.col("day")).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
@@ -58,8 +58,8 @@ def _index(spark: SparkSession, path: str, days: list[date]) -> None:
     found = Observation()
     (
         first_windows(spark.read.parquet(path).filter(F.col("day").isin(days)))
-        .observe(found, F.collect_set(F.col("day")).alias("days"))
         .hint("rebalance", "day")
+        .observe(found, F.collect_set(F.col("day")).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
@@ -100,6 +100,8 @@ def upsert_serving(
         row.day
         for row in updates.select(F.to_date("window_start").alias("day")).distinct().collect()
     ]
+    if not days:
+        return
     current = _current(spark, path, updates).filter(F.col("day").isin(days))
     _swap(spark, path, upserted(current, updates), current, work_path)
 
@@ -125,12 +127,9 @@ def replace_windows(
 
 def _current(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table so far; empty if there is none."""
-    try:
+    if names_in(spark, path):
         return spark.read.parquet(path)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return like.limit(0).select(*SERVING_COLUMNS, F.to_date("window_start").alias("day"))
+    return like.limit(0).select(*SERVING_COLUMNS, F.to_date("window_start").alias("day"))
 
 
 def _swap(

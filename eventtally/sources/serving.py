@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS, SERVING_TABLE, Settings
 
@@ -12,6 +13,12 @@ def read_serving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*SERVING_COLUMNS, "day")
 
 
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """The same with `committed_at`, the time at which the file of a row was written."""
+    written = F.col("_metadata.file_modification_time").alias("committed_at")
+    return spark.read.parquet(path).select(*SERVING_COLUMNS, "day", written)
+
+
 def first_windows_path(path: str) -> str:
     """Where the index of first windows lies: next to the table, not among its days."""
     return f"{path.rstrip('/')}-first-windows"

@@ -10,7 +10,7 @@ replaces its own, so late rows and totals together always hold each row once.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -130,11 +130,13 @@ def start_capture(
     serving_path: str | None = None,
     publish_every: int = 10,
     publish_seconds: float = 60,
+    rollups: Sequence[str] = (),
 ) -> StreamingQuery:
     """Run the capture over a stream of raw records with `source` and `ingest_time`.
 
     With a serving table, the totals that have changed are put there after every so many
-    batches, every so many seconds, with or without input, and when the query has ended.
+    batches, every so many seconds, with or without input, and when the query has ended; so are
+    their sums over the larger windows `rollups`.
     """
     lock = threading.Lock()
 
@@ -143,7 +145,7 @@ def start_capture(
             claimed_by_stream(batch, path)
             batch_function(batch, batch_id, path, settings)
             if serving_path is not None and (batch_id + 1) % publish_every == 0:
-                publish_captured(raw.sparkSession, path, serving_path)
+                publish_captured(raw.sparkSession, path, serving_path, rollups)
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if available_now:
@@ -154,7 +156,7 @@ def start_capture(
 
     def publish() -> None:
         claim(raw.sparkSession, path, str(query.id))
-        publish_captured(raw.sparkSession, path, serving_path)
+        publish_captured(raw.sparkSession, path, serving_path, rollups)
 
     return ServedQuery(query, publish, publish_seconds, lock)
 

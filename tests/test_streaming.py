@@ -176,8 +176,8 @@ def test_a_fold_writes_touched_days_and_deletes_what_is_superseded(spark, folder
     assert folders(path, "days") == ["upto=1", "upto=2", "upto=3", "upto=4"]
     got = rows(batch_log.sum_partials(batch_log.read_log(spark, path)), "metric_value", "window_start")
     assert got == [(2.0, dt.datetime(2024, 1, 2)), (2.0, dt.datetime(2024, 1, 3)), (3.0, dt.datetime(2024, 1, 1))]
-    changed = batch_log.read_changed(spark, path, 2)
-    assert rows(changed, "metric_value", "batch_id") == [(3.0, 4)]
+    touched = batch_log.read_touched(spark, path, 2)
+    assert rows(touched, "metric_value", "batch_id") == [(3.0, 4)]
 
 
 def test_a_fold_without_a_mark_does_not_count(spark, folder):
