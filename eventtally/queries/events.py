@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventtally.config import Settings
+from eventtally.config import ACTIVITIES_DLQ_TOPIC, TRANSACTIONS_DLQ_TOPIC, Settings
 from eventtally.functions.parsing import iso_instant, required_instant
 from eventtally.operators import events as ev
 from eventtally.operators.deltas import event_deltas
@@ -16,10 +16,13 @@ from eventtally.queries.registry import query
 from eventtally.queries.totals import rounded
 from eventtally.session import shared_folder
 from eventtally.sinks.dead_letters import dead_letters as unreadable
+from eventtally.sinks.dead_letters import start_dead_letter_topics
 from eventtally.sinks.serving import upsert_serving
+from eventtally.sinks.topic_files import read_topic
 from eventtally.sources.serving import read_serving
 from eventtally.sources.topics import TRANSACTION, as_source, stored_topic
 from eventtally.sources.tsv import parse_metric_lines, read_metric_lines
+from eventtally.streaming.late_capture import start_capture
 
 
 def _parsed(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
@@ -51,6 +54,30 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letters.select(number.alias("event_id"), "source", "reason")
 
 
+@query(
+    """SELECT event_id, 'events.activities.dlq' AS topic, 'malformed' AS key FROM events
+WHERE event_id % 97 = 0
+UNION ALL SELECT event_id, 'events.transactions.dlq', 'malformed' FROM events
+WHERE event_id % 97 = 0 AND event_type = 'purchase'"""
+)
+def dead_letter_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable records of a capture, streamed on to the topics of their sources and read back."""
+    folder = shared_folder(spark, "letters")
+    raw = i.dirty(spark, sf_dir).withColumn("ingest_time", F.col("ingest_time").cast("timestamp"))
+    raw.drop("event_id").write.parquet(f"{folder}/topic")
+    stream = spark.readStream.schema("raw STRING, ingest_time TIMESTAMP, source STRING").parquet(f"{folder}/topic")
+    start_capture(stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    start_dead_letter_topics(
+        spark, f"{folder}/out/dead_letters", f"{folder}/topics", f"{folder}/letters-checkpoint", available_now=True
+    ).awaitTermination()
+    number = F.regexp_extract("value", '"id": ([0-9]+)', 1).cast("bigint").alias("event_id")
+    kinds = [
+        read_topic(spark, f"{folder}/topics", topic).select(number, F.lit(topic).alias("topic"), "key")
+        for topic in (TRANSACTIONS_DLQ_TOPIC, ACTIVITIES_DLQ_TOPIC)
+    ]
+    return kinds[0].unionByName(kinds[1])
+
+
 @query(
     """SELECT CASE WHEN event_id % 97 = 0 THEN 'malformed' WHEN event_type = 'error' THEN 'alarm'
     WHEN event_type = 'purchase' THEN 'transaction' ELSE 'activity' END AS kind,
