@@ -1,20 +1,23 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
 Base entities are found in every whole text by one pattern per kind. They seed a bootstrap over
-the whole corpus: the two words before an entity are a lexical pattern, and every other token
-that looks like an identifier (six or more letters, digits, "_" or "-", one digit at least) is a
-possible instance of the pattern before it. Distinct (pattern, instance) pairs form a graph.
+the whole corpus, together with keys by their form (32 and more hexadecimal digits, letters and figures
+among them), which are no base kind. What stands before an entity is a lexical pattern: the name that
+something is assigned to (`token = "`, `user: `), whatever precedes it, or else the two words before. Every
+other token that looks like an identifier (six or more letters, digits, "_" or "-", one digit at least)
+is a possible instance of the pattern before it. Distinct (pattern, instance) pairs form a graph.
 In each round a pattern is as reliable as the mean score of its instances, if enough of them are
 certain, and an instance is as certain as one of its reliable patterns being right makes it
-(noisy or). What is certain enough after the last round is reported as kind `id`; base spans stay
-as they are.
+(noisy or). What is certain enough after the last round is reported as kind `id`, a key by its form
+too only if a reliable pattern has it; base spans stay as they are.
 
 Everything is DataFrame work. Only spans and contexts leave the texts; the graph has one row per
 distinct pair, so copies and hot patterns are summed before they are shuffled.
 
 Defined cases: a null text is empty. Spans are code points, the end exclusive. Repeated rows are
-scanned each for itself but make one edge. A context does not reach back over the previous match
-of its kind; entities with fewer than two words before them make no edge. An empty table gives
+scanned each for itself but make one edge. A context is the last 64 characters before an entity, in which a
+match of the same kind counts as one word; a longer word counts by what is left of it there, a single
+one as a pattern of its own, and an entity that begins a text makes no edge. An empty table gives
 no rows. Other columns are ignored, whatever their names.
 """
 
@@ -67,6 +70,8 @@ KINDS = (
     Kind("card", r"[0-9](?:[ -]?[0-9])++", ""),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+"),
 )
+# A key by its form.
+KEY = r"^(?=.*[A-Fa-f])(?=.*[0-9])[0-9A-Fa-f]{32,}$"
 IDENTIFIER = Kind("id", r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{6,}+", "")
 
 
@@ -109,17 +114,19 @@ def spans(text: Column, kind: Kind) -> Column:
     turns = F.zip_with(between, found, lambda b, m: F.struct(b.alias("before"), m.alias("value")))
     none = F.array().cast(f"array<{SPAN}>")
 
+    placeholder = F.lit(f" <{kind.name}> ")
+
     def step(acc: Column, turn: Column) -> Column:
         start = acc["at"] + F.length(turn["before"])
         end = start + F.coalesce(F.length(turn["value"]), F.lit(0))
+        left = F.right(F.concat(acc["tail"], turn["before"]), F.lit(CONTEXT_CHARS))
         span = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            turn["value"].alias("value"),
-            F.right(turn["before"], F.lit(CONTEXT_CHARS)).alias("left"),
+            start.alias("start"), end.alias("end"), turn["value"].alias("value"), left.alias("left")
         )
         kept = F.when(turn["value"].isNotNull() & kind.valid(turn["value"]), F.array(span)).otherwise(none)
-        return F.struct(end.alias("at"), F.concat(acc["found"], kept).alias("found"))
+        return F.struct(
+            end.alias("at"), F.concat(acc["found"], kept).alias("found"), F.concat(left, placeholder).alias("tail")
+        )
 
     # Arrays grow by copying, so long lists are laid out in blocks.
     def length(block: Column) -> Column:
@@ -131,11 +138,17 @@ def spans(text: Column, kind: Kind) -> Column:
 
     def cut(turns: Column) -> Column:
         count = F.ceil(F.size(turns) / BLOCK).cast("int")
-        return F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice(turns, k * BLOCK + 1, F.lit(BLOCK)))
+
+        def block(k: Column) -> Column:
+            before = F.right(F.get(turns, k * BLOCK - 1)["before"], F.lit(CONTEXT_CHARS))
+            tail = F.coalesce(F.concat(before, placeholder), F.lit(""))
+            return F.struct(F.slice(turns, k * BLOCK + 1, F.lit(BLOCK)).alias("turns"), tail.alias("tail"))
+
+        return F.transform(F.sequence(F.lit(0), count - 1), block)
 
     def lay(blocks: Column) -> Column:
         starts = F.aggregate(
-            F.transform(blocks, length),
+            F.transform(blocks, lambda block: length(block["turns"])),
             F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
             lambda acc, n: F.struct(
                 (acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")
@@ -147,7 +160,10 @@ def spans(text: Column, kind: Kind) -> Column:
                 blocks,
                 starts,
                 lambda block, start: F.aggregate(
-                    block, F.struct(start.alias("at"), none.alias("found")), step, lambda acc: acc["found"]
+                    block["turns"],
+                    F.struct(start.alias("at"), none.alias("found"), block["tail"].alias("tail")),
+                    step,
+                    lambda acc: acc["found"],
                 ),
             )
         )
@@ -158,9 +174,20 @@ def spans(text: Column, kind: Kind) -> Column:
 
 
 def pattern_of(left: Column) -> Column:
-    """The last two words before an entity; digits are alike. Empty if there are fewer."""
+    """The name that is assigned to, else the last two words, else the only one; digits are alike.
+
+    Empty if nothing stands before an entity.
+    """
     plain = F.translate(F.lower(left), "123456789", "000000000")
-    return F.regexp_replace(F.regexp_extract(plain, r"(\S+\s+\S+)\s*$", 1), r"\s+", " ")
+    name = F.regexp_extract(plain, r"([\p{L}_][\p{L}0_.-]*+)\s*+(?:=>|:=|=|:)\s*+[\"']?$", 1)
+    two = F.regexp_replace(F.regexp_extract(plain, r"(\S+\s+\S+)\s*$", 1), r"\s+", " ")
+    one = F.trim(F.regexp_replace(plain, r"\s+", " "))
+    return (
+        F.when(name != "", F.concat(name, F.lit(" =")))
+        .when(two != "", two)
+        .when(one != "", F.concat(F.lit("^ "), one))
+        .otherwise(F.lit(""))
+    )
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -180,7 +207,8 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(found: DataFrame) -> DataFrame:
-    """row, start, end, instance, pattern and whether it is a seed, of all entities with a context."""
+    """row, start, end, instance, pattern, whether it is of a base kind and whether a seed, of all
+    entities with a context."""
 
     def edges_of(kind: Kind) -> Column:
         return F.transform(
@@ -191,7 +219,8 @@ def occurrences(found: DataFrame) -> DataFrame:
                 s["end"].alias("end"),
                 F.lower(s["value"]).alias("instance"),
                 pattern_of(s["left"]).alias("pattern"),
-                F.lit(kind is not IDENTIFIER).alias("seed"),
+                F.lit(kind is not IDENTIFIER).alias("base"),
+                (s["value"].rlike(KEY) if kind is IDENTIFIER else F.lit(True)).alias("seed"),
             ),
         )
 
@@ -204,7 +233,7 @@ def certain_instances(found: DataFrame, rules: Bootstrap) -> DataFrame:
     edges = stored(
         occurrences(found)
         .groupBy("pattern", "instance")
-        .agg(F.max("seed").alias("seed")),
+        .agg(F.max("base").alias("base"), F.max("seed").alias("seed")),
         "edges",
     )
     scores = edges.limit(0).select("instance", F.lit(0.0).alias("score"))
@@ -217,14 +246,14 @@ def certain_instances(found: DataFrame, rules: Bootstrap) -> DataFrame:
             .agg(
                 F.avg("score").alias("trust"),
                 F.count_if(F.col("score") >= rules.certain).alias("support"),
-                F.count_if(~F.col("seed")).alias("unseen"),
+                F.count_if(~F.col("base")).alias("open"),
             )
             .filter(
-                (F.col("trust") >= rules.reliable) & (F.col("support") >= rules.support) & (F.col("unseen") > 0)
+                (F.col("trust") >= rules.reliable) & (F.col("support") >= rules.support) & (F.col("open") > 0)
             )
             .select("pattern", "trust")
         )
-        open_edges = edges.filter(~F.col("seed")).select("pattern", "instance")
+        open_edges = edges.filter(~F.col("base")).select("pattern", "instance")
         wrong = F.exp(F.sum(F.log(1 - F.least("trust", F.lit(0.999)))))
         scores = stored(
             lookup_join(open_edges, patterns, ["pattern"], ["instance"])
@@ -312,12 +341,13 @@ def without_personal_data(docs: DataFrame, rules: Bootstrap = Bootstrap()) -> Da
     places = F.transform(IDENTIFIER.name, lambda s: F.concat_ws(":", s["start"], s["end"]))
     discovered = (
         found.filter(F.size(IDENTIFIER.name) > 0)
-        .select(F.col("doc_id").alias("_key"), F.array_join(places, ",").alias("_places"))
+        .select(F.col("doc_id").alias("key"), F.array_join(places, ",").alias("places"))
         .distinct()
     )
-    known = lookup_join(docs.withColumn("_key", key), discovered, ["_key"], ["text"], "left")
-    own = F.struct(*(F.col(c) for c in docs.columns)).alias("_doc")
-    place = F.split(F.coalesce("_places", F.lit("")), ",")
+    # All columns in one, so that none can clash with those added here.
+    packed = docs.select(F.struct("*").alias("doc"), "text", key.alias("key"))
+    known = lookup_join(packed, discovered, ["key"], ["text"], "left")
+    place = F.split(F.coalesce("places", F.lit("")), ",")
     spread = F.transform(
         F.filter(place, lambda p: p != ""),
         lambda p: F.struct(
@@ -326,15 +356,15 @@ def without_personal_data(docs: DataFrame, rules: Bootstrap = Bootstrap()) -> Da
         ),
     )
     laid = known.select(
-        own, *(spans(F.col("text"), kind).alias(kind.name) for kind in KINDS), spread.alias(IDENTIFIER.name)
+        "doc", *(spans(F.col("text"), kind).alias(kind.name) for kind in KINDS), spread.alias(IDENTIFIER.name)
     )
     return laid.select(
         *(
-            F.when(F.size(F.concat(*(F.transform(n, lambda s: s["start"]) for n in names))) == 0, F.col("_doc.text"))
-            .otherwise(masked(F.col("_doc.text")))
+            F.when(F.size(F.concat(*(F.transform(n, lambda s: s["start"]) for n in names))) == 0, F.col("doc.text"))
+            .otherwise(masked(F.col("doc.text")))
             .alias("text")
             if c == "text"
-            else F.col(f"_doc.`{c}`").alias(c)
+            else F.col(f"doc.`{c}`").alias(c)
             for c in docs.columns
         )
     )

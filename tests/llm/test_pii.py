@@ -7,7 +7,17 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from eventtally.llm.pii import Bootstrap, find_personal_data, listed, KINDS, masked, op1_personal_data
+from eventtally.llm.pii import (
+    KINDS,
+    Bootstrap,
+    find_personal_data,
+    listed,
+    masked,
+    occurrences,
+    op1_personal_data,
+    scanned,
+    without_personal_data,
+)
 
 SF = "/root/testdata/sf0.01"
 # The plain patterns of the contract.
@@ -103,6 +113,64 @@ def test_patterns_discover_unseen_identifiers(corpus):
     assert all(r["id"] == [] for r in strict)
 
 
+def planted(draw):
+    """Keys after an assignment, some not of the form that seeds have, among clean look-alikes."""
+    key = lambda n: "".join(draw.choices("0123456789abcdef", k=n - 2)) + "a1"
+    rows, want = [], {}
+    for k in range(60):
+        value = key(40) if k % 6 else f"tok-{k:04d}-x"
+        rows.append((k, f'words and words {draw.choice(["here", "there"])}. token = "{value}" more words {k}'))
+        want[k] = value
+    for k in range(60, 100):
+        rows.append((k, draw.choice(['size = "640x480-b"', "see figure fig-2024-7", "room: b1234567", 'color = "a1b2c3d4"'])))
+    rows += [(k, f"commit {key(40)}") for k in range(100, 103)]  # too few to trust what stands before them
+    return rows, want
+
+
+def test_assignments_discover_keys_and_leave_clean_texts_alone(spark):
+    rows, want = planted(random.Random(8))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [s["value"] for s in r["id"]] for r in find_personal_data(docs).collect()}
+    assert {k: v[0] for k, v in found.items() if v} == want  # precision and recall are one
+    kept = {r["doc_id"]: r["text"] for r in without_personal_data(docs).collect()}
+    assert all(kept[k] == text.replace(want[k], "<ID>") if k in want else kept[k] == text for k, text in rows)
+
+
+def test_context_reaches_over_a_match_and_into_long_words(spark):
+    """Lists in which one word stands between entities, and words longer than the context."""
+    rows = [(k, f"user: u{k}0001a user: u{k}0002b " + "y" * 200 + f" u{k}0003c") for k in range(7)]
+    docs = spark.createDataFrame(rows + [(9, "1a2b3c4d"), (10, "x u10004d")], "doc_id long, text string")
+    edges = occurrences(scanned(docs)).filter("NOT base").select("instance", "pattern").collect()
+    by = {r["instance"]: r["pattern"] for r in edges}
+    assert by["u30001a"] == by["u30002b"] == "user ="
+    assert by["u30003c"] == "^ " + "y" * 63
+    assert "1a2b3c4d" not in by and by["u10004d"] == "^ x"
+
+
+def test_a_context_goes_on_from_block_to_block(spark):
+    text = "".join(f"nr x{k:06d} " for k in range(400))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    patterns = {r["pattern"] for r in occurrences(scanned(docs)).select("pattern").collect()}
+    assert patterns == {"^ nr", "<id> nr"}
+
+
+def test_sf_tokens_are_found(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    token = re.compile('token = "([0-9a-f]{40})"')
+    found = {r["doc_id"]: {s["value"] for s in r["id"]} for r in find_personal_data(docs).collect()}
+    assert {k: set(token.findall(t)) for k, t in texts.items()} == found
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame(
+        [(1, "a@b.cd", "k", "p", 3, "r")], "doc_id long, text string, _key string, _places string, `_doc` int, `row` string"
+    ).selectExpr("*", "1 as key", "2 as places", "3 as doc", "4 as email", "5 as id")
+    kept = without_personal_data(docs)
+    assert kept.columns == docs.columns
+    assert tuple(kept.first()) == (1, "<EMAIL>", "k", "p", 3, "r", 1, 2, 3, 4, 5)
+
+
 def test_edge_tables(spark, corpus):
     assert find_personal_data(corpus).count() == corpus.count()
     assert find_personal_data(corpus.limit(0)).count() == 0
