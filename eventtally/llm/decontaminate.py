@@ -10,8 +10,11 @@ bit-parallel edit distance.
 The search goes over the documents where they are, without a shuffle. Items are sent to the tasks in
 shards of a bounded size; more items mean more passes, never a larger shard.
 
-Defined cases: a null or empty text holds nothing. Items that are null or shorter than
-`least_chars` after the rewriting are left out: so few characters occur in any prose. Repeated
+Items of fewer than `least_chars` characters are searched for word for word: so few occur with edits in any
+prose. Where the script parts words by spaces, they must begin and end with a word.
+
+Defined cases: a null or empty text holds nothing. Items that are null or have no letter or digit are
+left out. A capital whose small form is longer stays as it is, in items and documents alike. Repeated
 items are found each under their id, repeated documents each under theirs. Several occurrences
 of an item give a row each; occurrences that overlap count as one. Empty tables give no rows.
 """
@@ -35,23 +38,30 @@ GRAM = 4
 
 RATE = 0.08
 LEAST_CHARS = 40
+# Scripts that write words without spaces: Thai to Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 # Characters of items that one pass over the documents searches for.
 SHARD_CHARS = 1_000_000
 
 SCHEMA = "doc_id long, item_id long, edits int, start long, end long"
 
 
+def lowered(text: str) -> str:
+    """Lower case, character by character, so that places stay."""
+    low = text.lower()
+    if len(low) != len(text):
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    return low.replace("ς", "σ")  # as the end of a word, sigma has two small forms
+
+
 def plain(text: str) -> str:
-    return OTHERS.sub(" ", text.lower()).strip()
+    return OTHERS.sub(" ", lowered(text)).strip()
 
 
 def places(text: str) -> list[tuple[int, int, int]]:
     """(start in plain text, start, length) of the runs of letters and digits of a text."""
-    lowered = text.lower()
-    if len(lowered) != len(text):  # rare characters grow when lowered
-        lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     found, at = [], 0
-    for match in KEPT.finditer(lowered):
+    for match in KEPT.finditer(lowered(text)):
         found.append((at, match.start(), len(match[0])))
         at += len(match[0]) + 1
     return found
@@ -126,10 +136,11 @@ def length_before(pattern: str, text: str, end: int, edits: int) -> int:
 class Items:
     """A shard of items, ready to be searched for."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, least_chars: int = LEAST_CHARS):
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
-        self.budgets = [int(len(t) * rate) for t in self.texts]
+        self.exact = [len(t) < least_chars for t in self.texts]
+        self.budgets = [0 if exact else int(len(t) * rate) for t, exact in zip(self.texts, self.exact)]
         self.grams = [[t[k : k + GRAM] for k in range(len(t) - GRAM + 1)] for t in self.texts]
         spots: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, (text, budget) in enumerate(zip(self.texts, self.budgets)):
@@ -151,6 +162,9 @@ class Items:
                 starts[number].append(end + 1 - reach)
         for number, found in starts.items():
             budget, size = self.budgets[number], len(self.texts[number])
+            if self.exact[number]:
+                yield from ((number, low, low + size) for low in found if self.is_whole(number, text, low))
+                continue
             found.sort()
             low = high = found[0]
             for start in found[1:]:
@@ -160,6 +174,13 @@ class Items:
                 high = start
             yield number, max(0, low - budget), high + size + budget
 
+    def is_whole(self, number: int, text: str, low: int) -> bool:
+        """Whether a short item that lies there begins and ends with a word."""
+        item, high = self.texts[number], low + len(self.texts[number])
+        begins = low == 0 or text[low - 1] == " " or UNSPACED.match(item[0])
+        ends = high == len(text) or text[high] == " " or UNSPACED.match(item[-1])
+        return bool(begins and ends)
+
     def similar(self, number: int, stretch: str) -> bool:
         """Whether enough 4-grams are shared for the item to be within its budget."""
         there = {stretch[k : k + GRAM] for k in range(len(stretch) - GRAM + 1)}
@@ -173,6 +194,10 @@ class Items:
         rewritten = plain(text)
         spots = None
         for number, low, high in self.candidates(rewritten):
+            if self.exact[number]:
+                spots = spots or places(text)
+                yield self.ids[number], 0, *original(spots, low, high)
+                continue
             stretch = rewritten[low:high]
             if not self.similar(number, stretch):
                 continue
@@ -183,12 +208,13 @@ class Items:
                 yield self.ids[number], edits, *original(spots, low + end - length, low + end)
 
 
-def item_shards(items: DataFrame, least_chars: int, shard_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in shards of bounded size; the driver holds one shard at a time."""
+def item_shards(items: DataFrame, shortest: int, shard_chars: int) -> Iterator[list[tuple[int, str]]]:
+    """The items of `shortest` characters and more in shards of bounded size; the driver holds one
+    shard at a time."""
     shard, size = [], 0
     for row in items.filter(F.col("text").isNotNull()).select("item_id", "text").toLocalIterator():
         text = plain(row["text"])
-        if len(text) >= least_chars:
+        if len(text) >= shortest:
             shard.append((row["item_id"], text))
             size += len(text)
             if size >= shard_chars:
@@ -207,10 +233,10 @@ def find_leaks(
     """doc_id, item_id, edits and the stretch (start, end) of every occurrence of an item."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = []
-    for shard in item_shards(items, least_chars, shard_chars):
+    for shard in item_shards(items, 1, shard_chars):
 
         def scan(batches: Iterator[pa.RecordBatch], shard=shard) -> Iterator[pa.RecordBatch]:
-            search = Items(shard, rate)
+            search = Items(shard, rate, least_chars)
             for batch in batches:
                 rows = [
                     (doc_id, *hit)
@@ -234,7 +260,7 @@ def find_leaks(
 def without_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item; those without an id are kept unless they hold one.
 
-    The mark is made while the documents are read, so nothing is joined or shuffled.
+    Items of fewer than 40 characters are no reason to drop a document. The mark is made while the documents are read, so nothing is joined or shuffled.
     """
     kept = docs
     for shard in item_shards(items, LEAST_CHARS, SHARD_CHARS):

@@ -155,21 +155,20 @@ def judge_urls(
     """
     host, path = host_and_path(F.col(url))
     labelled = outcomes.select(host_and_path(F.col("url"))[0].alias("host"), "bad")
-    reputation = host_reputation(labelled).select("host", F.col("rate").alias("_rate"), "lowest")
-    clash = [c for c in pages.columns if c in ("host", "path", "rule", "verdict", "host_rate")]
-    split = (
-        pages.withColumns({"_host": host, "_path": path})
-        .drop(*clash)
-        .withColumnsRenamed({"_host": "host", "_path": "path"})
-    )
-    known = lookup_join(split, reputation, ["host"], ["path"], "left")
+    reputation = host_reputation(labelled).select("host", F.col("rate").alias("host_rate"), "lowest")
+    # All columns in one, so that none can clash with those added here.
+    packed = pages.select(F.struct("*").alias("page"), host.alias("host"), path.alias("path"))
+    known = lookup_join(packed, reputation, ["host"], ["path"], "left")
     by_rule = decided(rules, F.col("host"), F.col("path"), "verdict")
     by_host = F.when(F.col("lowest") > accepted_rate, F.lit("block")).otherwise(F.lit("allow"))
-    return (
-        known.withColumn("rule", decided(rules, F.col("host"), F.col("path"), "text"))
-        .withColumn("verdict", F.coalesce(by_rule, by_host))
-        .withColumnRenamed("_rate", "host_rate")
-        .drop("lowest")
+    added = ("host", "path", "host_rate", "rule", "verdict")
+    return known.select(
+        *(F.col(f"page.`{c}`").alias(c) for c in pages.columns if c not in added),
+        "host",
+        "path",
+        "host_rate",
+        decided(rules, F.col("host"), F.col("path"), "text").alias("rule"),
+        F.coalesce(by_rule, by_host).alias("verdict"),
     )
 
 

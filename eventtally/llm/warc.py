@@ -129,8 +129,11 @@ def write_warc(
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system and the path in it, of a URI or a plain path."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        path = "/" + rest.lstrip("/")
+    elif scheme in ("s3a", "s3n"):  # as Hadoop calls it
+        path = f"s3:{rest}"
     return pafs.FileSystem.from_uri(path)
 
 

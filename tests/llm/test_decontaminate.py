@@ -67,16 +67,38 @@ def test_span_is_in_the_original_text():
     assert plain(document[hit[2] : hit[3]]) == plain(item)
 
 
+def test_spans_after_letters_that_grow_when_lowered():
+    """Right before the passage, within it and in Greek, in the item as in the document."""
+    item = "Alpha beta gamma ΟΔΟΣ, delta epsilon zeta eta theta iota kappa lambda"
+    for head in ("İİİstanbul ", "İstanbul İstanbul İstanbul ", "ΣΑΣ. İ"):
+        document = head + item.upper() + " tail"
+        (hit,) = Items([(7, plain(item))], 0.08).found(document)
+        assert hit[1] == 0 and document[hit[2] : hit[3]] == item.upper()
+    turkish = "İstanbul'un taşı toprağı altın, İzmir'in denizi ve güneşi, Ankara'nın bozkırı"
+    (hit,) = Items([(1, plain(turkish))], 0.08).found("önce " + turkish)
+    assert hit[1:] == (0, 5, 5 + len(turkish))
+
+
+def test_short_items_are_found_word_for_word():
+    items = [(1, "who is who"), (2, "42"), (3, "何ですか"), (4, "x" * 39)]
+    search = Items([(i, plain(t)) for i, t in items], 0.08)
+    assert list(search.found("So, WHO is -- who? 42!")) == [(1, 0, 4, 17), (2, 0, 19, 21)]
+    assert list(search.found("who is whom, 142 420, who is wh")) == []
+    assert list(search.found("これは何ですか。")) == [(3, 0, 3, 7)]
+    assert list(search.found("x" * 38 + "y " + "x" * 39)) == [(4, 0, 40, 79)]
+    assert list(search.found("x" * 40)) == []
+
+
 def test_edge_rows(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     docs = spark.createDataFrame(
         [(1, None), (2, ""), (3, item), (3, item), (None, "x " + item), (4, "x " * 200_000 + item), (5, "clean")],
         "doc_id long, text string",
     ).selectExpr("doc_id", "text", "1 as edits", "2 as item_id")
-    items = spark.createDataFrame([(1, item), (2, item), (3, None), (4, "short")], "item_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, item), (3, None), (4, "clean"), (5, "?!")], "item_id long, text string")
     found = find_leaks(docs, items).collect()
     assert sorted((str(r["doc_id"]), r["item_id"], r["edits"]) for r in found) == sorted(
-        (str(d), i, 0) for d in (3, 3, None, 4) for i in (1, 2)
+        [(str(d), i, 0) for d in (3, 3, None, 4) for i in (1, 2)] + [("5", 4, 0)]
     )
     # One item per pass gives the same rows.
     small = find_leaks(docs, items, shard_chars=1).collect()

@@ -61,3 +61,13 @@ def test_pages_of_bad_hosts_are_blocked(spark):
     assert found == {1: "block", 2: "allow", 3: "allow"}
     # A host that no outcome names is allowed too.
     assert {r["page_id"]: r["verdict"] for r in judge_urls(pages, outcomes).collect()} == found
+
+
+def test_clashing_columns_stay(spark):
+    """Names of the result are replaced, all others stay, also those of steps in between."""
+    names = "page_id long, url string, lowest string, _rate int, rate int, page int, rule string, `_host` int"
+    pages = spark.createDataFrame([(1, "http://a.com/x", "l", 2, 3, 4, "r", 5)], names)
+    found = judge_urls(pages, pages.select("url", F.lit(True).alias("bad")))
+    assert found.columns == ["page_id", "url", "lowest", "_rate", "rate", "page", "_host", "host", "path", "host_rate", "rule", "verdict"]
+    row = found.first()
+    assert (row["lowest"], row["_rate"], row["rate"], row["page"], row["_host"], row["rule"], row["host"]) == ("l", 2, 3, 4, 5, "com/", "a.com")

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventtally.llm.warc import SCHEMA, page_id, read_warc, records, write_warc
@@ -94,3 +95,14 @@ def test_gzip_and_empty_archives(spark, folder):
     write_warc(nothing, folder + "/nothing")
     assert read_warc(spark, folder + "/nothing").count() == 0
     assert read_warc(spark, folder + "/nothing").columns == [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def test_schemes_of_hadoop():
+    from eventtally.llm.warc import opened
+
+    assert opened("file:///tmp")[1] == opened("file:/tmp")[1] == opened("/tmp")[1] == "/tmp"
+    try:
+        system, root = opened("s3a://bucket/some/folder")
+    except OSError:
+        pytest.skip("this pyarrow has no S3")
+    assert system.type_name == "s3" and root == "bucket/some/folder"
