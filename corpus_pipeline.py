@@ -4,8 +4,13 @@ Each stage works on all documents that its predecessor kept and gives the column
 last one the pieces and their places in sequences. Stages are written as Parquet to the shared
 folder and read again, so a lost executor costs tasks of one stage only.
 
-Missing values: a null text is kept by all stages but the first, which rejects it, as it does any
-text without a letter. Documents without an id are treated as any other.
+Defined cases: a null text is kept by all stages but the first, which rejects it, as it does any
+text without a letter, the empty one among them. Documents without an id are treated as any other. Texts
+are taken whole at any length; a packed document is cut into pieces. Of near duplicates the
+smallest id stays, ids that are missing coming first; of rows that are repeated in full one stays, of
+rows with one id and one text any one. Ties between languages go by their names. An empty table goes
+through all stages and gives no rows. Other columns stay as they are to the last stage but one, whatever
+their names; `lang` is learned from and must be there.
 """
 
 from __future__ import annotations
@@ -48,14 +53,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = near_duplicates(docs.select(F.struct("doc_id", key.alias("key")).alias("doc_id"), "text"))
     first = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id.key").alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_copies"))
+        .groupBy(F.col("doc_id.key").alias("key"))
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    kept = lookup_join(docs.withColumn("_key", key), first, ["_key"], ["text"])
+    # All columns in one, so that none can clash with those added here.
+    packed = docs.select(F.struct("*").alias("doc"), "text", key.alias("key"))
+    kept = lookup_join(packed, first, ["key"], ["text"])
     # A row that is there several times is its own copy.
-    once = kept.filter("_copies = 1")
-    repeated = kept.filter("_copies > 1").dropDuplicates(["_key"])
-    return once.unionByName(repeated).select(*docs.columns)
+    once = kept.filter("copies = 1")
+    repeated = kept.filter("copies > 1").dropDuplicates(["key"])
+    return once.unionByName(repeated).select("doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
