@@ -85,6 +85,31 @@ def test_personal_data_is_masked(spark):
     assert by_id[200][0] == "to please write to <ID>, ok"
 
 
+def test_clashing_columns_and_very_long_texts(spark, docs):
+    """All stages but the last keep every column, whatever its name."""
+    names = ["_key", "_copies", "_places", "key", "copies", "places", "doc", "lowest", "label", "email", "id", "row", "score"]
+    some = docs.limit(60).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    long = docs.filter("lang = 'en'").select(F.array_join(F.collect_list("text"), " ")).first()[0] * 4
+    added = some.limit(1).withColumns({"doc_id": F.lit(10**7).cast("long"), "text": F.lit(long), "lang": F.lit("en")})
+    given = some.unionByName(added).cache()
+    assert len(long) > 500_000
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, given, SF)
+        assert found.columns == given.columns, name
+        kept = {r["doc_id"]: r for r in found.collect()}
+        for doc_id, row in {r["doc_id"]: r for r in given.collect()}.items():
+            if doc_id in kept:
+                assert [kept[doc_id][n] for n in names] == [row[n] for n in names], name
+        assert kept
+    last = STAGE["packing"](spark, given, SF)
+    assert last.filter(F.col("doc_id") == 10**7).agg(F.sum("length")).first()[0] > 100_000
+
+
+def test_empty_tables_go_through(spark, docs):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
 def test_whole_run(spark, docs):
     found = corpus_pipeline.run(spark, SF).collect()
     ids = {r["doc_id"] for r in found}
