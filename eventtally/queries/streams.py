@@ -112,7 +112,7 @@ def _fed(spark: SparkSession, sf_dir: str, folder: str, start, landed: Column |
         start(raw.select("raw", landed.alias("ingest_time"), "source")).awaitTermination()
 
 
-def _captured(
+def captured(
     spark: SparkSession,
     sf_dir: str,
     serving_path: str | None = None,
@@ -186,7 +186,7 @@ SELECT metric_name, delta AS delta_value, event_time, arrival AS ingested_at, ba
 FROM judged WHERE late"""
 )
 def stream_late_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = captured_late_rows(spark, _captured(spark, sf_dir))
+    late = captured_late_rows(spark, captured(spark, sf_dir))
     return _ntz(late, "event_time", "ingested_at")
 
 
@@ -197,7 +197,7 @@ SELECT metric_name, round(sum(delta), 4) AS metric_value, window_start,
 FROM judged WHERE NOT late GROUP BY metric_name, window_start"""
 )
 def stream_ledger_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = captured_totals(spark, _captured(spark, sf_dir))
+    totals = captured_totals(spark, captured(spark, sf_dir))
     return rounded(_ntz(totals, "window_start", "window_end"))
 
 
@@ -263,7 +263,7 @@ FROM judged WHERE NOT late GROUP BY metric_name, date_trunc('{unit}', window_sta
 def served_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours and days of the serving table, kept up to date with the minutes of touched days."""
     path = shared_folder(spark, "serving")
-    _captured(spark, sf_dir, serving_path=path, rollups=["1 hour", "1 day"])
+    captured(spark, sf_dir, serving_path=path, rollups=["1 hour", "1 day"])
     longer = F.col("window_end") > F.col("window_start") + F.expr("INTERVAL 1 MINUTE")
     return rounded(_ntz(read_serving(spark, path).filter(longer).drop("day"), "window_start", "window_end"))
 
@@ -280,7 +280,7 @@ FROM (SELECT DISTINCT metric_name, window_start FROM judged WHERE NOT late) GROU
 def served_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that could be read soon enough after their rows had landed, by the times of the files."""
     path = shared_folder(spark, "serving")
-    captured = _captured(
+    captured = captured(
         spark, sf_dir, serving_path=path, settings=RECORDED, landed=F.col("_metadata.file_modification_time")
     )
     deltas = replayed_deltas(spark, captured).filter(~F.col("late"))
@@ -301,7 +301,7 @@ GROUP BY metric_name, window_start"""
 def stream_to_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of the serving table that the capture keeps up to date."""
     path = shared_folder(spark, "serving")
-    _captured(spark, sf_dir, serving_path=path)
+    captured(spark, sf_dir, serving_path=path)
     served = range_totals(read_serving(spark, path), "2024-01-05T06:30:00Z", "2024-01-19T18:00:00Z")
     return rounded(_ntz(served, "window_start", "window_end"))
 
@@ -314,7 +314,7 @@ FROM judged"""
 )
 def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows of the capture would have been late had its two bounds been six hours each."""
-    path = _captured(spark, sf_dir, settings=RECORDED)
+    path = captured(spark, sf_dir, settings=RECORDED)
     deltas = replayed_deltas(spark, path, Settings(allowed_lateness_seconds=21_600))
     return _ntz(deltas, "event_time", "ingest_time", "window_end")
 
@@ -329,7 +329,7 @@ FROM judged GROUP BY metric_name, window_start"""
 )
 def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """On-time and late totals of the recorded batches, by the capture's own settings."""
-    path = _captured(spark, sf_dir, settings=RECORDED)
+    path = captured(spark, sf_dir, settings=RECORDED)
     totals = split_totals(replayed_deltas(spark, path))
     return _ntz(rounded(rounded(totals), "late_value"), "window_start", "window_end")
 
@@ -362,7 +362,7 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     The capture left late rows out, and the errors of a day were purged from the store since.
     """
     served, store = shared_folder(spark, "serving"), shared_folder(spark, "recomputed")
-    _captured(spark, sf_dir, serving_path=served)
+    captured(spark, sf_dir, serving_path=served)
     purged = F.to_date("event_time") == F.lit(PURGED).cast("date")
     activities = i.activities(spark, sf_dir).filter(~(purged & (F.col("action") == "error")))
     write_serving(event_totals(i.transactions(spark, sf_dir), activities), store)

@@ -304,3 +304,39 @@ def test_the_index_follows_the_table(spark, folder):
     nothing = spark.createDataFrame([], TOTAL)
     replace_windows(spark, path, nothing, F.col("metric_value") == 3.0, (dates[2], dates[2]), folder + "/w2")
     assert index() == sorted(zip([9.0, 1.0, 4.0], [dates[0], dates[1], dates[3]]), key=str)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_windows_of_any_length_against_all_pairs(spark, monkeypatch, broadcast):
+    """Lengths from a microsecond to years, also powers of two, times before 1970, bounds met exactly."""
+    if not broadcast:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    draw = random.Random(12)
+    moment = lambda: dt.datetime(draw.choice([1969, 1970, 2024]), 1, 1) + dt.timedelta(seconds=draw.randrange(5000))
+    lengths = [1, 2, 2**20, 2**26, 60_000_000, 3_600_000_000, 86_400_000_000, 2**50, 0, -5]
+    totals = [
+        (draw.choice("ab"), float(k), start := moment(), start + dt.timedelta(microseconds=lengths[k % len(lengths)])) for k in range(120)
+    ]
+    events = [(k, draw.choice("abz"), moment()) for k in range(150)]
+    events += [(200 + k, n, s) for k, (n, _, s, _) in enumerate(totals[:40])]
+    events += [(300 + k, n, e) for k, (n, _, _, e) in enumerate(totals[:40])]
+    events += [(500, None, BASE), (501, "a", None)]
+    frame = spark.createDataFrame(events, "id INT, metric_name STRING, event_time TIMESTAMP_NTZ")
+    served = spark.createDataFrame(totals, TOTAL)
+    want = [(i, v) for i, n, t in events for m, v, s, e in totals if n == m and t is not None and s <= t < e]
+    assert rows(lk.windows_of_event(frame, served, ["id"]), "id", "metric_value") == sorted(want, key=str)
+    first = {i: min((s, e, v) for m, v, s, e in totals if n == m and s <= t < e)[2] for i, n, t in events if i in dict(want)}
+    assert rows(lk.first_window_of_event(frame, served, ["id"]), "id", "metric_value") == sorted(first.items(), key=str)
+    assert lk.windows_of_event(frame, served.limit(0), ["id"]).count() == 0
+
+
+def test_a_hot_metric_and_bucket_is_cut(spark):
+    """A third of all events in one window; the plan splits them by id."""
+    totals = spark.createDataFrame([("a", 1.0, BASE, BASE + dt.timedelta(minutes=1))], TOTAL)
+    events = spark.range(9000).select(
+        "id", F.lit("a").alias("metric_name"), F.lit(BASE).cast("timestamp_ntz").alias("event_time")
+    )
+    asked = events.withColumn("_power", F.lit(26)).withColumn("_bucket", F.lit(0).cast("long"))
+    joined = skew.salted_join(asked, totals.withColumns({"_power": F.lit(26), "_bucket": F.lit(0).cast("long")}), ["metric_name", "_power", "_bucket"], ["id"])
+    assert joined.count() == 9000 and "_part" in joined._jdf.queryExecution().analyzed().toString()
+    assert lk.windows_of_event(events, totals, ["id"]).count() == 9000

@@ -247,3 +247,19 @@ def test_percentiles_keep_unnamed_groups_and_infinities(spark):
     assert found["b", 0.5] == inf and found["c", 0.5] != found["c", 0.5] and ("d", 0.5) not in found
     one = exact_percentiles(frame, [], "x", [0.5])
     assert one.columns == ["percentile", "value"] and one.count() == 1
+
+
+def test_served_freshness_goes_by_landing_and_commit(spark):
+    at = lambda s: BASE + dt.timedelta(seconds=s)
+    deltas = spark.createDataFrame(
+        [("a", at(10), at(15)), ("a", at(20), at(40)), ("a", at(70), at(75)), ("b", at(10), at(12)), ("c", at(10), at(100))],
+        "metric_name STRING, event_time TIMESTAMP, ingest_time TIMESTAMP",
+    )
+    served = spark.createDataFrame(
+        [("a", at(0), at(60), at(100)), ("a", at(60), at(120), at(999)), ("c", at(0), at(60), at(90))],
+        "metric_name STRING, window_start TIMESTAMP, window_end TIMESTAMP, committed_at TIMESTAMP",
+    )
+    found = measures.served_freshness(deltas, served, visible_within_seconds=120)
+    assert rows(found, "metric_name", "window_start", "lag_seconds", "visible") == sorted(
+        [("a", at(0), 60.0, True), ("a", at(60), 924.0, False), ("b", at(0), None, False), ("c", at(0), -10.0, False)], key=str
+    )

@@ -435,3 +435,13 @@ def test_dead_letters_go_to_the_topic_of_their_source(spark):
     assert rows(dead_letter_records(letters)) == [
         ("malformed", "{bad", "events.transactions.dlq"), ("unknown_type", "x", "events.activities.dlq")
     ]
+
+
+def test_rollups_follow_touched_days(spark, folder):
+    path, log, table = folder + "/out", folder + "/out/partials", folder + "/serving"
+    for number, days in enumerate([[1, 2], [2, 3], [2]]):
+        total_rows(spark, log, number, days)
+        published.publish(spark, path, log, batch_log.added, number, table, rollups=["1 hour", "1 day"])
+    longer = read_serving(spark, table).filter("window_end > window_start + INTERVAL 1 MINUTE")
+    got = sorted((r.window_start.day, round((r.window_end - r.window_start).total_seconds()), r.metric_value) for r in longer.collect())
+    assert got == sorted((day, size, value) for day, value in ((1, 1.0), (2, 3.0), (3, 1.0)) for size in (3600, 86_400))

@@ -119,3 +119,18 @@ def test_backfill_replaces_its_days_only(spark, frames, folder):
         assert served == {
             k: (v if day[0] <= k[1] < day[1] else -1.0) for k, v in want.items()
         }
+
+
+def test_levels_equal_rollups_of_each_size(spark):
+    """One pass, also for sizes that do not divide one another; one scan and one sum in the plan."""
+    start = dt.datetime(2024, 1, 1)
+    rng = random.Random(1)
+    values = [(rng.choice(["a", "b", None]), float(k), start + dt.timedelta(minutes=rng.randrange(6000))) for k in range(500)]
+    frame = spark.createDataFrame(values, "metric_name STRING, metric_value DOUBLE, window_start TIMESTAMP_NTZ")
+    totals = frame.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 1 MINUTE"))
+    sizes = ["15 minutes", "1 hour", "1 day"]
+    levels = tt.rollup_levels(totals, sizes)
+    each = [tt.rollup_totals(totals, size) for size in sizes]
+    assert rows(levels) == rows(each[0].unionByName(each[1]).unionByName(each[2]))
+    plan = levels._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == plan.count("Aggregate") == plan.count("LogicalRDD") == 1
