@@ -280,10 +280,10 @@ FROM (SELECT DISTINCT metric_name, window_start FROM judged WHERE NOT late) GROU
 def served_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that could be read soon enough after their rows had landed, by the times of the files."""
     path = shared_folder(spark, "serving")
-    captured = captured(
+    out = captured(
         spark, sf_dir, serving_path=path, settings=RECORDED, landed=F.col("_metadata.file_modification_time")
     )
-    deltas = replayed_deltas(spark, captured).filter(~F.col("late"))
+    deltas = replayed_deltas(spark, out).filter(~F.col("late"))
     lags = measures.served_freshness(deltas, read_committed(spark, path), visible_within_seconds=VISIBLE_WITHIN)
     return lags.groupBy("metric_name").agg(
         F.count(F.lit(1)).alias("n_windows"), F.count_if("visible").alias("n_visible")
