@@ -40,9 +40,11 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 # Code points scanned at a time, and texts gathered for it.
 WINDOW = 1 << 20
-# Slices of up to so many characters are cached, so many of them at most.
+# Slices of up to so many characters are cached, twice so many of them at most.
 CACHED_CHARS = 64
 CACHED_SLICES = 200_000
+# Longest slice whose pairs are looked through for every merge.
+SHORT_BYTES = 48
 
 END_POINT = 0x110000
 
@@ -192,26 +194,53 @@ def slices_of(texts: list[str]) -> Iterator[list[str]]:
 
 
 class Merger(dict):
-    """The ids of a slice, merged when first asked for."""
+    """The ids of a slice, merged when first asked for.
+
+    When it is full, its slices are kept aside as the older ones, in the place of those kept
+    before, and come back when they are asked for again.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.merged(piece.encode("utf-8", "surrogatepass"))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.merged(piece.encode("utf-8", "surrogatepass"))
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_SLICES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
-        """Merge neighbours until no pair is a token: n log n for a slice of n bytes."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        """Merge neighbours until no pair is a token, the lowest rank first, the leftmost of equal ones."""
+        whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
+        cuts = self.cuts_of_short(piece) if len(piece) <= SHORT_BYTES else self.cuts_of_long(piece)
+        return tuple([self.ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:])])
+
+    def cuts_of_short(self, piece: bytes) -> list[int]:
+        """Where the parts end, by looking through the ranks of all pairs for each merge."""
+        get, none = self.ranks.get, len(self.ranks) + 1_000_000
+        cuts = list(range(len(piece) + 1))
+        pairs = [get(piece[at : at + 2], none) for at in range(len(piece) - 1)]
+        while pairs and (low := min(pairs)) < none:
+            at = pairs.index(low)
+            del cuts[at + 1], pairs[at]
+            if at < len(pairs):
+                pairs[at] = get(piece[cuts[at] : cuts[at + 2]], none)
+            if at:
+                pairs[at - 1] = get(piece[cuts[at - 1] : cuts[at + 1]], none)
+        return cuts
+
+    def cuts_of_long(self, piece: bytes) -> list[int]:
+        """The same with a heap: n log n for a slice of n bytes."""
+        ranks = self.ranks
         size = len(piece)
         end = list(range(1, size + 1))  # of the part that begins here; 0 once it is merged away
         before = list(range(-1, size - 1))
@@ -236,11 +265,10 @@ class Merger(dict):
                 rank = ranks.get(piece[left:stop])
                 if rank is not None:
                     heappush(waiting, (rank, left, stop))
-        found, at = [], 0
-        while at < size:
-            found.append(ranks[piece[at : end[at]]])
-            at = end[at]
-        return tuple(found)
+        cuts = [0]
+        while cuts[-1] < size:
+            cuts.append(end[cuts[-1]])
+        return cuts
 
 
 class Vocabulary:

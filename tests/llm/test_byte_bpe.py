@@ -85,9 +85,17 @@ def test_ranges_decode_alone():
 def test_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(b, "CACHED_SLICES", 10)
     merger = b.Merger(WORDS.ranks)
-    for k in range(100):
-        assert merger[f" word{k}"] == tuple(PLAIN.encode_ordinary(f" word{k}")) or k > 9
-        assert len(merger) <= 10
+    for k in [*range(100), *range(85, 100), 99]:
+        assert merger[f" word{k}"] == tuple(PLAIN.encode_ordinary(f" word{k}"))
+        assert len(merger) <= 10 and len(merger.older) <= 10
+    assert merger.merged(b"") == ()
+
+
+def test_short_and_long_slices_are_cut_alike():
+    draw = random.Random(6)
+    for _ in range(500):
+        piece = "".join(draw.choice("ab \té日etaoin") for _ in range(draw.randint(1, 40))).encode()
+        assert WORDS.merger.cuts_of_short(piece) == WORDS.merger.cuts_of_long(piece)
 
 
 def test_rows(spark):
