@@ -14,9 +14,9 @@ union, and the classes are the connected components.
    the first n - c + l of one and m - c + l of the other, for the c = 3/7 (n + m) it must have
    in common.
 3. Postings whose token only one class has are dropped. Within a token, classes are first held
-   against one of them (a star), verified and merged; later rounds only look at tokens that still
-   hold several components. When few pairs of classes in different components are left, all of
-   these are counted and verified. So a group of thousands of near copies costs thousands of
+   against some of them (stars), verified and merged; later rounds only look at tokens at which many
+   pairs of classes in different components are left, and go on while they find links. Then all pairs
+   that are left are counted and verified. So a group of thousands of near copies costs thousands of
    comparisons and not their square, and no link between different components is missed.
 4. Verification counts the exact intersection of two whole sets.
 
@@ -39,9 +39,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventtally.functions.skew import lookup_join
+from eventtally.functions.skew import lookup_join, sized_join
 from eventtally.llm.common import query, table
-from eventtally.session import stored
+from eventtally.session import stored, stored_with_size
 
 SHINGLE = 5
 # A link needs NEED / WHOLE of the union in common.
@@ -59,10 +59,13 @@ TOGETHER = 5_000_000
 LEAST_COUNT = 4
 # Hubs of a token in one star round; one that fits its group badly is made up for by another.
 HUBS = 6
-# Star rounds before all pairs of different components are looked at. The rounds end early once
-# there are at most PAIRS_PER_POSTING, or a round has found no link.
-ROUNDS = 4
-PAIRS_PER_POSTING = 20
+# After the first star round, others follow for tokens with more pairs of different components than
+# this for each posting; they end when there are no such tokens or a round has found no link. What is left
+# after the last round is met pair by pair.
+PAIRS_PER_POSTING = 4
+ROUNDS = 5
+# A token with more than one part in this many of all postings is hot.
+SHARES_OF_HOT = 512
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -225,6 +228,21 @@ def classed(docs: DataFrame) -> DataFrame:
     )
 
 
+def hot_tokens(postings: DataFrame, shares: int = SHARES_OF_HOT) -> list[int]:
+    """Tokens with more than 1 / `shares` of all postings, and perhaps others; `shares` at most.
+
+    A sketch of bounded size, combined in the tasks, misses none: its error is below a tenth of that.
+    """
+    sketch = F.expr(f"approx_top_k(token, {shares}, {20 * shares})").alias("top")
+    row = postings.agg(sketch, F.count(F.lit(1)).alias("n")).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] * shares > row["n"]]
+
+
+def token_range() -> dict[str, Column]:
+    """The lowest and the highest class of a token, and whether it is in the shorter prefix of one."""
+    return {"low": F.min("class"), "high": F.max("class"), "short": F.max(in_shorter(F.col("info")))}
+
+
 def shared_postings(found: DataFrame) -> DataFrame:
     """token, class and info of the tokens that several classes have in their prefix, and how
     many such tokens the class has.
@@ -237,18 +255,22 @@ def shared_postings(found: DataFrame) -> DataFrame:
         .select("class", info.alias("info"), F.posexplode("prefix").alias("place", "token"))
         .select("token", "class", (F.col("info") * PLACES + F.col("place")).alias("info"))
     )
+    # A token in the prefixes of many classes would be one task's; its postings stay where they are.
+    hot = hot_tokens(postings)
     of_token = Window.partitionBy("token")
-    several = (
-        postings.withColumn("low", F.min("class").over(of_token))
-        .withColumn("high", F.max("class").over(of_token))
-        .withColumn("short", F.max(in_shorter(F.col("info"))).over(of_token))
-        .filter("low < high")
+    cold = postings.filter(~F.col("token").isin(hot))
+    cold = cold.select("*", *(value.over(of_token).alias(name) for name, value in token_range().items()))
+    ranges = postings.filter(F.col("token").isin(hot)).groupBy("token").agg(
+        *(value.alias(name) for name, value in token_range().items())
     )
     # A class that several tasks met has as many postings; one is enough.
-    shared = stored(
-        several.groupBy("token", "class").agg(F.min("info").alias("info"), F.max("short").alias("short")),
-        "postings",
-    )
+    once = [
+        part.filter("low < high")
+        .groupBy("token", "class")
+        .agg(F.min("info").alias("info"), F.max("short").alias("short"))
+        for part in (cold, postings.join(F.broadcast(ranges), "token"))
+    ]
+    shared = stored(once[0].unionByName(once[1]), "postings")
     kept = shared.groupBy("class").agg(F.count(F.lit(1)).alias("kept"))
     return lookup_join(shared.filter("short").drop("short"), kept, ["class"], ["token"])
 
@@ -475,17 +497,17 @@ def star_pairs(postings: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def open_pairs(postings: DataFrame) -> tuple[int, int]:
-    """How many pairs `crossing_pairs` would meet, at most; and all postings."""
+def crowded_tokens(postings: DataFrame) -> DataFrame:
+    """Tokens at which `crossing_pairs` would meet many pairs for each of their postings."""
     short = F.count_if(ahead(F.col("info"))).alias("short")
-    sums = (
+    return (
         postings.groupBy("token", "label")
         .agg(F.count(F.lit(1)).alias("n"), short)
         .groupBy("token")
         .agg(F.sum("n").alias("n"), F.sum("short").alias("short"), F.sum(F.col("n") * F.col("short")).alias("inside"))
+        .filter(F.col("n") * F.col("short") - F.col("inside") > PAIRS_PER_POSTING * F.col("n"))
+        .select("token")
     )
-    both = sums.agg(F.sum(F.col("n") * F.col("short") - F.col("inside")), F.sum("n")).first()
-    return int(both[0] or 0), int(both[1] or 0)
 
 
 def crossing_pairs(postings: DataFrame, found: DataFrame) -> DataFrame:
@@ -536,11 +558,14 @@ def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
     labels = docs.sparkSession.createDataFrame([], "node long, label long")
     open_postings = labelled(postings, labels)
     for seed in range(ROUNDS):
-        # Once star rounds have merged what is close, few pairs are left to count.
-        left, rows = open_pairs(open_postings)
-        if not left or (seed and left <= PAIRS_PER_POSTING * rows):
-            break
-        more = verified(star_pairs(open_postings, seed), docs, keys)
+        here = open_postings
+        if seed:
+            # Once a star round has merged what is close, few tokens hold many components.
+            crowded, size = stored_with_size(crowded_tokens(open_postings), "crowded")
+            if crowded.isEmpty():
+                break
+            here = sized_join(open_postings, crowded, size, ["token"], ["class"])
+        more = verified(star_pairs(here, seed), docs, keys)
         if more.isEmpty():
             break
         labels = merged(labels, more)

@@ -14,6 +14,7 @@ from eventtally.llm.jaccard_join import (
 )
 
 import numpy as np
+import pytest
 
 random.seed(3)
 WORDS = [f"w{k}" for k in range(400)]
@@ -81,10 +82,15 @@ def test_components_equal_brute_force(spark):
     assert result(near_duplicates(frame(spark, rows).repartition(5))) == brute(rows)
 
 
-def test_order_and_rounds_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("stars", [True, False])
+def test_order_and_rounds_change_nothing(spark, monkeypatch, stars):
+    """Star rounds until one finds no link, and none that finds any."""
     rows = corpus()
+    if not stars:
+        star_pairs = jaccard_join.star_pairs
+        monkeypatch.setattr(jaccard_join, "star_pairs", lambda *a: star_pairs(*a).limit(0))
     monkeypatch.setattr(jaccard_join, "LEAST_COUNT", 10**9)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join, "PAIRS_PER_POSTING", 0.01)
     monkeypatch.setattr(jaccard_join, "PARTNERS_PER_TASK", 3)
     assert result(near_duplicates(frame(spark, rows).repartition(3))) == brute(rows)
 
