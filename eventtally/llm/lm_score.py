@@ -6,10 +6,11 @@ end. The model gives the class of the next id from a window of ids before it, by
 attention layer on top of how often the classes follow the last id, and the id within its class by
 its share after that id: the probabilities of all ids sum to one. Classes, shares, vocabulary
 and the base come from all learning documents, summed in Spark: pairs of ids within words from the
-counted words, pairs across the ends of words from the texts. The attention weights are fitted in
-`ROUNDS` Spark rounds: each task steps through its windows, and the weighted mean of what the
-tasks come to starts the next round. They learn from one in `SHARE` of the distinct learning texts,
-chosen by hash and taken whole, of a small corpus from more, up to all of them.
+counted words, pairs across the ends of words from the texts. The attention weights learn from all
+of them too. They are fitted in Spark rounds: each task steps through its windows, and the weighted
+mean of what the tasks come to starts the next round. `ROUNDS` rounds over one in `SHARE` of the distinct
+learning texts, of a small corpus over more, bring them near; if that is not all of the texts, one more
+round goes through every window of every learning document.
 
 Scoring lays overlapping windows over each document: a window of `WINDOW` ids scores its last
 `STRIDE` ones, so each id is scored once, with up to WINDOW - 1 ids before it in sight. Base
@@ -417,7 +418,10 @@ class Model:
             ("own", a["own_rows"], back),
         ):
             found[name] = np.zeros_like(p[name])
-            np.add.at(found[name], rows.ravel(), part.reshape(-1, part.shape[-1]))
+            # One flat index is added up several times as fast as rows.
+            width = part.shape[-1]
+            places = rows.reshape(-1, 1).astype(np.int64) * width + np.arange(width)
+            np.add.at(found[name].reshape(-1), places.ravel(), part.ravel())
         return float(-(logs * weight).sum()), found
 
     def fit(
@@ -522,28 +526,38 @@ def as_ids(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), np.uint32).astype(np.int64)
 
 
-def learning_ids(docs: DataFrame, path: str, known: dict[bytes, bytes]) -> DataFrame:
-    """number and ids of the distinct texts to fit the weights to, in the order of their hash.
-
-    A share of all, whole; of a small corpus so much that there are enough texts and characters.
-    """
+def first_share(docs: DataFrame) -> float:
+    """The share of the texts that the first rounds take; 1 or more for all."""
     size = docs.agg(
         F.count(F.lit(1)).alias("texts"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")
     ).first()
-    part = max(1 / SHARE, LEAST_TEXTS / max(size["texts"], 1), LEAST_CHARS / max(size["chars"], 1))
+    return max(1 / SHARE, LEAST_TEXTS / max(size["texts"], 1), LEAST_CHARS / max(size["chars"], 1))
+
+
+def learning_ids(docs: DataFrame, path: str, known: dict[bytes, bytes], part: float | None = None) -> DataFrame:
+    """number and ids of the distinct texts of the first rounds, in the order of their hash.
+
+    A share of all, whole; of a small corpus so much that there are enough texts and characters.
+    """
+    part = first_share(docs) if part is None else part
     number = F.xxhash64("text")
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     if part < 1:
         texts = texts.filter(F.pmod(number, F.lit(1 << 20)) < int(part * (1 << 20)))
+    distinct = texts.dropDuplicates(["text"]).select(F.shiftright(number, 20).alias("number"), "text")
+    return encoded(distinct.sortWithinPartitions("number", "text"), path, known)
+
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encoded(texts: DataFrame, path: str, known: dict[bytes, bytes]) -> DataFrame:
+    """number and ids for number and text."""
+
+    def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = TextIds(path, known)
         for batch in batches:
-            ids = [encode.of_words(text.as_py().encode().lower().split()) for text in batch.column(1)]
+            ids = [encode.of_words((text.as_py() or "").encode().lower().split()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["number", "ids"])
 
-    distinct = texts.dropDuplicates(["text"]).select(F.shiftright(number, 20).alias("number"), "text")
-    return distinct.sortWithinPartitions("number", "text").mapInArrow(encoded, "number long, ids binary")
+    return texts.select("number", "text").mapInArrow(encode_all, "number long, ids binary")
 
 
 def pools_of(texts: Iterator[bytes], tables: SimpleNamespace) -> Iterator[tuple[np.ndarray, ...]]:
@@ -605,7 +619,8 @@ def fitted_round(texts: DataFrame, tables: SimpleNamespace, model: Model, rate:
 
 
 def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, bytes]) -> Model:
-    texts = stored(learning_ids(docs, path, known), "learning")
+    part = first_share(docs)
+    texts = stored(learning_ids(docs, path, known, part), "learning")
     count = texts.agg(F.sum(F.ceil(F.octet_length("ids") / (4 * STRIDE))).alias("windows")).first()["windows"] or 0
     steps = -(-STEPS // ROUNDS)
     # A large corpus is dealt to the rounds; of a small one each round sees all, or a larger part.
@@ -616,6 +631,10 @@ def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, byt
     for number in range(ROUNDS if count else 0):
         chosen = texts.filter(F.pmod("number", F.lit(slices)) == number % slices)
         fitted_round(chosen, small, model, RATE * (1 - (number + 0.5) / ROUNDS), steps)
+    if part < 1:
+        # Every window once, at the rate the rounds end with; repeated rows count, as for the shares.
+        every = encoded(docs.select(F.lit(0).cast("long").alias("number"), "text"), path, known)
+        fitted_round(every, small, model, RATE / (2 * ROUNDS), 0)
     return model
 
 

@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -222,6 +223,34 @@ def test_weights_learn_from_whole_distinct_texts_that_grow_with_the_corpus(spark
         assert {bytes(f) for f in found} <= whole
 
 
+def test_weights_learn_from_every_text_of_a_corpus_that_is_not_small(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(lm_score, "LEAST_CHARS", 1)
+    seen = []
+    monkeypatch.setattr(lm_score, "fitted_round", lambda texts, *_: seen.append([bytes(r["ids"]) for r in texts.collect()]))
+    texts = [f"text number {k}" for k in range(400)] + ["", None, "text number 3"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    tables = SimpleNamespace(rows=None, classes=None, end=0, prior=np.zeros((lm_score.PAD_ROW + 1, CLASSES)))
+    lm_score.trained(docs, tables, default_path(), {})
+    encode = TextIds(default_path())
+    assert Counter(seen[-1]) == Counter(encode.of_words((t or "").encode().split()) for t in texts)
+
+
+def test_a_round_over_all_texts_takes_every_window_once(spark, fitted):
+    tables, _, rng = fitted
+    small = SimpleNamespace(rows=tables.rows, classes=tables.classes, end=tables.end)
+    model = Model(tables.prior)
+    before = model.numbers()
+    ids = [rng.integers(0, IDS, 5000).astype(np.uint32).tobytes() for _ in range(4)]
+    texts = spark.createDataFrame([(bytearray(i),) for i in ids], "ids binary").coalesce(1)
+    assert lm_score.fitted_round(texts, small, model, 0.01, 0)
+    assert not np.allclose(model.numbers(), before)
+    (pool,) = lm_score.pools_of(iter(ids), small)
+    alone = Model(tables.prior)
+    alone.fit(*pool, seed=0, steps=-(-len(pool[0]) // lm_score.BATCH_WINDOWS), rate=0.01)
+    assert np.allclose(alone.numbers(), model.numbers(), atol=1e-3)
+
+
 def test_long_texts_are_learned_from_to_their_end(fitted, monkeypatch):
     tables, _, rng = fitted
     ids = rng.integers(0, IDS, 1000)
