@@ -57,8 +57,11 @@ ORDERED = 500_000
 TOGETHER = 5_000_000
 # Tokens with a smaller count are not worth it.
 LEAST_COUNT = 4
-# Hubs of a token in one star round; one that fits its group badly is made up for by another.
+# Hubs of a token in the first star round; one that fits its group badly is made up for by another.
 HUBS = 6
+# Hubs of a crowded token in later rounds. What is left there links with few of the others, and each
+# class that finds none is held against all of them in the end.
+LATER_HUBS = 64
 # After the first star round, others follow for tokens with more pairs of different components than
 # this for each posting; they end when there are no such tokens or a round has found no link. What is left
 # after the last round is met pair by pair.
@@ -113,13 +116,12 @@ def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, n
 
         def repeated() -> pa.RecordBatch:
             tokens = np.concatenate([*parts, np.zeros(0, np.uint64)])
+            parts.clear()
             tokens.sort()
-            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)])
-            counts = np.diff(np.append(starts, len(tokens)))
-            often = counts >= 2
+            # A token that is there n times follows itself n - 1 times; the others need no more room.
+            found, again = np.unique(tokens[1:][tokens[1:] == tokens[:-1]], return_counts=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array(tokens[starts[often]].view(np.int64)), pa.array(counts[often].astype(np.int64))],
-                names=["token", "n"],
+                [pa.array(found.view(np.int64)), pa.array(again.astype(np.int64) + 1)], names=["token", "n"]
             )
 
         for batch in batches:
@@ -133,7 +135,6 @@ def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, n
                     if size >= TOGETHER:
                         yield repeated()
                         seen.clear()
-                        parts.clear()
                         size = 0
         yield repeated()
 
@@ -471,16 +472,30 @@ def may_link(a: Column, b: Column, kept_a: Column, kept_b: Column) -> Column:
     return most >= in_common(size(a), size(b))
 
 
-def star_pairs(postings: DataFrame, seed: int) -> DataFrame:
-    """Classes of a token with its hubs (a), if they are not in one component yet and share as
-    many tokens of which `a` is a hub as they must."""
+def first_hubs(postings: DataFrame) -> DataFrame:
+    """token and hub (class, info, label) of the classes that are the first of a token in `HUBS` orders."""
     turns = [
-        F.min(F.struct(F.xxhash64("class", F.lit(seed * HUBS + k)).alias("turn"), "class", "info", "label"))
-        for k in range(HUBS)
+        F.min(F.struct(F.xxhash64("class", F.lit(k)).alias("turn"), "class", "info", "label")) for k in range(HUBS)
     ]
-    hubs = postings.groupBy("token").agg(F.array(*turns).alias("hubs")).select(
+    return postings.groupBy("token").agg(F.array(*turns).alias("hubs")).select(
         "token", F.explode(F.array_distinct(F.transform("hubs", lambda h: h.dropFields("turn")))).alias("hub")
     )
+
+
+def later_hubs(postings: DataFrame, seed: int) -> DataFrame:
+    """The same with the first one in each of `LATER_HUBS` parts of the classes, others for every seed."""
+    turn = F.xxhash64("class", F.lit(seed))
+    first = F.min(F.struct(turn.alias("turn"), "class", "info", "label")).alias("hub")
+    return (
+        postings.groupBy("token", F.pmod(turn, F.lit(LATER_HUBS)).alias("part"))
+        .agg(first)
+        .select("token", F.col("hub").dropFields("turn").alias("hub"))
+    )
+
+
+def star_pairs(postings: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Classes of a token with its hubs (a), if they are not in one component yet and share as
+    many tokens of which `a` is a hub as they must."""
     a, b = F.col("hub.info"), F.col("info")
     shares = F.least(asked(a), asked(b))
     return (
@@ -559,13 +574,15 @@ def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
     open_postings = labelled(postings, labels)
     for seed in range(ROUNDS):
         here = open_postings
+        hubs = first_hubs(here)
         if seed:
             # Once a star round has merged what is close, few tokens hold many components.
             crowded, size = stored_with_size(crowded_tokens(open_postings), "crowded")
             if crowded.isEmpty():
                 break
             here = sized_join(open_postings, crowded, size, ["token"], ["class"])
-        more = verified(star_pairs(here, seed), docs, keys)
+            hubs = later_hubs(here, seed)
+        more = verified(star_pairs(here, hubs), docs, keys)
         if more.isEmpty():
             break
         labels = merged(labels, more)

@@ -15,6 +15,7 @@ from eventtally.llm.jaccard_join import (
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 random.seed(3)
 WORDS = [f"w{k}" for k in range(400)]
@@ -137,3 +138,42 @@ def test_components(spark):
 def test_shingles():
     assert len(shingles(None)) == len(shingles(" \n")) == 0
     assert shingles("A b").tolist() == shingles("a  B\t").tolist() != shingles("b a").tolist()
+
+
+def test_few_classes_of_a_large_group_are_left_for_the_pairs(spark, monkeypatch):
+    """Copies of one text that link with few of the others each."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(110)]
+
+    def edited(k):
+        words = list(base)
+        for n, at in enumerate(rng.sample(range(5, 105), 2)):
+            words[at] = f"x{k}-{n}"
+        return " ".join(words)
+
+    docs = spark.createDataFrame([(k, edited(k)) for k in range(500)], "doc_id long, text string").cache()
+    left = []
+    crossing = jaccard_join.crossing_pairs
+
+    def watched(postings, found):
+        left.append(postings.groupBy("class").agg(F.first("label").alias("label")).groupBy("label").count().collect())
+        return crossing(postings, found)
+
+    monkeypatch.setattr(jaccard_join, "crossing_pairs", watched)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    sets = {r["doc_id"]: set(jaccard_join.shingles(r["text"]).tolist()) for r in docs.collect()}
+    root = {k: k for k in sets}
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for x in sets:
+        for y in range(x):
+            both = len(sets[x] & sets[y])
+            if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both) and top(x) != top(y):
+                root[max(top(x), top(y))] = min(top(x), top(y))
+    assert found == {k: top(k) for k in sets}
+    sizes = sorted((r["count"] for r in left[0]), reverse=True)
+    assert sum(sizes[1:]) <= 25
