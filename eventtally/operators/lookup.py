@@ -13,7 +13,7 @@ from eventtally.functions import skew
 from eventtally.functions.parsing import INSTANT_PATTERN, iso_instant, required_instant
 from eventtally.functions.skew import lookup_join, salted_join
 from eventtally.operators.totals import size_micros, start_of
-from eventtally.session import stored_with_size
+from eventtally.session import stored, stored_with_size
 
 
 def request_bound(text: str) -> datetime:
@@ -89,6 +89,7 @@ def bulk_range_totals(
     requests: DataFrame,
     totals: DataFrame,
     spread_by: list[str] | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
     """Every total that lies in the range of each request (metric_name, start, end).
 
@@ -97,8 +98,10 @@ def bulk_range_totals(
     same metric and day, so the join is on equal keys and the two bounds only trim the
     first and the last day. Days outside the table are left out beforehand; of the table
     only the days of the requests are read, and of these only the asked pairs of metric and day
-    go on. Both sides are shuffled, also small ones: a few requests can have very many answers, and the
-    shuffle spreads the work of writing them out.
+    go on. The requests are shuffled, also a few, which can have very many answers: that spreads the
+    work of writing them out. What can be worked out once per total is not left to the answers, which are
+    many more: with `as_text` the bounds of the windows become ISO texts before the join. If the
+    asked totals are small they go to all tasks, else both sides are shuffled on the keys.
     """
     kind = dict(totals.dtypes)["window_start"]
     day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
@@ -106,22 +109,29 @@ def bulk_range_totals(
     low, high = (F.lit(table_days[k]).cast("date") for k in ("low", "high"))
     columns = requests.columns
     by_day = _by_day(requests, kind, low, high)
-    asked = by_day.select("metric_name", "_day").distinct()
-    span = by_day.agg(F.min("_day").alias("low"), F.max("_day").alias("high")).first()
+    asked = stored(by_day.select("metric_name", "_day").distinct(), "asked")
+    span = asked.agg(F.min("_day").alias("low"), F.max("_day").alias("high")).first()
+    bounds = ["window_start", "window_end"]
     rows = (
         totals.filter(day.between(*(F.lit(span[k]).cast("date") for k in ("low", "high"))))
         .select(*SERVING_COLUMNS, day.alias("_day"))
         .join(asked, ["metric_name", "_day"], "left_semi")
     )
+    name = F.coalesce(F.octet_length("metric_name"), F.lit(0))
+    # Eight bytes a value, and texts of up to 27 for the bounds.
+    size = rows.agg(F.sum(name + F.lit(40 + 2 * 27 * as_text))).first()[0] or 0
+    rows = rows.select("*", *(iso_instant(F.col(b)).alias(f"_{b}") for b in bounds if as_text))
     inside = (F.col("window_start") >= F.col("_from")) & (F.col("window_end") <= F.col("_to"))
-    joined = salted_join(
-        by_day,
-        rows,
-        ["metric_name", "_day"],
-        spread_by or columns,
-        condition=inside,
-    )
-    return joined.select(*columns, "metric_value", "window_start", "window_end")
+    keys, spread_by = ["metric_name", "_day"], spread_by or columns
+    if size <= skew.BROADCAST_BYTES:
+        # As many tasks as the setting says: few bytes of requests are no sign of few answers.
+        tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = by_day.repartition(tasks, *dict.fromkeys([*spread_by, "_day"]))
+        joined = spread.join(F.broadcast(rows), keys).filter(inside)
+    else:
+        joined = salted_join(by_day, rows, keys, spread_by, condition=inside)
+    shown = [F.col(f"_{b}").alias(b) if as_text else F.col(b) for b in bounds]
+    return joined.select(*columns, "metric_value", *shown)
 
 
 def _by_day(requests: DataFrame, kind: str, low: Column, high: Column) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from eventtally.operators import snapshot as snap
 from eventtally.operators.lookup import bulk_range_totals
-from eventtally.functions.parsing import iso_instant
 
 
 def answer(
@@ -30,12 +29,8 @@ def answer(
         F.col("end").alias("window_end"),
         F.lit("hit").alias("source"),
     )
-    miss = bulk_range_totals(snap.misses(probed), totals).select(
-        *requests.columns,
-        "metric_value",
-        iso_instant(F.col("window_start")).alias("window_start"),
-        iso_instant(F.col("window_end")).alias("window_end"),
-        F.lit("miss").alias("source"),
+    miss = bulk_range_totals(snap.misses(probed), totals, as_text=True).select(
+        *requests.columns, "metric_value", "window_start", "window_end", F.lit("miss").alias("source")
     )
     return hit.unionByName(miss)
 

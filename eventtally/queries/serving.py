@@ -174,8 +174,8 @@ FROM reqs r JOIN totals t ON t.metric_name = r.metric_name
 )
 def bulk_range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     served, _ = _served(spark, sf_dir)
-    found = lk.bulk_range_totals(i.requests(spark, sf_dir), served, spread_by=["request_id"])
-    return rounded(found)
+    # A total is in very many answers, so it is rounded before.
+    return lk.bulk_range_totals(i.requests(spark, sf_dir), rounded(served), spread_by=["request_id"])
 
 
 def _probed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,8 +271,11 @@ SELECT request_id, metric_name, start, "end", round(metric_value, 4),
 )
 def answered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     served, _ = _served(spark, sf_dir)
-    return rounded(
-        answer(i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), served, F.expr(i.AS_OF))
+    # A total is in very many answers, so it is rounded before.
+    found = answer(i.requests(spark, sf_dir), i.snapshot(spark, sf_dir), rounded(served), F.expr(i.AS_OF))
+    stored_value = F.round("metric_value", 4)
+    return found.withColumn(
+        "metric_value", F.when(F.col("source") == "hit", stored_value).otherwise(F.col("metric_value"))
     )
 
 

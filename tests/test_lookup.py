@@ -340,3 +340,19 @@ def test_a_hot_metric_and_bucket_is_cut(spark):
     joined = skew.salted_join(asked, totals.withColumns({"_power": F.lit(26), "_bucket": F.lit(0).cast("long")}), ["metric_name", "_power", "_bucket"], ["id"])
     assert joined.count() == 9000 and "_part" in joined._jdf.queryExecution().analyzed().toString()
     assert lk.windows_of_event(events, totals, ["id"]).count() == 9000
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_bulk_ranges_with_texts_are_worked_out_once_per_total(spark, data, monkeypatch, broadcast):
+    """The texts of the bounds are made below the join, and the answers of small totals are not shuffled by key."""
+    if not broadcast:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    totals, requests, *plain = data
+    found = lk.bulk_range_totals(requests, totals, ["request_id"], as_text=True)
+    expected = [(*row[:5], iso(row[5]), iso(row[6])) for row in brute_force(*plain)]
+    assert rows(found, *COLUMNS) == sorted(expected, key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    join = next(k for k, line in enumerate(plan.splitlines()) if "Join Inner" in line)
+    assert "date_format" in plan and not any("date_format" in line for line in plan.splitlines()[:join])
+    physical = found._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin [metric_name" in physical and "SortMergeJoin" not in physical) == broadcast
