@@ -279,9 +279,10 @@ def shared_postings(found: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets link. `keys` has class and the row_key of one of its rows.
 
-    The texts are read once; the sets of a's partners go to where the set of `a` is, which
-    is sent to several tasks if there are many.
+    The pairs are worked out once and the texts are read once; the sets of a's partners go to where
+    the set of `a` is, which is sent to several tasks if there are many.
     """
+    pairs = stored(pairs, "pairs")
     hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS_PER_TASK).alias("parts"))
     parts = lookup_join(pairs, hubs, ["a"], ["b"])
     asked = parts.select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("class")).union(

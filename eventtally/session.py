@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+# Shuffle files of a write go when it is done; else they stay until the driver collects its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set what the results depend on; sizes and cluster settings stay as they are."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -90,7 +94,13 @@ def stored_with_size(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
     ]
     width = sum(texts, F.lit(8 * len(rows.columns))).cast("long")
     size = Observation()
+    conf = rows.sparkSession.conf
     path = shared_folder(rows.sparkSession, name)
-    rows.observe(size, F.sum(width).alias("bytes")).write.parquet(path)
+    before = conf.get(CLEAN_UP, "false")
+    conf.set(CLEAN_UP, "true")
+    try:
+        rows.observe(size, F.sum(width).alias("bytes")).write.parquet(path)
+    finally:
+        conf.set(CLEAN_UP, before)
     back = rows.sparkSession.read.schema(rows.schema).parquet(path)
     return back, size.get["bytes"] or 0

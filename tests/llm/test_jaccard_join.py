@@ -177,3 +177,22 @@ def test_few_classes_of_a_large_group_are_left_for_the_pairs(spark, monkeypatch)
     assert found == {k: top(k) for k in sets}
     sizes = sorted((r["count"] for r in left[0]), reverse=True)
     assert sum(sizes[1:]) <= 25
+
+
+def test_pairs_are_worked_out_once(spark):
+    """Their joins are what the query shuffles most."""
+    texts = [(k, " ".join(WORDS[:50]) + f" x{k}") for k in range(4)]
+    docs = frame(spark, texts)
+    found = jaccard_join.classed(docs).cache()
+    keys = found.groupBy("class").agg(F.min("row_key").alias("row_key"))
+    numbers = sorted(r["class"] for r in found.collect())
+    met = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    pairs = spark.createDataFrame([(numbers[0], n) for n in numbers[1:]], "a long, b long").mapInArrow(watched, "a long, b long")
+    assert jaccard_join.verified(pairs, docs, keys).count() == 3
+    assert met.value == 3
