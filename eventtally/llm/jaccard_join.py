@@ -111,12 +111,11 @@ def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        parts: list[np.ndarray] = []
+        held = np.empty(TOGETHER, np.uint64)
         size = 0
 
         def repeated() -> pa.RecordBatch:
-            tokens = np.concatenate([*parts, np.zeros(0, np.uint64)])
-            parts.clear()
+            tokens = held[:size]
             tokens.sort()
             # A token that is there n times follows itself n - 1 times; the others need no more room.
             found, again = np.unique(tokens[1:][tokens[1:] == tokens[:-1]], return_counts=True)
@@ -129,13 +128,15 @@ def repeated_tokens(docs: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, n
                 tokens = shingles(text.as_py())
                 number = class_of(tokens)
                 if number not in seen:  # copies are no reason to put a token last
-                    seen.add(number)
-                    parts.append(tokens)
-                    size += len(tokens)
-                    if size >= TOGETHER:
+                    if size and size + len(tokens) > len(held):
                         yield repeated()
                         seen.clear()
                         size = 0
+                    if len(tokens) > len(held):
+                        held = np.empty(len(tokens), np.uint64)
+                    seen.add(number)
+                    held[size : size + len(tokens)] = tokens
+                    size += len(tokens)
         yield repeated()
 
     totals = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))

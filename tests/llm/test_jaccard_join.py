@@ -196,3 +196,11 @@ def test_pairs_are_worked_out_once(spark):
     pairs = spark.createDataFrame([(numbers[0], n) for n in numbers[1:]], "a long, b long").mapInArrow(watched, "a long, b long")
     assert jaccard_join.verified(pairs, docs, keys).count() == 3
     assert met.value == 3
+
+
+def test_repeated_tokens_of_texts_beyond_the_room_for_them(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TOGETHER", 50)
+    texts = [(k, " ".join(WORDS[: 20 + 40 * (k % 3)]) + f" x{k}") for k in range(12)]
+    tokens, counts = jaccard_join.repeated_tokens(frame(spark, texts).coalesce(1))
+    assert len(tokens) == len(counts) and (counts >= jaccard_join.LEAST_COUNT).all()
+    assert result(near_duplicates(frame(spark, texts))) == brute(texts)
