@@ -35,6 +35,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,7 +183,12 @@ def counted_ids(words: DataFrame, path: str, tables: IdTables | None = None) ->
     return counts
 
 
-def counted_across(docs: DataFrame, path: str, tables: IdTables, known: dict[bytes, bytes]) -> np.ndarray:
+def sent(rows: DataFrame, value: object) -> Broadcast:
+    """A value that every Python worker loads once, and not again with each task."""
+    return value if isinstance(value, Broadcast) else rows.sparkSession.sparkContext.broadcast(value)
+
+
+def counted_across(docs: DataFrame, path: str, tables: IdTables, known: dict[bytes, bytes] | Broadcast) -> np.ndarray:
     """How often ids follow one another across the ends of words and texts, over all texts.
 
     A row of entries per class, of the ids that follow a last one of it, then the pairs of common
@@ -192,10 +198,11 @@ def counted_across(docs: DataFrame, path: str, tables: IdTables, known: dict[byt
     coarse = CLASSES * width
     size = coarse + FINE_LAST * FINE_IDS
     classes, rank = tables.classes, tables.rank
+    known = sent(docs, known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = TextIds(path)
-        edges = {word: ids[:4] + ids[-4:] for word, ids in known.items()}
+        edges = {word: ids[:4] + ids[-4:] for word, ids in known.value.items()}
         sums = np.zeros(size, np.int64)
 
         def add_up(parts: list[bytes]) -> None:
@@ -534,7 +541,9 @@ def first_share(docs: DataFrame) -> float:
     return max(1 / SHARE, LEAST_TEXTS / max(size["texts"], 1), LEAST_CHARS / max(size["chars"], 1))
 
 
-def learning_ids(docs: DataFrame, path: str, known: dict[bytes, bytes], part: float | None = None) -> DataFrame:
+def learning_ids(
+    docs: DataFrame, path: str, known: dict[bytes, bytes] | Broadcast, part: float | None = None
+) -> DataFrame:
     """number and ids of the distinct texts of the first rounds, in the order of their hash.
 
     A share of all, whole; of a small corpus so much that there are enough texts and characters.
@@ -548,11 +557,12 @@ def learning_ids(docs: DataFrame, path: str, known: dict[bytes, bytes], part: fl
     return encoded(distinct.sortWithinPartitions("number", "text"), path, known)
 
 
-def encoded(texts: DataFrame, path: str, known: dict[bytes, bytes]) -> DataFrame:
+def encoded(texts: DataFrame, path: str, known: dict[bytes, bytes] | Broadcast) -> DataFrame:
     """number and ids for number and text."""
+    known = sent(texts, known)
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TextIds(path, known)
+        encode = TextIds(path, known.value)
         for batch in batches:
             ids = [encode.of_words((text.as_py() or "").encode().lower().split()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["number", "ids"])
@@ -618,7 +628,7 @@ def fitted_round(texts: DataFrame, tables: SimpleNamespace, model: Model, rate:
     return taken > 0
 
 
-def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, bytes]) -> Model:
+def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, bytes] | Broadcast) -> Model:
     part = first_share(docs)
     texts = stored(learning_ids(docs, path, known, part), "learning")
     count = texts.agg(F.sum(F.ceil(F.octet_length("ids") / (4 * STRIDE))).alias("windows")).first()["windows"] or 0
@@ -634,7 +644,8 @@ def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, byt
     if part < 1:
         # Every window once, at the rate the rounds end with; repeated rows count, as for the shares.
         every = encoded(docs.select(F.lit(0).cast("long").alias("number"), "text"), path, known)
-        fitted_round(every, small, model, RATE / (2 * ROUNDS), 0)
+        # Stored in between, so that a task never has two Python workers, one to encode and one to learn.
+        fitted_round(stored(every, "every-text"), small, model, RATE / (2 * ROUNDS), 0)
     return model
 
 
@@ -651,16 +662,17 @@ def score_texts(docs: DataFrame, learning: Column, path: str | None = None) -> D
     id_counts[-1] = corpus.ends
     tables = IdTables(id_counts)
     plain = TextIds(path)
-    known_ids = {word: plain.of_word(word) for word in corpus.frequent}
+    known_ids = sent(docs, {word: plain.of_word(word) for word in corpus.frequent})
     across = counted_across(learnt, path, tables, known_ids)
     tables.learn_shares(counted_ids(words, path, tables), corpus.ends, across)
     model = trained(learnt, tables, path, known_ids)
-    logs = {word: float(corpus.log(n)) for word, n in corpus.frequent.items()}
+    in_tasks = sent(docs, (tables, model, {word: float(corpus.log(n)) for word, n in corpus.frequent.items()}))
     end_log, end_known = float(corpus.log(corpus.ends)), int(corpus.ends > 0)
-    del plain, learnt, id_counts, across
+    del plain, learnt, id_counts, across, tables, model
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TextIds(path, known_ids)
+        encode = TextIds(path, known_ids.value)
+        tables, model, logs = in_tasks.value
         schema = pa.schema(
             [("doc_id", batch_kind), ("row", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
              ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.string()))]

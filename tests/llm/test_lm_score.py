@@ -280,3 +280,25 @@ def test_the_model_is_better_than_the_unigram_on_held_out_documents(spark):
     sums = found.agg(F.sum("base_score").alias("base"), F.sum("score").alias("score"), F.sum("n_tokens").alias("n"))
     row = sums.first()
     assert row["score"] / row["n"] > row["base"] / row["n"] + 0.05
+
+
+def test_no_task_encodes_and_learns_in_two_python_workers(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(lm_score, "LEAST_CHARS", 1)
+    plans = []
+    monkeypatch.setattr(
+        lm_score, "fitted_round", lambda texts, *_: plans.append(texts._jdf.queryExecution().executedPlan().toString())
+    )
+    docs = spark.createDataFrame([(f"text number {k}",) for k in range(400)], "text string")
+    tables = SimpleNamespace(rows=None, classes=None, end=0, prior=np.zeros((lm_score.PAD_ROW + 1, CLASSES)))
+    lm_score.trained(docs, tables, default_path(), {})
+    assert plans and not any("MapInArrow" in plan for plan in plans)
+
+
+def test_what_tasks_look_up_is_sent_once_and_not_with_every_task(spark):
+    known = {f"w{k}".encode(): bytes(4) for k in range(9)}
+    docs = spark.createDataFrame([("w1 w2",)], "text string")
+    held = lm_score.sent(docs, known)
+    assert lm_score.sent(docs, held) is held and held.value == known
+    (row,) = lm_score.encoded(docs.selectExpr("1L as number", "text"), default_path(), held).collect()
+    assert bytes(row["ids"])[:8] == bytes(8)
