@@ -56,6 +56,9 @@ ROUNDS, REDUCERS = 8, 4
 SHARE = 16  # one in so many distinct texts is learned from, but so many texts and characters at least
 LEAST_TEXTS, LEAST_CHARS = 4000, 8_000_000
 POOL_WINDOWS = 16384  # windows that a task shuffles at a time
+# Windows that a task of the last round takes at least, once there is a task a core. A task hands on weights and
+# means of slopes, 2.4 MB however little it has learned from, so their number follows the windows.
+TASK_WINDOWS = 16 * POOL_WINDOWS
 RATE = 0.02
 SMOOTHING = 5.0  # weight of a less exact share, in occurrences of the more exact one
 FINE_LAST, FINE_IDS = 1024, 4096  # the commonest ids whose pairs are counted one by one
@@ -628,11 +631,21 @@ def fitted_round(texts: DataFrame, tables: SimpleNamespace, model: Model, rate:
     return taken > 0
 
 
+def windows_in(texts: DataFrame) -> int:
+    return texts.agg(F.sum(F.ceil(F.octet_length("ids") / (4 * STRIDE))).alias("windows")).first()["windows"] or 0
+
+
+def dealt(texts: DataFrame, count: int, least: int) -> DataFrame:
+    """The texts in no more partitions than have `least` of the `count` windows each, or than there are cores."""
+    return texts.coalesce(max(texts.sparkSession.sparkContext.defaultParallelism, count // least))
+
+
 def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, bytes] | Broadcast) -> Model:
     part = first_share(docs)
     texts = stored(learning_ids(docs, path, known, part), "learning")
-    count = texts.agg(F.sum(F.ceil(F.octet_length("ids") / (4 * STRIDE))).alias("windows")).first()["windows"] or 0
+    count = windows_in(texts)
     steps = -(-STEPS // ROUNDS)
+    texts = dealt(texts, count, steps * BATCH_WINDOWS)
     # A large corpus is dealt to the rounds; of a small one each round sees all, or a larger part.
     enough = texts.rdd.getNumPartitions() * steps * BATCH_WINDOWS
     slices = min(max(count // enough, 1), ROUNDS)
@@ -645,7 +658,8 @@ def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, byt
         # Every window once, at the rate the rounds end with; repeated rows count, as for the shares.
         every = encoded(docs.select(F.lit(0).cast("long").alias("number"), "text"), path, known)
         # Stored in between, so that a task never has two Python workers, one to encode and one to learn.
-        fitted_round(stored(every, "every-text"), small, model, RATE / (2 * ROUNDS), 0)
+        texts = stored(every, "every-text")
+        fitted_round(dealt(texts, windows_in(texts), TASK_WINDOWS), small, model, RATE / (2 * ROUNDS), 0)
     return model
 
 

@@ -302,3 +302,25 @@ def test_what_tasks_look_up_is_sent_once_and_not_with_every_task(spark):
     assert lm_score.sent(docs, held) is held and held.value == known
     (row,) = lm_score.encoded(docs.selectExpr("1L as number", "text"), default_path(), held).collect()
     assert bytes(row["ids"])[:8] == bytes(8)
+
+
+def test_the_tasks_of_a_round_follow_its_windows_and_not_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(lm_score, "LEAST_CHARS", 1)
+    seen = []
+    monkeypatch.setattr(lm_score, "fitted_round", lambda texts, *_: seen.append(texts.rdd.getNumPartitions()))
+    small = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1k"}
+    docs = spark.createDataFrame([(f"text number {k}",) for k in range(400)], "text string").repartition(40)
+    tables = SimpleNamespace(rows=None, classes=None, end=0, prior=np.zeros((lm_score.PAD_ROW + 1, CLASSES)))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        lm_score.trained(docs, tables, default_path(), {})
+        most = spark.sparkContext.defaultParallelism
+        assert len(seen) == lm_score.ROUNDS + 1 and max(seen) <= most
+        monkeypatch.setattr(lm_score, "TASK_WINDOWS", 40)
+        lm_score.trained(docs, tables, default_path(), {})
+        assert seen[-1] == 10
+    finally:
+        for key in small:
+            spark.conf.unset(key)
