@@ -572,7 +572,8 @@ def class_components(docs: DataFrame, found: DataFrame) -> DataFrame:
     """class (as node) and label for all classes that link with another one."""
     postings = shared_postings(found)
     keys = found.filter("class IS NOT NULL").groupBy("class").agg(F.min("row_key").alias("row_key"))
-    labels = docs.sparkSession.createDataFrame([], "node long, label long")
+    # Not from a list of rows: reading one starts Python workers of another kind, which stay on every executor.
+    labels = docs.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("label"))
     open_postings = labelled(postings, labels)
     for seed in range(ROUNDS):
         here = open_postings

@@ -35,7 +35,7 @@ PROFILE = 400
 # is no letter.
 BITS = 21
 END = ord("_")
-# Training merges its counts after so many n-grams.
+# Training merges counts once a task holds so many n-grams, of all languages together.
 MERGE_GRAMS = 2_000_000
 
 
@@ -83,6 +83,7 @@ def learn_profiles(rows: DataFrame, size: int = PROFILE) -> dict[str, list[int]]
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[np.ndarray]] = defaultdict(list)
         sizes: dict[str, int] = defaultdict(int)
+        held = 0
 
         def merged(lang: str) -> pa.RecordBatch:
             grams, counts = counted(np.concatenate(waiting.pop(lang)))
@@ -98,8 +99,11 @@ def learn_profiles(rows: DataFrame, size: int = PROFILE) -> dict[str, list[int]]
                 if len(grams):
                     waiting[lang].append(grams)
                     sizes[lang] += len(grams)
-                    if sizes[lang] >= MERGE_GRAMS:
-                        yield merged(lang)
+                    held += len(grams)
+                    if held >= MERGE_GRAMS:
+                        most = max(sizes, key=sizes.__getitem__)
+                        held -= sizes[most]
+                        yield merged(most)
         for lang in list(waiting):
             yield merged(lang)
 

@@ -204,3 +204,14 @@ def test_repeated_tokens_of_texts_beyond_the_room_for_them(spark, monkeypatch):
     tokens, counts = jaccard_join.repeated_tokens(frame(spark, texts).coalesce(1))
     assert len(tokens) == len(counts) and (counts >= jaccard_join.LEAST_COUNT).all()
     assert result(near_duplicates(frame(spark, texts))) == brute(texts)
+
+
+def test_no_python_workers_but_those_of_the_texts_are_started(spark, monkeypatch):
+    def from_rows(*_, **__):
+        raise AssertionError("a table from a list of rows runs Python workers of another kind")
+
+    docs = frame(spark, [(k, f"a b c d e f g {k // 2}") for k in range(6)])
+    monkeypatch.setattr(type(spark), "createDataFrame", from_rows)
+    assert {row["doc_id"]: row["component_id"] for row in near_duplicates(docs).collect()} == {
+        k: k // 2 * 2 for k in range(6)
+    }

@@ -2,6 +2,9 @@
 
 from collections import Counter
 
+import pytest
+
+from eventtally.llm import language_id
 from eventtally.llm.language_id import (
     counted,
     grams_of,
@@ -65,3 +68,43 @@ def test_accuracy_on_held_out_documents(spark):
     found = op6_language(spark, SF).join(docs, "doc_id").filter("held_out")
     right, every = found.selectExpr("count_if(lang = lang_pred)", "count(*)").first()
     assert every > 200 and right / every > 0.98
+
+
+def test_a_task_holds_so_many_n_grams_however_many_languages_there_are(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MERGE_GRAMS", 200)
+    rows = [(f"{chr(97 + k % 20) * 9} {chr(97 + k % 7) * 4}", f"l{k % 20}") for k in range(400)]
+    given = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    whole, most = language_id.counted, []
+
+    class Learnt:
+        """Takes the function that counts, to run it here."""
+
+        def filter(self, *_):
+            return self
+
+        select = filter
+
+        def mapInArrow(self, count, kind):
+            self.count = count
+            raise LookupError
+
+    taken = Learnt()
+    with pytest.raises(LookupError):
+        language_id.learn_profiles(taken)
+    batches = given.toArrow().to_batches(max_chunksize=1)
+    at, sums = 0, Counter()
+
+    def counting():
+        nonlocal at
+        for batch in batches:
+            at += len(grams_of(batch.column(0)[0].as_py()))
+            yield batch
+
+    monkeypatch.setattr(language_id, "counted", lambda grams: (most.append(len(grams)), whole(grams))[1])
+    for found in taken.count(counting()):
+        for lang, gram, n in zip(*(found.column(k).to_pylist() for k in range(3))):
+            sums[lang, gram] += n
+        # What is still held is all that was read and not yet merged.
+        assert at - sum(most) <= 200
+    want = Counter((lang, int(g)) for text, lang in rows for g in grams_of(text))
+    assert sums == want and len(most) > 20
