@@ -5,12 +5,12 @@ A text is its words (A-Z lowered), each as the byte-level subword ids of a space
 end. The model gives the class of the next id from a window of ids before it, by one masked
 attention layer on top of how often the classes follow the last id, and the id within its class by
 its share after that id: the probabilities of all ids sum to one. Classes, shares, vocabulary
-and the base come from all learning documents, summed in Spark: pairs of ids within words from the
-counted words, pairs across the ends of words from the texts. The attention weights learn from all
+and the base come from all learning documents, summed in Spark. The attention weights learn from all
 of them too. They are fitted in Spark rounds: each task steps through its windows, and the weighted
 mean of what the tasks come to starts the next round. `ROUNDS` rounds over one in `SHARE` of the distinct
 learning texts, of a small corpus over more, bring them near; if that is not all of the texts, one more
 round goes through every window of every learning document.
+Every text is encoded once; the last round, the pairs and the scores start from the stored ids.
 
 Scoring lays overlapping windows over each document: a window of `WINDOW` ids scores its last
 `STRIDE` ones, so each id is scored once, with up to WINDOW - 1 ids before it in sight. Base
@@ -29,7 +29,7 @@ import copy
 import math
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from types import SimpleNamespace
 
@@ -62,10 +62,12 @@ TASK_WINDOWS = 16 * POOL_WINDOWS
 RATE = 0.02
 SMOOTHING = 5.0  # weight of a less exact share, in occurrences of the more exact one
 FINE_LAST, FINE_IDS = 1024, 4096  # the commonest ids whose pairs are counted one by one
-SCORE_IDS = 8192  # ids that are scored at a time, so that they stay in the caches
-HELD_IDS = 500_000  # ids that a task holds before it scores them
+SCORE_IDS = 8192  # ids that are scored at a time
+SCORE_WINDOWS = 128  # windows of them that the model takes at a time, so that they stay in the caches
+HELD_IDS = 500_000  # ids that a task holds before it hands them on
 FAR = np.float32(-1e9)
 LARGE = np.float32(40)  # what exp may be taken of
+STRETCH = 1 << 14  # numbers that a step changes at a time
 
 
 def counted_words(docs: DataFrame) -> DataFrame:
@@ -244,6 +246,35 @@ def counted_across(docs: DataFrame, path: str, tables: IdTables, known: dict[byt
     return counts
 
 
+def counted_pairs(texts: DataFrame, tables: IdTables) -> np.ndarray:
+    """How often ids follow one another in texts given as ids: what `counted_ids` finds within words and
+    `counted_across` across their ends, together and laid out as by the latter."""
+    width = len(tables.classes)
+    coarse = CLASSES * width
+    size = coarse + FINE_LAST * FINE_IDS
+    classes, rank, end = tables.classes, tables.rank, tables.end
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(size, np.int64)
+        each = (text.as_py() for batch in batches for text in batch.column(0))
+        for some in gathered(each, lambda text: len(text) // 4):
+            ids = as_ids(some)
+            before = np.append(end, ids[:-1])
+            np.add.at(sums, classes[before].astype(np.int64) * width + ids, 1)
+            low, high = rank[before].astype(np.int64), rank[ids]
+            fine = np.flatnonzero((low < FINE_LAST) & (high < FINE_IDS))
+            np.add.at(sums, coarse + low[fine] * FINE_IDS + high[fine], 1)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["place", "n"])
+
+    found = (
+        texts.select("ids").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    ).toArrow()
+    counts = np.zeros(size, np.float32)
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
 class IdTables:
     """Class, embedding row, and share within the class, of every id; the last id is the end."""
 
@@ -272,13 +303,21 @@ class IdTables:
         counts = counts.astype(np.float32)
         coarse = (CLASSES + 2) * len(self.classes)
         pairs, fine = counts[:coarse].reshape(CLASSES + 2, -1), counts[coarse:].reshape(FINE_LAST, FINE_IDS)
-        begins, ends = pairs[CLASSES].copy(), pairs[CLASSES + 1].copy()
-        begins[self.end] = ends[self.end] = texts
-        begins /= max(begins.sum(), 1)
         if across is None:
+            begins, ends = pairs[CLASSES].copy(), pairs[CLASSES + 1].copy()
+            begins[self.end] = ends[self.end] = texts
+            begins /= max(begins.sum(), 1)
             after = pairs[:CLASSES] + np.bincount(self.classes, ends, CLASSES).astype(np.float32)[:, None] * begins
+            common, last = self.order[:FINE_IDS], self.order[:FINE_LAST]
+            fine = fine + ends[last][:, None] * begins[common]
         else:
             after = pairs[:CLASSES] + across[: CLASSES * len(self.classes)].reshape(CLASSES, -1)
+            fine = fine + across[CLASSES * len(self.classes) :].reshape(FINE_LAST, FINE_IDS)
+        self.learn_pairs(after, fine)
+
+    def learn_pairs(self, after: np.ndarray, fine: np.ndarray) -> None:
+        """The shares, from how often each id follows each class, and each of the commonest ids the
+        commonest; both arrays are used up."""
         member = np.zeros((len(self.classes), CLASSES), np.float32)
         member[np.arange(len(member)), self.classes] = 1
         totals = after @ member
@@ -288,10 +327,6 @@ class IdTables:
         after /= totals[:, self.classes] + SMOOTHING
         # The same after each of the commonest ids, for the commonest ids.
         common, last = self.order[:FINE_IDS], self.order[:FINE_LAST]
-        if across is None:
-            fine = fine + ends[last][:, None] * begins[common]
-        else:
-            fine = fine + across[CLASSES * len(self.classes) :].reshape(FINE_LAST, FINE_IDS)
         fine_totals = fine @ member[common]
         fine += SMOOTHING * after[self.classes[last]][:, common]
         fine /= fine_totals[:, self.classes[common]] + SMOOTHING
@@ -343,95 +378,152 @@ def lowered_exp(values: np.ndarray) -> None:
     np.exp(values, out=values)
 
 
+class Space:
+    """Arrays that are used again, as new ones of this size cost more than what is worked out in them."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, kind: type = np.float32) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size, kind)
+        return self.held[name][:size].reshape(shape)
+
+
+SHAPES = {
+    "query": (PAD_ROW + 1, KEY_SIZE),
+    "key": (PAD_ROW + 1, KEY_SIZE),
+    "value": (PAD_ROW + 1, HIDDEN),
+    "own": (PAD_ROW + 1, HIDDEN),
+    "distance": (WINDOW,),
+    "out": (HIDDEN, CLASSES),
+    "bias": (CLASSES,),
+}
+SIZE = sum(map(math.prod, SHAPES.values()))
+
+
+def parts_in(numbers: np.ndarray) -> dict[str, np.ndarray]:
+    """The parts of a model, or of slopes, by name, as views of the one row that holds them."""
+    ends = np.cumsum([math.prod(shape) for shape in SHAPES.values()])
+    return {name: part.reshape(shape) for (name, shape), part in zip(SHAPES.items(), np.split(numbers, ends[:-1]))}
+
+
+def places_of(width: int) -> np.ndarray:
+    """Where the numbers of each embedding row lie, two at a time."""
+    return np.arange((PAD_ROW + 1) * (width // 2)).reshape(PAD_ROW + 1, -1)
+
+
 class Model:
     """One masked attention layer: tables by embedding row, a bias by distance, and the output."""
 
     def __init__(self, prior: np.ndarray, seed: int = 7):
         rng = np.random.default_rng(seed)
-
-        def table_of(size: int) -> np.ndarray:
-            return rng.normal(0, 0.1, (PAD_ROW + 1, size)).astype(np.float32)
-
-        self.parts = {
-            "query": table_of(KEY_SIZE),
-            "key": table_of(KEY_SIZE),
-            "value": table_of(HIDDEN),
-            "own": table_of(HIDDEN),
-            "distance": np.zeros(WINDOW, np.float32),
-            "out": rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32),
-            "bias": np.zeros(CLASSES, np.float32),
-        }
-        self.first = {name: np.zeros_like(part) for name, part in self.parts.items()}
-        self.second = {name: np.zeros_like(part) for name, part in self.parts.items()}
+        # The weights, then the fading sums of their slopes and of the squares of these.
+        self.held = np.zeros((3, SIZE), np.float32)
         self.steps = 0
         self.prior = prior  # log shares of the classes by embedding row
+        self.prepare()
+        for name in ("query", "key", "value", "own", "out"):
+            self.parts[name][:] = rng.normal(0, 0.1, self.parts[name].shape)
+
+    def prepare(self) -> None:
+        """What follows from the numbers, and is not handed on with them."""
+        self.parts = parts_in(self.held[0])
         # Distance from query to key; what lies ahead of the query is out of sight.
         self.away = (np.arange(STRIDE)[:, None] + WINDOW - STRIDE) - np.arange(WINDOW)[None, :]
         self.hidden_ahead = np.where(self.away < 0, FAR, np.float32(0))
+        self.space = Space()
+        self.places = {name: places_of(size) for name, size in (("k", KEY_SIZE), ("v", HIDDEN))}
+
+    def __getstate__(self) -> tuple:
+        return self.held, self.steps, self.prior
+
+    def __setstate__(self, state: tuple) -> None:
+        self.held, self.steps, self.prior = state
+        self.prepare()
 
     def attend(self, key_rows: np.ndarray) -> dict[str, np.ndarray]:
-        """The layer for windows of embedding rows; the last STRIDE of each are the queries."""
-        p = self.parts
-        own_rows = key_rows[:, WINDOW - STRIDE :]
-        q, k, v = p["query"][own_rows], p["key"][key_rows], p["value"][key_rows]
-        scores = q @ k.transpose(0, 2, 1)
+        """The layer for windows of embedding rows; the last STRIDE of each are the queries.
+
+        The arrays are used again by the next call.
+        """
+        p, count, space = self.parts, len(key_rows), self.space
+        own_rows = np.ascontiguousarray(key_rows[:, WINDOW - STRIDE :])
+
+        def looked_up(name: str, rows: np.ndarray) -> np.ndarray:
+            return np.take(p[name], rows, axis=0, out=space(name, *rows.shape, p[name].shape[1]), mode="clip")
+
+        q, k, v = looked_up("query", own_rows), looked_up("key", key_rows), looked_up("value", key_rows)
+        scores = np.matmul(q, k.transpose(0, 2, 1), out=space("scores", count, STRIDE, WINDOW))
         scores += p["distance"][np.maximum(self.away, 0)] + self.hidden_ahead
         blank = key_rows == PAD_ROW
         some = np.flatnonzero(blank.any(axis=1))
         if len(some):
-            scores[some] += np.where(blank[some], FAR, np.float32(0))[:, None, :]
             # A query that is padding itself sees nothing; its result is not used.
-            np.maximum(scores, FAR, out=scores)
+            scores[some] = np.maximum(scores[some] + np.where(blank[some], FAR, np.float32(0))[:, None, :], FAR)
         lowered_exp(scores)
-        total = (scores @ np.ones((WINDOW, 1), np.float32)) + np.float32(1e-30)
-        state = scores @ v
+        total = (scores.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(count, STRIDE, 1)
+        total += np.float32(1e-30)
+        state = np.matmul(scores, v, out=space("state", count, STRIDE, HIDDEN))
         state /= total
-        state += p["own"][own_rows]
+        state += looked_up("own", own_rows)
         np.maximum(state, 0, out=state)
         return {"q": q, "k": k, "v": v, "weights": scores, "total": total, "state": state, "own_rows": own_rows}
 
     def class_logs(
         self, state: np.ndarray, rows: np.ndarray, classes: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The log probability of a class for each state and embedding row; all weights and
-        their sums."""
-        logits = state @ self.parts["out"]
-        logits += self.prior[rows]
+        """The log probability of a class for each state and embedding row; all weights, in an array
+        that the next call uses again, and their sums."""
+        logits = np.matmul(state, self.parts["out"], out=self.space("logits", len(state), CLASSES))
+        logits += np.take(self.prior, rows, axis=0, out=self.space("prior", len(state), CLASSES), mode="clip")
         logits += self.parts["bias"]
         lowered_exp(logits)
         total = logits @ np.ones(CLASSES, np.float32)
         chosen = logits.ravel()[np.arange(0, logits.size, CLASSES) + classes]
         return np.log(np.maximum(chosen, np.float32(1e-35)) / total), logits, total
 
-    def gradients(self, key_rows: np.ndarray, classes: np.ndarray, real: np.ndarray) -> tuple[float, dict]:
-        """The mean loss of a batch and its slope in every part."""
-        p, a = self.parts, self.attend(key_rows)
-        state = a["state"].reshape(-1, HIDDEN)
+    def gradients(
+        self, key_rows: np.ndarray, classes: np.ndarray, real: np.ndarray, into: np.ndarray | None = None
+    ) -> tuple[float, dict]:
+        """The mean loss of a batch and its slope in every part, put into the given row if there is one."""
+        p, a, space = self.parts, self.attend(key_rows), self.space
+        into = np.zeros(SIZE, np.float32) if into is None else into
+        into[:] = 0
+        found = parts_in(into)
+        count, state = len(key_rows), a["state"].reshape(-1, HIDDEN)
         logs, slope, total = self.class_logs(state, a["own_rows"].ravel(), classes.ravel())
-        slope /= total[:, None]
-        a["weights"] /= a["total"]
         weight = real.ravel().astype(np.float32) / max(1, real.sum())
-        slope[np.arange(len(slope)), classes.ravel()] -= 1
-        slope *= weight[:, None]
-        found = {"out": state.T @ slope, "bias": slope.sum(axis=0)}
-        back = ((slope @ p["out"].T) * (state > 0)).reshape(a["state"].shape)
-        d_value = a["weights"].transpose(0, 2, 1) @ back
-        d_weights = back @ a["v"].transpose(0, 2, 1)
-        d_scores = a["weights"] * (d_weights - (d_weights * a["weights"]).sum(axis=2, keepdims=True))
-        found["distance"] = np.bincount(
-            np.maximum(self.away, 0).ravel(), d_scores.sum(axis=0).ravel(), WINDOW
-        ).astype(np.float32)
-        for name, rows, part in (
-            ("query", a["own_rows"], d_scores @ a["k"]),
-            ("key", key_rows, d_scores.transpose(0, 2, 1) @ a["q"]),
-            ("value", key_rows, d_value),
-            ("own", a["own_rows"], back),
-        ):
-            found[name] = np.zeros_like(p[name])
-            # One flat index is added up several times as fast as rows.
-            width = part.shape[-1]
-            places = rows.reshape(-1, 1).astype(np.int64) * width + np.arange(width)
-            np.add.at(found[name].reshape(-1), places.ravel(), part.ravel())
+        slope *= (weight / total)[:, None]
+        slope.reshape(-1)[np.arange(0, slope.size, CLASSES) + classes.ravel()] -= weight
+        np.matmul(state.T, slope, out=found["out"])
+        np.matmul(np.ones(len(slope), np.float32), slope, out=found["bias"])
+        back = np.matmul(slope, p["out"].T, out=space("back", len(slope), HIDDEN))
+        back *= state > 0
+        back = back.reshape(count, STRIDE, HIDDEN)
+        weights = a["weights"]
+        weights /= a["total"]
+        d_scores = np.matmul(back, a["v"].transpose(0, 2, 1), out=space("d_scores", count, STRIDE, WINDOW))
+        d_scores -= np.einsum("wqk,wqk->wq", d_scores, weights)[..., None]
+        d_scores *= weights
+        by_place = np.ones(count, np.float32) @ d_scores.reshape(count, -1)
+        found["distance"][:] = np.bincount(np.maximum(self.away, 0).ravel(), by_place, WINDOW)
+
+        def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            return np.matmul(left, right, out=space("product", count, left.shape[1], right.shape[2]))
+
+        def add(name: str, kind: str, rows: np.ndarray, values: np.ndarray) -> None:
+            # Two numbers at a time, as a complex one, take half the places.
+            table = self.places[kind]
+            places = space("places", rows.size, table.shape[1], kind=np.int64)
+            np.take(table, rows.ravel(), axis=0, out=places, mode="clip")
+            np.add.at(found[name].reshape(-1).view(np.complex64), places.ravel(), values.ravel().view(np.complex64))
+
+        add("query", "k", a["own_rows"], product(d_scores, a["k"]))
+        add("key", "k", key_rows, product(d_scores.transpose(0, 2, 1), a["q"]))
+        add("value", "v", key_rows, product(weights.transpose(0, 2, 1), back))
+        add("own", "v", a["own_rows"], back)
         return float(-(logs * weight).sum()), found
 
     def fit(
@@ -450,34 +542,41 @@ class Model:
         rng = np.random.default_rng(seed)
         steps = STEPS if steps is None else steps
         losses, order = [], np.zeros(0, np.int64)
+        slopes = self.space("slopes", SIZE)
         for step in range(1, steps + 1 if len(key_rows) else 1):
             while len(order) < min(BATCH_WINDOWS, len(key_rows)):
                 order = np.append(order, rng.permutation(len(key_rows)))
             at, order = order[:BATCH_WINDOWS], order[BATCH_WINDOWS:]
-            loss, slopes = self.gradients(key_rows[at], classes[at], real[at])
-            losses.append(loss)
+            losses.append(self.gradients(key_rows[at], classes[at], real[at], slopes)[0])
             self.steps += 1
-            now = RATE * (1 - step / (steps + 1)) if rate is None else rate
-            for name, slope in slopes.items():
-                first, second = self.first[name], self.second[name]
-                first += 0.1 * (slope - first)
-                second += 0.01 * (slope * slope - second)
-                moved = first / (1 - 0.9**self.steps) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8)
-                self.parts[name] -= (now * moved).astype(np.float32)
+            self.move(slopes, RATE * (1 - step / (steps + 1)) if rate is None else rate)
         return losses
 
+    def move(self, slopes: np.ndarray, rate: float) -> None:
+        """One step of Adam along the slopes, which are used up; a stretch at a time stays in the caches."""
+        # The sums are ten and a hundred times the means that Adam speaks of.
+        of_first, of_root = 0.1 / (1 - 0.9**self.steps), 0.1 / math.sqrt(1 - 0.99**self.steps)
+        for low in range(0, SIZE, STRETCH):
+            slope = slopes[low : low + STRETCH]
+            weights, first, second = self.held[:, low : low + STRETCH]
+            first *= 0.9
+            first += slope
+            slope *= slope
+            second *= 0.99
+            second += slope
+            np.sqrt(second, out=slope)
+            slope += 1e-8 / of_root
+            np.divide(first, slope, out=slope)
+            slope *= rate * of_first / of_root
+            weights -= slope
+
     def numbers(self) -> np.ndarray:
-        """All that fitting changes, the weights and the means of their slopes, in one row."""
-        held = [part.ravel() for group in (self.parts, self.first, self.second) for part in group.values()]
-        return np.concatenate(held)
+        """All that fitting changes, the weights and the sums of their slopes, in one row."""
+        return self.held.ravel().copy()
 
     def take(self, numbers: np.ndarray) -> None:
         """The reverse of `numbers`."""
-        at = 0
-        for group in (self.parts, self.first, self.second):
-            for name, part in group.items():
-                group[name] = numbers[at : at + part.size].reshape(part.shape).astype(np.float32)
-                at += part.size
+        self.held[:] = numbers.reshape(self.held.shape)
 
 
 def window_rows(ids: np.ndarray, lengths: np.ndarray, tables: IdTables):
@@ -498,12 +597,15 @@ def window_rows(ids: np.ndarray, lengths: np.ndarray, tables: IdTables):
 
 def real_logs(key_rows, targets, before, real, tables: IdTables, model: Model) -> np.ndarray:
     """The natural log probability of every real target."""
-    real = real.ravel()
-    attended = model.attend(key_rows)
-    state, rows = attended["state"].reshape(-1, HIDDEN)[real], attended["own_rows"].ravel()[real]
-    targets, before = targets.ravel()[real], before.ravel()[real]
-    logs = model.class_logs(state, rows, tables.classes[targets])[0]
-    return logs.astype(np.float64) + tables.log_shares(before, targets)
+    targets, before, real = targets.ravel(), before.ravel(), real.ravel()
+    classes = tables.classes[targets]
+    logs = np.empty(len(targets))
+    for low in range(0, len(key_rows), SCORE_WINDOWS):
+        attended = model.attend(key_rows[low : low + SCORE_WINDOWS])
+        state = attended["state"].reshape(-1, HIDDEN)
+        at = slice(low * STRIDE, low * STRIDE + len(state))
+        logs[at] = model.class_logs(state, attended["own_rows"].ravel(), classes[at])[0]
+    return logs[real] + tables.log_shares(before[real], targets[real])
 
 
 def scores_of(ids: np.ndarray, lengths: np.ndarray, tables: IdTables, model: Model) -> np.ndarray:
@@ -581,8 +683,11 @@ def pools_of(texts: Iterator[bytes], tables: SimpleNamespace) -> Iterator[tuple[
     def joined() -> tuple[np.ndarray, ...]:
         return tuple(np.concatenate(column) for column in zip(*parts))
 
-    for text in texts:
-        for key_rows, targets, _, real, _ in parts_of(as_ids([text]), tables):
+    for some in gathered(texts, lambda text: len(text) // 4):
+        lengths = np.array([len(text) // 4 for text in some])
+        ids = as_ids(some)
+        cut = parts_of(ids, tables) if len(ids) > SCORE_IDS else [window_rows(ids, lengths, tables)]
+        for key_rows, targets, _, real, _ in cut:
             parts.append((key_rows, tables.classes[targets], real))
             waiting += len(key_rows)
             if waiting >= POOL_WINDOWS:
@@ -592,6 +697,19 @@ def pools_of(texts: Iterator[bytes], tables: SimpleNamespace) -> Iterator[tuple[
         yield joined()
 
 
+def gathered(items: Iterable, size_of: Callable) -> Iterator[list]:
+    """The items in order, as many at a time as have `SCORE_IDS` ids together; a longer one is alone."""
+    some, size = [], 0
+    for item in items:
+        if some and size + size_of(item) > SCORE_IDS:
+            yield some
+            some, size = [], 0
+        some.append(item)
+        size += size_of(item)
+    if some:
+        yield some
+
+
 def fitted_round(texts: DataFrame, tables: SimpleNamespace, model: Model, rate: float, steps: int) -> bool:
     """Lets the tasks go on from the model over their texts, `steps` steps each at least, and gives it the
     mean of what they come to, weighted by steps. False if there was nothing to learn from."""
@@ -640,7 +758,14 @@ def dealt(texts: DataFrame, count: int, least: int) -> DataFrame:
     return texts.coalesce(max(texts.sparkSession.sparkContext.defaultParallelism, count // least))
 
 
-def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, bytes] | Broadcast) -> Model:
+def trained(
+    docs: DataFrame,
+    tables: IdTables,
+    path: str,
+    known: dict[bytes, bytes] | Broadcast,
+    every: DataFrame | None = None,
+) -> Model:
+    """The model fitted to the documents; `every` has the ids of them all, if they are stored already."""
     part = first_share(docs)
     texts = stored(learning_ids(docs, path, known, part), "learning")
     count = windows_in(texts)
@@ -656,10 +781,11 @@ def trained(docs: DataFrame, tables: IdTables, path: str, known: dict[bytes, byt
         fitted_round(chosen, small, model, RATE * (1 - (number + 0.5) / ROUNDS), steps)
     if part < 1:
         # Every window once, at the rate the rounds end with; repeated rows count, as for the shares.
-        every = encoded(docs.select(F.lit(0).cast("long").alias("number"), "text"), path, known)
-        # Stored in between, so that a task never has two Python workers, one to encode and one to learn.
-        texts = stored(every, "every-text")
-        fitted_round(dealt(texts, windows_in(texts), TASK_WINDOWS), small, model, RATE / (2 * ROUNDS), 0)
+        if every is None:
+            # Stored in between, so that a task never has two Python workers, one to encode and one to learn.
+            every = encoded(docs.select(F.lit(0).cast("long").alias("number"), "text"), path, known)
+            every = stored(every, "every-text")
+        fitted_round(dealt(every, windows_in(every), TASK_WINDOWS), small, model, RATE / (2 * ROUNDS), 0)
     return model
 
 
@@ -677,64 +803,31 @@ def score_texts(docs: DataFrame, learning: Column, path: str | None = None) -> D
     tables = IdTables(id_counts)
     plain = TextIds(path)
     known_ids = sent(docs, {word: plain.of_word(word) for word in corpus.frequent})
-    across = counted_across(learnt, path, tables, known_ids)
-    tables.learn_shares(counted_ids(words, path, tables), corpus.ends, across)
-    model = trained(learnt, tables, path, known_ids)
-    in_tasks = sent(docs, (tables, model, {word: float(corpus.log(n)) for word, n in corpus.frequent.items()}))
-    end_log, end_known = float(corpus.log(corpus.ends)), int(corpus.ends > 0)
-    del plain, learnt, id_counts, across, tables, model
+    # Every text is encoded once; pairs, the weights and the scores all start from the stored ids.
+    texts = stored(with_ids(docs, learning, path, corpus, known_ids), "texts")
+    every = texts.filter("learnt").select("ids")
+    pairs = counted_pairs(every, tables)
+    coarse = CLASSES * len(tables.classes)
+    tables.learn_pairs(pairs[:coarse].reshape(CLASSES, -1), pairs[coarse:].reshape(FINE_LAST, FINE_IDS))
+    in_tasks = sent(docs, (tables, trained(learnt, tables, path, known_ids, every)))
+    del plain, learnt, id_counts, pairs, tables
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TextIds(path, known_ids.value)
-        tables, model, logs = in_tasks.value
-        schema = pa.schema(
-            [("doc_id", batch_kind), ("row", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-             ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.string()))]
-        )
-
-        def scored(rows: list[tuple], ids: list[bytes]) -> pa.RecordBatch:
-            lengths = np.array([len(part) // 4 for part in ids])
-            found = np.zeros(len(ids))
-            low = 0
-            while low < len(ids):  # a bounded number of ids at a time
-                high, size = low + 1, lengths[low]
-                while high < len(ids) and size + lengths[high] <= SCORE_IDS:
-                    size += lengths[high]
-                    high += 1
-                if size > SCORE_IDS:
-                    found[low] = long_score(as_ids(ids[low:high]), tables, model)
-                else:
-                    found[low:high] = scores_of(as_ids(ids[low:high]), lengths[low:high], tables, model)
-                low = high
-            columns = list(zip(*rows))
-            columns.insert(5, found / math.log(10))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-            )
-
+        tables, model = in_tasks.value
         for batch in batches:
-            rows, ids, waiting = [], [], 0
-            for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                parts = (text.as_py() or "").encode().lower().split()
-                known = list(map(logs.get, parts))
-                rare = [word.decode() for word, value in zip(parts, known) if value is None] if None in known else []
-                base = sum(filter(None, known)) + end_log
-                rows.append((doc_id, row, len(parts) + 1, len(parts) - len(rare) + end_known, base, rare))
-                ids.append(encode.of_words(parts))
-                waiting += len(ids[-1]) // 4
-                if waiting >= HELD_IDS:
-                    yield scored(rows, ids)
-                    rows, ids, waiting = [], [], 0
-            if rows:
-                yield scored(rows, ids)
+            found = []
+            for ids in gathered((text.as_py() for text in batch.column("ids")), lambda text: len(text) // 4):
+                lengths = np.array([len(part) // 4 for part in ids])
+                if lengths[0] > SCORE_IDS:
+                    found.append(np.array([long_score(as_ids(ids), tables, model)]))
+                else:
+                    found.append(scores_of(as_ids(ids), lengths, tables, model))
+            scores = pa.array(np.concatenate([*found, np.zeros(0)]) / math.log(10))
+            yield batch.select(kept).append_column("score", scores)
 
-    given = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    kind = dict(docs.dtypes)["doc_id"]
-    batch_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    found = given.mapInArrow(
-        score,
-        f"doc_id {kind}, row long, n_tokens long, known long, base double, score double, rare array<string>",
-    )
+    kept = ["doc_id", "row", "n_tokens", "known", "base", "rare"]
+    kinds = dict(texts.dtypes)
+    found = texts.select(*kept, "ids").mapInArrow(score, ", ".join([*(f"{c} {kinds[c]}" for c in kept), "score double"]))
     # A row per rare word; the first one carries what the document has already. A document
     # without one gets a key of its own, with a space, which no word has.
     each = found.select(
@@ -765,6 +858,51 @@ def score_texts(docs: DataFrame, learning: Column, path: str | None = None) -> D
     )
 
 
+def with_ids(
+    docs: DataFrame, learning: Column, path: str, corpus: Vocabulary, known_ids: dict[bytes, bytes] | Broadcast
+) -> DataFrame:
+    """doc_id, row, whether it is learnt from, ids, and of the base: n_tokens, known, base and rare words, which are
+    those that known and base leave out."""
+    known_ids = sent(docs, known_ids)
+    common_logs = sent(docs, {word: float(corpus.log(n)) for word, n in corpus.frequent.items()})
+    end_log, end_known = float(corpus.log(corpus.ends)), int(corpus.ends > 0)
+    kind = dict(docs.dtypes)["doc_id"]
+    schema = pa.schema(
+        [("doc_id", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]), ("row", pa.int64()),
+         ("learnt", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
+         ("rare", pa.list_(pa.string())), ("ids", pa.binary())]
+    )
+
+    def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, logs = TextIds(path, known_ids.value), common_logs.value
+
+        def emitted(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+        for batch in batches:
+            rows, waiting = [], 0
+            for *given, text in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3)):
+                parts = (text.as_py() or "").encode().lower().split()
+                known = list(map(logs.get, parts))
+                rare = [word.decode() for word, value in zip(parts, known) if value is None] if None in known else []
+                base = sum(filter(None, known)) + end_log
+                ids = encode.of_words(parts)
+                rows.append((*given, len(parts) + 1, len(parts) - len(rare) + end_known, base, rare, ids))
+                waiting += len(ids) // 4
+                if waiting >= HELD_IDS:
+                    yield emitted(rows)
+                    rows, waiting = [], 0
+            if rows:
+                yield emitted(rows)
+
+    # A row's number is stored with it, so it stays the same however often the rows are read.
+    given = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), learning.alias("learnt"), "text")
+    return given.mapInArrow(
+        encode_all,
+        f"doc_id {kind}, row long, learnt boolean, n_tokens long, known long, base double, rare array<string>, ids binary",
+    )
+
+
 def parts_of(ids: np.ndarray, tables: IdTables | SimpleNamespace) -> Iterator[tuple[np.ndarray, ...]]:
     """What `window_rows` gives for one document, in parts that overlap by a window."""
     size = SCORE_IDS // STRIDE * STRIDE

@@ -1,6 +1,7 @@
 """Language-model scores: the base against plain counting, the model against its own definition."""
 
 import math
+import pickle
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -324,3 +325,59 @@ def test_the_tasks_of_a_round_follow_its_windows_and_not_the_partitions(spark, m
     finally:
         for key in small:
             spark.conf.unset(key)
+
+
+def test_pairs_of_stored_ids_are_those_within_and_across_words(spark):
+    path = default_path()
+    texts = ["red fox", "Red fox blue fox", "", None, "qzxv red", "qzxv " * 50]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    tables = IdTables(np.arange(lm_score.subwords(path).size + 1, dtype=float))
+    words = lm_score.counted_words(docs)
+    corpus = lm_score.vocabulary(words, len(texts), 2)
+    encode = TextIds(path)
+    known = {w: encode.of_word(w) for w in corpus.frequent}
+    stored = lm_score.with_ids(docs, F.col("doc_id") >= 0, path, corpus, known)
+    found = lm_score.counted_pairs(stored, tables)
+    within = lm_score.counted_ids(words, path, tables)
+    width = len(tables.classes)
+    want = lm_score.counted_across(docs, path, tables, known)
+    want[: CLASSES * width] += within[: CLASSES * width]
+    want[CLASSES * width :] += within[(CLASSES + 2) * width :]
+    assert found.sum() > 0 and np.array_equal(found, want)
+
+
+def test_each_text_is_encoded_once(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "STEPS", 5)
+    monkeypatch.setattr(lm_score, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(lm_score, "LEAST_CHARS", 1)
+    rounds, encoded = [], []
+    fitted, encode = lm_score.fitted_round, lm_score.encoded
+    monkeypatch.setattr(lm_score, "fitted_round", lambda texts, *a: rounds.append(texts.count()) or fitted(texts, *a))
+    monkeypatch.setattr(lm_score, "encoded", lambda texts, *a: encoded.append(texts.count()) or encode(texts, *a))
+    docs = spark.createDataFrame([(k, f"text number {k}") for k in range(400)], "doc_id long, text string")
+    found = score_texts(docs, F.col("doc_id") < 300)
+    assert found.count() == 400
+    # The first rounds encode their share; the last one takes every learning text as it is stored.
+    assert rounds[-1] == 300 and encoded and max(encoded) < 100
+
+
+def test_fitting_is_adam_and_hands_on_the_same_numbers(fitted):
+    tables, _, rng = fitted
+    model = Model(tables.prior)
+    ids = rng.integers(0, IDS, 300)
+    keys, targets, _, real, _ = window_rows(ids, np.array([300]), tables)
+    batch = keys, tables.classes[targets], real
+    want = {name: part.astype(float) for name, part in model.parts.items()}
+    first, second = ({name: np.zeros_like(part) for name, part in want.items()} for _ in range(2))
+    for step in range(1, 4):
+        for name, slope in model.gradients(*batch)[1].items():
+            first[name] += 0.1 * (slope - first[name])
+            second[name] += 0.01 * (slope.astype(float) ** 2 - second[name])
+            root = np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8
+            want[name] -= 0.001 * first[name] / (1 - 0.9**step) / root
+        handed_on = pickle.loads(pickle.dumps(model))
+        handed_on.fit(*batch, steps=1, rate=0.001)
+        model.fit(*batch, steps=1, rate=0.001)
+        assert np.array_equal(handed_on.numbers(), model.numbers())
+        for name, part in model.parts.items():
+            assert np.allclose(part, want[name], atol=2e-5)
