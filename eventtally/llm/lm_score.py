@@ -10,7 +10,7 @@ of them too. They are fitted in Spark rounds: each task steps through its window
 mean of what the tasks come to starts the next round. `ROUNDS` rounds over one in `SHARE` of the distinct
 learning texts, of a small corpus over more, bring them near; if that is not all of the texts, one more
 round goes through every window of every learning document.
-Every text is encoded once; the last round, the pairs and the scores start from the stored ids.
+Pairs, the last round and the scores all start from stored ids, so that texts are not encoded for each.
 
 Scoring lays overlapping windows over each document: a window of `WINDOW` ids scores its last
 `STRIDE` ones, so each id is scored once, with up to WINDOW - 1 ids before it in sight. Base
