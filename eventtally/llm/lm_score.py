@@ -687,12 +687,18 @@ def pools_of(texts: Iterator[bytes], tables: SimpleNamespace) -> Iterator[tuple[
         lengths = np.array([len(text) // 4 for text in some])
         ids = as_ids(some)
         cut = parts_of(ids, tables) if len(ids) > SCORE_IDS else [window_rows(ids, lengths, tables)]
-        for key_rows, targets, _, real, _ in cut:
-            parts.append((key_rows, tables.classes[targets], real))
-            waiting += len(key_rows)
-            if waiting >= POOL_WINDOWS:
+        for key_rows, targets, _, real, document in cut:
+            part = key_rows, tables.classes[targets], real
+            while waiting + len(document) >= POOL_WINDOWS:
+                # A pool ends with the text that fills it.
+                end = np.searchsorted(document, document[POOL_WINDOWS - waiting - 1], "right")
+                parts.append(tuple(column[:end] for column in part))
                 yield joined()
                 parts, waiting = [], 0
+                part, document = tuple(column[end:] for column in part), document[end:]
+            if len(document):
+                parts.append(part)
+                waiting += len(document)
     if parts:
         yield joined()
 

@@ -381,3 +381,17 @@ def test_fitting_is_adam_and_hands_on_the_same_numbers(fitted):
         assert np.array_equal(handed_on.numbers(), model.numbers())
         for name, part in model.parts.items():
             assert np.allclose(part, want[name], atol=2e-5)
+
+
+def test_pools_end_with_the_texts_that_fill_them(fitted, monkeypatch):
+    tables, _, rng = fitted
+    monkeypatch.setattr(lm_score, "SCORE_IDS", 640)
+    monkeypatch.setattr(lm_score, "POOL_WINDOWS", 30)
+    sizes = [100, 1, 300, 17, 200, 1000, 16, 640, 5]
+    parts = [rng.integers(0, IDS, n) for n in sizes]
+    pools = list(lm_score.pools_of((p.astype(np.uint32).tobytes() for p in parts), tables))
+    # Windows of the texts: 7, 1, 19, 2, 13, 40 and 23 (a long text is cut), 1, 40, 1.
+    assert [len(p[0]) for p in pools] == [42, 40, 64, 1]
+    keys, targets, _, real, _ = window_rows(np.concatenate(parts), np.array(sizes), tables)
+    for at, whole in enumerate((keys, tables.classes[targets], real)):
+        assert np.array_equal(np.concatenate([p[at] for p in pools]), whole)
