@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventtally.config import SERVING_COLUMNS
@@ -15,6 +15,9 @@ from eventtally.functions.skew import lookup_join, salted_join
 from eventtally.operators.totals import size_micros, start_of
 from eventtally.session import stored, stored_with_size
 
+# So many requests of a metric and day meet a total together.
+GROUP = 256
+
 
 def request_bound(text: str) -> datetime:
     """The instant of a single request bound; anything else is an error."""
@@ -101,7 +104,9 @@ def bulk_range_totals(
     go on. The requests are shuffled, also a few, which can have very many answers: that spreads the
     work of writing them out. What can be worked out once per total is not left to the answers, which are
     many more: with `as_text` the bounds of the windows become ISO texts before the join. If the
-    asked totals are small they go to all tasks, else both sides are shuffled on the keys.
+    asked totals are small they go to all tasks, else both sides are shuffled on the keys. Small totals
+    meet groups of requests, so that the answers with one total follow each other: files keep
+    a run of equal values once, and the answers would else take a multiple of the space.
     """
     kind = dict(totals.dtypes)["window_start"]
     day = F.col("day") if "day" in totals.columns else F.to_date("window_start")
@@ -124,16 +129,35 @@ def bulk_range_totals(
     inside = (F.col("window_start") >= F.col("_from")) & (F.col("window_end") <= F.col("_to"))
     keys, spread_by = ["metric_name", "_day"], spread_by or columns
     if size <= skew.BROADCAST_BYTES:
-        # As many tasks as the setting says: few bytes of requests are no sign of few answers.
-        tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = by_day.repartition(tasks, *dict.fromkeys([*spread_by, "_day"]))
-        joined = spread.join(F.broadcast(rows), keys).filter(inside)
+        met = _grouped(by_day, keys, spread_by).join(F.broadcast(rows), keys)
+        each = met.select(*rows.columns, F.explode("_group").alias("_one"))
+        of_one = [F.col("_one")[c].alias(c) for c in by_day.columns if c not in keys]
+        joined = each.select(*rows.columns, *of_one).filter(inside)
     else:
         joined = salted_join(by_day, rows, keys, spread_by, condition=inside)
     shown = [F.col(f"_{b}").alias(b) if as_text else F.col(b) for b in bounds]
     return joined.select(*columns, "metric_value", *shown)
 
 
+def _grouped(by_day: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
+    """Requests by day dealt evenly to tasks, there in arrays (`_group`) of GROUP rows of the same keys.
+
+    Rows with near bounds share an array. All is done behind one shuffle.
+    """
+    # As many tasks as the setting says: few bytes of requests are no sign of few answers.
+    tasks = int(by_day.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    task = F.pmod(F.xxhash64(*dict.fromkeys([*spread_by, "_day"])), F.lit(tasks)).cast("int")
+    together = Window.partitionBy("_task", *keys).orderBy("_from", "_to")
+    return (
+        by_day.withColumn("_task", task)
+        .repartitionById(tasks, "_task")
+        .withColumn("_number", F.floor((F.row_number().over(together) - 1) / GROUP))
+        .groupBy("_task", *keys, "_number")
+        .agg(F.collect_list(F.struct(*(c for c in by_day.columns if c not in keys))).alias("_group"))
+        .drop("_task", "_number")
+    )
+
+
 def _by_day(requests: DataFrame, kind: str, low: Column, high: Column) -> DataFrame:
     """A row per request and day of its range (`_day`), from `low` to `high` at most.
 

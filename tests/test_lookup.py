@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -356,3 +358,28 @@ def test_bulk_ranges_with_texts_are_worked_out_once_per_total(spark, data, monke
     assert "date_format" in plan and not any("date_format" in line for line in plan.splitlines()[:join])
     physical = found._jdf.queryExecution().executedPlan().toString()
     assert ("BroadcastHashJoin [metric_name" in physical and "SortMergeJoin" not in physical) == broadcast
+
+
+def test_answers_with_one_total_follow_each_other(spark, folder):
+    """The answers outnumber all else that is written, so they are laid out for files that keep a run of equal values once."""
+    minutes = [(m, float(k), BASE + dt.timedelta(minutes=k), BASE + dt.timedelta(minutes=k + 1)) for k in range(2 * 1440) for m in "ab"]
+    cut = [(7 * (n % 9), n % 5) for n in range(400)]
+    asked = [(n, "ab"[n % 2], iso(BASE + dt.timedelta(minutes=x)), iso(BASE + dt.timedelta(days=2, minutes=-y))) for n, (x, y) in enumerate(cut)]
+    requests = spark.createDataFrame(asked, "request_id INT, metric_name STRING, start STRING, end STRING")
+    lk.bulk_range_totals(requests, spark.createDataFrame(minutes, TOTAL), ["request_id"]).write.parquet(folder + "/out")
+    files = [os.path.join(folder, "out", f) for f in os.listdir(folder + "/out") if f.endswith(".parquet")]
+    starts = [pq.read_table(f, columns=["window_start"])["window_start"].to_numpy() for f in files]
+    number = sum(map(len, starts))
+    assert number == sum(2 * 1440 - x - y for x, y in cut)
+    assert sum(map(os.path.getsize, files)) < 0.6 * number
+    assert 20 * sum((s[1:] != s[:-1]).sum() for s in starts) < number
+
+
+@pytest.mark.parametrize("group", [1, 3, 256])
+def test_bulk_ranges_in_groups_of_any_size(spark, data, monkeypatch, group):
+    """Equal requests without an id to tell them apart, and requests without a metric, which have no answers."""
+    totals, requests, t, r = data
+    monkeypatch.setattr(lk, "GROUP", group)
+    assert rows(lk.bulk_range_totals(requests, totals), *COLUMNS) == brute_force(t, r)
+    alike = spark.createDataFrame([("a", iso(BASE), iso(BASE + dt.timedelta(hours=3)))] * 10 + [(None, iso(BASE), iso(BASE))], "metric_name STRING, start STRING, end STRING")
+    assert sorted(x.metric_value for x in lk.bulk_range_totals(alike, totals).collect()) == [0.0] * 10 + [1.0] * 10 + [2.0] * 10
